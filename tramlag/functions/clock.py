@@ -31,8 +31,7 @@ def to_utc(value: datetime) -> datetime:
 
 def from_epoch(seconds: Column) -> Column:
     """Epoch seconds (number or digits as text) -> UTC instant."""
-    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("bigint").cast("decimal(18,6)"))
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + step
+    return F.timestamp_add("SECOND", seconds.cast("bigint"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def local_date(ts: Column, zone: str) -> Column:

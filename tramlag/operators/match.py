@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import CANCELLED, OBSERVED, SKIPPED_STOP, Settings
 from ..functions.clock import from_epoch, local_date, service_date
 from .merge import keep_first
-from .skew import broadcast_if_small, hot_keys, salted_join
+from .skew import hot_keys, measured_bytes, salted_join
 
 FACT_COLUMNS = [
     "ts", "version_id", "trip_id", "stop_id", "stop_sequence", "line_id", "operator_id",
@@ -34,12 +34,14 @@ def _is(relationship: Column, names: list[str]) -> Column:
 
 def trip_entities(snapshots: DataFrame, zone: str) -> DataFrame:
     """One row per entity that has a trip update with a trip id."""
-    ts = snapshot_time()
-    entities = snapshots.select(ts.alias("ts"), F.posexplode("entity").alias("entity_pos", "entity"))
+    timed = snapshots.select(snapshot_time().alias("ts"), "entity").withColumn(
+        "local_date", local_date(F.col("ts"), zone)
+    )
+    entities = timed.select("ts", "local_date", F.posexplode("entity").alias("entity_pos", "entity"))
     update = F.col("entity.tripUpdate")
     return entities.where(update.isNotNull() & (update["trip"]["tripId"] != "")).select(
         "ts",
-        local_date(F.col("ts"), zone).alias("local_date"),
+        "local_date",
         "entity_pos",
         update["trip"]["tripId"].alias("trip_id"),
         _is(update["trip"]["scheduleRelationship"], TRIP_CANCELED).alias("cancelled"),
@@ -47,65 +49,74 @@ def trip_entities(snapshots: DataFrame, zone: str) -> DataFrame:
     )
 
 
-def cancelled_trips(entities: DataFrame) -> DataFrame:
-    return entities.where("cancelled").select("ts", "local_date", "entity_pos", "trip_id")
-
+def feed_rows(entities: DataFrame) -> DataFrame:
+    """One row per cancelled trip, whose updates are ignored, and per usable stop update.
 
-def stop_updates(entities: DataFrame) -> DataFrame:
-    """Usable stop updates: with a sequence (0 counts), and skipped or with an arrival delay."""
-    flat = entities.where(~F.col("cancelled")).select(
-        "ts", "local_date", "entity_pos", "trip_id", F.posexplode("updates").alias("update_pos", "u")
+    A stop update is usable with a sequence (0 counts) when the stop is skipped or an
+    arrival delay is given. Both kinds come from one pass over the feed; `stop_key` is the
+    sequence, or `WHOLE_TRIP`.
+    """
+    updates = F.when(F.col("cancelled"), F.array(F.lit(None))).otherwise(F.col("updates"))
+    flat = entities.select(
+        "ts", "local_date", "entity_pos", "trip_id", "cancelled", F.posexplode(updates).alias("update_pos", "u")
     )
-    return flat.select(
+    skipped = _is(F.col("u.scheduleRelationship"), STOP_SKIPPED)
+    usable = F.col("u.stopSequence").isNotNull() & (skipped | F.col("u.arrival.delay").isNotNull())
+    return flat.where(F.col("cancelled") | usable).select(
         "ts",
         "local_date",
         "entity_pos",
         "update_pos",
         "trip_id",
-        F.col("u.stopSequence").alias("stop_sequence"),
-        _is(F.col("u.scheduleRelationship"), STOP_SKIPPED).alias("skipped"),
+        "cancelled",
+        F.coalesce("u.stopSequence", F.lit(WHOLE_TRIP)).alias("stop_key"),
+        skipped.alias("skipped"),
         F.col("u.arrival.delay").alias("delay"),
-    ).where(F.col("stop_sequence").isNotNull() & (F.col("skipped") | F.col("delay").isNotNull()))
+    )
+
+
+_PLANNED = ["trip_id", "stop_sequence", "stop_id", "line_id", "operator_id", "direction", "day_offset"]
+MATCH_KEYS = ["trip_id", "cancelled", "stop_key"]
+WHOLE_TRIP = -1  # stop key of a cancelled trip; sequences are not negative
 
 
 def stop_lookup(schedule: DataFrame) -> DataFrame:
     """One planned stop per (trip, sequence): the greatest stop id where several share it."""
-    planned = schedule.select(
-        "trip_id", "stop_sequence", "stop_id", "line_id", "operator_id", "direction", "day_offset"
-    )
-    return keep_first(planned, ["trip_id", "stop_sequence"], [F.desc("stop_id")])
+    return keep_first(schedule.select(*_PLANNED), ["trip_id", "stop_sequence"], [F.desc("stop_id")])
 
 
-def expand_cancelled(cancelled: DataFrame, schedule: DataFrame, hot: list[tuple] = ()) -> DataFrame:
-    """Every planned stop of each cancelled trip; a trip without a schedule yields none."""
-    planned = schedule.select(
-        "trip_id", "stop_sequence", "stop_id", "line_id", "operator_id", "direction", "day_offset"
+def match_side(schedule: DataFrame) -> DataFrame:
+    """Planned stops under the keys of `feed_rows`: all of a trip, and one per sequence."""
+    whole = schedule.select(*_PLANNED).select(
+        F.lit(True).alias("cancelled"), F.lit(WHOLE_TRIP).alias("stop_key"), *_PLANNED
     )
-    rows = salted_join(cancelled, planned, ["trip_id"], list(hot))
-    return rows.select(
-        *_shared_columns(),
-        F.lit(None).cast("int").alias("delay_s"),
-        F.lit(CANCELLED).alias("status"),
-        "entity_pos",
-        F.col("stop_sequence").alias("update_pos"),
+    single = stop_lookup(schedule).select(
+        F.lit(False).alias("cancelled"), F.col("stop_sequence").alias("stop_key"), *_PLANNED
     )
+    return whole.unionByName(single)
 
 
-def match_updates(updates: DataFrame, lookup: DataFrame, hot: list[tuple] = ()) -> DataFrame:
-    """Stop updates with their planned stop; updates without one drop out."""
-    rows = salted_join(updates, lookup, ["trip_id", "stop_sequence"], list(hot))
-    return rows.select(
-        *_shared_columns(),
-        F.when(~F.col("skipped"), F.col("delay")).cast("int").alias("delay_s"),
-        F.when(F.col("skipped"), SKIPPED_STOP).otherwise(OBSERVED).alias("status"),
-        "entity_pos",
-        "update_pos",
-    )
-
+def match_rows(rows: DataFrame, planned: DataFrame, hot: list[tuple] = ()) -> DataFrame:
+    """Feed rows with their planned stops: every stop of a cancelled trip, one per update.
 
-def _shared_columns() -> list:
+    Trips and sequences that the schedule does not know drop out.
+    """
     day = service_date(F.col("local_date"), F.col("day_offset")).alias("service_date")
-    return ["ts", "trip_id", "stop_id", "stop_sequence", "line_id", "operator_id", "direction", day]
+    observed = ~F.col("cancelled") & ~F.col("skipped")
+    return salted_join(rows, planned, MATCH_KEYS, list(hot)).select(
+        "ts",
+        "trip_id",
+        "stop_id",
+        "stop_sequence",
+        "line_id",
+        "operator_id",
+        "direction",
+        day,
+        F.when(observed, F.col("delay")).cast("int").alias("delay_s"),
+        F.when(F.col("cancelled"), CANCELLED).when(F.col("skipped"), SKIPPED_STOP).otherwise(OBSERVED).alias("status"),
+        "entity_pos",
+        F.when(F.col("cancelled"), F.col("stop_sequence")).otherwise(F.col("update_pos")).alias("update_pos"),
+    )
 
 
 def match_snapshots(
@@ -121,19 +132,14 @@ def match_snapshots(
     its measured size allows; the feed is then neither shuffled nor skewed. A larger
     schedule is joined by shuffle, with the feed's hot trips and stops salted.
     """
-    entities = trip_entities(snapshots, cfg.zone)
-    cancelled, updates = cancelled_trips(entities), stop_updates(entities)
-    lookup = stop_lookup(schedule)
-    planned, small = broadcast_if_small(schedule.drop("sched_arrival", "headsign"), max_broadcast_bytes)
-    hot_trips = hot_stops = ()
-    if small:
-        lookup = F.broadcast(lookup)  # no larger than the schedule that was measured
+    rows = feed_rows(trip_entities(snapshots, cfg.zone))
+    planned, hot = match_side(schedule), []
+    # each planned stop occurs at most twice on the broadcast side
+    if 2 * measured_bytes(schedule.select(*_PLANNED)) <= max_broadcast_bytes:
+        planned = F.broadcast(planned)
     else:
-        hot_trips = hot_keys(cancelled, ["trip_id"])
-        hot_stops = hot_keys(updates, ["trip_id", "stop_sequence"])
-    facts = expand_cancelled(cancelled, planned, hot_trips).unionByName(
-        match_updates(updates, lookup, hot_stops)
-    )
+        hot = hot_keys(rows, MATCH_KEYS)
+    facts = match_rows(rows, planned, hot)
     return facts.withColumn("version_id", F.lit(version_id)).select(*FACT_COLUMNS, *POSITION)
 
 

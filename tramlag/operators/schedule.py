@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lenient import lenient_double, lenient_int
+from ..functions.lenient import lenient_int, truncated_int
 from .skew import salted_join
 
 
 def day_offset(arrival: Column) -> Column:
     """Whole days in the hour part of HH:MM:SS: 25:30 is 1; a bad or missing hour is 0."""
-    hour = F.coalesce(lenient_double(F.split(arrival, ":")[0]).cast("bigint"), F.lit(0))
+    hour = F.coalesce(truncated_int(F.substring_index(arrival, ":", 1)), F.lit(0))
     return F.floor(hour / 24).cast("smallint")
 
 
@@ -20,6 +20,15 @@ def trips_with_operator(trips: DataFrame, trips_ext: DataFrame) -> DataFrame:
     return trips.select("trip_id", "route_id", "direction_id", "trip_headsign").join(ext, "trip_id", "left")
 
 
+def near_trip(stop_times: DataFrame, hot_trips: list[tuple]) -> DataFrame:
+    """Stop times placed by trip, so that their merge and the trip join share one shuffle.
+
+    The merge key contains the trip, and rows placed by trip satisfy both. Hot trips would
+    overload a task that way; with any of them the two steps keep their own shuffles.
+    """
+    return stop_times if hot_trips else stop_times.repartition("trip_id")
+
+
 def build_schedule(
     stop_times: DataFrame, trips: DataFrame, trips_ext: DataFrame, hot_trips: list[tuple] = ()
 ) -> DataFrame:

@@ -72,9 +72,3 @@ def measured_bytes(df: DataFrame) -> int:
         size = size + F.coalesce(F.octet_length(name), F.lit(0))
     return df.agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint")).first()[0]
 
-
-def broadcast_if_small(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool]:
-    """`df` marked for broadcast when its measured size allows it, and whether it was."""
-    if measured_bytes(df) <= max_bytes:
-        return F.broadcast(df), True
-    return df, False

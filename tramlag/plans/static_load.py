@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..config import MERGE_KEYS
 from ..operators import dims as d
 from ..operators.merge import merge_tables
-from ..operators.schedule import build_schedule
+from ..operators.schedule import build_schedule, near_trip
 from ..operators.skew import hot_keys
 from ..session import shared_folder
 from ..sources import packages as p
@@ -64,13 +64,13 @@ def load_static(
         "pkg_ord int, line_no long, record map<string,string>, member string"
     ).parquet(staging)
     raw = {name: p.member_table(records, name, columns) for name, columns in p.MEMBER_COLUMNS.items()}
+    hot_trips = hot_keys(raw["stop_times"], ["trip_id"])
+    raw["stop_times"] = near_trip(raw["stop_times"], hot_trips)
     tables = merge_tables(raw, MERGE_KEYS)
 
     first = today - timedelta(days=wh.cfg.date_lookback_days)
     version_id = wh.next_version_id()
-    schedule = build_schedule(
-        tables["stop_times"], tables["trips"], tables["trips_ext"], hot_keys(raw["stop_times"], ["trip_id"])
-    )
+    schedule = build_schedule(tables["stop_times"], tables["trips"], tables["trips_ext"], hot_trips)
     wh.publish(
         d.dim_version(selected, version_id, today, last, now),
         version_id,

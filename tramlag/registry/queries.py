@@ -200,25 +200,33 @@ def r2_entities(spark, sf):
     )
 
 
+def _feed_rows(spark, sf):
+    return match.feed_rows(_entities(spark, sf))
+
+
 @query
 def r3_cancelled(spark, sf):
-    cancelled = match.cancelled_trips(_entities(spark, sf))
-    return match.expand_cancelled(cancelled, s.schedule(spark, sf)).drop("entity_pos", "update_pos", "delay_s")
+    cancelled = _feed_rows(spark, sf).where("cancelled")
+    rows = match.match_rows(cancelled, match.match_side(s.schedule(spark, sf)).where("cancelled"))
+    return rows.drop("entity_pos", "update_pos", "delay_s")
 
 
 @query
 def r4_stop_updates(spark, sf):
-    return match.stop_updates(_entities(spark, sf)).drop("entity_pos")
+    updates = _feed_rows(spark, sf).where("not cancelled").withColumnRenamed("stop_key", "stop_sequence")
+    return updates.drop("entity_pos", "cancelled")
 
 
 @query
 def r5_match(spark, sf):
-    updates = match.stop_updates(_entities(spark, sf))
-    return match.match_updates(updates, match.stop_lookup(s.schedule(spark, sf))).drop("entity_pos")
+    updates = _feed_rows(spark, sf).where("not cancelled")
+    planned = match.match_side(s.schedule(spark, sf)).where("not cancelled")
+    return match.match_rows(updates, planned).drop("entity_pos")
 
 
 def _matched_facts(spark, sf):
-    return match.match_snapshots(s.snapshots(spark, sf), s.schedule(spark, sf), 1, DEFAULTS)
+    """Matching reads its schedule several times (it is a stored table otherwise)."""
+    return match.match_snapshots(s.snapshots(spark, sf), s.schedule(spark, sf).persist(), 1, DEFAULTS)
 
 
 @query

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .config import CANCELLED, DEFAULTS, MERGE_KEYS, OBSERVED, SKIPPED_STOP, WEEKDAY_FLAGS
 from .functions.clock import local_date
 from .operators.merge import PACKAGE_ORDER, keep_first
-from .operators.schedule import build_schedule
+from .operators.schedule import build_schedule, near_trip
 from .operators.skew import hot_keys
 
 TODAY = date(1998, 3, 1)  # package selection
@@ -113,10 +113,10 @@ def trips_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hot = hot_keys(table(spark, sf_dir, "lineitem").select(_prefixed("T", F.col("l_orderkey")).alias("trip_id")), ["trip_id"])
-    return build_schedule(
-        merged_stop_times(spark, sf_dir), trips(spark, sf_dir), trips_ext(spark, sf_dir), hot
-    )
+    times = stop_times(spark, sf_dir)
+    hot = hot_keys(times, ["trip_id"])
+    merged = keep_first(near_trip(times, hot), MERGE_KEYS["stop_times"], STOP_TIMES_ORDER)
+    return build_schedule(merged, trips(spark, sf_dir), trips_ext(spark, sf_dir), hot)
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
