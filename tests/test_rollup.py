@@ -1,0 +1,113 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tramlag.config import DEFAULTS
+from tramlag.operators import integrity, rollup
+from tramlag.operators.upsert import insertable, upsert
+from tramlag.plans import reports
+
+FACT = """ts timestamp_ntz, trip_id string, stop_id string, line_id string, operator_id string,
+          version_id int, service_date date, delay_s int, status string"""
+
+
+def facts(spark, *rows):
+    day = date(2024, 1, 1)
+    return spark.createDataFrame([(ts, "T", "S", line, "O", 1, day, delay, status) for ts, line, delay, status in rows], FACT)
+
+
+def test_measures(spark, rows):
+    t = datetime(2024, 1, 1, 10, 14, 59)
+    df = facts(
+        spark,
+        *[(t, "A", delay, "OBSERWACJA") for delay in (-31, -30, 60, 61)],
+        (t, "A", None, "POMINIETY"),
+        (t, "B", None, "ANULOWANY"),
+        (t, "B", 7, "ANULOWANY"),
+    )
+    got = rollup.line_15m(df).drop("service_date", "version_id", "operator_id")
+    bucket = datetime(2024, 1, 1, 10)
+    assert rows(got) == [
+        (bucket, "A", 60, 4, 2, -31, 61, 0, 1),
+        (bucket, "B", None, 0, 0, None, None, 2, 0),
+    ]
+    assert rows(reports.punctuality(got.where("line_id = 'B'"))) == [(0, 0, None)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_local_days_over_clock_changes(spark, rows, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        spring = [datetime(2024, 3, 30, 22, 59), datetime(2024, 3, 30, 23), datetime(2024, 3, 31, 21, 59), datetime(2024, 3, 31, 22)]
+        autumn = [datetime(2024, 10, 26, 21, 59), datetime(2024, 10, 26, 22), datetime(2024, 10, 27, 22, 59), datetime(2024, 10, 27, 23)]
+        df = facts(spark, *[(t, "A", 1, "OBSERWACJA") for t in spring + autumn])
+        days = rollup.line_1d(rollup.line_1h(rollup.line_15m(df)))
+        assert rows(days, "bucket", "obs") == [
+            (datetime(2024, 3, 29, 23), 1),
+            (datetime(2024, 3, 30, 23), 2),
+            (datetime(2024, 3, 31, 22), 1),
+            (datetime(2024, 10, 25, 22), 1),
+            (datetime(2024, 10, 26, 22), 2),
+            (datetime(2024, 10, 27, 23), 1),
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_repeated_hour_stays_apart(spark, rows):
+    twice = [datetime(2024, 10, 27, 0, 30), datetime(2024, 10, 27, 1, 30)]  # both 02:30 local
+    df = facts(spark, *[(t, "A", 1, "OBSERWACJA") for t in twice])
+    assert rows(rollup.line_15m(df), "bucket") == [(t,) for t in twice]
+    assert rows(rollup.line_1h(rollup.line_15m(df)), "bucket") == [(t.replace(minute=0),) for t in twice]
+
+
+def test_chain_equals_direct_day_aggregate(spark):
+    from tramlag import samples
+    from tramlag.functions.clock import local_day_bucket
+    from tramlag.functions.measures import fact_measures
+
+    source = samples.fact_delay(spark, "/root/testdata/sf0.001")
+    chain = rollup.line_1d(rollup.line_1h(rollup.line_15m(source)))
+    bucket = local_day_bucket(F.col("ts"), DEFAULTS.zone).alias("bucket")
+    direct = source.groupBy(bucket, *rollup.LINE_KEYS).agg(*fact_measures(DEFAULTS))
+    assert chain.exceptAll(direct).isEmpty() and direct.exceptAll(chain).isEmpty()
+
+
+def test_partial_aggregation_and_pruning(spark):
+    from tramlag import samples
+
+    plan = rollup.line_15m(samples.fact_delay(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().toString()
+    assert "partial_sum" in plan and plan.count("Exchange") == 1
+    assert "event_id" not in plan[plan.index("ReadSchema") :]
+
+
+def test_upsert(spark, rows):
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    batch = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")
+    once = upsert(target, batch, ["k"])
+    assert rows(once) == [("a", 1), ("b", 3), ("c", 4)]
+    assert rows(upsert(once, batch, ["k"])) == rows(once)
+
+
+def test_insert_ignore(spark, rows):
+    target = spark.createDataFrame([("a", 1)], "k string, pos int")
+    batch = spark.createDataFrame([("a", 9), ("b", 7), ("b", 5)], "k string, pos int")
+    assert rows(insertable(target, batch, ["k"], ["pos"])) == [("b", 5)]
+    stored = target.unionByName(insertable(target, batch, ["k"], ["pos"]))
+    assert insertable(stored, batch, ["k"], ["pos"]).isEmpty()
+
+
+def test_integrity(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "y")], "k string, ref string")
+    dims = {"dim": spark.createDataFrame([("x",)], "id string")}
+    refs = {"ref": ("dim", "id")}
+    assert rows(integrity.duplicate_keys(df, ["k"])) == [("a", 2)]
+    assert rows(integrity.null_counts(df, ["k", "ref"])) == [("k", 0), ("ref", 1)]
+    assert rows(integrity.orphans(df, dims, refs)) == [("ref", "y", 1)]
+    clean, rejected = integrity.drop_orphans(df, dims, refs)
+    assert rows(clean) == [("a", "x"), ("a", None)] and rows(rejected) == [("b", "y")]
+    with pytest.raises(integrity.IntegrityError, match="duplicate key"):
+        integrity.require_unique(df, ["k"], "t")
+    with pytest.raises(integrity.IntegrityError, match="nulls in"):
+        integrity.require_not_null(df, ["k", "ref"], "t")

@@ -1,0 +1,90 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tramlag.operators import schedule as sched
+from tramlag.operators.skew import hot_keys, measured_bytes, salted_join
+
+
+@pytest.mark.parametrize(
+    "arrival, offset",
+    [("23:59:59", 0), ("24:00:00", 1), ("25:30", 1), ("48:10:00", 2), (None, 0), ("x", 0), ("", 0), (" 24.9:00", 1), ("-1:00", -1)],
+)
+def test_day_offset(spark, arrival, offset):
+    df = spark.createDataFrame([(arrival,)], "a string")
+    assert df.select(sched.day_offset(F.col("a"))).first()[0] == offset
+
+
+def build(spark, sequence):
+    times = spark.createDataFrame(
+        [("T1", "S1", sequence, "10:00:00"), ("T9", "S1", "1", "10:00:00")],
+        "trip_id string, stop_id string, stop_sequence string, arrival_time string",
+    )
+    trips = spark.createDataFrame(
+        [("T1", "L1", "0", "Centre")], "trip_id string, route_id string, direction_id string, trip_headsign string"
+    )
+    ext = spark.createDataFrame([], "trip_id string, operator_id string")
+    return sched.build_schedule(times, trips, ext)
+
+
+@pytest.mark.parametrize("text, value", [("3", 3), ("3.0", 3), ("x", None), (None, None), ("3d", None)])
+def test_sequence_parsing_and_unknown_trips(spark, rows, text, value):
+    assert rows(build(spark, text), "trip_id", "stop_sequence", "operator_id") == [("T1", value, None)]
+
+
+def test_fractional_sequence_fails(spark):
+    with pytest.raises(Exception, match="not a whole number: 3.5"):
+        build(spark, "3.5").collect()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows under one key."""
+    n = 60_000
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 5000).cast("string")))
+    left = spark.range(n).select(key.alias("key"), F.col("id").alias("value"))
+    right = left.select("key").distinct().withColumn("name", F.concat(F.lit("n-"), "key"))
+    return left, right.where("key <> 'k7'")
+
+
+def test_hot_keys_finds_the_hot_key_only(skewed):
+    left, _ = skewed
+    hot = hot_keys(left, ["key"], sample_share=0.1, partitions=20)
+    assert [k for k, _ in hot] == ["hot"]
+    assert 10 <= hot[0][1] <= 16  # a third of 40 half partitions
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_join(skewed, how):
+    left, right = skewed
+    hot = hot_keys(left, ["key"], sample_share=0.1, partitions=20)
+    got = salted_join(left, right, ["key"], hot, how)
+    want = left.join(right, ["key"], how)
+    assert got.count() == want.count()
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_salting_spreads_the_hot_key(spark, skewed):
+    left, right = skewed
+    hot = hot_keys(left, ["key"], sample_share=0.1, partitions=20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = salted_join(left, right, ["key"], hot).where("key = 'hot'")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and len(sizes) > 1
+
+
+def test_null_keys_never_join(spark, rows):
+    left = spark.createDataFrame([(None, 1), ("a", 2)], "key string, value int")
+    right = spark.createDataFrame([(None, "x"), ("a", "y")], "key string, name string")
+    assert rows(salted_join(left, right, ["key"], [("a", 3)], "left")) == [("a", 2, "y"), (None, 1, None)]
+
+
+def test_measured_bytes_grows_with_text(spark):
+    short = spark.createDataFrame([("a", 1)], "t string, n int")
+    long = spark.createDataFrame([("a" * 1000, 1), (None, 2)], "t string, n int")
+    assert measured_bytes(short) == 16 * 3 + 1
+    assert measured_bytes(long) == 2 * 16 * 3 + 1000

@@ -12,6 +12,7 @@ import math
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE_SHARE = 0.01
 MIN_SAMPLED = 10
@@ -53,7 +54,7 @@ def salted_join(
     spark = left.sparkSession
     # `hot` holds at most 2 * shuffle partitions rows (see hot_keys): bounded, so broadcast
     key_schema = left.select(*keys).schema
-    salts = F.broadcast(spark.createDataFrame(hot, key_schema.add("_salts", "int")))
+    salts = F.broadcast(spark.createDataFrame(hot, key_schema.add("_salts", T.IntegerType())))
     spread = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int")
     )

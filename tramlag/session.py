@@ -32,10 +32,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     none gets a temporary one; elsewhere the setting is required, because executors do
     not share a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tramlag-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tramlag-"))
+        base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tramlag/{purpose}-{uuid.uuid4().hex}"
