@@ -126,8 +126,8 @@ def test_stream_equals_batch(spark, wh, feed, tmp_path, rows):
 def test_replay_inserts_nothing(spark, wh, feed, tmp_path, rows):
     feed.land(1, entity("T1", update(0, 1), update(1, 2)))
     snapshots = read_snapshots(spark, str(feed.folder))
-    assert [r.inserted for r in live.store_batch(wh, snapshots, skip_stale=False)] == [2]
-    again = live.store_batch(wh, snapshots, skip_stale=False)
+    assert [r.inserted for r in live.store_batch(wh, snapshots)] == [2]
+    again = live.store_batch(wh, snapshots)
     assert [(r.observed, r.inserted) for r in again] == [(2, 0)]
     assert wh.read("fact_delay").count() == 2
 

@@ -78,6 +78,19 @@ def require_not_null(df: DataFrame, columns: list[str], table: str) -> None:
         raise IntegrityError(f"{table}: nulls in {[(r['column_name'], r['nulls']) for r in found]}")
 
 
+def require_keys(df: DataFrame, keys: list[str], not_null: list[str], table: str) -> None:
+    """Both rules in one pass; the separate checks only run to name what is wrong."""
+    nulls = [F.count_if(F.col(c).isNull()) for c in not_null]
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), sum(nulls[1:], nulls[0]).alias("nulls")
+    )
+    worst = per_key.agg(F.max("rows").alias("rows"), F.sum("nulls").alias("nulls")).first()
+    if worst["nulls"]:
+        require_not_null(df, not_null, table)
+    if (worst["rows"] or 0) > 1:
+        require_unique(df, keys, table)
+
+
 def require_references(facts: DataFrame, dims: dict[str, DataFrame], table: str = "fact_delay") -> None:
     found = orphans(facts, dims).orderBy("fk", "key").limit(5).collect()
     if found:

@@ -49,9 +49,25 @@ def _heads(batch: DataFrame) -> DataFrame:
 
 
 def last_processed(wh: Warehouse) -> int | None:
-    """Epoch time of the newest snapshot that an earlier cycle stored."""
-    done = wh.read("fact_run").where(F.col("status") == RUN_OK).agg(F.max("snapshot_ts")).first()[0]
-    return int(done.replace(tzinfo=timezone.utc).timestamp()) if done else None
+    """Epoch time of the newest snapshot that a cycle has stored; reads the newest weeks first."""
+    for week in reversed(wh.partitions("fact_run")):
+        stored = wh.read("fact_run", [week]).where(F.col("status") == RUN_OK)
+        done = stored.agg(F.max("snapshot_ts")).first()[0]
+        if done:
+            return int(done.replace(tzinfo=timezone.utc).timestamp())
+    return None
+
+
+class Marker:
+    """Time of the last processed snapshot; moves only when a batch has been stored."""
+
+    def __init__(self, wh: Warehouse):
+        self.epoch = last_processed(wh)
+
+    def move(self, cycles: list[Row]) -> None:
+        times = [c.snapshot_ts.replace(tzinfo=timezone.utc) for c in cycles if c.status == RUN_OK]
+        if times:
+            self.epoch = int(max(times).timestamp())
 
 
 def _counts(df: DataFrame, name: str) -> DataFrame:
@@ -72,29 +88,34 @@ def _cycles(heads: DataFrame, facts: DataFrame | None = None, new: DataFrame | N
 
 
 def store_batch(
-    wh: Warehouse, batch: DataFrame, skip_stale: bool = True, on_orphans: str = "fail"
+    wh: Warehouse, batch: DataFrame, marker: Marker | None = None, on_orphans: str = "fail"
 ) -> list[Row]:
     """Match one batch, append its new facts and return its audit counts per snapshot.
 
-    The schedule version is resolved anew for each batch, so a static load takes effect
-    without a restart. `on_orphans` is `fail`, or `quarantine` to set bad facts aside.
+    With a marker, snapshots that are not newer than it (or than earlier ones of the batch)
+    are skipped. The schedule version is resolved anew for each batch, so a static load
+    takes effect without a restart. `on_orphans` is `fail`, or `quarantine` to set bad
+    facts aside.
     """
     version_id = wh.current_version()
-    heads = _heads(batch)
-    if skip_stale:
-        heads = mark_fresh(heads, ARRIVAL, "epoch", last_processed(wh))
-    else:
-        heads = heads.withColumn("fresh", F.lit(True))
     with ExitStack() as cached:
-        heads = cached.enter_context(_persisted(heads))
+
+        def keep(df: DataFrame) -> DataFrame:
+            return cached.enter_context(_persisted(df))
+
+        heads = keep(_heads(batch))
+        if marker:
+            heads = keep(mark_fresh(heads, ARRIVAL, "epoch", marker.epoch))
+        else:
+            heads = heads.withColumn("fresh", F.lit(True))
         first, last = heads.where("fresh").agg(F.min("epoch"), F.max("epoch")).first()
         if first is None:
             return _cycles(heads)
         fresh = batch.withColumn("epoch", F.col("header.timestamp").cast("bigint")).join(
             heads.where("fresh").select("file_path", "epoch"), ["file_path", "epoch"], "left_semi"
         )
-        schedule = schedule_of_trips(wh.schedule(version_id), fresh, wh.cfg)
-        facts = cached.enter_context(_persisted(match_snapshots(fresh, schedule, version_id, wh.cfg)))
+        schedule = keep(schedule_of_trips(wh.schedule(version_id), fresh, wh.cfg))
+        facts = keep(match_snapshots(fresh, schedule, version_id, wh.cfg))
         kept, dims = facts, wh.dimensions(version_id)
         if on_orphans == "quarantine":
             kept, rejected = integrity.drop_orphans(facts, dims)
@@ -104,12 +125,9 @@ def store_batch(
 
         # stored rows can only clash on the snapshot times of this batch
         first, last = (datetime.fromtimestamp(s, timezone.utc) for s in (first, last))
-        stored = wh.read("fact_delay").where(
-            F.col("ts_date").between(F.lit(first.date()), F.lit(last.date()))
-            & F.col("ts").between(ntz(first), ntz(last))
-        )
-        new = insertable(stored, kept, PRIMARY_KEYS["fact_delay"], POSITION).select(*FACT_COLUMNS)
-        new = cached.enter_context(_persisted(new))
+        dates = [str((first + timedelta(days=i)).date()) for i in range((last.date() - first.date()).days + 1)]
+        stored = wh.read("fact_delay", dates).where(F.col("ts").between(ntz(first), ntz(last)))
+        new = keep(insertable(stored, kept, PRIMARY_KEYS["fact_delay"], POSITION).select(*FACT_COLUMNS))
         # Counted before the append: writing to a table invalidates cached reads of it.
         cycles = _cycles(heads, facts, new)
         wh.append("fact_delay", new.withColumn("ts_date", F.col("ts").cast("date")))
@@ -144,9 +162,9 @@ def process_batch(
     wh: Warehouse,
     batch: DataFrame,
     batch_id: int,
+    marker: Marker | None = None,
     clock: Callable[[], datetime] = clock_now,
     on_orphans: str = "fail",
-    skip_stale: bool = True,
 ) -> None:
     """One micro-batch: store, audit; on failure audit the error and set the input aside.
 
@@ -155,10 +173,10 @@ def process_batch(
     """
     started, t0 = clock(), time.monotonic()
     with _persisted(batch) as batch:
-        if batch.isEmpty():
-            return
         try:
-            cycles = store_batch(wh, batch, skip_stale, on_orphans)
+            cycles = store_batch(wh, batch, marker, on_orphans)
+            if marker:
+                marker.move(cycles)
             audit(wh, cycles, started, time.monotonic() - t0)
         except Exception as error:
             log.exception("batch %s failed", batch_id)
@@ -183,7 +201,7 @@ def replay_quarantine(
     for batch_id in sorted(batches):
         part = waiting.where(F.col("batch_id") == batch_id).drop("batch_id")
         started, t0 = clock(), time.monotonic()
-        cycles = store_batch(wh, part, skip_stale=False, on_orphans=on_orphans)
+        cycles = store_batch(wh, part, on_orphans=on_orphans)
         audit(wh, cycles, started, time.monotonic() - t0)
         wh.delete(f"{folder}/batch_id={batch_id}")
     return len(batches)
@@ -206,9 +224,10 @@ def run_live(
     do not arrive in the order of their snapshots.
     """
     wh.current_version()  # fail early when no schedule has been loaded
+    marker = Marker(wh) if skip_stale else None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(wh, batch, batch_id, clock, on_orphans, skip_stale)
+        process_batch(wh, batch, batch_id, marker, clock, on_orphans)
 
     writer = (
         stream_snapshots(wh.spark, landing, max_files)

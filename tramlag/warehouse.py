@@ -19,6 +19,7 @@ from .operators.upsert import upsert
 from .schemas import NOT_NULL, PARTITION_COLUMN, PRIMARY_KEYS, TABLES
 
 DIMENSIONS = ["dim_line", "dim_stop", "dim_operator", "dim_date"]
+DATE_PARTITIONS = ["ts_date", "week_start", "bucket_date"]
 KEPT_LOADS = 3
 
 
@@ -67,11 +68,21 @@ class Warehouse:
 
     # ------------------------------------------------------------ reads
 
-    def read(self, table: str) -> DataFrame:
-        """The stored table; empty while nothing has been written."""
-        if not self.exists(self.path(table)):
+    def read(self, table: str, only: list[str] | None = None) -> DataFrame:
+        """The stored table; empty while nothing has been written.
+
+        `only` names the partitions to open. Other folders are then not even listed, which
+        matters for tables that grow by a file per cycle.
+        """
+        folder = self.path(table)
+        if only is None:
+            paths = [folder] if self.exists(folder) else []
+        else:
+            wanted = [f"{folder}/{PARTITION_COLUMN[table]}={value}" for value in only]
+            paths = [path for path in wanted if self.exists(path)]
+        if not paths:
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(self.path(table))
+        return self.spark.read.schema(TABLES[table]).option("basePath", folder).parquet(*paths)
 
     def current_version(self) -> int:
         """The version loaded last (ties: the greatest id)."""
@@ -86,11 +97,11 @@ class Warehouse:
         if table == "dim_version":
             return self.read(table)
         version_id = self.current_version() if version_id is None else version_id
-        return self.read(table).where(F.col("load_id") == version_id).drop("load_id")
+        return self.read(table, [str(version_id)]).drop("load_id")
 
     def schedule(self, version_id: int) -> DataFrame:
-        """Planned stops of one version: a partition-pruned, column-pruned scan."""
-        return self.read("schedule").where(F.col("version_id") == version_id).drop("version_id")
+        """Planned stops of one version; reads no other version's files."""
+        return self.read("schedule", [str(version_id)]).drop("version_id")
 
     def dimensions(self, version_id: int) -> dict[str, DataFrame]:
         return {t: self.dimension(t, version_id) for t in [*DIMENSIONS, "dim_version"]}
@@ -105,9 +116,11 @@ class Warehouse:
     # ------------------------------------------------------------ writes
 
     def append(self, table: str, df: DataFrame) -> None:
-        """Append rows; adaptive execution sizes the files of each partition."""
+        """Append rows. Rows of many dates are gathered by date first, in right-sized files."""
         column = PARTITION_COLUMN.get(table)
-        writer = (df.hint("rebalance", column) if column else df).write.mode("append")
+        if column in DATE_PARTITIONS:
+            df = df.hint("rebalance", column)
+        writer = df.write.mode("append")
         (writer.partitionBy(column) if column else writer).parquet(self.path(table))
 
     def replace_partitions(self, table: str, df: DataFrame) -> None:
@@ -121,6 +134,10 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
+    def compact(self, table: str, value: str) -> None:
+        """Rewrite one partition, to which nothing is appended any more, in full-sized files."""
+        self.replace_partitions(table, self.read(table, [value]))
+
     def next_version_id(self) -> int:
         """One past every id ever used, including loads that were never published."""
         used = [int(v) for table in ["schedule", *DIMENSIONS] for v in self.partitions(table)]
@@ -141,21 +158,20 @@ class Warehouse:
         except NoVersionError:
             previous = None
         for table in DIMENSIONS:
-            batch = dims[table]
             keys = PRIMARY_KEYS[table]
-            integrity.require_not_null(batch, NOT_NULL[table], table)
-            integrity.require_unique(batch, keys, table)
+            batch = dims[table].persist()
+            integrity.require_keys(batch, keys, NOT_NULL[table], table)
+            merged = batch
             if previous is not None:
                 target = self.dimension(table, previous)
                 if table == "dim_date" and keep_known_day_type:
-                    batch = _keep_known_labels(target, batch)
-                batch = upsert(target, batch, keys)
-            self.append(table, batch.withColumn("load_id", F.lit(version_id)))
-        stamped = schedule.withColumn("version_id", F.lit(version_id))
-        self.append("schedule", stamped)
-        stored = self.read("schedule").where(F.col("version_id") == version_id)
-        integrity.require_not_null(stored, NOT_NULL["schedule"], "schedule")
-        integrity.require_unique(stored, PRIMARY_KEYS["schedule"], "schedule")
+                    merged = _keep_known_labels(target, merged)
+                merged = upsert(target, merged, keys)
+            self.append(table, merged.withColumn("load_id", F.lit(version_id)))
+            batch.unpersist()
+        self.append("schedule", schedule.withColumn("version_id", F.lit(version_id)))
+        stored = self.read("schedule", [str(version_id)])
+        integrity.require_keys(stored, PRIMARY_KEYS["schedule"], NOT_NULL["schedule"], "schedule")
         self.append("dim_version", version.coalesce(1))
         self._forget_old_loads()
 
