@@ -3,7 +3,6 @@ import os
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from test_match import entity, update
 from tramlag.operators.match import match_snapshots
@@ -189,10 +188,3 @@ def test_interval_trigger(spark, wh, feed, tmp_path):
         assert wh.read("fact_delay").count() == 1
     finally:
         query.stop()
-
-
-def test_target_read_is_limited_to_the_batch(spark, wh, feed, tmp_path):
-    for i in range(3):
-        feed.land(i, entity("T1", update(0, 1)))
-    run(wh, feed, tmp_path)
-    assert wh.read("fact_delay").where(F.col("ts") == at(1)).count() == 1

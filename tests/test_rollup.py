@@ -105,7 +105,7 @@ def test_integrity(spark, rows):
     assert rows(integrity.duplicate_keys(df, ["k"])) == [("a", 2)]
     assert rows(integrity.null_counts(df, ["k", "ref"])) == [("k", 0), ("ref", 1)]
     assert rows(integrity.orphans(df, dims, refs)) == [("ref", "y", 1)]
-    clean, rejected = integrity.drop_orphans(df, dims, refs)
+    clean, rejected = integrity.drop_orphans(df, integrity.orphans(df, dims, refs), refs)
     assert rows(clean) == [("a", "x"), ("a", None)] and rows(rejected) == [("b", "y")]
     with pytest.raises(integrity.IntegrityError, match="duplicate key"):
         integrity.require_unique(df, ["k"], "t")

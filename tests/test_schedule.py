@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramlag.operators import schedule as sched
-from tramlag.operators.skew import hot_keys, measured_bytes, salted_join
+from tramlag.operators.skew import hot_keys, lookup_join, measured_bytes, salted_join
 
 
 @pytest.mark.parametrize(
@@ -80,7 +80,17 @@ def test_salting_spreads_the_hot_key(spark, skewed):
 def test_null_keys_never_join(spark, rows):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "key string, value int")
     right = spark.createDataFrame([(None, "x"), ("a", "y")], "key string, name string")
-    assert rows(salted_join(left, right, ["key"], [("a", 3)], "left")) == [("a", 2, "y"), (None, 1, None)]
+    hot = [("a", 3), (None, 4)]
+    assert rows(salted_join(left, right, ["key"], hot, "left")) == [("a", 2, "y"), (None, 1, None)]
+    assert rows(salted_join(left, right, ["key"], hot)) == [("a", 2, "y")]
+
+
+@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
+def test_lookup_join_beyond_the_broadcast_limit(skewed, max_bytes):
+    left, right = skewed
+    got = lookup_join(left, right, ["key"], "left", max_bytes)
+    want = left.join(right, ["key"], "left")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
 def test_measured_bytes_grows_with_text(spark):

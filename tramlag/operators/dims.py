@@ -17,7 +17,9 @@ from ..config import (
     WEEKDAY_FLAGS,
     Settings,
 )
+from ..functions.clock import ntz
 from ..functions.lenient import lenient_double
+from .skew import lookup_join
 
 
 def _label(code: Column, labels: dict[str, str]) -> Column:
@@ -65,23 +67,16 @@ def dim_stop(
     types = attributes.select(
         F.col("stop_type_id").alias("_type_id"), F.col("stop_attr_name").alias("stop_type")
     )
-    ext = (
-        stops_ext.select(
-            "stop_id",
-            F.col("city"),
-            _first_id("community_ids").alias("_commune_id"),
-            _first_id("stop_attribute_ids").alias("_type_id"),
-        )
-        .join(communes, "_commune_id", "left")
-        .join(types, "_type_id", "left")
-        .select(
-            "stop_id",
-            "commune",
-            "city",
-            F.coalesce("stop_type", F.lit(DEFAULT_STOP_TYPE)).alias("stop_type"),
-        )
+    ext = stops_ext.select(
+        "stop_id",
+        "city",
+        _first_id("community_ids").alias("_commune_id"),
+        _first_id("stop_attribute_ids").alias("_type_id"),
     )
-    return base.join(ext, "stop_id", "left")
+    # most stops share a few communes and types, hence not a plain shuffle join
+    named = lookup_join(lookup_join(ext, communes, ["_commune_id"], "left"), types, ["_type_id"], "left")
+    stop_type = F.coalesce("stop_type", F.lit(DEFAULT_STOP_TYPE)).alias("stop_type")
+    return base.join(named.select("stop_id", "commune", "city", stop_type), "stop_id", "left")
 
 
 def dim_operator(operators: DataFrame) -> DataFrame:
@@ -162,8 +157,6 @@ def dim_version(
 
     `selected` holds at most one package per day of the horizon.
     """
-    from ..functions.clock import ntz
-
     ordered = F.array_sort(F.collect_list(F.struct("pkg_ord", "name")))
     names = F.array_join(F.transform(ordered, lambda p: p["name"]), " | ")
     return selected.agg(names.alias("package_names")).select(

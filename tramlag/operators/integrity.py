@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_REFERENCES
+from .skew import lookup_join
 
 
 class IntegrityError(ValueError):
@@ -51,18 +52,15 @@ def orphans(
 
 
 def drop_orphans(
-    facts: DataFrame, dims: dict[str, DataFrame], references: dict[str, tuple[str, str]] = FACT_REFERENCES
+    facts: DataFrame, bad: DataFrame, references: dict[str, tuple[str, str]] = FACT_REFERENCES
 ) -> tuple[DataFrame, DataFrame]:
-    """(clean, rejected) facts: rejected rows hold at least one orphan reference."""
-    bad = orphans(facts, dims, references).select("fk", "key")
-    marked = facts
+    """(clean, rejected) facts: rejected rows hold at least one of the `orphans` found."""
+    marked, rejected = facts, F.lit(False)
     for fk in references:
-        lost = bad.where(F.col("fk") == fk).select(F.col("key").alias("_key"), F.lit(True).alias(f"_bad_{fk}"))
-        marked = marked.join(lost, F.col(fk).cast("string") == F.col("_key"), "left").drop("_key")
-    flags = [F.coalesce(F.col(f"_bad_{fk}"), F.lit(False)) for fk in references]
-    rejected = flags[0]
-    for flag in flags[1:]:
-        rejected = rejected | flag
+        key = F.col("key").cast(facts.schema[fk].dataType).alias(fk)
+        lost = bad.where(F.col("fk") == fk).select(key, F.lit(True).alias(f"_bad_{fk}"))
+        marked = lookup_join(marked, lost, [fk], "left")
+        rejected = rejected | F.col(f"_bad_{fk}").isNotNull()
     return marked.where(~rejected).select(*facts.columns), marked.where(rejected).select(*facts.columns)
 
 
@@ -91,7 +89,8 @@ def require_keys(df: DataFrame, keys: list[str], not_null: list[str], table: str
         require_unique(df, keys, table)
 
 
-def require_references(facts: DataFrame, dims: dict[str, DataFrame], table: str = "fact_delay") -> None:
-    found = orphans(facts, dims).orderBy("fk", "key").limit(5).collect()
+def require_references(bad: DataFrame, table: str = "fact_delay") -> None:
+    """Fail when `orphans` found any."""
+    found = bad.orderBy("fk", "key").limit(5).collect()
     if found:
         raise IntegrityError(f"{table}: unknown references {[(r['fk'], r['key']) for r in found]}")

@@ -143,7 +143,6 @@ def match_snapshots(
     return facts.withColumn("version_id", F.lit(version_id)).select(*FACT_COLUMNS, *POSITION)
 
 
-def schedule_of_trips(schedule: DataFrame, snapshots: DataFrame, cfg: Settings) -> DataFrame:
-    """The schedule rows of the trips that a (small) batch of snapshots mentions."""
-    trips = trip_entities(snapshots, cfg.zone).select("trip_id").distinct()
-    return schedule.join(trips, "trip_id", "left_semi")
+def mentioned_trips(snapshots: DataFrame, cfg: Settings) -> DataFrame:
+    """The trip ids that a batch of snapshots mentions."""
+    return trip_entities(snapshots, cfg.zone).select("trip_id").distinct()

@@ -41,5 +41,5 @@ def merge_tables(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> di
 
 def first_package(df: DataFrame) -> DataFrame:
     """All rows of the package that comes first among those holding the table."""
-    first = df.agg(F.min("pkg_ord").alias("pkg_ord"))  # one row
-    return df.join(first, "pkg_ord", "left_semi")
+    first = df.agg(F.min("pkg_ord").alias("pkg_ord"))  # one row, so broadcast
+    return df.join(F.broadcast(first), "pkg_ord", "left_semi")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 SAMPLE_SHARE = 0.01
 MIN_SAMPLED = 10
+LOOKUP_BYTES = 64 * 1024 * 1024
 
 
 def hot_keys(
@@ -24,16 +25,14 @@ def hot_keys(
     sample_share: float = SAMPLE_SHARE,
     partitions: int | None = None,
 ) -> list[tuple]:
-    """Keys that alone exceed half a mean shuffle partition, each with its salt count.
+    """Keys (null included) that alone exceed half a mean shuffle partition, with salt counts.
 
     At most `2 * partitions` keys qualify, and their salts sum to at most
     `4 * partitions`, whatever the size of the data.
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = Observation()
-    sampled = (
-        df.select(*keys).dropna().sample(sample_share, seed=17).observe(seen, F.count(F.lit(1)).alias("n"))
-    )
+    sampled = df.select(*keys).sample(sample_share, seed=17).observe(seen, F.count(F.lit(1)).alias("n"))
     top = sampled.groupBy(*keys).count().where(F.col("count") >= MIN_SAMPLED)
     rows = top.orderBy(F.desc("count"), *keys).limit(2 * partitions).collect()
     total = seen.get["n"] if rows else 0
@@ -47,23 +46,39 @@ def salted_join(
     """Equi-join; rows of `left` under a hot key spread over that key's salts.
 
     The matching rows of `right` are repeated once per salt, so each left row still meets
-    every match exactly once. `how` may be `inner` or `left`.
+    every match exactly once. Hot null keys, which match nothing, only spread. `how` may
+    be `inner` or `left`.
     """
     if not hot:
         return left.join(right, keys, how)
-    spark = left.sparkSession
+    names = [f"_hot_{key}" for key in keys]
+    fields = [T.StructField(name, left.schema[key].dataType) for name, key in zip(names, keys)]
+    schema = T.StructType([*fields, T.StructField("_salts", T.IntegerType())])
     # `hot` holds at most 2 * shuffle partitions rows (see hot_keys): bounded, so broadcast
-    key_schema = left.select(*keys).schema
-    salts = F.broadcast(spark.createDataFrame(hot, key_schema.add("_salts", T.IntegerType())))
-    spread = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
+    salts = F.broadcast(left.sparkSession.createDataFrame(hot, schema))
+
+    def marked(df: DataFrame) -> DataFrame:
+        same = [df[key].eqNullSafe(salts[name]) for name, key in zip(names, keys)]
+        return df.join(salts, same, "left").drop(*names)
+
+    salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
         F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int")
     )
     copies = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    left = left.join(salts, keys, "left").withColumn("_salt", spread).drop("_salts")
-    right = right.join(salts, keys, "left").withColumn("_salt", F.explode(copies)).drop("_salts")
+    left = marked(left).withColumn("_salt", salt).drop("_salts")
+    right = marked(right).withColumn("_salt", F.explode(copies)).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", max_bytes: int = LOOKUP_BYTES
+) -> DataFrame:
+    """Join with a usually small side: broadcast up to a measured size, salted beyond it."""
+    if measured_bytes(right) <= max_bytes:
+        return left.join(F.broadcast(right), keys, how)
+    return salted_join(left, right, keys, hot_keys(left, keys), how)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Upper estimate of the in-memory size of `df`: text bytes plus 16 per field."""
     text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]

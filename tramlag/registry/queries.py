@@ -87,7 +87,7 @@ def _versioned_schedule(spark, sf):
 
 @query
 def s7_schedule_scan(spark, sf):
-    current = s6_current_version(spark, sf).select("version_id")
+    current = F.broadcast(s6_current_version(spark, sf).select("version_id"))  # one row
     return _versioned_schedule(spark, sf).join(current, "version_id", "left_semi").drop("version_id", "headsign")
 
 
@@ -325,7 +325,7 @@ def j2_orphans(spark, sf):
 
 @query
 def j2_clean_facts(spark, sf):
-    clean, _ = integrity.drop_orphans(s.fact_delay(spark, sf), _reference_dims(spark, sf))
+    clean, _ = integrity.drop_orphans(s.fact_delay(spark, sf), j2_orphans(spark, sf).persist())
     return clean.select("ts", "trip_id", "stop_id", "stop_sequence", "service_date")
 
 

@@ -21,6 +21,12 @@ RANK = ["year", "month", "day", "seq", "url", "name"]
 _CHUNK_ROWS = 20_000
 
 
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """(name, url) of the resources in a landed answer of the publisher's catalogue."""
+    schema = "result struct<resources: array<struct<name: string, url: string>>>"
+    return spark.read.schema(schema).option("multiLine", True).json(path).select(F.inline("result.resources"))
+
+
 def parse_catalogue(catalogue: DataFrame, cfg: Settings) -> DataFrame:
     """Resources whose name starts like a schedule package, with the parts that rank them."""
     name = F.coalesce(F.col("name"), F.lit(""))

@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import RUN_ERROR, RUN_OK, RUN_SKIPPED
 from ..functions.clock import from_epoch, ntz, to_utc
 from ..operators import integrity
-from ..operators.match import FACT_COLUMNS, POSITION, match_snapshots, schedule_of_trips
+from ..operators.match import FACT_COLUMNS, POSITION, match_snapshots, mentioned_trips
+from ..operators.skew import lookup_join
 from ..operators.skip import mark_fresh
 from ..operators.upsert import insertable
 from ..schemas import FEED, PRIMARY_KEYS
@@ -27,6 +28,7 @@ log = logging.getLogger(__name__)
 
 MAX_SECONDS = Decimal("999.999")  # what the audit column holds
 MAX_ERROR_CHARS = 500
+MAX_BROADCAST_ENTITIES = 250_000
 ARRIVAL = ["arrived", "file_path", "epoch"]
 
 
@@ -40,12 +42,12 @@ def _persisted(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def _heads(batch: DataFrame) -> DataFrame:
-    """One row per snapshot: when it arrived, from which file, and its time."""
-    return batch.select(
+    """One row per snapshot: when it arrived, from which file, its time and its size."""
+    return batch.groupBy(
         F.unix_micros("file_modification_time").alias("arrived"),
         "file_path",
         F.col("header.timestamp").cast("bigint").alias("epoch"),
-    ).distinct()
+    ).agg(F.sum(F.coalesce(F.size("entity"), F.lit(0))).alias("entities"))
 
 
 def last_processed(wh: Warehouse) -> int | None:
@@ -70,6 +72,10 @@ class Marker:
             self.epoch = int(max(times).timestamp())
 
 
+def _broadcast_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    return left.join(F.broadcast(right), keys)
+
+
 def _counts(df: DataFrame, name: str) -> DataFrame:
     return df.groupBy(F.col("ts").alias("snapshot_ts")).agg(F.count(F.lit(1)).alias(name))
 
@@ -108,20 +114,26 @@ def store_batch(
             heads = keep(mark_fresh(heads, ARRIVAL, "epoch", marker.epoch))
         else:
             heads = heads.withColumn("fresh", F.lit(True))
-        first, last = heads.where("fresh").agg(F.min("epoch"), F.max("epoch")).first()
+        first, last, size = heads.where("fresh").agg(
+            F.min("epoch"), F.max("epoch"), F.sum(F.col("entities") + 1)
+        ).first()
         if first is None:
             return _cycles(heads)
-        fresh = batch.withColumn("epoch", F.col("header.timestamp").cast("bigint")).join(
-            heads.where("fresh").select("file_path", "epoch"), ["file_path", "epoch"], "left_semi"
+        # `size` bounds the number of snapshots and of trips in the batch
+        join = _broadcast_join if size <= MAX_BROADCAST_ENTITIES else lookup_join
+        fresh = join(
+            batch.withColumn("epoch", F.col("header.timestamp").cast("bigint")),
+            heads.where("fresh").select("file_path", "epoch"),
+            ["file_path", "epoch"],
         )
-        schedule = keep(schedule_of_trips(wh.schedule(version_id), fresh, wh.cfg))
+        schedule = keep(join(wh.schedule(version_id), mentioned_trips(fresh, wh.cfg), ["trip_id"]))
         facts = keep(match_snapshots(fresh, schedule, version_id, wh.cfg))
-        kept, dims = facts, wh.dimensions(version_id)
+        kept, bad = facts, keep(integrity.orphans(facts, wh.dimensions(version_id)))
         if on_orphans == "quarantine":
-            kept, rejected = integrity.drop_orphans(facts, dims)
+            kept, rejected = integrity.drop_orphans(facts, bad)
             rejected.write.mode("append").parquet(wh.path("_rejected_facts"))
         else:
-            integrity.require_references(facts, dims)
+            integrity.require_references(bad)
 
         # stored rows can only clash on the snapshot times of this batch
         first, last = (datetime.fromtimestamp(s, timezone.utc) for s in (first, last))
