@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a file with fewer splits than cores, dealt out to all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _prefixed(letter: str, value: Column) -> Column:
     return F.concat(F.lit(letter), value.cast("string"))
 
@@ -303,7 +309,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sequence = F.when(F.col("l_tax") < 0.08, F.col("l_linenumber"))
     nothing = F.lit(None).cast("string")
-    running = table(spark, sf_dir, "lineitem").select(
+    running = _spread(table(spark, sf_dir, "lineitem")).select(
         _header("l_shipdate").alias("header"),
         _entity(
             F.col("l_orderkey"),
