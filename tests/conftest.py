@@ -25,3 +25,17 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=lambda row: [(v is None, v) for v in row])
 
     return plain
+
+
+@pytest.fixture
+def interpreted(spark):
+    """Without code generation: for many tiny jobs, compiling takes longer than running.
+
+    The comparison with SQL in test_oracle.py runs the same operators compiled.
+    """
+    settings = {"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)

@@ -4,11 +4,14 @@ import json
 from datetime import datetime, timezone
 
 import packages as zips
+import pytest
 from test_match import entity, update
 
 from tramlag.__main__ import main
 from tramlag.warehouse import Warehouse
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 
 def test_jobs_end_to_end(spark, tmp_path, rows):
     root, landing, feed = str(tmp_path / "wh"), tmp_path / "landing", tmp_path / "feed"

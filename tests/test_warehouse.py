@@ -8,7 +8,9 @@ from tramlag.operators.integrity import IntegrityError
 from tramlag.plans import maintain
 from tramlag.plans.static_load import NoPackageError, load_static
 from tramlag.schemas import TABLES
-from tramlag.warehouse import NoVersionError, Warehouse, week_start
+from tramlag.warehouse import NoVersionError, Warehouse, keep_known_labels, week_start
+
+pytestmark = pytest.mark.usefixtures("interpreted")
 
 TODAY = date(2026, 3, 2)
 
@@ -65,8 +67,14 @@ def test_static_load(spark, wh, rows, two_packages):
     assert rows(days.where(F.col("date").between("2026-02-28", "2026-03-01")), "day_type") == [("Robocze",), ("brak rozkładu",)]
 
 
-@pytest.mark.parametrize("keep, label", [(False, "brak rozkładu"), (True, "Robocze")])
-def test_second_load_ten_days_later(spark, wh, rows, tmp_path, keep, label):
+def test_known_day_types_can_be_kept(spark, rows):
+    days = [date(2026, 3, i) for i in (1, 2, 3)]
+    target = spark.createDataFrame(list(zip(days, ["A", "brak rozkładu", "A"])), "date date, day_type string")
+    batch = spark.createDataFrame(list(zip(days, ["brak rozkładu"] * 2 + ["B"])), "date date, day_type string")
+    assert rows(keep_known_labels(target, batch)) == list(zip(days, ["A", "brak rozkładu", "B"]))
+
+
+def test_second_load_ten_days_later(spark, wh, rows, tmp_path):
     first, catalogue = land(spark, tmp_path, ("2026.02.20", 1, "20260301", "20260315", {}))
     load_static(wh, first, catalogue, TODAY, datetime(2026, 3, 2, 4))
     changed = {
@@ -76,12 +84,12 @@ def test_second_load_ten_days_later(spark, wh, rows, tmp_path, keep, label):
     (tmp_path / "later").mkdir()
     second, catalogue = land(spark, tmp_path / "later", ("2026.03.10", 1, "20260312", "20260325", changed))
     later = TODAY + timedelta(days=10)
-    assert load_static(wh, second, catalogue, later, datetime(2026, 3, 12, 4), keep_known_day_type=keep) == 2
+    assert load_static(wh, second, catalogue, later, datetime(2026, 3, 12, 4)) == 2
     assert rows(wh.dimension("dim_line"), "line_id", "short_name") == [("L1", "1b"), ("L2", "2")]
     assert rows(wh.dimension("dim_stop"), "stop_id") == [("S1",), ("S2",), ("S3",), ("S9",)]
     days = wh.dimension("dim_date")
     assert days.agg(F.min("date"), F.max("date")).first()[:] == (date(2026, 1, 26), date(2026, 3, 25))
-    assert rows(days.where("date = '2026-03-03'"), "day_type") == [(label,)]
+    assert rows(days.where("date = '2026-03-03'"), "day_type") == [("brak rozkładu",)]
     # readers of the old version still find its dimensions and schedule
     assert rows(wh.dimension("dim_line", 1), "line_id", "short_name") == [("L1", "1"), ("L2", "2")]
     assert wh.schedule(1).count() == 3

@@ -8,7 +8,7 @@ aggregates replace date partitions.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,7 +139,10 @@ class Warehouse:
         self.replace_partitions(table, self.read(table, [value]))
 
     def next_version_id(self) -> int:
-        """One past every id ever used, including loads that were never published."""
+        """One past every id ever used, including loads that were never published.
+
+        There is one static load at a time, as its scheduler has to ensure.
+        """
         used = [int(v) for table in ["schedule", *DIMENSIONS] for v in self.partitions(table)]
         published = self.read("dim_version").agg(F.max("version_id")).first()[0]
         return max([*used, published or 0]) + 1
@@ -165,7 +168,7 @@ class Warehouse:
             if previous is not None:
                 target = self.dimension(table, previous)
                 if table == "dim_date" and keep_known_day_type:
-                    merged = _keep_known_labels(target, merged)
+                    merged = keep_known_labels(target, merged)
                 merged = upsert(target, merged, keys)
             self.append(table, merged.withColumn("load_id", F.lit(version_id)))
             batch.unpersist()
@@ -184,7 +187,7 @@ class Warehouse:
             self.drop_partitions(table, lambda v: int(v) < oldest)
 
 
-def _keep_known_labels(target: DataFrame, batch: DataFrame) -> DataFrame:
+def keep_known_labels(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Batch days without a schedule keep the label that an earlier load gave them."""
     known = target.where(F.col("day_type") != NO_SCHEDULE_LABEL).select(
         "date", F.col("day_type").alias("_known")
@@ -200,6 +203,4 @@ def week_start(ts: Column) -> Column:
 
 
 def clock_now() -> datetime:
-    from datetime import timezone
-
     return datetime.now(timezone.utc)
