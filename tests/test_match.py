@@ -85,6 +85,16 @@ def test_three_kinds_of_rows(spark, rows, tmp_path, schedule, limit):
     assert rows(got.select("version_id", "ts").distinct()) == [(3, datetime(2024, 7, 1, 12))]
 
 
+def test_salted_matching_equals_plain(spark, tmp_path, schedule):
+    entities = [entity("T1", update(0, i)) for i in range(30)] + [entity("T2", rel="CANCELED"), entity("T2", update(5, 1))]
+    rows = match.feed_rows(match.trip_entities(feed(spark, tmp_path, (NOON, entities)), DEFAULTS.zone))
+    planned = match.match_side(schedule)
+    plain = match.match_rows(rows, planned)
+    salted = match.match_rows(rows, planned, [("T1", False, 0, 4), ("T2", True, match.WHOLE_TRIP, 2)])
+    assert plain.count() == salted.count() == 33
+    assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
+
+
 def test_cancelled_trip_yields_all_stops_of_a_shared_sequence(spark, rows, tmp_path, schedule):
     got = facts(spark, tmp_path, schedule, entity("T2", rel="CANCELED"))
     assert rows(got, "stop_id", "service_date") == [("S3", DAY), ("S4", DAY_BEFORE)]

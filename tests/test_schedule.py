@@ -98,3 +98,39 @@ def test_measured_bytes_grows_with_text(spark):
     long = spark.createDataFrame([("a" * 1000, 1), (None, 2)], "t string, n int")
     assert measured_bytes(short) == 16 * 3 + 1
     assert measured_bytes(long) == 2 * 16 * 3 + 1000
+
+
+def test_schedule_with_a_hot_trip(spark):
+    """A third of the stop times belong to one trip, and many are copies."""
+    from tramlag.config import MERGE_KEYS
+    from tramlag.operators.merge import PACKAGE_ORDER, keep_first
+
+    trip = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("T"), (F.col("id") % 700).cast("string")))
+    raw = spark.range(12_000).select(
+        trip.alias("trip_id"),
+        F.concat(F.lit("S"), (F.col("id") % 11).cast("string")).alias("stop_id"),
+        (F.col("id") % 40).cast("string").alias("stop_sequence"),
+        F.concat((F.col("id") % 30).cast("string"), F.lit(":00:00")).alias("arrival_time"),
+        (F.col("id") % 4).cast("int").alias("pkg_ord"),
+        F.col("id").alias("line_no"),
+    )
+    trips = raw.select("trip_id").distinct().where("trip_id <> 'T5'").select(
+        "trip_id", F.lit("L").alias("route_id"), F.lit("0").alias("direction_id"), F.col("trip_id").alias("trip_headsign")
+    )
+    ext = trips.where("trip_id = 'hot'").select("trip_id", F.lit("O").alias("operator_id"))
+    hot = hot_keys(raw, ["trip_id"], sample_share=0.2, partitions=10)
+    assert [key for key, _ in hot] == ["hot"]
+
+    def schedule(hot_trips):
+        placed = sched.near_trip(raw, hot_trips)
+        return sched.build_schedule(keep_first(placed, MERGE_KEYS["stop_times"], PACKAGE_ORDER), trips, ext, hot_trips)
+
+    want = {}
+    for r in sorted(raw.collect(), key=lambda r: (r.pkg_ord, r.line_no)):
+        want.setdefault((r.trip_id, r.stop_id, int(r.stop_sequence)), r.arrival_time)
+    want = {k: v for k, v in want.items() if k[0] != "T5"}
+    for hot_trips in ([], hot):
+        got = schedule(hot_trips).collect()
+        assert {(r.trip_id, r.stop_id, r.stop_sequence): r.sched_arrival for r in got} == want
+        assert len(got) == len(want)
+        assert {r.operator_id for r in got if r.trip_id == "hot"} == {"O"}

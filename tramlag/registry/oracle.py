@@ -138,15 +138,14 @@ stop as (
   left join region r on r.r_regionkey = s_nationkey % 7
 )"""
 
-_OPERATORS = "operator as (select 'O' || r_regionkey as operator_id, r_name as name from region)"
+_OPERATORS = "operator as (select 'O' || c_custkey as operator_id, c_name as name from customer)"
 
 _VERSIONS = """
 version as (
-  select r_regionkey + 1 as version_id, r_name as package_names,
-    date '2024-01-01' + r_regionkey * 15 as valid_from,
-    date '2024-01-01' + r_regionkey * 15 + 13 as valid_to,
-    cast(date '2024-01-01' + r_regionkey * 15 as timestamp) as loaded_at
-  from region
+  select case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as version_id,
+    'orders ' || count(*) as package_names, cast(min(o_orderdate) as date) as valid_from,
+    cast(max(o_orderdate) as date) as valid_to, max(o_orderdate) as loaded_at
+  from orders group by o_orderstatus
 )"""
 
 _CALENDAR = """
@@ -285,11 +284,11 @@ bad as (
     where stop_id not in (select 'S' || s_suppkey from supplier)
   union all select 'line_id', line_id from fact where line_id not in (select 'L' || p_partkey from part)
   union all select 'operator_id', operator_id from fact
-    where operator_id not in (select 'O' || r_regionkey from region)
+    where operator_id not in (select 'O' || c_custkey from customer)
   union all select 'service_date', cast(service_date as varchar) from fact
     where service_date not between date '2024-01-05' and date '2024-02-15'
   union all select 'version_id', cast(version_id as varchar) from fact
-    where version_id not in (select r_regionkey + 1 from region)
+    where version_id not in (1, 2, 3)
 )"""
 
 
@@ -311,7 +310,7 @@ ORACLE: dict[str, str] = {
     + "select * from version order by loaded_at desc, version_id desc limit 1",
     "s7_schedule_scan": _with(_SCHEDULE, _VERSIONS)
     + """select trip_id, stop_id, stop_sequence, sched_arrival, line_id, direction, operator_id, day_offset
-      from schedule where case when direction = 'F' then 4 else 5 end =
+      from schedule where case direction when 'F' then 1 when 'O' then 2 else 3 end =
         (select version_id from version order by loaded_at desc, version_id desc limit 1)""",
     "m1_concat": """
       select 'S' || s_suppkey as stop_id, s_name as stop_name, cast(null as varchar) as zone from supplier

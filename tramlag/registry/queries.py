@@ -80,9 +80,7 @@ def s6_current_version(spark, sf):
 
 
 def _versioned_schedule(spark, sf):
-    """Trips of finished orders belong to version 4, the others to version 5."""
-    version = F.when(F.col("direction") == "F", 4).otherwise(5)
-    return s.schedule(spark, sf).withColumn("version_id", version)
+    return s.schedule(spark, sf).withColumn("version_id", s.version_of(F.col("direction")))
 
 
 @query

@@ -180,8 +180,8 @@ def stop_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def operators_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(
-        _prefixed("O", F.col("r_regionkey")).alias("operator_id"), F.col("r_name").alias("operator_name")
+    return table(spark, sf_dir, "customer").select(
+        _prefixed("O", F.col("c_custkey")).alias("operator_id"), F.col("c_name").alias("operator_name")
     )
 
 
@@ -230,15 +230,18 @@ def merged_service_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(service_ext(spark, sf_dir), MERGE_KEYS["service_ext"], PACKAGE_ORDER)
 
 
+def version_of(status: Column) -> Column:
+    return F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
+
+
 def dim_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One version per region row: ids 1.., loaded in the order of the ids."""
-    day = F.date_add(F.lit(date(2024, 1, 1)), F.col("r_regionkey") * 15)
-    return table(spark, sf_dir, "region").select(
-        (F.col("r_regionkey") + 1).alias("version_id"),
-        F.col("r_name").alias("package_names"),
-        day.alias("valid_from"),
-        F.date_add(day, 13).alias("valid_to"),
-        day.cast("timestamp_ntz").alias("loaded_at"),
+    """One version per order status, loaded on the last day that has such an order."""
+    version_id = version_of(F.col("o_orderstatus")).alias("version_id")
+    return table(spark, sf_dir, "orders").groupBy(version_id).agg(
+        F.concat(F.lit("orders "), F.count(F.lit(1)).cast("string")).alias("package_names"),
+        F.min("o_orderdate").cast("date").alias("valid_from"),
+        F.max("o_orderdate").cast("date").alias("valid_to"),
+        F.max("o_orderdate").alias("loaded_at"),
     )
 
 
