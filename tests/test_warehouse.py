@@ -182,6 +182,14 @@ def test_refresh_drops_partitions_that_become_empty(spark, wh, rows):
     assert rows(wh.read("agg_line_1d"), "bucket", "delay_sum") == [(datetime(2026, 3, 15, 23), 2)]
 
 
+def test_refresh_without_facts(spark, wh):
+    maintain.refresh_all(wh, NOW)
+    assert all(wh.read(level).count() == 0 for level in maintain.REFRESH_ORDER)
+    add_facts(spark, wh, (NOW - timedelta(days=20), 1))  # outside the window of the 15-minute levels
+    maintain.refresh_all(wh, NOW)
+    assert wh.read("agg_line_15m").count() == 0
+
+
 def test_any_refresh_schedule_equals_one_shot(spark, wh, rows):
     times = [datetime(2026, 3, 14) + timedelta(minutes=37 * i) for i in range(200)]
     for step in range(0, 200, 50):

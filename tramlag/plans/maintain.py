@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import BUCKET_WIDTHS, bucket_ceiling, bucket_start, ntz, to_utc
@@ -62,13 +62,12 @@ def recompute(wh: Warehouse, level: str, lo: datetime, hi: datetime) -> None:
     fresh = fresh.withColumn("bucket_date", F.col("bucket").cast("date"))
     stored = wh.read(level)
     edges = stored.where(F.col("bucket_date").isin(lo.date(), hi.date()))
-    rows = recompute_window(edges, fresh.select(*stored.columns), ntz(lo), ntz(hi))
-
-    written = Observation()
-    days = F.collect_set("bucket_date").alias("days")  # bounded by the days of the window
+    rows = recompute_window(edges, fresh.select(*stored.columns), ntz(lo), ntz(hi)).persist()
+    filled = {str(row[0]) for row in rows.select("bucket_date").distinct().collect()}  # days of the window
     before = wh.partitions(level)
-    wh.replace_partitions(level, rows.observe(written, days))
-    filled = {str(day) for day in written.get["days"]}
+    if filled:
+        wh.replace_partitions(level, rows)
+    rows.unpersist()
     touched = {str(lo.date() + timedelta(days=i)) for i in range((hi.date() - lo.date()).days + 1)}
     gone = (touched & set(before)) - filled
     wh.drop_partitions(level, lambda value: value in gone)

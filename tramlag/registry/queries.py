@@ -267,7 +267,7 @@ def r14_live_stream(spark, sf):
     landing = shared_folder(spark, "landing")
     s.snapshots(spark, sf).write.json(landing)
     stream = run_live(
-        wh, landing, shared_folder(spark, "stream"), once=True, max_files=1000, skip_stale=False
+        wh, landing, shared_folder(spark, "stream"), once=True, max_files=64, skip_stale=False
     )
     stream.awaitTermination()
     keys = ["ts", "trip_id", "stop_id", "stop_sequence"]
