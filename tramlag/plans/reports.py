@@ -121,7 +121,8 @@ def pipeline_health(runs: DataFrame) -> DataFrame:
 
 def latest_failures(runs: DataFrame, k: int = 20) -> DataFrame:
     failed = runs.where(F.col("status") == RUN_ERROR)
-    return failed.select("started_at", "snapshot_ts", "error").orderBy(F.desc("started_at")).limit(k)
+    latest = failed.orderBy(F.desc("started_at"), F.desc("snapshot_ts")).limit(k)
+    return latest.select("started_at", "snapshot_ts", "error")
 
 
 def recent_facts(facts: DataFrame, key: str, value: str, since: datetime, k: int = 100) -> DataFrame:

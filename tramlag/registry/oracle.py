@@ -300,7 +300,7 @@ def _recent(key: str, value: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "s1_catalogue": _with(_CATALOGUE) + "select name, url, y as year, m as month, d as day, seq from package",
+    "s1_catalogue": _with(_CATALOGUE) + "select name, url, cast(y as int) as year, cast(m as int) as month, cast(d as int) as day, seq from package",
     "s2_periods": _with(_CATALOGUE)
     + "select name, period_start, period_end from resource where name is not null",
     "s3_packages": _with(_cover(14)) + "select * from selected",
@@ -456,7 +456,7 @@ ORACLE: dict[str, str] = {
         max(seconds) as max_seconds from runs group by all""",
     "k7_failures": _with(_RUNS)
     + """select started_at, snapshot_ts, error from runs where status = 'ERROR'
-      order by started_at desc limit 20""",
+      order by started_at desc, snapshot_ts desc limit 20""",
     "k8_recent_by_line": _recent("line_id", "L3"),
     "k8_recent_by_operator": _recent("operator_id", "O2"),
 }
