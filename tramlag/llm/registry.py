@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import mixing_wfq, simhash_vp
+from tramlag.llm import mixing_wfq, simhash_vp, substring_cm
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,16 @@ def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash_vp.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_cm.remove_repeats(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_removed").alias("n_removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_mix_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing_wfq.queues(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -70,6 +80,7 @@ from queue q join goals g on q.source is not distinct from g.source
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_vptree": op2_simhash_vptree,
+        "op7_substring_count_min": op7_substring_count_min,
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
     }
 
