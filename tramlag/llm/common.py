@@ -15,10 +15,10 @@ from tramlag.session import shared_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """`df` as a table in the shared folder: cuts lineage, survives the loss of executors."""
     folder = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

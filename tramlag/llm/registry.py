@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import mixing_wfq, simhash_vp, substring_cm
+from tramlag.llm import mixing_wfq, packing_online, simhash_vp, substring_cm
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,23 @@ def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash_vp.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+#: The tokenizer's files, on every node: the vocabulary, and the same as ranks.
+TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers as public
+
+    return packing_online.pack(docs, public.path(TOKENIZER), public.path(RANKS), public.PATTERN)
+
+
+def op4_pack_online(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crc = F.crc32("ids").alias("ids_crc32")
+    return packed(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring_cm.remove_repeats(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -80,6 +97,7 @@ from queue q join goals g on q.source is not distinct from g.source
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_simhash_vptree": op2_simhash_vptree,
+        "op4_pack_online": op4_pack_online,
         "op7_substring_count_min": op7_substring_count_min,
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
     }
