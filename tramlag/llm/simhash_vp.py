@@ -23,10 +23,11 @@ from tramlag.llm.common import components, words_of, written
 
 SEED = 42
 #: Fingerprints that the upper tree is fitted on, at most.
-SAMPLE = 16_384
+SAMPLE = 65_536
 #: Distinct fingerprints a shard is aimed at; and the most shards, which bounds the tree sent to tasks.
-SHARD, MAX_SHARDS = 1_024, 8_192
-LEAF = 96
+SHARD, MAX_SHARDS = 4_096, 4_096
+#: Points of a shard that are compared in full.
+LEAF = 1_024
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -73,7 +74,7 @@ def _split(points: np.ndarray, radius: int, seed: int) -> tuple[int, int] | None
         band = share - before
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = -(share * np.log2(share) + (1 - share) * np.log2(1 - share))
-        gain[(share < 0.02) | (before > 0.98) | ~np.isfinite(gain)] = 0
+        gain[(share < 0.08) | (share > 0.92) | (before < 0.04) | ~np.isfinite(gain)] = 0  # both parts shrink, copies included
         gain = gain / (np.log2(1 + band) + 0.02)
         if gain.max() > best:
             best, chosen = gain.max(), (int(vantage), int(gain.argmax()))
@@ -93,15 +94,14 @@ def build(sample: np.ndarray, shards: int, radius: int) -> list[tuple[int, int,
 
     def grow(points: np.ndarray) -> int:
         nonlocal made
-        found = _split(points, radius, len(nodes)) if len(points) > size and made + len(nodes) < shards * 4 else None
+        found = _split(points, radius, len(nodes)) if len(points) > size else None
         if found is None:
             made += 1
             return -made
         at = len(nodes)
         nodes.append((0, 0, 0, 0))
         inner, outer = _parts(points, *found, radius)
-        # the sample is parted without copies, so that it shrinks on the way
-        nodes[at] = (*found, grow(points[inner]), grow(points[~inner]))
+        nodes[at] = (*found, grow(points[inner]), grow(points[outer]))
         return at
 
     root = grow(sample)
@@ -155,11 +155,11 @@ def linked(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             if near.sum() < len(own) and far.sum() < len(own):
                 left += [own[near], own[far]]
                 continue
-        mine, rows = order[own], max(1, 2_000_000 // len(own))
+        mine, rows = order[own], max(1, (1 << 17) // len(own))
         for k in range(0, len(own), rows):
-            i, j = np.nonzero(np.bitwise_count(mine[k : k + rows, None] ^ mine[None, :]) <= radius)
-            later = i + k < j
-            join(own[i[later] + k], own[j[later]])
+            i, j = np.nonzero(np.bitwise_count(mine[k : k + rows, None] ^ mine[None, k:]) <= radius)
+            later = i < j
+            join(own[i[later] + k], own[j[later] + k])
     top = find(np.arange(len(order)))
     moved = np.flatnonzero(top != np.arange(len(order)))
     return order[moved], order[top[moved]]
@@ -184,7 +184,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
         a, b = linked(frame["fp"].to_numpy(np.int64).view(np.uint64), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    dealt = distinct.select("fp").mapInPandas(deal, "shard int, fp bigint")
+    dealt = distinct.select("fp").mapInPandas(deal, "shard int, fp bigint").repartition(shards, "shard")
     return dealt.groupBy("shard").applyInPandas(within, "a bigint, b bigint")
 
 
