@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tramlag.session import shared_folder
 
@@ -22,6 +23,11 @@ def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def extended(df: DataFrame, **kinds: str) -> T.StructType:
+    """Schema of `df` with more columns."""
+    return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` as UTF-8; null has none. bytes.split() parts at just these six."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import mixing_wfq, packing_online, simhash_vp, substring_cm
+from tramlag.llm import mixing_wfq, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,36 @@ def op8_mix_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HELD_OUT = "crc32(cast(doc_id as string)) % 4 = 2"
+
+
+def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(f"not ({HELD_OUT})")
+    scored = toxicity_ac.score(docs, toxicity_ac.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.expr(HELD_OUT).alias("held_out"),
+        F.col("_score").alias("score"),
+        F.when(F.col("_score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+#: Tail probability of the highest grade from which a document is selected.
+SELECTED = 0.5
+
+
+def op10_quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    graded = quality_ordinal.grade(docs, quality_ordinal.train(docs, _table(spark, sf_dir, "labels")))
+    return graded.select(
+        "doc_id",
+        F.col("_expected").alias("expected_grade"),
+        F.col("_tail").alias("tail_probability"),
+        (F.col("_tail") >= SELECTED).alias("selected"),
+    )
+
+
 OP8_SQL = r"""
 with docs as (
   select doc_id, source,
@@ -100,6 +130,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_pack_online": op4_pack_online,
         "op7_substring_count_min": op7_substring_count_min,
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
+        "op9_toxicity_lexicon": op9_toxicity_lexicon,
+        "op10_quality_ordinal": op10_quality_ordinal,
     }
 
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import slices, words_of
+from tramlag.llm.common import extended, slices, words_of
 
 DEPTH = 2
 #: log2 of the cells of a sketch row: about three cells a window, between these bounds. Beyond
@@ -306,5 +306,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             columns += [pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*own, "_n_words", "_n_removed", "_kept"])
 
-    schema = docs.schema.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string")
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, extended(docs, _n_words="bigint", _n_removed="bigint", _kept="string"))
