@@ -7,18 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import mixing_wfq, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
+from tramlag.llm import bm25_wand, html_layout, mixing_wfq, nn_descent, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_layout.extract(pages).select("page_id", "url", F.col("_text").alias("text"))
+
+
 def op2_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_vp.simhash_groups(_table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return groups.select("doc_id", simhash_vp.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op3_embedding_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 #: The tokenizer's files, on every node: the vocabulary, and the same as ranks.
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
@@ -57,6 +66,44 @@ def op8_mix_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = _table(spark, sf_dir, "benchmark").where("item_id % 20 = 0")
+    found = bm25_wand.search(_table(spark, sf_dir, "documents"), queries, k=10)
+    return found.select("item_id", "rank", "doc_id", F.round("score", 6).alias("score"))
+
+
+OP5_SQL = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents
+),
+lengths as (select doc_id, count(*) as dl from words group by doc_id),
+totals as (select (select count(*) from documents) as n, (select sum(dl) from lengths) as total),
+asked as (
+  select item_id, term, count(*) as qtf from (
+    select item_id, unnest(regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark where item_id % 20 = 0
+  ) group by item_id, term
+),
+postings as (
+  select term, doc_id, count(*)::double as tf from words
+  where term in (select term from asked) group by term, doc_id
+),
+df as (select term, count(*) as df from postings group by term),
+scored as (
+  select a.item_id, p.doc_id,
+         sum(a.qtf * ln(1 + (t.n - d.df + 0.5) / (d.df + 0.5)) * p.tf * 2.2
+             / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / (t.total / t.n::double)))) as score
+  from asked a join postings p using (term) join df d using (term) join lengths l using (doc_id) cross join totals t
+  group by a.item_id, p.doc_id
+),
+ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by round(score, 9) desc, doc_id) as int) as rank, doc_id, score
+  from scored
+)
+select item_id, rank, doc_id, round(score, 6) as score from ranked where rank <= 10
+"""
+
 HELD_OUT = "crc32(cast(doc_id as string)) % 4 = 2"
 
 
@@ -126,8 +173,11 @@ from queue q join goals g on q.source is not distinct from g.source
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_layout": op1_html_layout,
         "op2_simhash_vptree": op2_simhash_vptree,
+        "op3_embedding_nn_descent": op3_embedding_nn_descent,
         "op4_pack_online": op4_pack_online,
+        "op5_bm25_wand": op5_bm25_wand,
         "op7_substring_count_min": op7_substring_count_min,
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
         "op9_toxicity_lexicon": op9_toxicity_lexicon,
@@ -135,4 +185,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-ORACLE = {"op8_mix_fair_queueing": OP8_SQL}
+ORACLE = {"op5_bm25_wand": OP5_SQL, "op8_mix_fair_queueing": OP8_SQL}
