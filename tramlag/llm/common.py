@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +50,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.fromiter((len(x) if x is not None else 0 for x in batch.column(column).to_pylist()), np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for begin, end in zip(cuts, cuts[1:]):

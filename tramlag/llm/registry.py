@@ -46,7 +46,7 @@ def op4_pack_online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = substring_cm.remove_repeats(_table(spark, sf_dir, "documents"))
+    rows = substring_cm.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id",
         F.col("_n_words").alias("n_words"),

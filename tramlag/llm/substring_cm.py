@@ -33,7 +33,7 @@ LEAST_CELLS, MOST_CELLS = 22, 30
 SEGMENT = 22
 #: Windows a task gathers before it sends a partial sketch or a chunk of survivors.
 CHUNK = 1 << 22
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 
 _BLOBS = ("h1", "h2", "doc", "sig", "pos")
 _TYPES = {"h1": np.uint64, "h2": np.uint32, "doc": np.int64, "sig": np.int64, "pos": np.uint32}
@@ -91,12 +91,13 @@ def sketches(docs: DataFrame, window: int, bits: int) -> DataFrame:
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         for depth in range(DEPTH):
-            cells = np.sort(np.concatenate([x[depth] for x in held]))
+            cells = np.concatenate([x[depth] for x in held])
+            cells.sort()
             few = np.ones(len(cells), bool)
             few[2:] = cells[2:] != cells[:-2]  # a third makes no difference
             cells = cells[few]
             of = cells >> SEGMENT
-            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            begins = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
             parts = np.split(cells, begins[1:])
             yield pa.RecordBatch.from_pydict(
                 {
@@ -110,7 +111,7 @@ def sketches(docs: DataFrame, window: int, bits: int) -> DataFrame:
         held, number = [], 0
         for _, (h1, h2, _, _) in _texts(batches, window):
             if len(h1):
-                held.append(tuple((h >> np.uint64(64 - bits)).astype(np.int64) for h in (h1, h2)))
+                held.append(tuple((h >> np.uint64(64 - bits)).astype(np.uint32) for h in (h1, h2)))
                 number += len(h1)
             if number >= CHUNK:
                 yield from flush(held)
@@ -146,8 +147,15 @@ def sketches(docs: DataFrame, window: int, bits: int) -> DataFrame:
     return dealt.mapInArrow(merge, "depth int, segment int, bitmap binary")
 
 
+def planes(values: np.ndarray) -> bytes:
+    """First bytes of all numbers, then second ones: what hardly varies lies together and compresses."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes() if len(values) else b""
+
+
 def _concat(blobs, kind) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(b, kind) for b in blobs)])
+    size = np.dtype(kind).itemsize
+    parts = (np.frombuffer(b, np.uint8).reshape(size, -1).T.copy().view(kind).ravel() for b in blobs if len(b))
+    return np.concatenate([np.zeros(0, kind), *parts])
 
 
 def survivors(docs: DataFrame, window: int, bits: int, seen, buckets: int) -> DataFrame:
@@ -177,7 +185,7 @@ def survivors(docs: DataFrame, window: int, bits: int, seen, buckets: int) -> Da
             "local": pa.array([local] * len(bucket), pa.bool_()),
         }
         return pa.RecordBatch.from_pydict(
-            out | {n: pa.array([x.tobytes() for x in p], pa.binary()) for n, p in zip(_BLOBS, parts)}
+            out | {n: pa.array([planes(x) for x in p], pa.binary()) for n, p in zip(_BLOBS, parts)}
         )
 
     def flush(held: list[tuple[np.ndarray, ...]], chunk: int) -> Iterator[pa.RecordBatch]:
@@ -190,7 +198,8 @@ def survivors(docs: DataFrame, window: int, bits: int, seen, buckets: int) -> Da
         later = doc > doc[first][np.cumsum(first) - 1]
         if later.any():
             none = [np.zeros(0, np.uint8)]
-            yield rows(chunk, [chunk % buckets], True, [none, none, [doc[later]], [sig[later]], [pos[later]]])
+            rest = (x[later][np.lexsort((pos[later], doc[later]))] for x in (doc, sig, pos))
+            yield rows(chunk, [chunk % buckets], True, [none, none, *([x] for x in rest)])
         h1, h2, doc, sig, pos = (x[~later] for x in (h1, h2, doc, sig, pos))
         of = (h1 >> np.uint64(32)).astype(np.int64) * buckets >> 32
         begins = np.flatnonzero(np.diff(of, prepend=-1))
@@ -227,10 +236,10 @@ def _grouped(frame: pd.DataFrame) -> pd.DataFrame:
         h1, h2, doc, sig, pos, chunk = (x[order] for x in (h1, h2, doc, sig, pos, chunk))
         first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         later = np.flatnonzero(doc > doc[first][np.cumsum(first) - 1])
-        later = later[np.argsort(chunk[later], kind="stable")]
+        later = later[np.lexsort((pos[later], doc[later], chunk[later]))]
         if len(later):
             begins = np.flatnonzero(np.r_[True, np.diff(chunk[later]) != 0])
-            split = lambda x: [y.tobytes() for y in np.split(x[later], begins[1:])]
+            split = lambda x: [planes(y) for y in np.split(x[later], begins[1:])]
             more = {"chunk": chunk[later][begins], "doc": split(doc), "sig": split(sig), "pos": split(pos)}
             out = pd.concat([out, pd.DataFrame(more)])
     return out
@@ -278,20 +287,20 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     words from one another. Rows with a null id neither lose nor take words. An empty table
     gives an empty result. Columns that start with an underscore are reserved.
     """
-    wide = docs.withColumn("_doc", F.col(id_column).cast("bigint")).withColumn("_text", F.col(text).cast("string"))
+    wide = docs.withColumn("_doc", F.col(id_column).cast("bigint"))
     shared = wide.where("_doc is not null").groupBy("_doc").count().where("count > 1")
     # rows that share an id are told apart by their text; else the column is constant
-    sig = F.xxhash64("_text") if not shared.isEmpty() else F.lit(0).cast("bigint")
+    sig = F.xxhash64(F.col(text)) if not shared.isEmpty() else F.lit(0).cast("bigint")
     wide = wide.withColumn("_sig", sig)
-    spans = removed_spans(wide.select(F.col("_doc").alias("doc"), F.col("_sig").alias("sig"), F.col("_text").alias("text")), window)
+    spans = removed_spans(wide.select(F.col("_doc").alias("doc"), F.col("_sig").alias("sig"), F.col(text).alias("text")), window)
     joined = wide.join(spans.select(F.col("doc").alias("_doc"), F.col("sig").alias("_sig"), "begins", "ends"), ["_doc", "_sig"], "left")
-    joined = joined.select(*docs.columns, F.col("_text"), F.col("begins").alias("_begins"), F.col("ends").alias("_ends"))
+    joined = joined.select(*docs.columns, F.col("begins").alias("_begins"), F.col("ends").alias("_ends"))
     own = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "_text", TEXT_BYTES):
+        for part in slices(batches, text, TEXT_BYTES):
             numbers, removed, kept = [], [], []
-            for t, begins, ends in zip(*(part.column(c).to_pylist() for c in ("_text", "_begins", "_ends"))):
+            for t, begins, ends in zip(*(part.column(c).to_pylist() for c in (text, "_begins", "_ends"))):
                 words = words_of(t)
                 numbers.append(len(words))
                 if begins:
