@@ -3,22 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tramlag.llm import mixing_wfq, simhash_vp
+from tramlag.llm import mixing_wfq, quality_ordinal, simhash_vp, substring_cm
 from tramlag.llm.common import written
+from tramlag.llm.registry import SELECTED, packed
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ordinal classifier gives the highest grade with probability SELECTED or more."""
+    model = quality_ordinal.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_ordinal.grade(docs, model).where(F.col("_tail") >= SELECTED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays (SimHash of five-word shingles)."""
+    """One document of each group of near copies (SimHash of five-word shingles)."""
     return simhash_vp.one_of_each(docs)
 
 
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that a document with a smaller id holds as well."""
+    cut = substring_cm.remove_repeats(docs)
+    text = F.when(F.col("_n_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
+    return _measured(cut.withColumn("text", text).select(*docs.columns))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of the mixture, one per copy taken."""
-    return mixing_wfq.mixture(docs)
+    return _measured(mixing_wfq.mixture(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 1024 tokens."""
+    return packed(docs)
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    """`n_chars` of the texts as they now are."""
+    return docs.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else docs
 
 
-STAGES = [("simhash", near_duplicates), ("mixing", mixing)]
+STAGES = [
+    ("quality", quality),
+    ("simhash", near_duplicates),
+    ("substrings", repeats),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Fingerprints, learned classifiers and tokens are beyond SQL; tests hold the result against brute force.
+#: Learned grades, fingerprints and tokens are beyond SQL; tests hold the result against brute force.
 ORACLE_SQL = None

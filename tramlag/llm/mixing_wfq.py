@@ -43,7 +43,8 @@ def targets(sums: DataFrame, max_epochs: int = 3, weights: tuple = (1, 2, 3)) ->
     # virtual time at which the budget ends if just the sources up to this one are at their most
     own = own.withColumn("level", (total - F.col("filled") + F.col("most")) / (all_weight - F.col("weighed") + F.col("weight")))
     capped = F.col("most") <= F.col("level") * F.col("weight")
-    own = own.withColumn("ends", F.min(F.when(~capped, F.col("level"))).over(everywhere))
+    # beyond the first source below its most, levels only fall
+    own = own.withColumn("ends", F.max(F.when(~capped, F.col("level"))).over(everywhere))
     target = F.when(F.col("ends").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("ends") * F.col("weight")))
     return own.select("source", "source_size", "weight", target.alias("target"))
 

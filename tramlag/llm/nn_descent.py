@@ -109,35 +109,80 @@ def trees_of(sample: np.ndarray, leaf: int, number: int, seed: int) -> list[list
     return [tree(np.random.default_rng(seed + i)) for i in range(number)]
 
 
-def offers(names: list[int], vectors: np.ndarray, k: list[int], known: list[np.ndarray] | None, threshold: float):
-    """For each name the closest others: (name, ids, similarities), those known left out.
-
-    A list takes its k best; what lies at the threshold goes beyond that up to GROWTH * k.
-    """
-    ids, near = np.array(names, np.int64), vectors @ vectors.T
-    np.fill_diagonal(near, -2)
-    for i, name in enumerate(names):
-        row = near[i]
-        if known is not None:
-            row = np.where(np.isin(ids, known[i]), -2, row)
-        room = max(k[i], min(GROWTH * k[i], int((row >= threshold).sum())))
-        best = np.argpartition(-row, room)[:room] if len(row) > room else np.arange(len(row))
-        best = best[row[best] > -2]
-        if len(best):
-            yield name, ids[best].tobytes(), row[best].tobytes()
+LIST = "node bigint, ids binary, sims binary, least double, anchor bigint"
+_LIST = pa.schema([("node", pa.int64()), ("ids", pa.binary()), ("sims", pa.binary()), ("least", pa.float64()), ("anchor", pa.int64())])
 
 
-LIST = "node bigint, ids binary, sims binary"
+def rows_of(node: np.ndarray, ids: np.ndarray, sims: np.ndarray, names: np.ndarray, anchors: np.ndarray) -> list[list]:
+    """Columns of lists, a row a name; its entries are those where `node`, in the order of `names`, is that name.
 
+    `least` is the similarity that an offer must exceed: of the last entry, if the list is full.
+    """
+    ends = np.searchsorted(node, names, side="right")
+    begins = np.searchsorted(node, names, side="left")
+    ids, sims = ids.astype("<i8").tobytes(), sims.astype("<f8").tobytes()
+    cut = lambda blob: [blob[8 * b : 8 * e] for b, e in zip(begins.tolist(), ends.tolist())]
+    parts = cut(sims)
+    least = [np.frombuffer(x, "<f8").min() if len(x) >= 8 * NEIGHBOURS else -2.0 for x in parts]
+    return [names.tolist(), cut(ids), parts, least, anchors.tolist()]
+
+
+def batched(found: Iterator[list[list]], most: int = 4096) -> Iterator[pa.RecordBatch]:
+    """Columns of many groups as batches of about `most` rows."""
+    held: list[list] = [[] for _ in _LIST]
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(held, _LIST)], schema=_LIST)
+
+    for columns in found:
+        for own, more in zip(held, columns):
+            own += more
+        if len(held[0]) >= most:
+            yield out()
+            held = [[] for _ in _LIST]
+    if held[0]:
+        yield out()
 
-def _lists(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    rows = list(found)
-    if rows:
-        a, b, c = zip(*rows)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.binary()), pa.array(c, pa.binary())], ["node", "ids", "sims"])
 
+def offers(names: list[int], vectors: np.ndarray, threshold: float, known: list[bytes] | None, least: list[float] | None):
+    """What the nodes of a group have for one another, as a batch of lists.
 
-def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: float, k: int, partitions: int) -> DataFrame:
+    At first each is offered its closest; later what beats its list and is not in it. The anchor
+    is the smallest id that a node links with here, or its own: full lists hold a node's nearest
+    links only, and anchors hold a component together whatever the lists leave out.
+    """
+    ids = np.array(names, np.int64)
+    order = np.argsort(ids)
+    ids, vectors = ids[order], vectors[order]
+    near = vectors @ vectors.T
+    linked = near >= threshold
+    np.fill_diagonal(linked, True)
+    anchors = ids[linked.argmax(axis=1)]  # ids rise
+    np.fill_diagonal(near, -2)
+    if known is not None:
+        there = [np.frombuffer(known[i], np.int64) for i in order]
+        row, flat = np.repeat(np.arange(len(ids)), [len(x) for x in there]), np.concatenate(there)
+        place = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
+        same = ids[place] == flat
+        near[row[same], place[same]] = -2
+        near[near <= np.array(least)[order][:, None]] = -2
+    most = GROWTH * NEIGHBOURS
+    if len(ids) > most:
+        cut = -np.partition(-near, most - 1, axis=1)[:, most - 1]
+        near[near < cut[:, None]] = -2
+    if known is None and len(ids) > NEIGHBOURS:
+        cut = -np.partition(-near, NEIGHBOURS - 1, axis=1)[:, NEIGHBOURS - 1]
+        near[near < np.minimum(cut, threshold)[:, None]] = -2
+    i, j = np.nonzero(near > -2)
+    if known is not None:
+        some = np.zeros(len(ids), bool)
+        some[i] = True
+        some |= anchors != ids
+        return rows_of(ids[i], ids[j], near[i, j], ids[some], anchors[some])
+    return rows_of(ids[i], ids[j], near[i, j], ids, anchors)
+
+
+def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: float, partitions: int) -> DataFrame:
     """Offers from the leaves of the trees. A leaf beyond BLOCK nodes is compared in blocks."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,52 +213,64 @@ def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: floa
             )
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in groups(batches, 3, BLOCK):
-            if len(own["node"]) > 1:
-                yield from _lists(offers(own["node"], unit(own["vec"], kind), [k] * len(own["node"]), None, threshold))
+        found = (own for _, own in groups(batches, 3, BLOCK) if len(own["node"]) > 1)
+        yield from batched(offers(x["node"], unit(x["vec"], kind), threshold, None, None) for x in found)
 
     dealt = nodes.select("node", "vec", "dim").mapInArrow(deal, "tree int, dim int, leaf int, node bigint, vec binary")
     return by_key(dealt, ["tree", "dim", "leaf"], partitions).mapInArrow(within, LIST)
 
 
-def merged(offered: DataFrame, k: int, threshold: float, partitions: int) -> DataFrame:
-    """One list a node: the best of all offers, k of them and all links that were offered."""
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        held: dict[int, float] = {}
-        last = None
-
-        def done() -> tuple:
-            ranked = sorted(held.items(), key=lambda x: (-x[1], x[0]))
-            ranked = [x for i, x in enumerate(ranked) if i < k or x[1] >= threshold]
-            ids, sims = zip(*ranked)
-            return last, np.array(ids, np.int64).tobytes(), np.array(sims, np.float64).tobytes()
-
+def merged(offered: DataFrame, threshold: float, partitions: int) -> DataFrame:
+    """One list a node: the best of all offers. A list that is full of links is enlarged."""
+
+    def best(part: pa.Table) -> list[list]:
+        names, sizes = part.column("node").to_numpy(), [len(b) // 8 for b in part.column("ids").to_pylist()]
+        node = np.repeat(names, sizes)
+        ids = np.frombuffer(b"".join(part.column("ids").to_pylist()), "<i8")
+        sims = np.frombuffer(b"".join(part.column("sims").to_pylist()), "<f8")
+        order = np.lexsort((ids, -sims, node))
+        node, ids, sims = node[order], ids[order], sims[order]
+        # equal similarities of a pair come from products in another order: apart by rounding only
+        order = np.lexsort((ids, node))
+        twice = np.zeros(len(ids), bool)
+        twice[order[1:]] = (ids[order[1:]] == ids[order[:-1]]) & (node[order[1:]] == node[order[:-1]])
+        node, ids, sims = node[~twice], ids[~twice], sims[~twice]
+        rank = np.arange(len(node)) - np.searchsorted(node, node, side="left")
+        keep = (rank < NEIGHBOURS) | (sims >= threshold) & (rank < GROWTH * NEIGHBOURS)
+        fresh = np.flatnonzero(np.diff(names, prepend=names[0] - 1))
+        anchors = np.minimum.reduceat(part.column("anchor").to_numpy(), fresh)
+        return rows_of(node[keep], ids[keep], sims[keep], names[fresh], anchors)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for node, ids, sims in zip(*(c.to_pylist() for c in batch.columns)):
-                if node != last:
-                    if held:
-                        out.append(done())
-                    last, held = node, {}
-                held.update(zip(np.frombuffer(ids, np.int64).tolist(), np.frombuffer(sims, np.float64).tolist()))
-            yield from _lists(out)
-            out = []
+            if not batch.num_rows:
+                continue
+            names = batch.column("node").to_numpy()
+            begin = int(np.searchsorted(names, names[-1]))  # the last node may go on in the next batch
+            if begin or held and held[-1].column("node")[-1].as_py() != names[0]:
+                done = [*held, *([batch.slice(0, begin)] if begin else [])]
+                if done:
+                    yield best(pa.Table.from_batches(done))
+                held = [batch.slice(begin)]
+            else:
+                held.append(batch)
         if held:
-            yield from _lists([done()])
+            yield best(pa.Table.from_batches(held))
 
-    return by_key(offered, ["node"], partitions).mapInArrow(best, LIST)
+    return by_key(offered, ["node"], partitions).mapInArrow(lambda batches: batched(run(batches)), LIST)
 
 
 def edges_of(graph: DataFrame, threshold: float | None = None) -> DataFrame:
-    """(a, b) of the lists' entries, of those at the threshold if one is given."""
+    """(a, b) of the lists' entries; with a threshold, of the links among them and the anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for node, ids, sims in zip(*(c.to_pylist() for c in batch.columns)):
+            for node, ids, sims, _, anchor in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = np.frombuffer(ids, np.int64)
-                ids = ids if threshold is None else ids[np.frombuffer(sims, np.float64) >= threshold]
+                if threshold is not None:
+                    ids = np.append(ids[np.frombuffer(sims, np.float64) >= threshold], anchor)
                 a.append(np.full(len(ids), node))
                 b.append(ids)
             if a:
@@ -222,20 +279,17 @@ def edges_of(graph: DataFrame, threshold: float | None = None) -> DataFrame:
     return graph.mapInArrow(run, "a bigint, b bigint")
 
 
-def descend(nodes: DataFrame, kind: str, graph: DataFrame, k: int, threshold: float, partitions: int) -> DataFrame:
+def descend(nodes: DataFrame, kind: str, graph: DataFrame, threshold: float, partitions: int) -> DataFrame:
     """One round: offers between the neighbours, in both directions, of each node."""
     forward = edges_of(graph)
     both = forward.unionByName(forward.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = both.unionByName(graph.select(F.col("node").alias("a"), F.col("node").alias("b"))).distinct()
-    members = nodes.select(F.col("node").alias("b"), "vec", "dim").join(graph.select(F.col("node").alias("b"), "ids"), "b")
-    sent = both.join(written(members, "members"), "b").select("a", "dim", F.col("b").alias("node"), "vec", "ids")
+    members = nodes.select(F.col("node").alias("b"), "vec", "dim").join(graph.select(F.col("node").alias("b"), "ids", "least"), "b")
+    sent = both.join(written(members, "members"), "b").select("a", "dim", F.col("b").alias("node"), "vec", "ids", "least")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, own in groups(batches, 2, BLOCK):
-            if len(own["node"]) > 1:
-                known = [np.frombuffer(x, np.int64) for x in own["ids"]]
-                room = [max(k, len(x)) for x in known]
-                yield from _lists(offers(own["node"], unit(own["vec"], kind), room, known, threshold))
+        found = (own for _, own in groups(batches, 2, BLOCK) if len(own["node"]) > 1)
+        yield from batched(offers(x["node"], unit(x["vec"], kind), threshold, x["ids"], x["least"]) for x in found)
 
     return by_key(sent, ["a", "dim"], partitions).mapInArrow(within, LIST)
 
@@ -323,13 +377,13 @@ def near_duplicates(
             leaf = max(4, round(LEAF * len(sample) / max(1, number)))
             trees += [(dim, t) for t in trees_of(own, leaf, TREES, seed)]
         seed += TREES
-        offered = first_graph(nodes, kind, trees, threshold, NEIGHBOURS, partitions)
-        graph = written(merged(offered if graph is None else graph.unionByName(offered), NEIGHBOURS, threshold, partitions), "graph")
+        offered = first_graph(nodes, kind, trees, threshold, partitions)
+        graph = written(merged(offered if graph is None else graph.unionByName(offered), threshold, partitions), "graph")
         before = 0
         for _ in range(ROUNDS):
-            offered = descend(nodes, kind, graph, NEIGHBOURS, threshold, partitions)
-            graph = written(merged(graph.unionByName(offered), NEIGHBOURS, threshold, partitions), "graph")
-            links = edges_of(graph, threshold).count()
+            offered = descend(nodes, kind, graph, threshold, partitions)
+            graph = written(merged(graph.unionByName(offered), threshold, partitions), "graph")
+            links = edges_of(graph, threshold).where("a <> b").count()
             if links <= before * 1.01:
                 break
             before = links

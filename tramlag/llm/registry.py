@@ -159,7 +159,7 @@ filled as (
   window upto as (order by most / w, w, source rows between unbounded preceding and current row)
 ),
 levels as (select *, (total - filled + most) / (all_w - weighed + w) as level from filled),
-ends as (select *, min(case when most > level * w then level end) over () as ends from levels),
+ends as (select *, max(case when most > level * w then level end) over () as ends from levels),
 goals as (
   select source, source_size, case when ends is null then most else least(most, ends * w) end as target from ends
 )

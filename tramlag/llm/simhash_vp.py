@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tramlag.llm.common import components, words_of, written
@@ -218,13 +218,17 @@ def hex_digits(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3):
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3
+) -> DataFrame:
     """Rows of `docs` whose id names their component: one document of each group, columns as given.
 
-    Of rows that repeat this id with one fingerprint, all but one go; which of them is fixed by
-    their text. Rows with a null id are kept only if their whole component has null ids.
+    Of equal texts under one id a single row stays; other rows that share an id stay or go
+    together. Rows with a null id are judged by nothing and stay.
     """
     groups = simhash_groups(docs, id_column, text, shingle, radius)
-    stay = groups.where(F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("_kept"))
-    kept = docs.join(stay.distinct(), F.col(id_column).eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates([id_column])
+    stay = groups.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
+    joined = docs.join(stay.withColumn("_stays", F.lit(True)), id_column, "left")
+    same = Window.partitionBy(id_column, F.xxhash64(text)).orderBy(F.lit(0))
+    ranked = joined.withColumn("_copy", F.row_number().over(same))
+    return ranked.where(F.col(id_column).isNull() | F.col("_stays") & (F.col("_copy") == 1)).select(*docs.columns)
