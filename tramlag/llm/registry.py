@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import bm25_wand, html_layout, mixing_wfq, nn_descent, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
+from tramlag.llm import bm25_wand, html_layout, licence_lr, mixing_wfq, nn_descent, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op4_pack_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licence_lr.scan(docs, licence_lr.train(docs))
+
+
 def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substring_cm.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -178,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_embedding_nn_descent": op3_embedding_nn_descent,
         "op4_pack_online": op4_pack_online,
         "op5_bm25_wand": op5_bm25_wand,
+        "op6_licence_classifier": op6_licence_classifier,
         "op7_substring_count_min": op7_substring_count_min,
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
         "op9_toxicity_lexicon": op9_toxicity_lexicon,
