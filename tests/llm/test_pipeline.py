@@ -1,0 +1,48 @@
+"""The stages in order, their columns, and the registered queries that SQL can express."""
+
+import oracle_check
+import pytest
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from tramlag.llm import registry
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, documents):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "simhash", "substrings", "mixing", "packing"]
+    docs = documents
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, corpus_pipeline.written(stage(spark, docs, SF), f"test-{name}")
+        if name != "packing":
+            assert docs.columns == documents.columns
+        if name in ("quality", "simhash"):
+            assert 0.8 * before.count() <= docs.count() <= before.count()
+        if name == "substrings":
+            assert docs.count() == before.count()
+    assert docs.count() > 0
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    first = corpus_pipeline.quality(spark, documents, SF)
+    assert len(good - {r.doc_id for r in first.select("doc_id").collect()}) <= 1
+
+
+def test_stages_cope_with_odd_rows(spark, odd):
+    docs = odd
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, SF), "test-odd")
+    assert {r.doc_id for r in docs.collect()} <= {None, 1, 2, 3, 4, 5, 6, 7}
+
+
+def test_empty_table(spark, documents):
+    docs = documents.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, SF), "test-empty")
+    assert docs.count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
+def test_query_equals_sql(spark, name):
+    con = oracle_check.connect(SF)
+    assert oracle_check.compare(contract.queries()[name](spark, SF), con, contract.oracle_sql()[name]) is None

@@ -295,26 +295,34 @@ def rows_of(node: Node) -> Iterator[Node]:
                 yield from rows_of(child)
 
 
+def strays(node: Node) -> Iterator[Node | str]:
+    """Children of a table, its sections and rows that are neither these nor cells."""
+    for child in node.children:
+        if isinstance(child, str):
+            yield child
+        elif child.tag in ("thead", "tbody", "tfoot", "tr"):
+            if shown(child):
+                yield from strays(child)
+        elif child.tag not in ("td", "th", "colgroup", "col"):
+            yield child
+
+
 def table(node: Node, canvas: Canvas) -> None:
     """Rows with cells padded to their columns; a cell that spans columns or rows keeps its place."""
     grid: list[dict[int, list[str]]] = []
     held: dict[int, int] = {}  # column -> rows that a cell from above still covers
-    for other in node.children:
-        if not isinstance(other, str) and other.tag not in ("thead", "tbody", "tfoot", "tr", "colgroup", "col") and shown(other):
-            render_alone(other, canvas)
-        elif isinstance(other, str):
+    for other in strays(node):  # what has no place in a table stands before it
+        if isinstance(other, str):
             canvas.text(other)
+        else:
+            render_alone(other, canvas)
     canvas.flush()
     spans: list[tuple[int, int, int]] = []
     for row in rows_of(node):
         cells: dict[int, list[str]] = {}
         column = 0
         for cell in row.children:
-            if isinstance(cell, str) or cell.tag not in ("td", "th"):
-                if not isinstance(cell, str) and shown(cell):
-                    render_alone(cell, canvas)
-                continue
-            if not shown(cell):
+            if isinstance(cell, str) or cell.tag not in ("td", "th") or not shown(cell):
                 continue
             while held.get(column, 0) > 0:
                 column += 1

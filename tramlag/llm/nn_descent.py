@@ -24,8 +24,8 @@ NEIGHBOURS, GROWTH = 8, 2
 #: Vectors that trees are fitted on at most, nodes of a leaf, members compared at once.
 SAMPLE, LEAF, BLOCK = 16_384, 192, 512
 TREES, ROUNDS = 6, 3
-#: Nodes of the audit, the share of their links that must be known, and how often more is tried.
-AUDITED, RECALL, TRIES = 256, 0.98, 3
+#: Nodes of the audit, the mean share of a node's links that must be known, and how often more is tried.
+AUDITED, RECALL, TRIES = 1_024, 0.98, 3
 
 
 def unit(blobs: list[bytes], kind: str) -> np.ndarray:
@@ -327,27 +327,30 @@ def recounted(nodes: DataFrame, kind: str, classes: DataFrame, threshold: float)
     return counted.mapInArrow(count, "node bigint, linked bigint").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def audit(nodes: DataFrame, kind: str, counts: DataFrame, threshold: float) -> tuple[int, int]:
-    """(links known, links there are) of AUDITED nodes, the latter by brute force against all nodes."""
-    chosen = nodes.orderBy(F.xxhash64(F.col("node") + 1), "node").limit(AUDITED).collect()
-    names = [r.node for r in chosen]
-    by_dim = {d: ([i for i, r in enumerate(chosen) if r.dim == d]) for d in {r.dim for r in chosen}}
-    probes = {d: (at, unit([bytes(chosen[i].vec) for i in at], kind)) for d, at in by_dim.items()}
+def audit(nodes: DataFrame, kind: str, counts: DataFrame, threshold: float) -> float:
+    """Recall: the mean share of its links that is known of a node with links, over AUDITED nodes and
+    by brute force against all nodes. Every node weighs the same, whether it has one link or many."""
+    chosen = nodes.orderBy(F.xxhash64(F.col("node") + 1), "node").limit(AUDITED).select("node", "vec", "dim").collect()
+    names = np.array([r.node for r in chosen], np.int64)
+    probes = {}
+    for dim in {r.dim for r in chosen}:
+        at = [i for i, r in enumerate(chosen) if r.dim == dim]
+        probes[dim] = (at, unit([bytes(chosen[i].vec) for i in at], kind))
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(names), np.int64)
-        for (dim,), own in groups(batches, 1, 4096):
+        for (dim,), own in groups(batches, 1, 2048):
             if dim in probes:
                 at, rows = probes[dim]
                 near = rows @ unit(own["vec"], kind).T >= threshold
-                near &= np.array([names[i] for i in at])[:, None] != np.array(own["node"])[None, :]
+                near &= names[at][:, None] != np.array(own["node"])[None, :]
                 total[at] += near @ np.array(own["copies"], np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(total)], ["node", "linked"])
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(total)], ["node", "linked"])
 
     there = nodes.select("dim", "node", "copies", "vec").mapInArrow(brute, "node bigint, linked bigint")
-    all_links = there.agg(F.sum("linked")).first()[0] or 0
-    known = counts.where(F.col("node").isin(names)).agg(F.sum("linked")).first()[0] or 0
-    return known, all_links
+    there = there.groupBy("node").agg(F.sum("linked").alias("there")).where("there > 0")
+    known = there.join(counts, "node", "left")
+    return known.agg(F.avg(F.coalesce("linked", F.lit(0)) / F.col("there"))).first()[0]
 
 
 def near_duplicates(
@@ -389,8 +392,8 @@ def near_duplicates(
             before = links
         classes = components(edges_of(graph, threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         counts = written(recounted(nodes, kind, classes, threshold), "counts")
-        known, there = audit(nodes, kind, counts, threshold)
-        if known >= RECALL * there:
+        recall = audit(nodes, kind, counts, threshold)
+        if recall is None or recall >= RECALL:
             break
     of = nodes.select("node", "copies", "e").join(classes, "node", "left").join(counts, "node", "left")
     of = of.select("node", "copies", "e", F.coalesce("root", "node").alias("root"), F.coalesce("linked", F.lit(0)).alias("linked"))

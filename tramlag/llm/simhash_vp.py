@@ -52,16 +52,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """(id, fp): one row per row of `docs`; fp as a signed 64-bit number. Null text: zero."""
+    """(id, same, fp): one row per row of `docs`; same is a hash of the text, fp the fingerprint as a
+    signed number, zero for a null text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["id", "fp"])
+            prints = [fingerprint(t.as_py(), shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints, pa.int64())], ["id", "same", "fp"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    picked = docs.select(F.col(id_column).alias("id"), F.col(text).cast("string").alias("text"))
-    return picked.mapInArrow(run, f"id {kind}, fp bigint")
+    own = F.col(text).cast("string")
+    picked = docs.select(F.col(id_column).alias("id"), F.xxhash64(own).alias("same"), own.alias("text"))
+    return picked.mapInArrow(run, f"id {kind}, same bigint, fp bigint")
 
 
 def _split(points: np.ndarray, radius: int, seed: int) -> tuple[int, int] | None:
@@ -191,7 +193,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 def simhash_groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 3
 ) -> DataFrame:
-    """(id column, fp bigint, component_id): one row per row of `docs`.
+    """(id column, fp, component_id, same): one row per row of `docs`; same is a hash of the text.
 
     `component_id` is the smallest id reachable through links of at most `radius` differing
     bits. Null or empty texts and texts without words have fingerprint zero and link like any
@@ -210,7 +212,7 @@ def simhash_groups(
     named = written(named, "named")
     least = written(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     of = written(named.join(least, "root").select("fp", "component_id"), "components")
-    return prints.join(of, "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    return prints.join(of, "fp").select(F.col("id").alias(id_column), "fp", "component_id", "same")
 
 
 def hex_digits(fp: str = "fp"):
@@ -223,12 +225,12 @@ def one_of_each(
 ) -> DataFrame:
     """Rows of `docs` whose id names their component: one document of each group, columns as given.
 
-    Of equal texts under one id a single row stays; other rows that share an id stay or go
-    together. Rows with a null id are judged by nothing and stay.
+    Of equal texts under one id a single row stays; other rows that share an id are judged each
+    by its text. Rows with a null id are judged by nothing and stay.
     """
     groups = simhash_groups(docs, id_column, text, shingle, radius)
-    stay = groups.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
-    joined = docs.join(stay.withColumn("_stays", F.lit(True)), id_column, "left")
-    same = Window.partitionBy(id_column, F.xxhash64(text)).orderBy(F.lit(0))
-    ranked = joined.withColumn("_copy", F.row_number().over(same))
+    stay = groups.where(F.col(id_column) == F.col("component_id")).select(id_column, F.col("same").alias("_same")).distinct()
+    marked = docs.withColumn("_same", F.xxhash64(F.col(text).cast("string")))
+    joined = marked.join(stay.withColumn("_stays", F.lit(True)), [id_column, "_same"], "left")
+    ranked = joined.withColumn("_copy", F.row_number().over(Window.partitionBy(id_column, "_same").orderBy(F.lit(0))))
     return ranked.where(F.col(id_column).isNull() | F.col("_stays") & (F.col("_copy") == 1)).select(*docs.columns)
