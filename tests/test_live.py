@@ -122,15 +122,15 @@ def test_stream_equals_batch(spark, wh, feed, tmp_path, rows):
         feed.land(i, entity("T1", update(0, i)), entity("T2", update(1, -i, rel="SKIPPED")))
     run(wh, feed, tmp_path, max_files=4)
     snapshots = read_snapshots(spark, str(feed.folder))
-    batch = match_snapshots(snapshots, wh.schedule(1), 1, wh.cfg).drop("entity_pos", "update_pos")
+    batch = match_snapshots(snapshots, wh.schedule(1), 1, wh.cfg).drop("arrived", "file_path", "entity_pos", "update_pos")
     assert rows(wh.read("fact_delay").drop("ts_date")) == rows(batch)
 
 
 def test_replay_inserts_nothing(spark, wh, feed, tmp_path, rows):
     feed.land(1, entity("T1", update(0, 1), update(1, 2)))
     snapshots = read_snapshots(spark, str(feed.folder))
-    assert [r.inserted for r in live.store_batch(wh, snapshots)] == [2]
-    again = live.store_batch(wh, snapshots)
+    assert [r.inserted for r in live.store_batch(wh, snapshots).collect()] == [2]
+    again = live.store_batch(wh, snapshots).collect()
     assert [(r.observed, r.inserted) for r in again] == [(2, 0)]
     assert wh.read("fact_delay").count() == 2
 
@@ -170,14 +170,53 @@ def test_orphans_can_be_set_aside(spark, tmp_path, feed, rows):
 
 
 def test_audit_limits_and_failure(spark, wh, rows, monkeypatch):
-    cycles = [live.Row(snapshot_ts=None, observed=0, inserted=0, status="ERROR")]
+    schema = "arrived bigint, file_path string, epoch bigint, snapshot_ts timestamp_ntz, observed int, inserted int, status string"
+    cycles = spark.createDataFrame([(1, "f", None, None, 0, 0, "ERROR")], schema)
     live.audit(wh, cycles, START, 12345.6789, "x" * 900)
     row = wh.read("fact_run").first()
-    assert str(row["seconds"]) == "999.999" and len(row["error"]) == 500
+    assert str(row["seconds"]) == "12345.679" and len(row["error"]) == 500
     monkeypatch.setattr(Warehouse, "append", lambda *a: 1 / 0)
     live.audit(wh, cycles, START, 1.0)  # logged only
 
 
+def test_unreadable_records_are_errors_and_hold_up_nothing(spark, wh, feed, tmp_path, rows):
+    feed.land(1, entity("T1", update(0, 1)))
+    whole = (feed.folder / "s001.json").read_text()
+    (feed.folder / "s002.json").write_text(whole[: len(whole) // 2])
+    (feed.folder / "s003.json").write_text(json.dumps({"header": {"timestamp": "noon"}, "entity": []}))
+    feed.n = 3
+    feed.land(4, entity("T1", update(0, 4)))
+    run(wh, feed, tmp_path, max_files=10)
+    assert sorted(map(repr, audit(wh, rows))) == sorted(
+        map(repr, [(None, "ERROR", 0, 0)] * 2 + [(at(1), "OK", 1, 1), (at(4), "OK", 1, 1)])
+    )
+    errors = [r.error for r in wh.read("fact_run").where("status = 'ERROR'").collect()]
+    assert sorted(e[-9:] for e in errors) == ["s002.json", "s003.json"]
+    assert spark.read.json(wh.path("_unreadable")).count() == 2
+
+
+def test_runs_do_not_touch_each_others_quarantine(spark, tmp_path, feed, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    publish(spark, wh, 1, stops=("S1",))
+    for i in (1, 2):
+        feed.land(i, entity("T1", update(1, i)))  # S2 is unknown
+        live.run_live(wh, str(feed.folder), str(tmp_path / f"c{i}"), once=True, clock=lambda: START, max_files=9).awaitTermination()
+    waiting = spark.read.parquet(wh.path("_quarantine"))
+    assert waiting.select("run").distinct().count() == 2 and waiting.count() == 3
+    assert live.replay_quarantine(wh) == 0  # they fail again, are audited and stay
+    assert spark.read.parquet(wh.path("_quarantine")).count() == 3
+    publish(spark, wh, 2, stops=("S1", "S2"))
+    assert live.replay_quarantine(wh) == 2
+    assert wh.read("fact_delay").count() == 2
+
+
+def test_first_arrival_is_kept(spark, wh, feed, tmp_path, rows):
+    feed.land(5, entity("T2", update(1, 7)), entity("T1", update(0, 111)))
+    feed.land(5, entity("T1", update(0, 222)))
+    run(wh, feed, tmp_path, max_files=10, skip_stale=False)
+    assert rows(wh.read("fact_delay"), "trip_id", "delay_s") == [("T1", 111), ("T2", 7)]
+
+
 def test_start_needs_a_version(spark, tmp_path, feed):
     with pytest.raises(LookupError):
         live.run_live(Warehouse(spark, str(tmp_path / "none")), str(feed.folder), str(tmp_path / "c"))

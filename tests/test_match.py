@@ -57,23 +57,21 @@ def schedule(spark):
     )
 
 
-def facts(spark, tmp_path, schedule, *entities, epoch=NOON, limit=match.MAX_BROADCAST_BYTES):
-    return match.match_snapshots(feed(spark, tmp_path, (epoch, list(entities))), schedule, 3, DEFAULTS, limit)
+def facts(spark, tmp_path, schedule, *entities, epoch=NOON):
+    return match.match_snapshots(feed(spark, tmp_path, (epoch, list(entities))), schedule, 3, DEFAULTS)
 
 
 SHOWN = ["trip_id", "stop_id", "stop_sequence", "delay_s", "status", "service_date"]
 DAY, DAY_BEFORE = date(2024, 7, 1), date(2024, 6, 30)
 
 
-@pytest.mark.parametrize("limit", [match.MAX_BROADCAST_BYTES, 0])
-def test_three_kinds_of_rows(spark, rows, tmp_path, schedule, limit):
+def test_three_kinds_of_rows(spark, rows, tmp_path, schedule):
     got = facts(
         spark, tmp_path, schedule,
         entity("T1", update(0, 0), update(1, -45), update(7, 1)),
         entity("T2", update(5, 30, rel="SKIPPED")),
         entity("T1", update(0, 9), rel="CANCELED"),
         entity("T9", rel="CANCELED"),
-        limit=limit,
     )
     assert rows(got, *SHOWN) == [
         ("T1", "S1", 0, 0, "OBSERWACJA", DAY),

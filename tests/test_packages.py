@@ -57,7 +57,7 @@ def test_selection_equals_greedy_cover(spark, cases, horizon):
             "year int, month int, day int, seq long, name string, url string, period_start date, period_end date",
         )
         got = p.select_packages(df, TODAY, horizon, DEFAULTS).orderBy("pkg_ord").select("name").collect()
-        assert [r[0] for r in got] == greedy(candidates, TODAY, horizon, DEFAULTS.clip_days)
+        assert [r[0] for r in got] == greedy(candidates, TODAY, horizon, max(horizon, DEFAULTS.window_days))
 
 
 def test_zip_reading(spark, rows, tmp_path):

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tramlag.operators import schedule as sched
-from tramlag.operators.skew import hot_keys, lookup_join, measured_bytes, salted_join
+from tramlag.operators.skew import hot_keys, lookup_join, salted_join
 
 
 @pytest.mark.parametrize(
@@ -85,21 +85,13 @@ def test_null_keys_never_join(spark, rows):
     assert rows(salted_join(left, right, ["key"], hot)) == [("a", 2, "y")]
 
 
-@pytest.mark.parametrize("max_bytes", [0, 1 << 20])
-def test_lookup_join_beyond_the_broadcast_limit(skewed, max_bytes):
+def test_lookup_join_of_a_skewed_side(skewed):
     left, right = skewed
-    got = lookup_join(left, right, ["key"], "left", max_bytes)
+    got = lookup_join(left, right, ["key"], "left")
     want = left.join(right, ["key"], "left")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_measured_bytes_grows_with_text(spark):
-    short = spark.createDataFrame([("a", 1)], "t string, n int")
-    long = spark.createDataFrame([("a" * 1000, 1), (None, 2)], "t string, n int")
-    assert measured_bytes(short) == 16 * 3 + 1
-    assert measured_bytes(long) == 2 * 16 * 3 + 1000
-
-
 def test_schedule_with_a_hot_trip(spark):
     """A third of the stop times belong to one trip, and many are copies."""
     from tramlag.config import MERGE_KEYS

@@ -149,11 +149,11 @@ def add_facts(spark, wh, *rows):
 
 
 def test_refresh_windows(wh):
-    assert maintain.refresh_window(wh, "agg_line_15m", NOW) == (datetime(2026, 3, 13, 10, 15), datetime(2026, 3, 20, 9, 45))
-    assert maintain.refresh_window(wh, "agg_line_1h", NOW) == (datetime(2026, 3, 6, 11), datetime(2026, 3, 20, 9))
-    assert maintain.refresh_window(wh, "agg_line_1d", NOW) == (datetime(2026, 1, 19, 23), datetime(2026, 3, 19, 23))
+    assert maintain.refresh_window(wh.cfg, "agg_line_15m", NOW) == (datetime(2026, 3, 13, 10, 15), datetime(2026, 3, 20, 9, 45))
+    assert maintain.refresh_window(wh.cfg, "agg_line_1h", NOW) == (datetime(2026, 3, 6, 11), datetime(2026, 3, 20, 9))
+    assert maintain.refresh_window(wh.cfg, "agg_line_1d", NOW) == (datetime(2026, 1, 19, 23), datetime(2026, 3, 19, 23))
     exact = datetime(2026, 3, 20, 10, 10)
-    assert maintain.refresh_window(wh, "agg_stop_15m", exact) == (datetime(2026, 3, 13, 10, 15), datetime(2026, 3, 20, 10))
+    assert maintain.refresh_window(wh.cfg, "agg_stop_15m", exact) == (datetime(2026, 3, 13, 10, 15), datetime(2026, 3, 20, 10))
 
 
 def test_refresh_replaces_whole_buckets_inside_the_window(spark, wh, rows):

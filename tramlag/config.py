@@ -56,7 +56,7 @@ class Settings:
     zone: str = "Europe/Warsaw"
     package_pattern: str = r"^schedule_ZTM_(\d{4})\.(\d{2})\.(\d{2})_(\d+)_(\d+)\.zip"
     horizon_days: int = 14
-    clip_days: int = 14  # package days beyond today + clip_days - 1 never count
+    window_days: int = 14  # days that packages are weighed on, or the horizon if that is longer
     date_lookback_days: int = 35
     holiday_service_from: int = 9  # service ids from here on beat the weekday services
     on_time_from_s: int = -30

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FACT_REFERENCES
-from .skew import LOOKUP_BYTES, hot_keys, measured_bytes, salted_join
+from .skew import hot_keys, salted_join
 
 
 class IntegrityError(ValueError):
@@ -56,14 +56,10 @@ def drop_orphans(
 ) -> tuple[DataFrame, DataFrame]:
     """(clean, rejected) facts: rejected rows hold at least one of the `orphans` found."""
     marked, rejected = facts, F.lit(False)
-    small = measured_bytes(bad) <= LOOKUP_BYTES
     for fk in references:
         key = F.col("key").cast(facts.schema[fk].dataType).alias(fk)
         lost = bad.where(F.col("fk") == fk).select(key, F.lit(True).alias(f"_bad_{fk}"))
-        if small:
-            marked = marked.join(F.broadcast(lost), fk, "left")
-        else:
-            marked = salted_join(marked, lost, [fk], hot_keys(facts, [fk]), "left")
+        marked = salted_join(marked, lost, [fk], hot_keys(facts, [fk]), "left")
         rejected = rejected | F.col(f"_bad_{fk}").isNotNull()
     return marked.where(~rejected).select(*facts.columns), marked.where(rejected).select(*facts.columns)
 

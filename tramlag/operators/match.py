@@ -8,21 +8,20 @@ from pyspark.sql import functions as F
 from ..config import CANCELLED, OBSERVED, SKIPPED_STOP, Settings
 from ..functions.clock import from_epoch, local_date, service_date
 from .merge import keep_first
-from .skew import hot_keys, measured_bytes, salted_join
+from .skew import hot_keys, salted_join
 
 FACT_COLUMNS = [
     "ts", "version_id", "trip_id", "stop_id", "stop_sequence", "line_id", "operator_id",
     "direction", "service_date", "delay_s", "status",
 ]
-# Position of a row inside its snapshot, kept until duplicates are removed.
+# Arrival of a snapshot, and the position of a row inside it, kept until duplicates are removed.
+ARRIVAL = ["arrived", "file_path"]
 POSITION = ["entity_pos", "update_pos"]
 
 # Relationship names of the public feed format, and their enum numbers.
 TRIP_CANCELED = ["CANCELED", "3"]
 STOP_SKIPPED = ["SKIPPED", "1"]
 
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
-
 
 def snapshot_time() -> Column:
     return from_epoch(F.col("header.timestamp"))
@@ -33,13 +32,15 @@ def _is(relationship: Column, names: list[str]) -> Column:
 
 
 def trip_entities(snapshots: DataFrame, zone: str) -> DataFrame:
-    """One row per entity that has a trip update with a trip id."""
-    timed = snapshots.select(snapshot_time().alias("ts"), "entity").withColumn(
+    """One row per entity that has a trip update with a trip id; columns of ARRIVAL go along if there."""
+    arrival = [c for c in ARRIVAL if c in snapshots.columns]
+    timed = snapshots.select(*arrival, snapshot_time().alias("ts"), "entity").withColumn(
         "local_date", local_date(F.col("ts"), zone)
     )
-    entities = timed.select("ts", "local_date", F.posexplode("entity").alias("entity_pos", "entity"))
+    entities = timed.select(*arrival, "ts", "local_date", F.posexplode("entity").alias("entity_pos", "entity"))
     update = F.col("entity.tripUpdate")
     return entities.where(update.isNotNull() & (update["trip"]["tripId"] != "")).select(
+        *arrival,
         "ts",
         "local_date",
         "entity_pos",
@@ -56,13 +57,15 @@ def feed_rows(entities: DataFrame) -> DataFrame:
     arrival delay is given. Both kinds come from one pass over the feed; `stop_key` is the
     sequence, or `WHOLE_TRIP`.
     """
+    arrival = [c for c in ARRIVAL if c in entities.columns]
     updates = F.when(F.col("cancelled"), F.array(F.lit(None))).otherwise(F.col("updates"))
     flat = entities.select(
-        "ts", "local_date", "entity_pos", "trip_id", "cancelled", F.posexplode(updates).alias("update_pos", "u")
+        *arrival, "ts", "local_date", "entity_pos", "trip_id", "cancelled", F.posexplode(updates).alias("update_pos", "u")
     )
     skipped = _is(F.col("u.scheduleRelationship"), STOP_SKIPPED)
     usable = F.col("u.stopSequence").isNotNull() & (skipped | F.col("u.arrival.delay").isNotNull())
     return flat.where(F.col("cancelled") | usable).select(
+        *arrival,
         "ts",
         "local_date",
         "entity_pos",
@@ -103,7 +106,9 @@ def match_rows(rows: DataFrame, planned: DataFrame, hot: list[tuple] = ()) -> Da
     """
     day = service_date(F.col("local_date"), F.col("day_offset")).alias("service_date")
     observed = ~F.col("cancelled") & ~F.col("skipped")
+    arrival = [c for c in ARRIVAL if c in rows.columns]
     return salted_join(rows, planned, MATCH_KEYS, list(hot)).select(
+        *arrival,
         "ts",
         "trip_id",
         "stop_id",
@@ -119,28 +124,16 @@ def match_rows(rows: DataFrame, planned: DataFrame, hot: list[tuple] = ()) -> Da
     )
 
 
-def match_snapshots(
-    snapshots: DataFrame,
-    schedule: DataFrame,
-    version_id: int,
-    cfg: Settings,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Fact rows of the snapshots (with their position), for live batches and backfill alike.
+def match_snapshots(snapshots: DataFrame, schedule: DataFrame, version_id: int, cfg: Settings) -> DataFrame:
+    """Fact rows of the snapshots (with arrival and position), for live batches and backfill alike.
 
-    The schedule of one version is usually small next to the feed, so it is broadcast when
-    its measured size allows; the feed is then neither shuffled nor skewed. A larger
-    schedule is joined by shuffle, with the feed's hot trips and stops salted.
+    One join by shuffle with the feed's hot trips and stops salted, whatever the sizes; Spark
+    broadcasts the schedule where its own statistics allow.
     """
     rows = feed_rows(trip_entities(snapshots, cfg.zone))
-    planned, hot = match_side(schedule), []
-    # each planned stop occurs at most twice on the broadcast side
-    if 2 * measured_bytes(schedule.select(*_PLANNED)) <= max_broadcast_bytes:
-        planned = F.broadcast(planned)
-    else:
-        hot = hot_keys(rows, MATCH_KEYS)
-    facts = match_rows(rows, planned, hot)
-    return facts.withColumn("version_id", F.lit(version_id)).select(*FACT_COLUMNS, *POSITION)
+    facts = match_rows(rows, match_side(schedule), hot_keys(rows, MATCH_KEYS))
+    arrival = [c for c in ARRIVAL if c in facts.columns]
+    return facts.withColumn("version_id", F.lit(version_id)).select(*FACT_COLUMNS, *arrival, *POSITION)
 
 
 def mentioned_trips(snapshots: DataFrame, cfg: Settings) -> DataFrame:

@@ -49,7 +49,3 @@ def build_schedule(
         "operator_id",
         day_offset(F.col("arrival_time")).alias("day_offset"),
     )
-
-
-def stamp_version(schedule: DataFrame, version_id: int) -> DataFrame:
-    return schedule.withColumn("version_id", F.lit(version_id))

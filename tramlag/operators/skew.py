@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 
 SAMPLE_SHARE = 0.01
 MIN_SAMPLED = 10
-LOOKUP_BYTES = 64 * 1024 * 1024
 
 
 def hot_keys(
@@ -70,21 +69,10 @@ def salted_join(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def lookup_join(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", max_bytes: int = LOOKUP_BYTES
-) -> DataFrame:
-    """Join with a usually small side: broadcast up to a measured size, salted beyond it."""
-    if measured_bytes(right) <= max_bytes:
-        return left.join(F.broadcast(right), keys, how)
-    return salted_join(left, right, keys, hot_keys(left, keys), how)
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the in-memory size of `df`: text bytes plus 16 per field."""
-    text = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-    per_row = 16 * len(df.columns) + 16
-    size = F.lit(per_row)
-    for name in text:
-        size = size + F.coalesce(F.octet_length(name), F.lit(0))
-    return df.agg(F.coalesce(F.sum(size), F.lit(0)).cast("bigint")).first()[0]
+def lookup_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join with a lookup table of unknown size, safe for hot keys of `left`.
 
+    The plan is the same at every size: a salted equi-join, of which Spark broadcasts the
+    lookup side where its own statistics allow.
+    """
+    return salted_join(left, right, keys, hot_keys(left, keys), how)

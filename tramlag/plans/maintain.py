@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import Settings
 from ..functions.clock import BUCKET_WIDTHS, bucket_ceiling, bucket_start, ntz, to_utc
 from ..operators import rollup
 from ..operators.upsert import recompute_window
@@ -32,10 +33,10 @@ def aggregate(wh: Warehouse, level: str, source: DataFrame) -> DataFrame:
     return rollup.line_1d(source, wh.cfg)
 
 
-def refresh_window(wh: Warehouse, level: str, now: datetime) -> tuple[datetime, datetime]:
+def refresh_window(cfg: Settings, level: str, now: datetime) -> tuple[datetime, datetime]:
     """Whole buckets inside [now - start, now - end) of the level's policy."""
-    policy = wh.cfg.refresh[level]
-    width, zone = BUCKET_WIDTHS[level], wh.cfg.zone
+    policy = cfg.refresh[level]
+    width, zone = BUCKET_WIDTHS[level], cfg.zone
     now = to_utc(now)
     return bucket_ceiling(now - policy.start, width, zone), bucket_start(now - policy.end, width, zone)
 
@@ -77,7 +78,7 @@ def refresh(wh: Warehouse, level: str, now: datetime) -> None:
     policy = wh.cfg.refresh[level]
     if _SOURCES[level][0] == "fact_delay" and policy.start > wh.cfg.fact_retention:
         raise ValueError(f"{level}: refresh reaches behind the retention of the facts")
-    recompute(wh, level, *refresh_window(wh, level, now))
+    recompute(wh, level, *refresh_window(wh.cfg, level, now))
 
 
 def refresh_all(wh: Warehouse, now: datetime) -> None:

@@ -88,7 +88,7 @@ def delay_map(facts: DataFrame, dim_stop: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("obs"), F.sum("delay_s").alias("delay_sum"))
     )
     points = dim_stop.select("stop_id", "name", "lat", "lon")
-    return per_stop.join(points, "stop_id").select(
+    return per_stop.join(points, "stop_id", "left").select(
         "stop_id", "name", "lat", "lon", "obs", ratio(F.col("delay_sum"), F.col("obs")).alias("mean_delay_s")
     )
 
@@ -96,7 +96,7 @@ def delay_map(facts: DataFrame, dim_stop: DataFrame) -> DataFrame:
 def by_calendar(agg: DataFrame, dim_date: DataFrame, *parts: str) -> DataFrame:
     """Punctuality per day type, weekday, month or any other part of the date dimension."""
     per_day = agg.groupBy("service_date").agg(*_totals())
-    joined = per_day.join(dim_date, per_day["service_date"] == dim_date["date"])
+    joined = per_day.join(dim_date, per_day["service_date"] == dim_date["date"], "left")
     return joined.groupBy(*parts).agg(*_totals()).select(*parts, "obs", "cancelled", "skipped", *_rates())
 
 
@@ -104,7 +104,7 @@ def by_version(agg: DataFrame, dim_version: DataFrame) -> DataFrame:
     """History per schedule version; old facts keep the version they were matched with."""
     per_version = agg.groupBy("version_id").agg(*_totals())
     names = dim_version.select("version_id", "package_names", "valid_from", "valid_to")
-    return per_version.join(names, "version_id").select(
+    return per_version.join(names, "version_id", "left").select(
         "version_id", "package_names", "valid_from", "valid_to", "obs", "cancelled", *_rates()
     )
 

@@ -224,14 +224,15 @@ package as (select * from resource where name is not null and o_orderstatus <> '
 
 
 def _cover(horizon: int) -> str:
+    last = f"date '1998-02-28' + {max(horizon, 14)}"
     return (
         _CATALOGUE
         + f""",
 offered as (
   select cast(unnest(generate_series(
-      greatest(period_start, date '1998-03-01'), least(period_end, date '1998-03-14'), interval 1 day)) as date)
+      greatest(period_start, date '1998-03-01'), least(period_end, {last}), interval 1 day)) as date)
       as day, *
-  from package where period_start <= date '1998-03-14' and period_end >= date '1998-03-01'
+  from package where period_start <= {last} and period_end >= date '1998-03-01'
 ),
 newest as (
   select * from (
@@ -302,7 +303,7 @@ def _recent(key: str, value: str) -> str:
 ORACLE: dict[str, str] = {
     "s1_catalogue": _with(_CATALOGUE) + "select name, url, cast(y as int) as year, cast(m as int) as month, cast(d as int) as day, seq from package",
     "s2_periods": _with(_CATALOGUE)
-    + "select name, period_start, period_end from resource where name is not null",
+    + "select name, period_start, period_end from resource",
     "s3_packages": _with(_cover(14)) + "select * from selected",
     "s3_packages_short": _with(_cover(5)) + "select * from selected",
     "s3_packages_long": _with(_cover(20)) + "select * from selected",
@@ -437,18 +438,18 @@ ORACLE: dict[str, str] = {
     + """select line_id, count(distinct (trip_id, service_date)) as cancelled_trips
       from fact where status = 'ANULOWANY' group by line_id""",
     "k4_delay_map": _with(_FACT, _STOPS)
-    + """select s.stop_id, s.name, s.lat, s.lon, count(*) as obs, round(sum(delay_s) / count(*), 6) as mean_delay_s
-      from fact f join stop s on s.stop_id = f.stop_id where status = 'OBSERWACJA'
-      group by s.stop_id, s.name, s.lat, s.lon""",
+    + """select f.stop_id, s.name, s.lat, s.lon, count(*) as obs, round(sum(delay_s) / count(*), 6) as mean_delay_s
+      from fact f left join stop s on s.stop_id = f.stop_id where status = 'OBSERWACJA'
+      group by f.stop_id, s.name, s.lat, s.lon""",
     "k5_by_day_type": _with(_FACT, _AGG, _CALENDAR)
     + f"""select day_type, {_OBS}, {_CANCELLED}, {_SKIPPED}, {_RATES}
-      from agg join dates on service_date = dates.date group by day_type""",
+      from agg left join dates on service_date = dates.date group by day_type""",
     "k5_by_weekday": _with(_FACT, _AGG, _CALENDAR)
     + f"""select month, iso_dow, day_name, {_OBS}, {_CANCELLED}, {_SKIPPED}, {_RATES}
-      from agg join dates on service_date = dates.date group by month, iso_dow, day_name""",
+      from agg left join dates on service_date = dates.date group by month, iso_dow, day_name""",
     "k6_by_version": _with(_FACT, _AGG, _VERSIONS)
     + f"""select a.version_id, package_names, valid_from, valid_to, {_OBS}, {_CANCELLED}, {_RATES}
-      from agg a join version v on v.version_id = a.version_id
+      from agg a left join version v on v.version_id = a.version_id
       group by a.version_id, package_names, valid_from, valid_to""",
     "k7_health": _with(_RUNS)
     + """select status, cast(started_at as date) as day, count(*) as cycles,

@@ -14,6 +14,7 @@ from ..functions.clock import ntz
 from ..operators import dims as d
 from ..operators import integrity, match, merge, rollup, skip, upsert
 from ..operators import schedule as sched
+from ..operators.skew import hot_keys
 from ..plans import maintain, reports
 from ..schemas import PRIMARY_KEYS
 from ..session import shared_folder
@@ -47,13 +48,13 @@ def s1_catalogue(spark, sf):
 
 @query
 def s2_periods(spark, sf):
-    rows = p.parse_period(s.catalogue(spark, sf).where("name is not null"))
+    rows = p.parse_period(s.catalogue(spark, sf))
     return rows.select("name", "period_start", "period_end")
 
 
 def _packages(spark, sf, horizon_days):
     raw = s.catalogue(spark, sf)
-    periods = p.parse_period(raw.where("name is not null")).select("name", "period_start", "period_end")
+    periods = p.parse_period(raw).select("name", "period_start", "period_end")
     candidates = p.parse_catalogue(raw, DEFAULTS).join(periods, "name")
     return p.select_packages(candidates, s.TODAY, horizon_days, DEFAULTS)
 
@@ -205,7 +206,8 @@ def _feed_rows(spark, sf):
 @query
 def r3_cancelled(spark, sf):
     cancelled = _feed_rows(spark, sf).where("cancelled")
-    rows = match.match_rows(cancelled, match.match_side(s.schedule(spark, sf)).where("cancelled"))
+    planned = match.match_side(s.schedule(spark, sf)).where("cancelled")
+    rows = match.match_rows(cancelled, planned, hot_keys(cancelled, match.MATCH_KEYS))
     return rows.drop("entity_pos", "update_pos", "delay_s")
 
 
@@ -219,12 +221,11 @@ def r4_stop_updates(spark, sf):
 def r5_match(spark, sf):
     updates = _feed_rows(spark, sf).where("not cancelled")
     planned = match.match_side(s.schedule(spark, sf)).where("not cancelled")
-    return match.match_rows(updates, planned).drop("entity_pos")
+    return match.match_rows(updates, planned, hot_keys(updates, match.MATCH_KEYS)).drop("entity_pos")
 
 
 def _matched_facts(spark, sf):
-    """Matching reads its schedule several times (it is a stored table otherwise)."""
-    return match.match_snapshots(s.snapshots(spark, sf), s.schedule(spark, sf).persist(), 1, DEFAULTS)
+    return match.match_snapshots(s.snapshots(spark, sf), s.schedule(spark, sf), 1, DEFAULTS)
 
 
 @query
@@ -323,7 +324,7 @@ def j2_orphans(spark, sf):
 
 @query
 def j2_clean_facts(spark, sf):
-    clean, _ = integrity.drop_orphans(s.fact_delay(spark, sf), j2_orphans(spark, sf).persist())
+    clean, _ = integrity.drop_orphans(s.fact_delay(spark, sf), j2_orphans(spark, sf))
     return clean.select("ts", "trip_id", "stop_id", "stop_sequence", "service_date")
 
 
@@ -375,7 +376,7 @@ def a4_stop_15m(spark, sf):
 def a11_refresh_window(spark, sf):
     """Stored buckets know observations only; the refresh window is computed from all facts."""
     facts = s.fact_delay(spark, sf)
-    lo, hi = maintain.refresh_window(Warehouse(spark, ""), "agg_line_15m", REFRESH_NOW)
+    lo, hi = maintain.refresh_window(DEFAULTS, "agg_line_15m", REFRESH_NOW)
     in_window = facts.where((F.col("ts") >= ntz(lo)) & (F.col("ts") < ntz(hi)))
     stored = rollup.line_15m(facts.where(F.col("status") == OBSERVED))
     return upsert.recompute_window(stored, rollup.line_15m(in_window), ntz(lo), ntz(hi))

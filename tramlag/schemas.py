@@ -18,8 +18,6 @@ FEED = """
                 arrival: struct<delay: int>>>>>>
 """
 
-CATALOGUE = "name string, url string"
-
 _MEASURES = """
     delay_sum bigint, obs bigint, on_time bigint, delay_min int, delay_max int,
     cancelled bigint, skipped bigint
@@ -44,7 +42,7 @@ TABLES = {
                      line_id string, operator_id string, direction string, service_date date, delay_s int,
                      status string, ts_date date""",
     "fact_run": """started_at timestamp_ntz, snapshot_ts timestamp_ntz, observed int, inserted int,
-                   seconds decimal(6,3), status string, error string, week_start date""",
+                   seconds decimal(12,3), status string, error string, week_start date""",
     "agg_line_15m": _LINE_AGG,
     "agg_line_1h": _LINE_AGG,
     "agg_line_1d": _LINE_AGG,

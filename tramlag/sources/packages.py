@@ -56,10 +56,10 @@ def select_packages(candidates: DataFrame, today: date, horizon_days: int, cfg:
 
     A package that adds no day also leaves the cover unchanged, so a package is taken
     exactly when it is the newest one for some day, up to the package that completes the
-    cover. Only the newest package per day is shuffled on; at most `clip_days` rows follow.
+    cover. Only the newest package per day is shuffled on; at most one row a day of the window follows.
     Columns: the candidate's rank, period_start, period_end and `pkg_ord` (by period start).
     """
-    last = today + timedelta(days=cfg.clip_days - 1)
+    last = today + timedelta(days=max(horizon_days, cfg.window_days) - 1)
     rank = F.struct(*RANK)
     per_day = (
         candidates.where(
@@ -81,7 +81,7 @@ def select_packages(candidates: DataFrame, today: date, horizon_days: int, cfg:
             F.max_by(F.struct("period_start", "period_end"), rank).alias("period"),
         )
     )
-    # From here on one row per day of the clip range.
+    # From here on one row per day of the window.
     wanted = F.col("date") < F.lit(today + timedelta(days=horizon_days))
     every_day = W.partitionBy()
     stop = F.when(

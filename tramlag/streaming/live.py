@@ -4,32 +4,30 @@ from __future__ import annotations
 
 import logging
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import ExitStack, contextmanager
 from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import RUN_ERROR, RUN_OK, RUN_SKIPPED
 from ..functions.clock import from_epoch, ntz, to_utc
 from ..operators import integrity
-from ..operators.match import FACT_COLUMNS, POSITION, match_snapshots, mentioned_trips
-from ..operators.skew import lookup_join
+from ..operators.match import ARRIVAL, FACT_COLUMNS, POSITION, match_snapshots, mentioned_trips
 from ..operators.skip import mark_fresh
 from ..operators.upsert import insertable
 from ..schemas import FEED, PRIMARY_KEYS
-from ..sources.feed import stream_snapshots
+from ..session import shared_folder
+from ..sources.feed import epoch, stream_snapshots, unreadable
 from ..warehouse import Warehouse, clock_now, week_start
 
 log = logging.getLogger(__name__)
 
-MAX_SECONDS = Decimal("999.999")  # what the audit column holds
-MAX_ERROR_CHARS = 500
-MAX_BROADCAST_ENTITIES = 250_000
-ARRIVAL = ["arrived", "file_path", "epoch"]
+MAX_ERROR_CHARS = 500  # of a message in the audit table; the log has all of it
 
 
 @contextmanager
@@ -42,12 +40,8 @@ def _persisted(df: DataFrame) -> Iterator[DataFrame]:
 
 
 def _heads(batch: DataFrame) -> DataFrame:
-    """One row per snapshot: when it arrived, from which file, its time and its size."""
-    return batch.groupBy(
-        F.unix_micros("file_modification_time").alias("arrived"),
-        "file_path",
-        F.col("header.timestamp").cast("bigint").alias("epoch"),
-    ).agg(F.sum(F.coalesce(F.size("entity"), F.lit(0))).alias("entities"))
+    """One row per snapshot: when it arrived, from which file, and its time."""
+    return batch.select(*ARRIVAL, epoch().alias("epoch")).distinct()
 
 
 def last_processed(wh: Warehouse) -> int | None:
@@ -66,22 +60,18 @@ class Marker:
     def __init__(self, wh: Warehouse):
         self.epoch = last_processed(wh)
 
-    def move(self, cycles: list[Row]) -> None:
-        times = [c.snapshot_ts.replace(tzinfo=timezone.utc) for c in cycles if c.status == RUN_OK]
-        if times:
-            self.epoch = int(max(times).timestamp())
-
-
-def _broadcast_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return left.join(F.broadcast(right), keys)
+    def move(self, cycles: DataFrame) -> None:
+        newest = cycles.where(F.col("status") == RUN_OK).agg(F.max("snapshot_ts")).first()[0]
+        if newest:
+            self.epoch = int(newest.replace(tzinfo=timezone.utc).timestamp())
 
 
 def _counts(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy(F.col("ts").alias("snapshot_ts")).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(F.col("ts").alias("snapshot_ts")).agg(F.count(F.lit(1)).cast("int").alias(name))
 
 
-def _cycles(heads: DataFrame, facts: DataFrame | None = None, new: DataFrame | None = None) -> list[Row]:
-    """One row per snapshot of the batch, in arrival order; `max_files` bounds their number."""
+def _cycles(heads: DataFrame, facts: DataFrame | None = None, new: DataFrame | None = None) -> DataFrame:
+    """One row per snapshot of the batch, with its counts and its place in the order of arrival."""
     rows = heads.withColumn("snapshot_ts", from_epoch(F.col("epoch")))
     for name, df in [("observed", facts), ("inserted", new)]:
         if df is None:
@@ -90,18 +80,19 @@ def _cycles(heads: DataFrame, facts: DataFrame | None = None, new: DataFrame | N
             count = F.when(F.col("fresh"), F.coalesce(name, F.lit(0))).otherwise(0)
             rows = rows.join(_counts(df, name), "snapshot_ts", "left").withColumn(name, count)
     status = F.when(F.col("fresh"), RUN_OK).otherwise(RUN_SKIPPED).alias("status")
-    return rows.orderBy(*ARRIVAL).select("snapshot_ts", "observed", "inserted", status).collect()
+    return rows.select(*ARRIVAL, "epoch", "snapshot_ts", "observed", "inserted", status)
 
 
 def store_batch(
     wh: Warehouse, batch: DataFrame, marker: Marker | None = None, on_orphans: str = "fail"
-) -> list[Row]:
+) -> DataFrame:
     """Match one batch, append its new facts and return its audit counts per snapshot.
 
     With a marker, snapshots that are not newer than it (or than earlier ones of the batch)
     are skipped. The schedule version is resolved anew for each batch, so a static load
-    takes effect without a restart. `on_orphans` is `fail`, or `quarantine` to set bad
-    facts aside.
+    takes effect without a restart. Of several updates of one key the first to arrive is
+    kept. `on_orphans` is `fail`, or `quarantine` to set bad facts aside. The counts are a
+    written table: they must not be worked out again once the facts are stored.
     """
     version_id = wh.current_version()
     with ExitStack() as cached:
@@ -111,22 +102,17 @@ def store_batch(
 
         heads = keep(_heads(batch))
         if marker:
-            heads = keep(mark_fresh(heads, ARRIVAL, "epoch", marker.epoch))
+            heads = keep(mark_fresh(heads, [*ARRIVAL, "epoch"], "epoch", marker.epoch))
         else:
             heads = heads.withColumn("fresh", F.lit(True))
-        first, last, size = heads.where("fresh").agg(
-            F.min("epoch"), F.max("epoch"), F.sum(F.col("entities") + 1)
-        ).first()
+        day = from_epoch(F.col("epoch")).cast("date").cast("string")
+        first, last, dates = heads.where("fresh").agg(F.min("epoch"), F.max("epoch"), F.collect_set(day)).first()
         if first is None:
-            return _cycles(heads)
-        # `size` bounds the number of snapshots and of trips in the batch
-        join = _broadcast_join if size <= MAX_BROADCAST_ENTITIES else lookup_join
-        fresh = join(
-            batch.withColumn("epoch", F.col("header.timestamp").cast("bigint")),
-            heads.where("fresh").select("file_path", "epoch"),
-            ["file_path", "epoch"],
+            return _kept_counts(wh, _cycles(heads))
+        fresh = batch.withColumn("epoch", epoch()).join(
+            heads.where("fresh").select("file_path", "epoch"), ["file_path", "epoch"]
         )
-        schedule = keep(join(wh.schedule(version_id), mentioned_trips(fresh, wh.cfg), ["trip_id"]))
+        schedule = keep(wh.schedule(version_id).join(mentioned_trips(fresh, wh.cfg), ["trip_id"]))
         facts = keep(match_snapshots(fresh, schedule, version_id, wh.cfg))
         kept, bad = facts, keep(integrity.orphans(facts, wh.dimensions(version_id)))
         if on_orphans == "quarantine":
@@ -137,39 +123,54 @@ def store_batch(
 
         # stored rows can only clash on the snapshot times of this batch
         first, last = (datetime.fromtimestamp(s, timezone.utc) for s in (first, last))
-        dates = [str((first + timedelta(days=i)).date()) for i in range((last.date() - first.date()).days + 1)]
-        stored = wh.read("fact_delay", dates).where(F.col("ts").between(ntz(first), ntz(last)))
-        new = keep(insertable(stored, kept, PRIMARY_KEYS["fact_delay"], POSITION).select(*FACT_COLUMNS))
-        # Counted before the append: writing to a table invalidates cached reads of it.
-        cycles = _cycles(heads, facts, new)
+        stored = wh.read("fact_delay", sorted(dates)).where(F.col("ts").between(ntz(first), ntz(last)))
+        order = [*ARRIVAL, *POSITION, F.asc("delay_s"), "status"]
+        new = keep(insertable(stored, kept, PRIMARY_KEYS["fact_delay"], order).select(*FACT_COLUMNS))
+        cycles = _kept_counts(wh, _cycles(heads, facts, new))
         wh.append("fact_delay", new.withColumn("ts_date", F.col("ts").cast("date")))
         return cycles
 
 
+def _kept_counts(wh: Warehouse, cycles: DataFrame) -> DataFrame:
+    folder = shared_folder(wh.spark, "cycles")
+    cycles.write.parquet(folder)
+    return wh.spark.read.schema(cycles.schema).parquet(folder)
+
+
 def audit(
-    wh: Warehouse, cycles: list[Row], started: datetime, seconds: float, error: str | None = None
+    wh: Warehouse, cycles: DataFrame, started: datetime, seconds: float, error: str | Column | None = None
 ) -> None:
     """Append one audit row per snapshot; a failure here is logged and nothing else.
 
-    Rows of one batch are one microsecond apart, so that `started_at` stays a key.
+    Rows of one batch are one microsecond apart, in the order of arrival, so that
+    `started_at` stays a key. `error` is a message for all rows, or a column of them.
     """
     try:
-        took = min(Decimal(str(round(seconds, 3))), MAX_SECONDS)
-        text = error[:MAX_ERROR_CHARS] if error else None
-        rows = [
-            (to_utc(started) + timedelta(microseconds=i), c.snapshot_ts, c.observed, c.inserted, took, c.status, text)
-            for i, c in enumerate(cycles)
-        ]
-        df = wh.spark.createDataFrame(
-            rows,
-            """started_at timestamp_ntz, snapshot_ts timestamp_ntz, observed int, inserted int,
-               seconds decimal(6,3), status string, error string""",
+        place = F.row_number().over(Window.orderBy(*ARRIVAL, "epoch")) - 1  # rows of one micro-batch
+        message = error if isinstance(error, Column) else F.lit(error).cast("string")
+        rows = cycles.select(
+            _after(started, place).alias("started_at"),
+            "snapshot_ts",
+            F.col("observed").cast("int").alias("observed"),
+            F.col("inserted").cast("int").alias("inserted"),
+            F.lit(Decimal(str(round(seconds, 3)))).cast("decimal(12,3)").alias("seconds"),
+            "status",
+            F.left(message, F.lit(MAX_ERROR_CHARS)).alias("error"),
         )
-        wh.append("fact_run", df.withColumn("week_start", week_start(F.col("started_at"))))
+        wh.append("fact_run", rows.withColumn("week_start", week_start(F.col("started_at"))))
     except Exception:
         log.exception("audit rows not written")
 
 
+def _after(started: datetime, micros: Column) -> Column:
+    return ntz(to_utc(started)) + F.make_dt_interval(secs=micros.cast("decimal(18,6)") / F.lit(1_000_000).cast("decimal(18,6)"))
+
+
+def _failed(heads: DataFrame) -> DataFrame:
+    counts = heads.withColumn("fresh", F.lit(False))
+    return _cycles(counts).withColumn("status", F.lit(RUN_ERROR))
+
+
 def process_batch(
     wh: Warehouse,
     batch: DataFrame,
@@ -177,46 +178,73 @@ def process_batch(
     marker: Marker | None = None,
     clock: Callable[[], datetime] = clock_now,
     on_orphans: str = "fail",
+    run_id: str = "",
 ) -> None:
     """One micro-batch: store, audit; on failure audit the error and set the input aside.
 
-    Replays are harmless: stored keys are not inserted again. Should even the set-aside
-    fail, the error stops the query and Spark repeats the batch after a restart.
+    Records that cannot be read are set aside for good and audited as errors, while the
+    other snapshots go on. Input is set aside below the id of the query's run, so that no
+    later run, whose batch ids start over, touches it. Replays are harmless: stored keys are
+    not inserted again. Should even the set-aside fail, the error stops the query and Spark
+    repeats the batch after a restart.
     """
     started, t0 = clock(), time.monotonic()
     with _persisted(batch) as batch:
+        lost = batch.where(unreadable())
+        if not lost.isEmpty():
+            log.error("batch %s holds unreadable records", batch_id)
+            lost.withColumn("run", F.lit(run_id)).write.mode("append").json(wh.path("_unreadable"))
+            reason = F.concat(F.lit("unreadable record in "), F.col("file_path"))
+            heads = lost.select(*ARRIVAL, epoch().alias("epoch"))
+            audit(wh, _failed(heads), started, time.monotonic() - t0, reason)
+            started = started + timedelta(seconds=1)  # keys of the rows that follow
+        good = batch.where(~unreadable())
         try:
-            cycles = store_batch(wh, batch, marker, on_orphans)
+            cycles = store_batch(wh, good, marker, on_orphans)
             if marker:
                 marker.move(cycles)
             audit(wh, cycles, started, time.monotonic() - t0)
+            _forget(wh, cycles)
         except Exception as error:
             log.exception("batch %s failed", batch_id)
-            batch.write.mode("overwrite").parquet(f"{wh.path('_quarantine')}/batch_id={batch_id}")
-            failed = [
-                Row(snapshot_ts=r.snapshot_ts, observed=0, inserted=0, status=RUN_ERROR)
-                for r in _cycles(_heads(batch).withColumn("fresh", F.lit(False)))
-            ]
-            audit(wh, failed, started, time.monotonic() - t0, str(error))
+            good.drop("corrupt").write.mode("append").parquet(f"{wh.path('_quarantine')}/run={run_id}/batch_id={batch_id}")
+            audit(wh, _failed(_heads(good)), started, time.monotonic() - t0, str(error))
+
+
+def _forget(wh: Warehouse, cycles: DataFrame) -> None:
+    """Delete a batch's written counts."""
+    for path in {f.rsplit("/", 1)[0] for f in cycles.inputFiles()}:
+        wh.delete(path)
 
 
 def replay_quarantine(
     wh: Warehouse, clock: Callable[[], datetime] = clock_now, on_orphans: str = "fail"
 ) -> int:
-    """Process the inputs of failed batches again; returns how many batches succeeded."""
+    """Process the inputs of failed batches again; returns how many batches succeeded.
+
+    A batch that fails again is audited, stays where it is and holds up no other.
+    """
     folder = wh.path("_quarantine")
     if not wh.exists(folder):
         return 0
-    schema = f"{FEED}, file_modification_time timestamp, file_path string, batch_id long"
+    schema = f"{FEED}, arrived bigint, file_path string, run string, batch_id long"
     waiting = wh.spark.read.schema(schema).parquet(folder)
-    batches = [row[0] for row in waiting.select("batch_id").distinct().collect()]
-    for batch_id in sorted(batches):
-        part = waiting.where(F.col("batch_id") == batch_id).drop("batch_id")
+    batches = sorted(tuple(row) for row in waiting.select("run", "batch_id").distinct().collect())
+    done = 0
+    for run, batch_id in batches:
+        part = waiting.where((F.col("run") == run) & (F.col("batch_id") == batch_id)).drop("run", "batch_id")
         started, t0 = clock(), time.monotonic()
-        cycles = store_batch(wh, part, on_orphans=on_orphans)
+        try:
+            cycles = store_batch(wh, part, on_orphans=on_orphans)
+        except Exception as error:
+            log.exception("batch %s of run %s failed again", batch_id, run)
+            audit(wh, _failed(_heads(part)), started, time.monotonic() - t0, str(error))
+            continue
         audit(wh, cycles, started, time.monotonic() - t0)
-        wh.delete(f"{folder}/batch_id={batch_id}")
-    return len(batches)
+        _forget(wh, cycles)
+        wh.delete(f"{folder}/run={run}/batch_id={batch_id}")
+        done += 1
+    return done
 
 
 def run_live(
@@ -237,9 +265,10 @@ def run_live(
     """
     wh.current_version()  # fail early when no schedule has been loaded
     marker = Marker(wh) if skip_stale else None
+    run_id = uuid.uuid4().hex
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        process_batch(wh, batch, batch_id, marker, clock, on_orphans)
+        process_batch(wh, batch, batch_id, marker, clock, on_orphans, run_id)
 
     writer = (
         stream_snapshots(wh.spark, landing, max_files)

@@ -20,7 +20,6 @@ from .schemas import NOT_NULL, PARTITION_COLUMN, PRIMARY_KEYS, TABLES
 
 DIMENSIONS = ["dim_line", "dim_stop", "dim_operator", "dim_date"]
 DATE_PARTITIONS = ["ts_date", "week_start", "bucket_date"]
-KEPT_LOADS = 3
 
 
 class NoVersionError(LookupError):
@@ -176,15 +175,6 @@ class Warehouse:
         stored = self.read("schedule", [str(version_id)])
         integrity.require_keys(stored, PRIMARY_KEYS["schedule"], NOT_NULL["schedule"], "schedule")
         self.append("dim_version", version.coalesce(1))
-        self._forget_old_loads()
-
-    def _forget_old_loads(self) -> None:
-        """Drop dimension copies that are neither recent nor still being written."""
-        latest = self.read("dim_version").orderBy(F.desc("loaded_at"), F.desc("version_id"))
-        kept = {row[0] for row in latest.select("version_id").limit(KEPT_LOADS).collect()}
-        oldest = min(kept)
-        for table in DIMENSIONS:
-            self.drop_partitions(table, lambda v: int(v) < oldest)
 
 
 def keep_known_labels(target: DataFrame, batch: DataFrame) -> DataFrame:
