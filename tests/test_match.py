@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tramlag.config import DEFAULTS
 from tramlag.functions.clock import bucket_ceiling, bucket_start
 from tramlag.operators import match
-from tramlag.operators.skip import fresh_only
+from tramlag.operators.skip import _cuts, fresh_only
 from tramlag.schemas import FEED
 
 NOON = int(datetime(2024, 7, 1, 12, tzinfo=timezone.utc).timestamp())
@@ -159,6 +159,16 @@ def test_stale_example(spark, rows):
     assert rows(fresh_only(heads, ["arrival"], "ts"), "ts") == [(5,), (7,)]
 
 
+def test_tied_arrivals_spread_over_ranges(spark):
+    """All files of a bulk copy share one arrival time; path and epoch still part them."""
+    values = [(7 * i) % 101 for i in range(400)]
+    heads = spark.createDataFrame([(1, f"f{i:04}", v) for i, v in enumerate(values)], "arrived long, file_path string, epoch long")
+    order = ["arrived", "file_path", "epoch"]
+    assert len(_cuts(heads, order, 8)) == 7
+    got = fresh_only(heads, order, "epoch", None, rows_per_range=50)
+    assert [r[0] for r in got.orderBy("file_path").select("epoch").collect()] == loop(values, None)
+
+
 def test_scalar_buckets():
     zone = DEFAULTS.zone
     spring = datetime(2024, 3, 31, 12)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tramlag.operators.integrity import IntegrityError
 from tramlag.plans import maintain
-from tramlag.plans.static_load import NoPackageError, load_static
+from tramlag.plans.static_load import MissingPackageError, NoPackageError, load_static
+from tramlag.sources.packages import IncompletePackageError
 from tramlag.schemas import TABLES
 from tramlag.warehouse import NoVersionError, Warehouse, keep_known_labels, week_start
 
@@ -128,6 +129,34 @@ def test_failing_loads(spark, wh, tmp_path):
         wh.current_version()
 
 
+@pytest.mark.parametrize(
+    "members",
+    [
+        {"stop_times": None},
+        {"routes": None},
+        {"stop_times": "trip_id,stop_id,stop_sequence\nT1,S1,1\n"},
+    ],
+)
+def test_incomplete_packages_are_refused(spark, wh, tmp_path, members):
+    landing, catalogue = land(spark, tmp_path, ("2026.02.20", 1, "20260301", "20260308", members))
+    with pytest.raises(IncompletePackageError, match=next(iter(members))):
+        load_static(wh, landing, catalogue, TODAY, datetime(2026, 3, 2, 4))
+    with pytest.raises(NoVersionError):
+        wh.current_version()
+
+
+def test_a_listed_package_must_have_landed_and_an_unlisted_one_is_not_opened(spark, wh, tmp_path):
+    landing, catalogue = land(spark, tmp_path, ("2026.02.20", 1, "20260301", "20260331", {}))
+    (tmp_path / "landing" / "schedule_ZTM_2026.02.28_9_1.zip").write_bytes(b"no archive at all")
+    old, new = zips.name_of("2026.01.01", 1), zips.name_of("2026.02.25", 7)
+    rows = spark.createDataFrame([(n, "u") for n in (old, new)], "name string, url string")
+    with pytest.raises(MissingPackageError, match="2026.02.25"):
+        load_static(wh, landing, catalogue.unionByName(rows), TODAY, datetime(2026, 3, 2, 4))
+    # an old one that could add no day is not needed
+    only_old = rows.where(rows["name"] == old)
+    assert load_static(wh, landing, catalogue.unionByName(only_old), TODAY, datetime(2026, 3, 2, 4)) == 1
+
+
 def test_empty_tables_have_their_schema(spark, wh):
     for table, schema in TABLES.items():
         assert wh.read(table).schema == spark.createDataFrame([], schema).schema

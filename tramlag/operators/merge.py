@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -11,11 +9,6 @@ from pyspark.sql.window import Window as W
 PACKAGE_ORDER = ["pkg_ord", "line_no"]
 
 
-def concat_by_name(frames: list[DataFrame]) -> DataFrame:
-    """Rows of all frames, columns matched by name, missing columns null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """One row per key, the first in `order`; null keys count as equal.
 

@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 ROWS_PER_RANGE = 100_000
-MAX_RANGES = 1_000
+MAX_RANGES = 1_000  # of the layout: beyond ROWS_PER_RANGE * MAX_RANGES heads, ranges get longer
+SAMPLED_PER_RANGE = 20
+
+
+def _cuts(heads: DataFrame, arrival: list[str], ranges: int) -> list[tuple]:
+    """Ends of about equal ranges of the whole arrival order, from a bounded sample by hash."""
+    if ranges < 2:
+        return []
+    sample = heads.select(*arrival).orderBy(F.xxhash64(*arrival)).limit(ranges * SAMPLED_PER_RANGE).collect()
+    places = sorted(map(tuple, sample))
+    return sorted({places[len(places) * i // ranges] for i in range(1, ranges)})
 
 
 def mark_fresh(
@@ -24,13 +34,19 @@ def mark_fresh(
     A skipped head never exceeds the marker, so the marker is the running maximum of all
     earlier heads. It is the maximum over whole earlier ranges of the arrival order, plus
     the running maximum inside a head's own range: no window spans all heads. `arrival`
-    gives a total order and starts with a number; `last` is the epoch time of the last
-    processed snapshot (`ts` holds epoch seconds then).
+    gives a total order without nulls, all of which cuts the ranges: files landed at one
+    moment spread over several. `last` is the epoch time of the last processed snapshot
+    (`ts` holds epoch seconds then).
     """
     ranges = min(math.ceil(heads.count() / rows_per_range), MAX_RANGES)
-    cuts = heads.approxQuantile(arrival[0], [i / ranges for i in range(1, ranges)], 0.1 / ranges) if ranges > 1 else []
-    cut_values = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    placed = heads.withColumn("_range", F.size(F.filter(cut_values, lambda c: c < F.col(arrival[0]))))
+    order = F.struct(*[F.col(c).alias(c) for c in arrival])
+    kinds = [heads.schema[c].dataType for c in arrival]
+    cuts = [
+        F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, arrival)])
+        for cut in _cuts(heads, arrival, ranges)
+    ]
+    range_of = F.size(F.filter(F.array(*cuts), lambda c: c < order)) if cuts else F.lit(0)
+    placed = heads.withColumn("_range", range_of)
 
     # one row per range, at most MAX_RANGES
     earlier_ranges = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import MERGE_KEYS
 from ..operators import dims as d
@@ -20,11 +21,36 @@ class NoPackageError(LookupError):
     """No landed package is valid on any wanted day."""
 
 
+class MissingPackageError(LookupError):
+    """The catalogue names a package that the load needs and that has not landed."""
+
+
 def choose_packages(wh: Warehouse, landing: str, catalogue: DataFrame, today: date, horizon_days: int) -> DataFrame:
-    """Selected packages with their period and `pkg_ord`."""
-    periods = p.read_periods(p.zip_files(wh.spark, landing))
-    candidates = p.parse_catalogue(catalogue, wh.cfg).join(periods, "name")
-    return p.select_packages(candidates, today, horizon_days, wh.cfg)
+    """Selected packages with their period and `pkg_ord`. Archives outside the catalogue are not opened."""
+    listed = p.parse_catalogue(catalogue, wh.cfg).persist()
+    files = p.zip_files(wh.spark, landing).join(listed.select("name").distinct(), "name", "left_semi")
+    periods = p.read_periods(files)
+    selected = p.select_packages(listed.join(periods, "name"), today, horizon_days, wh.cfg).persist()
+    require_landed(listed, periods, selected, today, horizon_days)
+    listed.unpersist()
+    return selected
+
+
+def require_landed(
+    listed: DataFrame, periods: DataFrame, selected: DataFrame, today: date, horizon_days: int
+) -> None:
+    """Fail if a package is missing that could have covered a day: any, while days are left
+    uncovered, else one newer than the oldest selected. `selected` is one row a day at most."""
+    rank = F.struct(*p.RANK)
+    missing = listed.join(periods, "name", "left_anti").agg(F.max(rank)).first()[0]
+    if missing is None:
+        return
+    chosen = selected.select(rank.alias("rank"), "period_start", "period_end").collect()
+    days = {today + timedelta(days=i) for i in range(horizon_days)}
+    for row in chosen:
+        days -= {day for day in days if row["period_start"] <= day <= row["period_end"]}
+    if days or tuple(missing) > min(tuple(row["rank"]) for row in chosen):
+        raise MissingPackageError(f"{missing['name']} is in the catalogue but has not landed")
 
 
 def build_dimensions(wh: Warehouse, tables: dict[str, DataFrame], first: date, last: date) -> dict[str, DataFrame]:
@@ -54,15 +80,27 @@ def load_static(
     """
     horizon_days = horizon_days or wh.cfg.horizon_days
     last = today + timedelta(days=horizon_days - 1)
-    selected = choose_packages(wh, landing, catalogue, today, horizon_days).persist()
+    selected = choose_packages(wh, landing, catalogue, today, horizon_days)
     if selected.isEmpty():
         raise NoPackageError(f"no package is valid from {today} on")
 
     staging = shared_folder(wh.spark, "packages")
+    try:
+        return _load(wh, landing, selected, staging, today, now, last, keep_known_day_type)
+    finally:
+        selected.unpersist()
+        wh.delete(staging)
+
+
+def _load(
+    wh: Warehouse, landing: str, selected: DataFrame, staging: str, today: date, now: datetime, last: date,
+    keep_known_day_type: bool,
+) -> int:
     p.unpack_packages(wh.spark, landing, selected).write.partitionBy("member").parquet(staging)
     records = wh.spark.read.schema(
         "pkg_ord int, line_no long, record map<string,string>, member string"
     ).parquet(staging)
+    p.require_complete(records)
     raw = {name: p.member_table(records, name, columns) for name, columns in p.MEMBER_COLUMNS.items()}
     hot_trips = hot_keys(raw["stop_times"], ["trip_id"])
     raw["stop_times"] = near_trip(raw["stop_times"], hot_trips)
@@ -78,6 +116,4 @@ def load_static(
         schedule,
         keep_known_day_type,
     )
-    selected.unpersist()
-    wh.delete(staging)
     return version_id

@@ -366,8 +366,13 @@ ORACLE: dict[str, str] = {
     + """select ts, status, count(*) as observed from (
         select ts, status from cancelled_rows union all select ts, status from matched) group by all""",
     "r14_live_stream": _with(_FEED)
-    + """select distinct ts, trip_id, stop_id, stop_sequence, line_id, operator_id, direction, service_date
-      from (select * from cancelled_rows union all select * exclude (update_pos) from matched)""",
+    + """select ts, cast(1 as int) as version_id, trip_id, stop_id, stop_sequence, line_id, operator_id, direction,
+        service_date, delay_s, status
+      from (
+        select *, row_number() over (
+          partition by ts, trip_id, stop_id, stop_sequence order by update_pos, delay_s nulls first, status) as rn
+        from (select *, stop_sequence as update_pos from cancelled_rows union all select * from matched))
+      where rn = 1""",
     "w2_upsert": _with(_LINES)
     + """select line_id, short_name, case when p_size > 20 then long_name else 'before' end as long_name,
         mode, line_type from line join part on line_id = 'L' || p_partkey""",
@@ -461,3 +466,6 @@ ORACLE: dict[str, str] = {
     "k8_recent_by_line": _recent("line_id", "L3"),
     "k8_recent_by_operator": _recent("operator_id", "O2"),
 }
+# the same rows, by the jobs on stored tables
+for _job, _rule in {"t1_retention_stored": "t1_retention", "a11_refresh_stored": "a11_refresh_window"}.items():
+    ORACLE[_job] = ORACLE[_rule]

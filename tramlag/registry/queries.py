@@ -95,13 +95,18 @@ def s7_schedule_scan(spark, sf):
 
 @query
 def m1_concat(spark, sf):
-    first = s.stops(spark, sf).select("stop_id", "stop_name", "stop_lat")
+    """Two packages with other columns in another order, as records of their own headers."""
+    first = s.stops(spark, sf).select(
+        F.lit(1).alias("pkg_ord"),
+        F.create_map(F.lit("stop_id"), "stop_id", F.lit("stop_name"), "stop_name").alias("record"),
+    )
+    stop_id = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
     second = s.table(spark, sf, "customer").select(
-        F.col("c_mktsegment").alias("zone"),
-        F.col("c_name").alias("stop_name"),
-        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("stop_id"),
+        F.lit(2).alias("pkg_ord"),
+        F.create_map(F.lit("zone"), "c_mktsegment", F.lit("stop_name"), "c_name", F.lit("stop_id"), stop_id).alias("record"),
     )
-    return merge.concat_by_name([first, second]).select("stop_id", "stop_name", "zone")
+    records = first.unionByName(second).select("*", F.lit("stops").alias("member"), F.lit(0).alias("line_no"))
+    return p.member_table(records, "stops", ["stop_id", "stop_name", "zone"]).drop("pkg_ord", "line_no")
 
 
 @query
@@ -247,8 +252,8 @@ def r13_cycle_counts(spark, sf):
 def r14_live_stream(spark, sf):
     """The whole live path: land snapshots as files, stream them, match, check, store.
 
-    The facts hold one row per key; which of several updates of one key is kept depends on
-    file order, so delay and status are left out.
+    Snapshots of one time land in one file, so that the order of files does not decide which
+    of several updates of one key is kept.
     """
     wh = Warehouse(spark, shared_folder(spark, "live"))
     dims = {
@@ -266,13 +271,12 @@ def r14_live_stream(spark, sf):
     )
     wh.publish(version, 1, dims, s.schedule(spark, sf))
     landing = shared_folder(spark, "landing")
-    s.snapshots(spark, sf).write.json(landing)
+    s.snapshots(spark, sf).repartition("header.timestamp").write.json(landing)
     stream = run_live(
         wh, landing, shared_folder(spark, "stream"), once=True, max_files=64, skip_stale=False
     )
     stream.awaitTermination()
-    keys = ["ts", "trip_id", "stop_id", "stop_sequence"]
-    return wh.read("fact_delay").select(*keys, "line_id", "operator_id", "direction", "service_date")
+    return wh.read("fact_delay").drop("ts_date")
 
 
 # ------------------------------------------------------------------ writers and checks
@@ -342,6 +346,15 @@ def t1_retention(spark, sf):
     return facts.select("ts", "trip_id", "stop_id", "stop_sequence", "status")
 
 
+@query
+def t1_retention_stored(spark, sf):
+    """The retention job on stored partitions."""
+    wh = Warehouse(spark, shared_folder(spark, "retention"))
+    wh.append("fact_delay", s.fact_delay(spark, sf).withColumn("ts_date", F.col("ts").cast("date")))
+    maintain.apply_retention(wh, RETENTION_NOW)
+    return wh.read("fact_delay").select("ts", "trip_id", "stop_id", "stop_sequence", "status")
+
+
 @query
 def t2_run_retention(spark, sf):
     first = maintain.first_kept_day(RUN_RETENTION_NOW, DEFAULTS.run_retention, weekly=True)
@@ -382,6 +395,18 @@ def a11_refresh_window(spark, sf):
     return upsert.recompute_window(stored, rollup.line_15m(in_window), ntz(lo), ntz(hi))
 
 
+@query
+def a11_refresh_stored(spark, sf):
+    """As a11_refresh_window, by the refresh job on stored tables."""
+    wh = Warehouse(spark, shared_folder(spark, "refresh"))
+    facts = s.fact_delay(spark, sf)
+    wh.append("fact_delay", facts.withColumn("ts_date", F.col("ts").cast("date")))
+    observed = rollup.line_15m(facts.where(F.col("status") == OBSERVED))
+    wh.append("agg_line_15m", observed.withColumn("bucket_date", F.col("bucket").cast("date")))
+    maintain.refresh(wh, "agg_line_15m", REFRESH_NOW)
+    return wh.read("agg_line_15m").drop("bucket_date")
+
+
 # ------------------------------------------------------------------ reports
 
 

@@ -19,6 +19,7 @@ from ..functions.lenient import empty_to_null
 # Newest package = greatest tuple; url and name break ties.
 RANK = ["year", "month", "day", "seq", "url", "name"]
 _CHUNK_ROWS = 20_000
+HEADER = -1
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
@@ -105,7 +106,8 @@ def _records(content: bytes, members: list[str]) -> Iterator[tuple[str, int, dic
     """(member, line number, record) for the wanted CSV members of one ZIP.
 
     Member streams are decoded as they are read; a byte order mark is dropped, header
-    names are trimmed, and a record longer than its header is an error.
+    names are trimmed, and a record longer than its header is an error. The header itself
+    comes first, as record number `HEADER` with empty values.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         present = set(archive.namelist())
@@ -115,6 +117,7 @@ def _records(content: bytes, members: list[str]) -> Iterator[tuple[str, int, dic
             with archive.open(f"{member}.txt") as raw:
                 lines = csv.reader(io.TextIOWrapper(raw, "utf-8-sig", newline=""))
                 header = [name.strip() for name in next(lines, [])]
+                yield member, HEADER, dict.fromkeys(header, "")
                 for number, fields in enumerate(row for row in lines if row):
                     if len(fields) > len(header):
                         raise ValueError(f"{member}.txt record {number}: {len(fields)} fields")
@@ -192,7 +195,7 @@ def unpack_packages(
 def member_table(records: DataFrame, member: str, columns: list[str]) -> DataFrame:
     """One package table: the given columns of all packages by name, empty text as null."""
     fields = [empty_to_null(F.col("record")[c]).alias(c) for c in columns]
-    return records.where(F.col("member") == member).select("pkg_ord", "line_no", *fields)
+    return records.where((F.col("member") == member) & (F.col("line_no") != HEADER)).select("pkg_ord", "line_no", *fields)
 
 
 # Columns that the warehouse uses of each package table (fixed by the package format).
@@ -216,3 +219,22 @@ MEMBER_COLUMNS = {
     "calendar_dates": ["service_id", "date", "exception_type"],
     "service_ext": ["service_id", "name"],
 }
+
+# Members that are read but not used; all others must come with all columns above.
+UNUSED_MEMBERS = {"feed_info", "agency", "calendar_dates"}
+
+
+class IncompletePackageError(ValueError):
+    """The selected packages lack a member or a column that the warehouse needs."""
+
+
+def require_complete(records: DataFrame) -> None:
+    """Fail unless every used member, with every used column, is in at least one package.
+
+    The headers are a few hundred names, whatever the size of the packages.
+    """
+    headers = records.where(F.col("line_no") == HEADER).select("member", F.explode(F.map_keys("record")).alias("name"))
+    found = {(r["member"], r["name"]) for r in headers.distinct().collect()}
+    wanted = {(m, c) for m, columns in MEMBER_COLUMNS.items() if m not in UNUSED_MEMBERS for c in columns}
+    if missing := sorted(wanted - found):
+        raise IncompletePackageError(f"not in any selected package: {missing}")
