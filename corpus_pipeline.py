@@ -17,8 +17,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (SimHash of five-word shingles)."""
-    return simhash_vp.one_of_each(docs)
+    """One document of each group of near copies, by the contract of operator 2: SimHash of
+    three-word shingles, links at three or fewer differing bits."""
+    return simhash_vp.one_of_each(docs, shingle=3, radius=3)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
