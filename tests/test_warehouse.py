@@ -248,6 +248,16 @@ def test_retention(spark, wh, rows):
     assert maintain.first_kept_day(datetime(2026, 3, 20), timedelta(days=30)) == date(2026, 2, 18)
 
 
+def test_closed_dates_are_compacted(spark, wh, rows):
+    empty = wh.read("fact_delay").schema
+    for n in (17, 17, 19, 19):
+        df = spark.createDataFrame([(datetime(2026, 3, n, 10), f"T{n}")], "ts timestamp_ntz, trip_id string")
+        df = df.withColumn("ts_date", F.col("ts").cast("date"))
+        wh.append("fact_delay", df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in empty]))
+    assert maintain.compact_closed(wh, NOW) == ["2026-03-17"]
+    assert wh.files("fact_delay", "2026-03-17") == 1 and wh.files("fact_delay", "2026-03-19") == 2
+
+
 def test_views(spark, wh, two_packages):
     load_static(wh, *two_packages, TODAY, datetime(2026, 3, 2, 4))
     add_facts(spark, wh, (datetime(2026, 3, 15, 9), 90))

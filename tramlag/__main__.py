@@ -6,6 +6,7 @@
     refresh     --root R [--level NAME] [--now TIME]
     backfill    --root R --level NAME --first TIME --last TIME
     retention   --root R [--now TIME]
+    compact     --root R [--now TIME]
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     fill.add_argument("--first", type=datetime.fromisoformat, required=True)
     fill.add_argument("--last", type=datetime.fromisoformat, required=True)
     keep = job("retention")
-    for sub in (refresh, keep):
+    pack = job("compact")
+    for sub in (refresh, keep, pack):
         sub.add_argument("--now", type=datetime.fromisoformat, default=None, help="UTC, default: the clock")
     return parser.parse_args(argv)
 
@@ -79,6 +81,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             maintain.refresh(wh, level, now)
     elif args.job == "backfill":
         maintain.backfill(wh, args.level, args.first, args.last)
+    elif args.job == "compact":
+        maintain.compact_closed(wh, now)
     else:
         maintain.apply_retention(wh, now)
 

@@ -108,6 +108,18 @@ def first_kept_day(now: datetime, keep: timedelta, weekly: bool = False) -> date
     return limit - timedelta(days=limit.weekday()) if weekly else limit
 
 
+def compact_closed(wh: Warehouse, now: datetime) -> list[str]:
+    """Rewrite the fact dates before yesterday that lie in several files; returns them.
+
+    A live query appends a file a cycle and date; snapshots that old are no longer awaited.
+    """
+    closed = (to_utc(now).date() - timedelta(days=1)).isoformat()
+    values = [v for v in wh.partitions("fact_delay") if v < closed and wh.files("fact_delay", v) > 1]
+    for value in values:
+        wh.compact("fact_delay", value)
+    return values
+
+
 def apply_retention(wh: Warehouse, now: datetime) -> dict[str, list[str]]:
     """Drop the expired partitions of facts and audit rows; aggregates stay."""
     facts = first_kept_day(now, wh.cfg.fact_retention).isoformat()

@@ -133,6 +133,12 @@ class Warehouse:
             .parquet(self.path(table))
         )
 
+    def files(self, table: str, value: str) -> int:
+        """Number of data files of one partition."""
+        files, jvm_path = self._hadoop(f"{self.path(table)}/{PARTITION_COLUMN[table]}={value}")
+        names = [status.getPath().getName() for status in files.listStatus(jvm_path)]
+        return sum(not name.startswith(("_", ".")) for name in names)
+
     def compact(self, table: str, value: str) -> None:
         """Rewrite one partition, to which nothing is appended any more, in full-sized files."""
         self.replace_partitions(table, self.read(table, [value]))
