@@ -60,6 +60,30 @@ def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP7_SQL = r"""
+with split as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents
+),
+windows as (
+  select doc_id, pos, array_to_string(ws[pos:pos + 12], ' ') as run
+  from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as pos from split)
+),
+firsts as (select run, min(doc_id) as first_doc from windows group by run),
+gone as (
+  select distinct doc_id, unnest(range(pos, pos + 13)) as pos
+  from windows join firsts using (run) where doc_id > first_doc
+),
+words as (select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos from split),
+kept as (
+  select w.doc_id, count(*) as n, string_agg(word, ' ' order by w.pos) as text
+  from words w anti join gone g on g.doc_id = w.doc_id and g.pos = w.pos group by w.doc_id
+)
+select s.doc_id, cast(len(ws) as bigint) as n_words, cast(len(ws) - coalesce(k.n, 0) as bigint) as n_removed,
+       sha256(coalesce(k.text, '')) as kept_sha256
+from split s left join kept k on k.doc_id = s.doc_id
+"""
+
+
 def op8_mix_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing_wfq.queues(_table(spark, sf_dir, "documents"))
     return rows.select(
@@ -191,4 +215,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-ORACLE = {"op5_bm25_wand": OP5_SQL, "op8_mix_fair_queueing": OP8_SQL}
+ORACLE = {"op5_bm25_wand": OP5_SQL, "op7_substring_count_min": OP7_SQL, "op8_mix_fair_queueing": OP8_SQL}
