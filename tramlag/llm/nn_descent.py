@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import components, written
+from tramlag.llm.common import components, first_by_hash, written
 
 #: Neighbours a list starts with, and how much a list that is full of links grows a round.
 NEIGHBOURS, GROWTH = 8, 2
@@ -327,10 +327,10 @@ def recounted(nodes: DataFrame, kind: str, classes: DataFrame, threshold: float)
     return counted.mapInArrow(count, "node bigint, linked bigint").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def audit(nodes: DataFrame, kind: str, counts: DataFrame, threshold: float) -> float:
+def audit(nodes: DataFrame, number: int, kind: str, counts: DataFrame, threshold: float) -> float:
     """Recall: the mean share of its links that is known of a node with links, over AUDITED nodes and
     by brute force against all nodes. Every node weighs the same, whether it has one link or many."""
-    chosen = nodes.orderBy(F.xxhash64(F.col("node") + 1), "node").limit(AUDITED).select("node", "vec", "dim").collect()
+    chosen = first_by_hash(nodes.select("node", "vec", "dim"), "node", AUDITED, number, salt=1).collect()
     names = np.array([r.node for r in chosen], np.int64)
     probes = {}
     for dim in {r.dim for r in chosen}:
@@ -370,7 +370,7 @@ def near_duplicates(
     nodes, kind = nodes_of(vectors, id_column, embedding)
     nodes = written(nodes, "nodes")
     number = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vec", "dim").collect()
+    sample = first_by_hash(nodes.select("node", "vec", "dim"), "node", SAMPLE, number).collect()
     dims = sorted({r.dim for r in sample})
     graph, counts, classes, seed = None, None, None, 0
     for _ in range(TRIES):
@@ -392,7 +392,7 @@ def near_duplicates(
             before = links
         classes = components(edges_of(graph, threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
         counts = written(recounted(nodes, kind, classes, threshold), "counts")
-        recall = audit(nodes, kind, counts, threshold)
+        recall = audit(nodes, number, kind, counts, threshold)
         if recall is None or recall >= RECALL:
             break
     of = nodes.select("node", "copies", "e").join(classes, "node", "left").join(counts, "node", "left")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import extended, slices
+from tramlag.llm.common import extended, first_by_hash, slices
 
 #: Rated rows that the fit uses at most (those first by a hash of their id), and the hashed space.
 FIT_ROWS = 6_000
@@ -127,7 +127,7 @@ def train(
     ratings of an id the mean counts. The driver gets hashed features, at most BUCKETS a row."""
     rated = ratings.where(F.col(id_column).isNotNull() & F.col(grade).isNotNull())
     rated = rated.groupBy(id_column).agg(F.avg(grade).alias("_grade"))
-    chosen = rated.orderBy(F.xxhash64(F.col(id_column)), id_column).limit(fit_rows)
+    chosen = first_by_hash(rated, id_column, fit_rows, rated.count())
     own = docs.select(id_column, F.col(text).cast("string").alias("_text")).where("_text is not null")
     joined = own.join(chosen, id_column).select("_text", "_grade")
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import components, words_of, written
+from tramlag.llm.common import components, first_by_hash, words_of, written
 
 SEED = 42
 #: Fingerprints that the upper tree is fitted on, at most.
@@ -172,7 +172,7 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     of all links at `radius` or fewer differing bits."""
     number = distinct.count()
     shards = min(MAX_SHARDS, max(1, -(-number // SHARD)))
-    by_hash = distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE)
+    by_hash = first_by_hash(distinct.select("fp"), "fp", SAMPLE, number)
     sample = np.array([r.fp for r in by_hash.collect()] or [0], np.int64).view(np.uint64)
     nodes = build(sample, shards, radius)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import extended, slices, written
+from tramlag.llm.common import extended, first_by_hash, slices, written
 
 #: Labelled rows that are learned from, at most, of either class (first by a hash of the id).
 FIT_TOXIC, FIT_CLEAN = 6_000, 12_000
@@ -128,12 +128,11 @@ def train(
     """
     known = labels.where(F.col(id_column).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(id_column).agg(F.max(F.col(label).cast("int")).alias("_toxic"))
-    in_order = [F.xxhash64(F.col(id_column)), F.col(id_column)]
     numbers = {r[0]: r[1] for r in known.groupBy("_toxic").count().collect()}
     if not numbers.get(1) or not numbers.get(0):
         return Lexicon()
-    chosen = known.where("_toxic = 1").orderBy(*in_order).limit(fit_toxic).unionByName(
-        known.where("_toxic = 0").orderBy(*in_order).limit(fit_clean)
+    chosen = first_by_hash(known.where("_toxic = 1"), id_column, fit_toxic, numbers[1]).unionByName(
+        first_by_hash(known.where("_toxic = 0"), id_column, fit_clean, numbers[0])
     )
     sample = docs.select(id_column, F.col(text).cast("string").alias("_text")).where("_text is not null")
     sample = written(sample.join(chosen, id_column).select("_text", "_toxic"), "labelled")
