@@ -34,6 +34,7 @@ def found(df):
 def test_equals_brute_force_with_a_dense_group(spark, monkeypatch):
     monkeypatch.setattr(nn_descent, "BLOCK", 40)  # smaller than the dense group
     monkeypatch.setattr(nn_descent, "LEAF", 30)
+    monkeypatch.setattr(nn_descent, "COUNTED", 40)
     rng = np.random.default_rng(5)
     vectors = [rng.normal(size=16) for _ in range(250)]
     centre = rng.normal(size=16)

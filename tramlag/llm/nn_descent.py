@@ -23,6 +23,8 @@ from tramlag.llm.common import components, first_by_hash, written
 NEIGHBOURS, GROWTH = 8, 2
 #: Vectors that trees are fitted on at most, nodes of a leaf, members compared at once.
 SAMPLE, LEAF, BLOCK = 16_384, 192, 512
+#: Members of a component that a task compares with as many others.
+COUNTED = 256
 TREES, ROUNDS = 6, 3
 #: Nodes of the audit, the mean share of a node's links that must be known, and how often more is tried.
 AUDITED, RECALL, TRIES = 1_024, 0.98, 3
@@ -300,7 +302,7 @@ def recounted(nodes: DataFrame, kind: str, classes: DataFrame, threshold: float)
     A component of many nodes is dealt out in pairs of blocks; a pair of blocks gives a count a node.
     """
     sizes = classes.groupBy("root").count()
-    blocks = sizes.select("root", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+    blocks = sizes.select("root", F.ceil(F.col("count") / COUNTED).cast("int").alias("blocks"))
     placed = classes.join(blocks, "root").join(nodes.drop("e"), "node")
     placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
