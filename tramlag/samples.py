@@ -29,6 +29,11 @@ def _prefixed(letter: str, value: Column) -> Column:
     return F.concat(F.lit(letter), value.cast("string"))
 
 
+def _keyed(letter: str, value: Column, known: Column) -> Column:
+    """The key, or one that nothing refers to: a gap in a join without leaving out a row."""
+    return F.concat(F.when(known, letter).otherwise("X"), value.cast("string"))
+
+
 def _yyyymmdd(day: Column) -> Column:
     return F.replace(day.cast("string"), F.lit("-"), F.lit(""))
 
@@ -105,9 +110,9 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trips_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cheap orders have no ext row, which leaves gaps in the left join."""
-    return table(spark, sf_dir, "orders").where("o_totalprice >= 50000").select(
-        _prefixed("T", F.col("o_orderkey")).alias("trip_id"),
+    """The ext rows of cheap orders name no trip, which leaves gaps in the left join."""
+    return table(spark, sf_dir, "orders").select(
+        _keyed("T", F.col("o_orderkey"), F.col("o_totalprice") >= 50000).alias("trip_id"),
         _prefixed("O", F.col("o_custkey") % 5).alias("operator_id"),
     )
 
@@ -130,9 +135,9 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routes_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Small parts have no ext row; one type is empty."""
-    return table(spark, sf_dir, "part").where("p_size > 10").select(
-        _prefixed("L", F.col("p_partkey")).alias("route_id"),
+    """The ext rows of small parts name no route; one type is empty."""
+    return table(spark, sf_dir, "part").select(
+        _keyed("L", F.col("p_partkey"), F.col("p_size") > 10).alias("route_id"),
         F.when(F.col("p_type") != "PROMO", F.col("p_type")).alias("route_type_1"),
     )
 
@@ -148,10 +153,10 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stops_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Poor suppliers have no ext row; some have no attributes."""
+    """The ext rows of poor suppliers name no stop; some have no attributes."""
     nation = F.col("s_nationkey")
-    return table(spark, sf_dir, "supplier").where("s_acctbal >= 1000").select(
-        _prefixed("S", F.col("s_suppkey")).alias("stop_id"),
+    return table(spark, sf_dir, "supplier").select(
+        _keyed("S", F.col("s_suppkey"), F.col("s_acctbal") >= 1000).alias("stop_id"),
         F.concat_ws("_", nation.cast("string"), F.lit("99")).alias("community_ids"),
         F.concat(F.lit("City "), nation.cast("string")).alias("city"),
         F.when(F.col("s_acctbal") >= 3000, F.concat_ws("_", (nation % 7).cast("string"), F.lit("1"))).alias(
@@ -161,9 +166,9 @@ def stops_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def communities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations below 20, so that some stops name an unknown commune."""
-    return table(spark, sf_dir, "nation").where("n_nationkey < 20").select(
-        F.col("n_nationkey").cast("string").alias("community_id"), F.col("n_name").alias("community_name")
+    """Nations from 20 on go by another key, so that some stops name an unknown commune."""
+    return table(spark, sf_dir, "nation").select(
+        _keyed("", F.col("n_nationkey"), F.col("n_nationkey") < 20).alias("community_id"), F.col("n_name").alias("community_name")
     )
 
 
@@ -297,7 +302,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     A lineitem gives an entity with two stop updates: its own line number (missing for
     some, skipped for returned goods, partly without an arrival) and the following one.
     Some entities lack the trip update or the trip id. An urgent, partly shipped order
-    gives a cancelled trip, whose own stop update is to be ignored.
+    gives a cancelled trip, whose own stop update is to be ignored; other orders give
+    entities without a trip update.
     """
     returned = F.when(F.col("l_returnflag") == "R", "SKIPPED")
     delay = F.when(
@@ -319,14 +325,15 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_quantity") < 50,
         ).alias("entity"),
     )
-    cancelled = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'").select(
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+    cancelled = table(spark, sf_dir, "orders").select(
         _header("o_orderdate").alias("header"),
         _entity(
             F.col("o_orderkey"),
             _prefixed("T", F.col("o_orderkey")),
             F.lit("CANCELED"),
             F.array(_update(F.lit(1), nothing, F.lit(0))),
-            F.lit(True),
+            urgent,
         ).alias("entity"),
     )
     return running.unionByName(cancelled)
