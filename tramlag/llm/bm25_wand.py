@@ -28,7 +28,7 @@ from tramlag.llm.common import slices, written
 
 K1, B = 1.2, 0.75
 #: Text of a shard, postings of a block, parts of a shard that are read for their terms, queries run at once.
-SHARD_BYTES, BLOCK, PARTS, QUERIES = 16 << 20, 64, 64, 256
+SHARD_BYTES, BLOCK, PARTS, QUERIES = 4 << 20, 64, 32, 256
 #: Terms: runs of anything but blanks, controls and ASCII punctuation, in lower case.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 NO_ID = -(2**63)
