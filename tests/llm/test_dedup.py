@@ -122,6 +122,7 @@ def test_removal_over_small_chunks(spark, monkeypatch):
     random.seed(1)
     vocabulary = [f"v{i}" for i in range(40)]
     rows = [(i, " ".join(random.choices(vocabulary, k=random.randint(0, 60)))) for i in range(120)]
+    monkeypatch.setattr(substring_cm, "SKETCHED", 300)
     monkeypatch.setattr(substring_cm, "CHUNK", 200)
     monkeypatch.setattr(substring_cm, "TEXT_BYTES", 500)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)

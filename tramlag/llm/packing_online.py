@@ -26,9 +26,9 @@ from tramlag.llm.common import slices, written
 OPEN_WINDOWS = 16
 #: Tasks whose leftovers are merged at once.
 GROUP = 16
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 #: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 FIELDS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -54,7 +54,7 @@ def encoder(path: str, ranks: str | None = None, pattern: str | None = None) ->
     else:
         encode = lambda piece: whole.encode(piece, add_special_tokens=False).ids
     odd, cut = re.compile(r" \s|\x00"), re.compile(r"(?= \S)")
-    known: dict[str, np.ndarray] = {}
+    known: dict[str, bytes] = {}
 
     def pieces(text: str) -> list[str]:
         return cut.split(text) if odd.search(text) else text.replace(" ", "\x00 ").split("\x00")
@@ -69,10 +69,10 @@ def encoder(path: str, ranks: str | None = None, pattern: str | None = None) ->
         for piece in coded.dictionary.to_pylist():
             own = known.get(piece)
             if own is None:
-                own = known[piece] = np.array(encode(piece), "<u4")
+                own = known[piece] = np.array(encode(piece), "<u4").tobytes()
             found.append(own)
-        flat = np.concatenate([np.zeros(0, "<u4"), *found])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begins = np.cumsum(sizes) - sizes
         place = coded.indices.to_numpy()
         length = sizes[place]

@@ -31,9 +31,9 @@ DEPTH = 2
 #: the upper one (2 x 128 MB of bits in a task) the estimates get looser, the result does not change.
 LEAST_CELLS, MOST_CELLS = 22, 30
 SEGMENT = 22
-#: Windows a task gathers before it sends a partial sketch or a chunk of survivors.
-CHUNK = 1 << 22
-TEXT_BYTES = 4 << 20
+#: Windows a task gathers before it sends a partial sketch, and a chunk of survivors.
+SKETCHED, CHUNK = 1 << 22, 1 << 21
+TEXT_BYTES = 3 << 20
 
 _BLOBS = ("h1", "h2", "doc", "sig", "pos")
 _TYPES = {"h1": np.uint64, "h2": np.uint32, "doc": np.int64, "sig": np.int64, "pos": np.uint32}
@@ -113,7 +113,7 @@ def sketches(docs: DataFrame, window: int, bits: int) -> DataFrame:
             if len(h1):
                 held.append(tuple((h >> np.uint64(64 - bits)).astype(np.uint32) for h in (h1, h2)))
                 number += len(h1)
-            if number >= CHUNK:
+            if number >= SKETCHED:
                 yield from flush(held)
                 held, number = [], 0
         if held:
