@@ -93,21 +93,22 @@ def postings_of(indexed: DataFrame, wanted: set[str]) -> DataFrame:
     parts = sorted({crc32(t.encode("utf-8", "surrogatepass")) % PARTS for t in wanted})
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 6]
+        names = ["shard", "term", "size", "rows", "ids", "tfs", "lengths", "most_tf", "least_length"]
         for batch in batches:
-            out: list[tuple] = []
-            for shard, terms, sizes, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+            for place in range(batch.num_rows):  # a row is a part of a shard's index; one at a time in memory
+                shard, terms, sizes, *blobs = (column[place].as_py() for column in batch.columns)
                 ends = np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64))
                 arrays = [np.frombuffer(b, k) for b, k in zip(blobs, ("<u4", "<i8", "<u4", "<u4"))]
+                out = []
                 for i, term in enumerate(terms):
                     if term in wanted:
                         own = [a[(ends[i - 1] if i else 0) : ends[i]] for a in arrays]
                         starts = np.arange(0, len(own[0]), BLOCK)
                         bounds = np.maximum.reduceat(own[2], starts), np.minimum.reduceat(own[3], starts)
                         out.append((shard, term, len(own[0]), *(x.tobytes() for x in (*own, *bounds))))
-            if out:
-                kinds = [pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 6]
-                names = ["shard", "term", "size", "rows", "ids", "tfs", "lengths", "most_tf", "least_length"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     chosen = indexed.where(F.col("part").isin(parts)).select("shard", "terms", "sizes", "rows", "ids", "tfs", "lengths")
     blobs = "rows binary, ids binary, tfs binary, lengths binary, most_tf binary, least_length binary"
