@@ -28,7 +28,7 @@ from tramlag.llm.common import slices, written
 
 K1, B = 1.2, 0.75
 #: Text of a shard, postings of a block, parts of a shard that are read for their terms, queries run at once.
-SHARD_BYTES, BLOCK, PARTS, QUERIES = 4 << 20, 64, 32, 256
+SHARD_BYTES, BLOCK, PARTS, QUERIES = 2 << 20, 64, 16, 256
 #: Terms: runs of anything but blanks, controls and ASCII punctuation, in lower case.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 NO_ID = -(2**63)
@@ -57,12 +57,14 @@ def index(docs: DataFrame, id_column: str, text: str) -> DataFrame:
             coded = pa.array([w for r in rows for w in r], pa.string()).dictionary_encode()
             terms = coded.dictionary.to_pylist()
             pairs = coded.indices.to_numpy().astype(np.int64) * len(rows) + np.repeat(np.arange(len(rows)), lengths)
+            number = len(rows)
+            del rows, texts  # words take most of the memory
             pairs, tfs = np.unique(pairs, return_counts=True)
-            term, row = np.divmod(pairs, len(rows))
+            term, row = np.divmod(pairs, number)
             of = np.array([crc32(t.encode("utf-8", "surrogatepass")) % PARTS for t in terms], np.int64)
             order = np.argsort(of[term], kind="stable")  # postings of a term stay together, in order
             term, row, tfs = term[order], row[order], tfs[order]
-            out = [(shard, -1, len(rows), int(lengths.sum()), [], *[b""] * 5)]
+            out = [(shard, -1, number, int(lengths.sum()), [], *[b""] * 5)]
             begins = np.flatnonzero(np.diff(of[term], prepend=-1))
             for at, end in zip(begins, np.r_[begins[1:], len(term)]):
                 own = term[at:end]
