@@ -63,3 +63,47 @@ def test_odd_vectors(spark):
     assert {(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (10, 0, 10, True), (11, 1, 11, True)} <= got
     assert {(i, 0, i, True) for i in (4, 5, 6, 7, 8, 9)} <= got
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
+
+
+def links_of(graph):
+    return {(r.a, r.b) for r in nn_descent.edges_of(graph, 0.95).where("a <> b").collect()}
+
+
+def nodes_of(spark, vectors):
+    rows = [(i, 1, [float(x) for x in v], np.array(v, "<f4").tobytes(), len(v)) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "node bigint, copies bigint, e array<float>, vec binary, dim int")
+
+
+def test_large_leaf_is_parted_by_nearness(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 32)
+    rng = np.random.default_rng(1)
+    half = rng.normal(size=(200, 16))
+    nodes = nodes_of(spark, np.concatenate([half, half + 0.002 * rng.normal(size=half.shape)]))
+    graph = nn_descent.merged(nn_descent.first_graph(nodes, "<f4", [(16, [])], 0.95, 2), 0.95, 2)
+    links = links_of(graph)
+    assert sum((i, i + 200) in links for i in range(200)) >= 190
+    same = nodes_of(spark, [[1.0, 0.0]] * 100)  # no direction parts them
+    graph = nn_descent.merged(nn_descent.first_graph(same, "<f4", [(2, [])], 0.95, 2), 0.95, 2)
+    assert min(len(r.ids) for r in graph.collect()) >= 8 * nn_descent.NEIGHBOURS
+
+
+def test_all_neighbours_of_a_hub_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 32)
+    rng = np.random.default_rng(2)
+    half = rng.normal(size=(100, 16))
+    nodes = nodes_of(spark, np.concatenate([half, half + 0.002 * rng.normal(size=half.shape)]))
+    hub = np.array([0], "<i8").tobytes(), np.array([-1.0]).tobytes()
+    graph = spark.createDataFrame([(i, *(hub if i else (b"", b"")), -2.0, i) for i in range(200)], nn_descent.LIST)
+    pairs = {(i, i + 100) for i in range(100)}
+    for dealt in (4096, 50):
+        monkeypatch.setattr(nn_descent, "DEALT", dealt, raising=False)
+        offered = nn_descent.descend(nodes, "<f4", graph, 0.95, 2)
+        assert pairs <= links_of(nn_descent.merged(offered, 0.95, 2)), dealt
+
+
+def test_trees_grow_until_the_audit_is_content(spark, monkeypatch):
+    recalls = [0.5, 0.6, 0.7, 0.8, 0.99]
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: recalls.pop(0))
+    df = spark.createDataFrame([(i, [1.0, i / 100]) for i in range(5)], "vec_id bigint, embedding array<float>")
+    nn_descent.near_duplicates(df)
+    assert not recalls

@@ -1,11 +1,12 @@
 """Embedding near-dedup by NN-descent.
 
-Equal vectors collapse to one node. Random-projection trees, fitted on a bounded sample, give a
-first neighbour graph; rounds of NN-descent improve it: every node receives the vectors of its
-neighbours in both directions, compares them with one another, and offers each the closest it
-did not know. Lists that are full of links are enlarged. Links at the threshold give components;
-within a component every pair is compared in blocks, so that counts are exact however many links
-a node has. An audit against brute force on a bounded sample decides on further trees and rounds.
+Equal vectors collapse to one node. Random-projection trees, fitted on a bounded sample and carried
+on within the tasks until a leaf holds BLOCK nodes at most, give a first neighbour graph; rounds of
+NN-descent improve it: every node receives the vectors of its neighbours in both directions, compares
+all of them with one another, and offers each the closest it did not know. Lists that are full of
+links are enlarged. Links at the threshold give components; within a component every pair is compared
+in blocks, so that counts are exact however many links a node has. Trees and rounds are added until
+an audit against brute force on a bounded sample finds enough of the links.
 """
 
 from __future__ import annotations
@@ -21,13 +22,15 @@ from tramlag.llm.common import components, first_by_hash, written
 
 #: Neighbours a list starts with, and how much a list that is full of links grows a round.
 NEIGHBOURS, GROWTH = 8, 2
-#: Vectors that trees are fitted on at most, nodes of a leaf, members compared at once.
+#: Vectors that trees are fitted on at most, nodes of a leaf, nodes compared at once and of a leaf at most.
 SAMPLE, LEAF, BLOCK = 16_384, 192, 512
+#: Neighbours of a hub that a task compares with as many others; directions tried to part a leaf.
+DEALT, DIRECTIONS = 4_096, 8
 #: Members of a component that a task compares with as many others.
 COUNTED = 256
 TREES, ROUNDS = 6, 3
-#: Nodes of the audit, the mean share of a node's links that must be known, and how often more is tried.
-AUDITED, RECALL, TRIES = 1_024, 0.98, 3
+#: Nodes of the audit, the mean share of a node's links that must be known, and by how much these exceed the threshold.
+AUDITED, RECALL, SURE = 1_024, 0.98, 1e-12
 
 
 def unit(blobs: list[bytes], kind: str) -> np.ndarray:
@@ -146,28 +149,33 @@ def batched(found: Iterator[list[list]], most: int = 4096) -> Iterator[pa.Record
         yield out()
 
 
-def offers(names: list[int], vectors: np.ndarray, threshold: float, known: list[bytes] | None, least: list[float] | None):
-    """What the nodes of a group have for one another, as a batch of lists.
+def parts(vectors: np.ndarray, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Rows of a leaf, halved along fresh directions to BLOCK at most. What no direction parts stays together."""
+    left = [np.arange(len(vectors))]
+    while left:
+        own = left.pop()
+        for _ in range(DIRECTIONS if len(own) > BLOCK else 0):
+            a, b = vectors[rng.choice(own, 2, replace=False)]
+            along = vectors[own] @ (a - b)
+            right = along > np.median(along)
+            if right.any():
+                left += [own[~right], own[right]]
+                break
+        else:
+            yield own
+
+
+def offers(ids: np.ndarray, near: np.ndarray, known: list[np.ndarray] | None, least: np.ndarray | None, threshold: float):
+    """(row, column, similarity) of what rows are offered of the columns, which are named by rising `ids`.
 
-    At first each is offered its closest; later what beats its list and is not in it. The anchor
-    is the smallest id that a node links with here, or its own: full lists hold a node's nearest
-    links only, and anchors hold a component together whatever the lists leave out.
+    At first each is offered its closest; later what beats its list and is not in it.
     """
-    ids = np.array(names, np.int64)
-    order = np.argsort(ids)
-    ids, vectors = ids[order], vectors[order]
-    near = vectors @ vectors.T
-    linked = near >= threshold
-    np.fill_diagonal(linked, True)
-    anchors = ids[linked.argmax(axis=1)]  # ids rise
-    np.fill_diagonal(near, -2)
     if known is not None:
-        there = [np.frombuffer(known[i], np.int64) for i in order]
-        row, flat = np.repeat(np.arange(len(ids)), [len(x) for x in there]), np.concatenate(there)
+        row, flat = np.repeat(np.arange(len(near)), [len(x) for x in known]), np.concatenate(known)
         place = np.minimum(np.searchsorted(ids, flat), len(ids) - 1)
         same = ids[place] == flat
         near[row[same], place[same]] = -2
-        near[near <= np.array(least)[order][:, None]] = -2
+        near[near <= least[:, None]] = -2
     most = GROWTH * NEIGHBOURS
     if len(ids) > most:
         cut = -np.partition(-near, most - 1, axis=1)[:, most - 1]
@@ -176,16 +184,50 @@ def offers(names: list[int], vectors: np.ndarray, threshold: float, known: list[
         cut = -np.partition(-near, NEIGHBOURS - 1, axis=1)[:, NEIGHBOURS - 1]
         near[near < np.minimum(cut, threshold)[:, None]] = -2
     i, j = np.nonzero(near > -2)
-    if known is not None:
-        some = np.zeros(len(ids), bool)
-        some[i] = True
-        some |= anchors != ids
-        return rows_of(ids[i], ids[j], near[i, j], ids[some], anchors[some])
-    return rows_of(ids[i], ids[j], near[i, j], ids, anchors)
+    return i, j, near[i, j]
+
 
+def compared(own: dict[str, list], kind: str, threshold: float, between: bool = False) -> Iterator[list[list]]:
+    """Lists of what the nodes of a group have for one another; every pair is compared, BLOCK by BLOCK nodes at once.
 
-def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: float, partitions: int) -> DataFrame:
-    """Offers from the leaves of the trees. A leaf beyond BLOCK nodes is compared in blocks."""
+    `between` asks for pairs of a first and a second node only. The anchor is the smallest id that
+    a node links with here, or its own: full lists hold a node's nearest links only, and anchors
+    hold a component together whatever the lists leave out.
+    """
+    ids = np.array(own["node"], np.int64)
+    order = np.argsort(ids)
+    ids, vectors = ids[order], unit(own["vec"], kind)[order]
+    known = [np.frombuffer(own["ids"][i], np.int64) for i in order] if "ids" in own else None
+    least = np.array(own["least"])[order] if "ids" in own else None
+    sides = [(np.arange(len(ids)),) * 2]
+    if between:
+        second = np.array(own["second"])[order]
+        sides = [(np.flatnonzero(~second), np.flatnonzero(second)), (np.flatnonzero(second), np.flatnonzero(~second))]
+    cut = lambda x: [x[k : k + BLOCK] for k in range(0, len(x), BLOCK)]
+    for rows, others in ((r, side[1]) for side in sides for r in cut(side[0])):
+        anchors, found = ids[rows], []
+        for some in cut(others):
+            near = vectors[rows] @ vectors[some].T
+            near[ids[rows][:, None] == ids[some]] = -2
+            linked = near >= threshold
+            nearest = np.where(linked.any(axis=1), ids[some][linked.argmax(axis=1)], anchors)  # ids rise
+            anchors = np.minimum(anchors, nearest)
+            listed = None if known is None else [known[r] for r in rows]
+            i, j, sims = offers(ids[some], near, listed, None if least is None else least[rows], threshold)
+            found.append((i, ids[some][j], sims))
+        i, j, sims = map(np.concatenate, zip(*found)) if len(found) != 1 else found[0]
+        if len(found) > 1:
+            order = np.argsort(i, kind="stable")
+            i, j, sims = i[order], j[order], sims[order]
+        names = np.ones(len(rows), bool)
+        if known is not None:
+            names = anchors != ids[rows]
+            names[i] = True
+        yield rows_of(ids[rows][i], j, sims, ids[rows][names], anchors[names])
+
+
+def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: float, partitions: int, seed: int = 0) -> DataFrame:
+    """Offers from the leaves of the trees. In a task, a leaf beyond BLOCK nodes is parted as its tree would go on."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,8 +257,17 @@ def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: floa
             )
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (own for _, own in groups(batches, 3, BLOCK) if len(own["node"]) > 1)
-        yield from batched(offers(x["node"], unit(x["vec"], kind), threshold, None, None) for x in found)
+        def leaves() -> Iterator[dict[str, list]]:
+            for key, own in groups(batches, 3, 1 << 62):
+                if len(own["node"]) <= BLOCK:
+                    yield own
+                    continue
+                order = np.argsort(own["node"])
+                vectors = unit([own["vec"][i] for i in order], kind)
+                for part in parts(vectors, np.random.default_rng([seed, *key])):
+                    yield {name: [column[i] for i in order[part]] for name, column in own.items()}
+
+        yield from batched(lists for own in leaves() if len(own["node"]) > 1 for lists in compared(own, kind, threshold))
 
     dealt = nodes.select("node", "vec", "dim").mapInArrow(deal, "tree int, dim int, leaf int, node bigint, vec binary")
     return by_key(dealt, ["tree", "dim", "leaf"], partitions).mapInArrow(within, LIST)
@@ -282,18 +333,31 @@ def edges_of(graph: DataFrame, threshold: float | None = None) -> DataFrame:
 
 
 def descend(nodes: DataFrame, kind: str, graph: DataFrame, threshold: float, partitions: int) -> DataFrame:
-    """One round: offers between the neighbours, in both directions, of each node."""
+    """One round: offers between the neighbours, in both directions, of each node.
+
+    The neighbours of a hub are dealt out in pairs of blocks.
+    """
     forward = edges_of(graph)
     both = forward.unionByName(forward.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = both.unionByName(graph.select(F.col("node").alias("a"), F.col("node").alias("b"))).distinct()
+    both = written(both, "both")
+    hubs = both.groupBy("a").count().where(F.col("count") > DEALT)
+    hubs = hubs.select("a", F.ceil(F.col("count") / DEALT).cast("int").alias("blocks"))
+    placed = both.join(hubs, "a", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    both = placed.select(
+        "a", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).alias("second"), "b",
+    )
     members = nodes.select(F.col("node").alias("b"), "vec", "dim").join(graph.select(F.col("node").alias("b"), "ids", "least"), "b")
-    sent = both.join(written(members, "members"), "b").select("a", "dim", F.col("b").alias("node"), "vec", "ids", "least")
+    sent = both.join(written(members, "members"), "b").select("a", "dim", "low", "high", "second", F.col("b").alias("node"), "vec", "ids", "least")
 
     def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (own for _, own in groups(batches, 2, BLOCK) if len(own["node"]) > 1)
-        yield from batched(offers(x["node"], unit(x["vec"], kind), threshold, x["ids"], x["least"]) for x in found)
+        found = ((key, own) for key, own in groups(batches, 4, 1 << 62) if len(own["node"]) > 1)
+        yield from batched(lists for (_, _, low, high), own in found for lists in compared(own, kind, threshold, low != high))
 
-    return by_key(sent, ["a", "dim"], partitions).mapInArrow(within, LIST)
+    return by_key(sent, ["a", "dim", "low", "high"], partitions).mapInArrow(within, LIST)
 
 
 def recounted(nodes: DataFrame, kind: str, classes: DataFrame, threshold: float) -> DataFrame:
@@ -331,7 +395,8 @@ def recounted(nodes: DataFrame, kind: str, classes: DataFrame, threshold: float)
 
 def audit(nodes: DataFrame, number: int, kind: str, counts: DataFrame, threshold: float) -> float:
     """Recall: the mean share of its links that is known of a node with links, over AUDITED nodes and
-    by brute force against all nodes. Every node weighs the same, whether it has one link or many."""
+    by brute force against all nodes. Every node weighs the same, whether it has one link or many.
+    Links that only rounding puts at the threshold are not asked for."""
     chosen = first_by_hash(nodes.select("node", "vec", "dim"), "node", AUDITED, number, salt=1).collect()
     names = np.array([r.node for r in chosen], np.int64)
     probes = {}
@@ -344,7 +409,7 @@ def audit(nodes: DataFrame, number: int, kind: str, counts: DataFrame, threshold
         for (dim,), own in groups(batches, 1, 2048):
             if dim in probes:
                 at, rows = probes[dim]
-                near = rows @ unit(own["vec"], kind).T >= threshold
+                near = rows @ unit(own["vec"], kind).T >= threshold + SURE
                 near &= names[at][:, None] != np.array(own["node"])[None, :]
                 total[at] += near @ np.array(own["copies"], np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(total)], ["node", "linked"])
@@ -352,7 +417,7 @@ def audit(nodes: DataFrame, number: int, kind: str, counts: DataFrame, threshold
     there = nodes.select("dim", "node", "copies", "vec").mapInArrow(brute, "node bigint, linked bigint")
     there = there.groupBy("node").agg(F.sum("linked").alias("there")).where("there > 0")
     known = there.join(counts, "node", "left")
-    return known.agg(F.avg(F.coalesce("linked", F.lit(0)) / F.col("there"))).first()[0]
+    return known.agg(F.avg(F.least(F.coalesce("linked", F.lit(0)) / F.col("there"), F.lit(1.0)))).first()[0]
 
 
 def near_duplicates(
@@ -375,14 +440,14 @@ def near_duplicates(
     sample = first_by_hash(nodes.select("node", "vec", "dim"), "node", SAMPLE, number).collect()
     dims = sorted({r.dim for r in sample})
     graph, counts, classes, seed = None, None, None, 0
-    for _ in range(TRIES):
+    while True:
         trees = []
         for dim in dims:
             own = unit([bytes(r.vec) for r in sample if r.dim == dim], kind)
             leaf = max(4, round(LEAF * len(sample) / max(1, number)))
             trees += [(dim, t) for t in trees_of(own, leaf, TREES, seed)]
         seed += TREES
-        offered = first_graph(nodes, kind, trees, threshold, partitions)
+        offered = first_graph(nodes, kind, trees, threshold, partitions, seed)
         graph = written(merged(offered if graph is None else graph.unionByName(offered), threshold, partitions), "graph")
         before = 0
         for _ in range(ROUNDS):
