@@ -93,7 +93,7 @@ def test_all_neighbours_of_a_hub_are_compared(spark, monkeypatch):
     half = rng.normal(size=(100, 16))
     nodes = nodes_of(spark, np.concatenate([half, half + 0.002 * rng.normal(size=half.shape)]))
     hub = np.array([0], "<i8").tobytes(), np.array([-1.0]).tobytes()
-    graph = spark.createDataFrame([(i, *(hub if i else (b"", b"")), -2.0, i) for i in range(200)], nn_descent.LIST)
+    graph = spark.createDataFrame([(i, *(hub if i else (b"", b"")), -2.0, b"") for i in range(200)], nn_descent.LIST)
     pairs = {(i, i + 100) for i in range(100)}
     for dealt in (4096, 50):
         monkeypatch.setattr(nn_descent, "DEALT", dealt, raising=False)
@@ -107,3 +107,13 @@ def test_trees_grow_until_the_audit_is_content(spark, monkeypatch):
     df = spark.createDataFrame([(i, [1.0, i / 100]) for i in range(5)], "vec_id bigint, embedding array<float>")
     nn_descent.near_duplicates(df)
     assert not recalls
+
+
+def test_dense_groups_that_touch_by_one_link_are_one(spark):
+    """The link's ends have more than a full list of closer links, and smaller ids in their own group."""
+    rng = np.random.default_rng(6)
+    degrees = [22.0 * (i % 2) + (0.1 * rng.random() if i < 40 else 2.6 - 5.2 * (i % 2)) for i in range(42)]
+    rows = [(i, [float(np.float32(x)) for x in (np.cos(np.radians(d)), np.sin(np.radians(d)))]) for i, d in enumerate(degrees)]
+    want = expected(rows, 0.95)
+    assert {x[2] for x in want} == {"0"} and want[-1][1] >= 20
+    assert found(nn_descent.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))) == want

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tramlag.llm.common import components, first_by_hash, written
 
-#: Neighbours a list starts with, and how much a list that is full of links grows a round.
+#: Neighbours a list starts with, and how much a list that is full of links grows.
 NEIGHBOURS, GROWTH = 8, 2
 #: Vectors that trees are fitted on at most, nodes of a leaf, nodes compared at once and of a leaf at most.
 SAMPLE, LEAF, BLOCK = 16_384, 192, 512
@@ -114,11 +114,11 @@ def trees_of(sample: np.ndarray, leaf: int, number: int, seed: int) -> list[list
     return [tree(np.random.default_rng(seed + i)) for i in range(number)]
 
 
-LIST = "node bigint, ids binary, sims binary, least double, anchor bigint"
-_LIST = pa.schema([("node", pa.int64()), ("ids", pa.binary()), ("sims", pa.binary()), ("least", pa.float64()), ("anchor", pa.int64())])
+LIST = "node bigint, ids binary, sims binary, least double, anchors binary"
+_LIST = pa.schema([("node", pa.int64()), ("ids", pa.binary()), ("sims", pa.binary()), ("least", pa.float64()), ("anchors", pa.binary())])
 
 
-def rows_of(node: np.ndarray, ids: np.ndarray, sims: np.ndarray, names: np.ndarray, anchors: np.ndarray) -> list[list]:
+def rows_of(node: np.ndarray, ids: np.ndarray, sims: np.ndarray, names: np.ndarray, anchors: list[bytes]) -> list[list]:
     """Columns of lists, a row a name; its entries are those where `node`, in the order of `names`, is that name.
 
     `least` is the similarity that an offer must exceed: of the last entry, if the list is full.
@@ -129,7 +129,7 @@ def rows_of(node: np.ndarray, ids: np.ndarray, sims: np.ndarray, names: np.ndarr
     cut = lambda blob: [blob[8 * b : 8 * e] for b, e in zip(begins.tolist(), ends.tolist())]
     parts = cut(sims)
     least = [np.frombuffer(x, "<f8").min() if len(x) >= 8 * NEIGHBOURS else -2.0 for x in parts]
-    return [names.tolist(), cut(ids), parts, least, anchors.tolist()]
+    return [names.tolist(), cut(ids), parts, least, anchors]
 
 
 def batched(found: Iterator[list[list]], most: int = 4096) -> Iterator[pa.RecordBatch]:
@@ -187,12 +187,24 @@ def offers(ids: np.ndarray, near: np.ndarray, known: list[np.ndarray] | None, le
     return i, j, near[i, j]
 
 
+def join(root: np.ndarray, rows: np.ndarray, others: np.ndarray, linked: np.ndarray) -> None:
+    """Joins components along the links of some rows; `root` has the first row of each row's component."""
+    i, j = np.nonzero(linked)
+    a, b = root[rows[i]], root[others[j]]
+    while (apart := a != b).any():
+        low, high = np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+        np.minimum.at(root, high, low)
+        while (root != root[root]).any():
+            root[:] = root[root]
+        a, b = root[low], root[high]
+
+
 def compared(own: dict[str, list], kind: str, threshold: float, between: bool = False) -> Iterator[list[list]]:
     """Lists of what the nodes of a group have for one another; every pair is compared, BLOCK by BLOCK nodes at once.
 
     `between` asks for pairs of a first and a second node only. The anchor is the smallest id that
-    a node links with here, or its own: full lists hold a node's nearest links only, and anchors
-    hold a component together whatever the lists leave out.
+    a node reaches by the links of the group: full lists hold a node's nearest links only, and the
+    anchors of all groups join whatever any pair of compared nodes joins, with an edge a node.
     """
     ids = np.array(own["node"], np.int64)
     order = np.argsort(ids)
@@ -204,14 +216,13 @@ def compared(own: dict[str, list], kind: str, threshold: float, between: bool =
         second = np.array(own["second"])[order]
         sides = [(np.flatnonzero(~second), np.flatnonzero(second)), (np.flatnonzero(second), np.flatnonzero(~second))]
     cut = lambda x: [x[k : k + BLOCK] for k in range(0, len(x), BLOCK)]
+    root = np.arange(len(ids))
     for rows, others in ((r, side[1]) for side in sides for r in cut(side[0])):
-        anchors, found = ids[rows], []
+        found = []
         for some in cut(others):
             near = vectors[rows] @ vectors[some].T
             near[ids[rows][:, None] == ids[some]] = -2
-            linked = near >= threshold
-            nearest = np.where(linked.any(axis=1), ids[some][linked.argmax(axis=1)], anchors)  # ids rise
-            anchors = np.minimum(anchors, nearest)
+            join(root, rows, some, near >= threshold)
             listed = None if known is None else [known[r] for r in rows]
             i, j, sims = offers(ids[some], near, listed, None if least is None else least[rows], threshold)
             found.append((i, ids[some][j], sims))
@@ -219,11 +230,15 @@ def compared(own: dict[str, list], kind: str, threshold: float, between: bool =
         if len(found) > 1:
             order = np.argsort(i, kind="stable")
             i, j, sims = i[order], j[order], sims[order]
-        names = np.ones(len(rows), bool)
-        if known is not None:
-            names = anchors != ids[rows]
-            names[i] = True
-        yield rows_of(ids[rows][i], j, sims, ids[rows][names], anchors[names])
+        whole = len(rows) == len(ids)  # or else more links are to come
+        anchors = [ids[a].tobytes() if whole and a != r else b"" for a, r in zip(root[rows], rows)]
+        names = np.full(len(rows), known is None)
+        names[i] = True
+        names |= np.array([a != b"" for a in anchors], bool)
+        yield rows_of(ids[rows][i], j, sims, ids[rows][names], [a for a, n in zip(anchors, names) if n])
+    if between or len(ids) > BLOCK:
+        far = np.flatnonzero(root != np.arange(len(ids)))
+        yield rows_of(ids[:0], ids[:0], np.zeros(0), ids[far], [ids[a].tobytes() for a in root[far]])
 
 
 def first_graph(nodes: DataFrame, kind: str, trees: list[tuple], threshold: float, partitions: int, seed: int = 0) -> DataFrame:
@@ -291,7 +306,15 @@ def merged(offered: DataFrame, threshold: float, partitions: int) -> DataFrame:
         rank = np.arange(len(node)) - np.searchsorted(node, node, side="left")
         keep = (rank < NEIGHBOURS) | (sims >= threshold) & (rank < GROWTH * NEIGHBOURS)
         fresh = np.flatnonzero(np.diff(names, prepend=names[0] - 1))
-        anchors = np.minimum.reduceat(part.column("anchor").to_numpy(), fresh)
+        blobs = part.column("anchors").to_pylist()
+        owner, anchors = np.repeat(names, [len(b) // 8 for b in blobs]), np.frombuffer(b"".join(blobs), "<i8")
+        order = np.lexsort((anchors, owner))
+        owner, anchors = owner[order], anchors[order]
+        once = np.ones(len(owner), bool)
+        once[1:] = (owner[1:] != owner[:-1]) | (anchors[1:] != anchors[:-1])
+        owner, anchors = owner[once], anchors[once]
+        begins, ends = (np.searchsorted(owner, names[fresh], side=x).tolist() for x in ("left", "right"))
+        anchors = [anchors[b:e].tobytes() for b, e in zip(begins, ends)]
         return rows_of(node[keep], ids[keep], sims[keep], names[fresh], anchors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
@@ -320,10 +343,10 @@ def edges_of(graph: DataFrame, threshold: float | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for node, ids, sims, _, anchor in zip(*(c.to_pylist() for c in batch.columns)):
+            for node, ids, sims, _, anchors in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = np.frombuffer(ids, np.int64)
                 if threshold is not None:
-                    ids = np.append(ids[np.frombuffer(sims, np.float64) >= threshold], anchor)
+                    ids = np.append(ids[np.frombuffer(sims, np.float64) >= threshold], np.frombuffer(anchors, np.int64))
                 a.append(np.full(len(ids), node))
                 b.append(ids)
             if a:
