@@ -41,6 +41,13 @@ def test_deep_and_broken_pages_render():
         html_layout.text_of("".join(random.choices(parts, k=30)))
 
 
+def test_deep_elements_are_laid_out_and_hidden_as_others():
+    rest = "<script>var a</script><style>p{}</style><template>t</template><i style='display:none'>no</i><b hidden>no<i>no</i></b>yes<ul><li>x<li>y</ul><pre>a  b</pre>"
+    for tag in ("font", "span", "div"):
+        for depth in (1, 160, 600, 20_000):
+            assert html_layout.text_of(f"<{tag}>" * depth + rest) == "yes\n\n- x\n- y\n\na  b", (tag, depth)
+
+
 def test_pages_keep_their_rows_and_columns(spark):
     rows = [(1, "u", p, "_") for p, _ in PAGES] + [(1, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")

@@ -49,8 +49,8 @@ SCOPES = {
 } | dict.fromkeys(["tr", "td", "th", "thead", "tbody", "tfoot"], {"table"})
 #: No end tag and no implied end reaches beyond these, but their own.
 WALLS = {"table", "td", "th", "caption", "html", "body", "template", "button", "object"}
-#: Beyond this depth elements become siblings, as in browsers.
-DEEPEST = 150
+#: Lists and quotations within one another that indent their lines; browsers nest no deeper.
+INDENTS = 512
 
 TAG = re.compile(
     r"<!--(?:.*?--!?>|.*)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
@@ -61,10 +61,10 @@ NO_SHOW = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidde
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children", "depth")
+    __slots__ = ("tag", "attributes", "children")
 
-    def __init__(self, tag: str, attributes: dict[str, str], depth: int):
-        self.tag, self.attributes, self.depth = tag, attributes, depth
+    def __init__(self, tag: str, attributes: dict[str, str]):
+        self.tag, self.attributes = tag, attributes
         self.children: list[Node | str] = []
 
 
@@ -77,19 +77,24 @@ def attributes_of(raw: str) -> dict[str, str]:
 
 def parse(page: str) -> Node:
     """Tree of a page; whatever the input, there is one."""
-    root = Node("html", {}, 0)
+    root = Node("html", {})
     stack = [root]
+    places: dict[str, list[int]] = {}  # tag -> where it stands on the stack, so that deep pages need no search
+
+    def last(tags: set[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def pop() -> None:
+        places[stack.pop().tag].pop()
 
     def close(tags: set[str], walls: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in walls:
-                return
+        place = last(tags)
+        if place and place >= last(walls):
+            while len(stack) > place:
+                pop()
 
     def open_(tag: str, raw: str) -> None:
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag == "html" or tag == "body" and places.get(tag):
             return
         if tag in CLOSES_P:
             close({"p"}, WALLS)
@@ -105,9 +110,10 @@ def parse(page: str) -> Node:
             open_("tr", "")
         if tag == "a":
             close({"a"}, WALLS | BLOCK)
-        node = Node(tag, attributes_of(raw) if raw and not raw.isspace() else {}, stack[-1].depth + 1)
+        node = Node(tag, attributes_of(raw) if raw and not raw.isspace() else {})
         stack[-1].children.append(node)
-        if tag not in VOID and node.depth < DEEPEST:
+        if tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
             stack.append(node)
 
     at, lower = 0, None
@@ -126,11 +132,11 @@ def parse(page: str) -> Node:
                 end = len(page) if end < 0 else end
                 stack[-1].children.append(page[at:end] if tag not in ("title", "textarea") else html.unescape(page[at:end]))
                 at = end
-        elif tag == "p" and not any(n.tag == "p" for n in stack):
+        elif tag == "p" and not places.get("p"):
             open_("p", "")
-            stack.pop()
+            pop()
         elif tag == "br":
-            stack[-1].children.append(Node("br", {}, 0))
+            stack[-1].children.append(Node("br", {}))
         elif tag in ("html", "body"):
             continue
         elif tag[0] == "h" and tag[1:] in set("123456"):
@@ -163,7 +169,8 @@ def width(text: str) -> int:
 class Canvas:
     """Lines of a block. Blank lines asked for before and after blocks collapse to the largest."""
 
-    def __init__(self) -> None:
+    def __init__(self, level: int = 0) -> None:
+        self.level = level  # lists and quotations around it
         self.lines: list[str] = []
         self.words: list[str] = []
         self.glue = False  # the next text joins the last word without a blank
@@ -196,7 +203,21 @@ class Canvas:
         self.blank = max(self.blank, lines)
 
 
-def render(node: Node, canvas: Canvas, nested: int = 0) -> None:
+#: A step of rendering yields the steps within it, so that depth is bounded by no call stack.
+Steps = Iterator["Steps"]
+
+
+def done(steps: Steps) -> None:
+    stack = [steps]
+    while stack:
+        inner = next(stack[-1], None)
+        if inner is None:
+            stack.pop()
+        else:
+            stack.append(inner)
+
+
+def render(node: Node, canvas: Canvas, nested: int = 0) -> Steps:
     for child in node.children:
         if isinstance(child, str):
             canvas.text(child)
@@ -217,16 +238,16 @@ def render(node: Node, canvas: Canvas, nested: int = 0) -> None:
         elif tag == "q":
             canvas.text('"')
             canvas.glue = True
-            render(child, canvas, nested)
+            yield render(child, canvas, nested)
             canvas.glue = True
             canvas.text('"')
         elif tag in BLOCK or tag in ("td", "th"):
-            block(child, canvas, nested)
+            yield block(child, canvas, nested)
         else:
-            render(child, canvas, nested)
+            yield render(child, canvas, nested)
 
 
-def block(node: Node, canvas: Canvas, nested: int) -> None:
+def block(node: Node, canvas: Canvas, nested: int) -> Steps:
     tag = node.tag
     space = 1 if tag in SPACED and not (nested and tag in ("ul", "ol", "menu", "dir")) else 0
     canvas.space(space)
@@ -235,39 +256,41 @@ def block(node: Node, canvas: Canvas, nested: int) -> None:
         for line in text.removeprefix("\n").rstrip("\n").split("\n") if text.strip() else []:
             canvas.put(line.rstrip())
     elif tag in ("ul", "ol", "menu", "dir"):
-        listed(node, canvas, nested)
+        yield listed(node, canvas, nested)
     elif tag == "table":
-        table(node, canvas)
-    elif tag in ("blockquote", "dd"):
-        inner = Canvas()
-        render(node, inner, nested)
+        yield table(node, canvas)
+    elif tag in ("blockquote", "dd") and canvas.level < INDENTS:
+        inner = Canvas(canvas.level + 1)
+        yield render(node, inner, nested)
         inner.flush()
         for line in inner.lines:
             canvas.put(f"  {line}" if line else line)
     else:
-        render(node, canvas, nested)
+        yield render(node, canvas, nested)
     canvas.space(space)
 
 
 def pieces(node: Node) -> Iterator[str]:
-    for child in node.children:
+    left = node.children[::-1]
+    while left:
+        child = left.pop()
         if isinstance(child, str):
             yield child
         elif child.tag == "br":
             yield "\n"
         elif shown(child):
-            yield from pieces(child)
+            left += child.children[::-1]
 
 
-def listed(node: Node, canvas: Canvas, nested: int) -> None:
+def listed(node: Node, canvas: Canvas, nested: int) -> Steps:
     ordered = node.tag == "ol"
     start = node.attributes.get("start", "")
     number = int(start) if ordered and re.fullmatch(r"-?\d{1,9}", start) else 1
     for child in node.children:
         if isinstance(child, str) or child.tag != "li":
-            rest = Node("div", {}, 0)
+            rest = Node("div", {})
             rest.children = [child]
-            render(rest, canvas, nested)
+            yield render(rest, canvas, nested)
             continue
         if not shown(child):
             continue
@@ -275,8 +298,14 @@ def listed(node: Node, canvas: Canvas, nested: int) -> None:
         value = child.attributes.get("value", "")
         number = int(value) if ordered and re.fullmatch(r"-?\d{1,9}", value) else number
         marker = f"{number}. " if ordered else "- "
-        inner = Canvas()
-        render(child, inner, nested + 1)
+        if canvas.level >= INDENTS:
+            canvas.text(marker)
+            yield render(child, canvas, nested + 1)
+            canvas.flush()
+            number += 1
+            continue
+        inner = Canvas(canvas.level + 1)
+        yield render(child, inner, nested + 1)
         inner.flush()
         lines = inner.lines or [""]
         canvas.put((marker + lines[0]).rstrip())
@@ -307,7 +336,7 @@ def strays(node: Node) -> Iterator[Node | str]:
             yield child
 
 
-def table(node: Node, canvas: Canvas) -> None:
+def table(node: Node, canvas: Canvas) -> Steps:
     """Rows with cells padded to their columns; a cell that spans columns or rows keeps its place."""
     grid: list[dict[int, list[str]]] = []
     held: dict[int, int] = {}  # column -> rows that a cell from above still covers
@@ -315,7 +344,7 @@ def table(node: Node, canvas: Canvas) -> None:
         if isinstance(other, str):
             canvas.text(other)
         else:
-            render_alone(other, canvas)
+            yield render_alone(other, canvas)
     canvas.flush()
     spans: list[tuple[int, int, int]] = []
     for row in rows_of(node):
@@ -326,8 +355,8 @@ def table(node: Node, canvas: Canvas) -> None:
                 continue
             while held.get(column, 0) > 0:
                 column += 1
-            inner = Canvas()
-            render(cell, inner)
+            inner = Canvas(canvas.level)
+            yield render(cell, inner)
             inner.flush()
             wide, deep = span(cell, "colspan"), span(cell, "rowspan")
             cells[column] = [line for line in inner.lines if line] or [""]
@@ -361,10 +390,10 @@ def table(node: Node, canvas: Canvas) -> None:
             canvas.put(line.rstrip())
 
 
-def render_alone(node: Node, canvas: Canvas) -> None:
-    holder = Node("div", {}, 0)
+def render_alone(node: Node, canvas: Canvas) -> Steps:
+    holder = Node("div", {})
     holder.children = [node]
-    render(holder, canvas)
+    yield render(holder, canvas)
     canvas.flush()
 
 
@@ -378,7 +407,7 @@ def text_of(page: str | None) -> str | None:
     if page is None:
         return None
     canvas = Canvas()
-    render(parse(page.replace("\x00", "�")), canvas)
+    done(render(parse(page.replace("\x00", "�")), canvas))
     canvas.flush()
     return "\n".join(canvas.lines).strip("\n")
 
