@@ -29,6 +29,24 @@ def extended(df: DataFrame, **kinds: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *(T.StructField(n, T.DataType.fromDDL(k)) for n, k in kinds.items())])
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it until no column of `df` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def utf8(column: pa.Array) -> tuple[bytes, np.ndarray]:
+    """Bytes of a text column, one row behind the other, and the offsets of the rows; null is empty."""
+    column = pc.fill_null(column, "")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, ends, data = column.buffers()
+    offsets = np.frombuffer(ends, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    held = data.slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if data else b""
+    return held, offsets - offsets[0]
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` as UTF-8; null has none. bytes.split() parts at just these six."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

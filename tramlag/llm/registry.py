@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm import bm25_wand, html_layout, licence_lr, mixing_wfq, nn_descent, packing_online, quality_ordinal, simhash_vp, substring_cm, toxicity_ac
+from tramlag.llm import (
+    bm25_wand,
+    fim_sparse,
+    html_layout,
+    licence_lr,
+    mixing_wfq,
+    nn_descent,
+    packing_online,
+    quality_ordinal,
+    simhash_vp,
+    substring_cm,
+    toxicity_ac,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -200,6 +212,47 @@ from queue q join goals g on q.source is not distinct from g.source
 """
 
 
+def op11_fim_sparse_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = F.col("fim")
+    return fim_sparse.transform(docs).select(
+        "doc_id",
+        cut["n"].alias("n"),
+        cut["form"].alias("form"),
+        cut["prefix_chars"].alias("prefix_chars"),
+        cut["middle_chars"].alias("middle_chars"),
+        F.sha2(cut["output"], 256).alias("output_sha256"),
+        F.sha2(fim_sparse.restored(cut["output"], cut["form"]), 256).alias("restored_sha256"),
+    )
+
+
+OP11_SQL = """
+with docs as (
+  select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n,
+         sha256('1:' || coalesce(cast(doc_id as varchar), '')) as s
+  from documents
+),
+drawn as (
+  select *, cast('0x' || substr(s, 1, 8) as ubigint) % (n + 1) as a, cast('0x' || substr(s, 9, 8) as ubigint) % (n + 1) as b,
+         case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                or cast('0x' || substr(s, 17, 8) as ubigint) % 100 >= 90 then 'plain'
+              when cast('0x' || substr(s, 25, 8) as ubigint) % 100 < 20 then 'spm' else 'psm' end as form
+  from docs
+),
+cut as (
+  select doc_id, t, n, form, cast(least(a, b) as bigint) as p, cast(greatest(a, b) as bigint) as e from drawn
+)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then p end as prefix_chars,
+       case when form <> 'plain' then e - p end as middle_chars,
+       sha256(case form when 'plain' then t
+         when 'psm' then '<P>' || substr(t, 1, p) || '<S>' || substr(t, e + 1) || '<M>' || substr(t, p + 1, e - p)
+         else '<S>' || substr(t, e + 1) || '<P>' || substr(t, 1, p) || '<M>' || substr(t, p + 1, e - p) end) as output_sha256,
+       sha256(t) as restored_sha256
+from cut
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_layout": op1_html_layout,
@@ -212,7 +265,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix_fair_queueing": op8_mix_fair_queueing,
         "op9_toxicity_lexicon": op9_toxicity_lexicon,
         "op10_quality_ordinal": op10_quality_ordinal,
+        "op11_fim_sparse_index": op11_fim_sparse_index,
     }
 
 
-ORACLE = {"op5_bm25_wand": OP5_SQL, "op7_substring_count_min": OP7_SQL, "op8_mix_fair_queueing": OP8_SQL}
+ORACLE = {
+    "op5_bm25_wand": OP5_SQL,
+    "op7_substring_count_min": OP7_SQL,
+    "op8_mix_fair_queueing": OP8_SQL,
+    "op11_fim_sparse_index": OP11_SQL,
+}
