@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tramlag.llm import (
     bm25_wand,
+    filter_lattice,
     fim_sparse,
     html_layout,
+    improbable_digest,
     licence_lr,
     mixing_wfq,
     nn_descent,
@@ -253,6 +255,73 @@ from cut
 """
 
 
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_lattice.interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+with docs as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws
+  from documents
+),
+judged as (
+  select part, doc_id,
+         case when len(ws) < 200 then 1 else 0 end
+         + case when 100 * len(list_distinct(ws)) < 50 * len(ws) then 2 else 0 end
+         + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 4 else 0 end
+         + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+         + case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end as fails
+  from docs
+),
+marks as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+          from labels group by doc_id),
+counts as (
+  select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from judged left join marks using (doc_id) group by part, fails
+),
+letters(l, bit) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e
+  where a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps as (
+  select filter_order, cast(s as int) as step, bits[s] as f, cast(coalesce(list_sum(bits[1:s - 1]), 0) as int) as before
+  from orders, range(1, 6) r(s)
+),
+found as (
+  select part, filter_order, step, f,
+         sum(case when fails & (before | f) = 0 then n else 0 end) as kept,
+         sum(case when fails & before = 0 and fails & f > 0 then n else 0 end) as removed,
+         sum(case when fails & before > 0 and fails & f > 0 then n else 0 end) as redundant,
+         sum(case when fails = f then n else 0 end) as unique_fails,
+         sum(case when fails & before = 0 and fails & f > 0 then good else 0 end) as good_lost,
+         sum(case when fails & before = 0 and fails & f > 0 then toxic else 0 end) as toxic_lost
+  from counts, steps group by part, filter_order, step, f
+)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+       cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+       cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from found
+"""
+
+
+def op13_improbable_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = improbable_digest.edit_audit(docs, improbable_digest.rarity(docs))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        F.base64("fingerprint").alias("fingerprint"),
+        F.base64("edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_layout": op1_html_layout,
@@ -266,6 +335,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_toxicity_lexicon": op9_toxicity_lexicon,
         "op10_quality_ordinal": op10_quality_ordinal,
         "op11_fim_sparse_index": op11_fim_sparse_index,
+        "op12_filter_interactions": op12_filter_interactions,
+        "op13_improbable_digest": op13_improbable_digest,
     }
 
 
@@ -274,4 +345,5 @@ ORACLE = {
     "op7_substring_count_min": OP7_SQL,
     "op8_mix_fair_queueing": OP8_SQL,
     "op11_fim_sparse_index": OP11_SQL,
+    "op12_filter_interactions": OP12_SQL,
 }
