@@ -230,3 +230,100 @@ def test_interval_trigger(spark, wh, feed, tmp_path):
         assert wh.read("fact_delay").count() == 1
     finally:
         query.stop()
+
+
+# ------------------------------------------------------------------ bounded state, retries, halving
+
+
+def watched(monkeypatch):
+    """Partitions of the facts that are opened from now on."""
+    opened, read = [], Warehouse.read
+
+    def reading(self, table, only=None):
+        if table == "fact_delay":
+            opened.append(only)
+        return read(self, table, only)
+
+    monkeypatch.setattr(Warehouse, "read", reading)
+    return opened
+
+
+def test_a_feed_in_order_reads_no_stored_date(spark, wh, feed, tmp_path, rows, monkeypatch):
+    for i in range(4):
+        feed.land(i, entity("T1", update(0, i)), entity("T2", rel="CANCELED"))
+    opened = watched(monkeypatch)
+    run(wh, feed, tmp_path, max_files=2)
+    assert len(opened) == 1  # when the query starts
+    monkeypatch.undo()
+    assert wh.read("fact_delay").count() == 12
+    # the same snapshots land again, with one that is new: nothing is stored twice
+    for i in range(4):
+        feed.land(i, entity("T1", update(0, 100 + i), update(1, 5)), entity("T2", rel="CANCELED"))
+    feed.land(9, entity("T1", update(0, 9)))
+    opened = watched(monkeypatch)
+    run(wh, feed, tmp_path, max_files=10, skip_stale=False)
+    assert len(opened) == 2  # when the query starts, and the dates of the batch that goes back
+    monkeypatch.undo()
+    assert wh.read("fact_delay").count() == 12 + 4 + 1
+    assert rows(wh.read("fact_delay").where("trip_id = 'T1' and stop_id = 'S1'"), "delay_s") == [(0,), (1,), (2,), (3,), (9,)]
+
+
+def test_tried_is_one_number(wh):
+    tried = live.Tried(wh)
+    assert tried.epoch is None and tried.begin(5, 9) and tried.epoch == 9
+    assert not tried.begin(9, 12) and tried.epoch == 12
+    assert not tried.begin(3, 4) and tried.epoch == 12
+    assert tried.begin(13, 13) and tried.epoch == 13
+
+
+def test_one_bad_snapshot_costs_one_snapshot(spark, tmp_path, feed, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    publish(spark, wh, 1, stops=("S1",))
+    for i in range(8):
+        feed.land(i, entity("T1", update(1 if i == 5 else 0, i)))  # S2 is unknown
+    feed.land(3, entity("T1", update(0, 99)))  # stale
+    run(wh, feed, tmp_path, max_files=99)
+    want = [(at(i), "ERROR" if i == 5 else "OK", int(i != 5), int(i != 5)) for i in range(8)]
+    assert sorted(audit(wh, rows)) == sorted([*want, (at(3), "SKIPPED", 0, 0)])
+    assert rows(wh.read("fact_delay"), "delay_s") == [(i,) for i in range(8) if i != 5]
+    waiting = spark.read.parquet(wh.path("_quarantine"))
+    assert [r.file_path[-9:] for r in waiting.collect()] == ["s006.json"]
+    assert wh.read("fact_run").select("started_at").distinct().count() == 9
+    assert live.Marker(wh).epoch == START.timestamp() + 7
+    assert live.attempts(wh).count() == 1
+
+
+def test_a_fault_in_all_snapshots_is_not_halved_for_ever(spark, wh, feed, tmp_path, monkeypatch):
+    for i in range(6):
+        feed.land(i, entity("T1", update(0, i)))
+    tries = []
+    monkeypatch.setattr(live, "match_snapshots", lambda *a: tries.append(1) or 1 / 0)
+    monkeypatch.setattr(live, "MOST_FAILURES", 4)
+    run(wh, feed, tmp_path, max_files=99)
+    monkeypatch.undo()
+    assert len(tries) <= 6 and spark.read.parquet(wh.path("_quarantine")).count() == 6
+    assert live.replay_quarantine(wh) == 1 and wh.read("fact_delay").count() == 6
+
+
+def test_later_cycles_try_again(spark, tmp_path, feed, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    publish(spark, wh, 1, stops=("S1",))
+    now = [START]
+
+    def cycle(seconds, *entities):
+        now[0] = START + timedelta(seconds=seconds)
+        feed.land(seconds, *entities)
+        live.run_live(wh, str(feed.folder), str(tmp_path / "c"), once=True, clock=lambda: now[0]).awaitTermination()
+
+    cycle(0, entity("T1", update(1, 7)))
+    cycle(20, entity("T1", update(0, 1)))  # not due yet
+    assert live.attempts(wh).count() == 1
+    cycle(60, entity("T1", update(0, 2)))  # due, and fails again
+    assert live.attempts(wh).count() == 2 and len(live.waiting_batches(wh)) == 1
+    publish(spark, wh, 2)
+    cycle(100, entity("T1", update(0, 3)))  # the pause has doubled
+    assert len(live.waiting_batches(wh)) == 1
+    cycle(200, entity("T1", update(0, 4)))
+    assert live.waiting_batches(wh) == [] and live.attempts(wh).count() == 2
+    assert rows(wh.read("fact_delay"), "delay_s", "version_id") == [(1, 1), (2, 1), (3, 2), (4, 2), (7, 2)]
+    assert wh.read("fact_run").where("status = 'ERROR'").count() == 2

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tramlag.config import DEFAULTS
 from tramlag.functions.clock import bucket_ceiling, bucket_start
 from tramlag.operators import match
-from tramlag.operators.skip import _cuts, fresh_only
+from tramlag.operators.skip import fresh_only, in_ranges, numbered
 from tramlag.schemas import FEED
 
 NOON = int(datetime(2024, 7, 1, 12, tzinfo=timezone.utc).timestamp())
@@ -164,9 +164,13 @@ def test_tied_arrivals_spread_over_ranges(spark):
     values = [(7 * i) % 101 for i in range(400)]
     heads = spark.createDataFrame([(1, f"f{i:04}", v) for i, v in enumerate(values)], "arrived long, file_path string, epoch long")
     order = ["arrived", "file_path", "epoch"]
-    assert len(_cuts(heads, order, 8)) == 7
-    got = fresh_only(heads, order, "epoch", None, rows_per_range=50)
-    assert [r[0] for r in got.orderBy("file_path").select("epoch").collect()] == loop(values, None)
+    sizes = [r["count"] for r in in_ranges(heads, order, 8).groupBy("_range").count().collect()]
+    assert len(sizes) >= 40 and max(sizes) < 40
+    got = fresh_only(heads, order, "epoch", rows_per_range=8).orderBy("file_path")
+    assert [r["epoch"] for r in got.collect()] == loop(values)
+    places = numbered(heads, order, rows_per_range=8).orderBy("file_path").select("place").collect()
+    assert [r["place"] for r in places] == list(range(400))
+    assert numbered(heads.limit(0), order).count() == 0
 
 
 def test_scalar_buckets():

@@ -3,8 +3,9 @@
     static-load --root R --landing DIR --catalogue FILE [--today DATE] [--horizon N]
     live        --root R --landing DIR --checkpoint DIR [--once] [--max-files N]
     replay      --root R
-    refresh     --root R [--level NAME] [--now TIME]
-    backfill    --root R --level NAME --first TIME --last TIME
+    refresh     --root R [--level NAME] [--touched] [--now TIME]
+    backfill    --root R --level NAME --first TIME --last TIME [--chunk-bytes N]
+    windows     --root R --level NAME --checkpoint DIR [--once] [--watermark W]
     retention   --root R [--now TIME]
     compact     --root R [--now TIME]
 """
@@ -18,9 +19,12 @@ from pyspark.sql import SparkSession
 
 from .functions.clock import BUCKET_WIDTHS
 from .plans import maintain
+from .plans.backfill import CHUNK_BYTES, backfill_chunks
+from .plans.invalidate import refresh_invalid
 from .plans.static_load import load_static
 from .sources.packages import read_catalogue
 from .streaming.live import replay_quarantine, run_live
+from .streaming.windows import WATERMARK, stream_level
 from .warehouse import Warehouse, clock_now
 
 
@@ -50,10 +54,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     job("replay")
     refresh = job("refresh")
     refresh.add_argument("--level", choices=list(BUCKET_WIDTHS), default=None)
+    refresh.add_argument("--touched", action="store_true", help="only what appends have touched since")
     fill = job("backfill")
     fill.add_argument("--level", choices=list(BUCKET_WIDTHS), required=True)
     fill.add_argument("--first", type=datetime.fromisoformat, required=True)
     fill.add_argument("--last", type=datetime.fromisoformat, required=True)
+    fill.add_argument("--chunk-bytes", type=int, default=CHUNK_BYTES)
+    windows = job("windows")
+    windows.add_argument("--level", choices=list(BUCKET_WIDTHS), required=True)
+    windows.add_argument("--checkpoint", required=True)
+    windows.add_argument("--once", action="store_true", help="process what has been appended, then stop")
+    windows.add_argument("--watermark", default=WATERMARK)
     keep = job("retention")
     pack = job("compact")
     for sub in (refresh, keep, pack):
@@ -78,9 +89,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         replay_quarantine(wh)
     elif args.job == "refresh":
         for level in [args.level] if args.level else maintain.REFRESH_ORDER:
-            maintain.refresh(wh, level, now)
+            (refresh_invalid if args.touched else maintain.refresh)(wh, level, now)
     elif args.job == "backfill":
-        maintain.backfill(wh, args.level, args.first, args.last)
+        backfill_chunks(wh, args.level, args.first, args.last, args.chunk_bytes)
+    elif args.job == "windows":
+        stream_level(wh, args.level, args.checkpoint, args.watermark, args.once).awaitTermination()
     elif args.job == "compact":
         maintain.compact_closed(wh, now)
     else:

@@ -64,6 +64,8 @@ class Settings:
     poll_seconds: int = 20
     fact_retention: timedelta = timedelta(days=30)
     run_retention: timedelta = timedelta(days=90)
+    claim_lease: timedelta = timedelta(hours=6)  # after which the holder of a claim counts as dead
+    schedule_parts: int = 64  # by hash of the trip, of each stored schedule version
     refresh: dict[str, RefreshPolicy] = field(
         default_factory=lambda: {
             "agg_line_15m": RefreshPolicy(timedelta(days=7), timedelta(minutes=10), timedelta(minutes=5)),

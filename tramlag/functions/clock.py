@@ -34,6 +34,18 @@ def from_epoch(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("bigint"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def to_instant(ts: Column) -> Column:
+    """UTC wall time -> `timestamp`, the type that event time has in a stream; in any session zone."""
+    return F.make_timestamp(
+        F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.extract(F.lit("SECOND"), ts), F.lit("UTC")
+    )
+
+
+def from_instant(instant: Column) -> Column:
+    """`timestamp` of whole seconds -> UTC wall time."""
+    return from_epoch(F.unix_seconds(instant))
+
+
 def local_date(ts: Column, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts).cast("date")
 
@@ -73,3 +85,28 @@ def bucket_ceiling(value: datetime, width: timedelta | None, zone: str) -> datet
         return start + width
     # 26 hours past local midnight always lie in the next local day
     return bucket_start(start + timedelta(hours=26), None, zone)
+
+
+def level_bucket(time: Column, level: str, zone: str) -> Column:
+    """Start of the bucket of an aggregate level that holds an instant."""
+    width = BUCKET_WIDTHS[level]
+    if width is None:
+        return local_day_bucket(time, zone)
+    return utc_bucket(time, f"{int(width.total_seconds())} seconds")
+
+
+def bucket_end(bucket: Column, level: str, zone: str) -> Column:
+    """End of the bucket that starts at `bucket`."""
+    width = BUCKET_WIDTHS[level]
+    if width is None:
+        return local_day_bucket(bucket + F.make_dt_interval(hours=F.lit(26)), zone)
+    return bucket + F.make_dt_interval(secs=F.lit(width.total_seconds()))
+
+
+def buckets_of(lo: datetime, hi: datetime, level: str, zone: str) -> list[datetime]:
+    """Starts of the whole buckets in [lo, hi), whose ends are edges of buckets."""
+    found, width = [], BUCKET_WIDTHS[level]
+    while lo < hi:
+        found.append(lo)
+        lo = bucket_start(lo + (width or timedelta(hours=26)), width, zone)
+    return found

@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..session import written
+
 ROWS_PER_RANGE = 100_000
-MAX_RANGES = 1_000  # of the layout: beyond ROWS_PER_RANGE * MAX_RANGES heads, ranges get longer
-SAMPLED_PER_RANGE = 20
 
 
-def _cuts(heads: DataFrame, arrival: list[str], ranges: int) -> list[tuple]:
-    """Ends of about equal ranges of the whole arrival order, from a bounded sample by hash."""
+def in_ranges(heads: DataFrame, arrival: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """`heads` with the number of their range of the arrival order, `_range`.
+
+    Ranges are Spark's range partitions of a total order, so their number follows the heads. They
+    are written, since both the ranges and what lies in them are read from there.
+    """
+    ranges = math.ceil(heads.count() / rows_per_range)
     if ranges < 2:
-        return []
-    sample = heads.select(*arrival).orderBy(F.xxhash64(*arrival)).limit(ranges * SAMPLED_PER_RANGE).collect()
-    places = sorted(map(tuple, sample))
-    return sorted({places[len(places) * i // ranges] for i in range(1, ranges)})
+        return heads.withColumn("_range", F.lit(0))
+    return written(heads.repartitionByRange(ranges, *arrival).withColumn("_range", F.spark_partition_id()), "heads")
 
 
 def mark_fresh(
@@ -38,18 +41,8 @@ def mark_fresh(
     moment spread over several. `last` is the epoch time of the last processed snapshot
     (`ts` holds epoch seconds then).
     """
-    ranges = min(math.ceil(heads.count() / rows_per_range), MAX_RANGES)
-    order = F.struct(*[F.col(c).alias(c) for c in arrival])
-    kinds = [heads.schema[c].dataType for c in arrival]
-    cuts = [
-        F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(cut, kinds, arrival)])
-        for cut in _cuts(heads, arrival, ranges)
-    ]
-    range_of = F.size(F.filter(F.array(*cuts), lambda c: c < order)) if cuts else F.lit(0)
-    placed = heads.withColumn("_range", range_of)
-
-    # one row per range, at most MAX_RANGES
-    earlier_ranges = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    placed = in_ranges(heads, arrival, rows_per_range)
+    earlier_ranges = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # a row a range
     before = (
         placed.groupBy("_range")
         .agg(F.max(ts).alias("_max"))
@@ -60,7 +53,7 @@ def mark_fresh(
     floor = F.lit(last).cast(heads.schema[ts].dataType)
     marker = F.greatest("_before", "_inside", floor)
     return (
-        inside.join(F.broadcast(before), "_range")
+        inside.join(before, "_range")
         .withColumn("fresh", marker.isNull() | (F.col(ts) > marker))
         .drop("_range", "_before", "_inside")
     )
@@ -68,3 +61,14 @@ def mark_fresh(
 
 def fresh_only(heads: DataFrame, arrival: list[str], ts: str, last: int | None = None, **options) -> DataFrame:
     return mark_fresh(heads, arrival, ts, last, **options).where("fresh").drop("fresh")
+
+
+def numbered(heads: DataFrame, arrival: list[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """`heads` with their place in the order of arrival, `place`, from 0 on; range by range as above."""
+    placed = in_ranges(heads, arrival, rows_per_range)
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(W.partitionBy("_range").orderBy(*arrival)) - 1
+    joined = placed.withColumn("_inside", inside).join(offsets, "_range")
+    return joined.withColumn("place", F.col("_offset") + F.col("_inside")).drop("_range", "_offset", "_inside")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from ..operators.upsert import recompute_window
 from ..warehouse import Warehouse
 
 # level -> (source table, its time column and partition column)
-_SOURCES = {
+SOURCES = {
     "agg_line_15m": ("fact_delay", "ts", "ts_date"),
     "agg_stop_15m": ("fact_delay", "ts", "ts_date"),
     "agg_line_1h": ("agg_line_15m", "bucket", "bucket_date"),
@@ -58,26 +59,28 @@ def recompute(wh: Warehouse, level: str, lo: datetime, hi: datetime) -> None:
     """
     if lo >= hi:
         return
-    table, column, partition = _SOURCES[level]
-    fresh = aggregate(wh, level, between(wh.read(table), column, partition, lo, hi))
+    with wh.claim(level) as check:
+        _recompute(wh, level, lo, hi, check)
+
+
+def _recompute(wh: Warehouse, level: str, lo: datetime, hi: datetime, check: Callable[[], None]) -> None:
+    table, column, partition = SOURCES[level]
+    days = [str(lo.date() + timedelta(days=i)) for i in range((hi.date() - lo.date()).days + 1)]
+    fresh = aggregate(wh, level, between(wh.read(table, days), column, partition, lo, hi))
     fresh = fresh.withColumn("bucket_date", F.col("bucket").cast("date"))
-    stored = wh.read(level)
-    edges = stored.where(F.col("bucket_date").isin(lo.date(), hi.date()))
-    rows = recompute_window(edges, fresh.select(*stored.columns), ntz(lo), ntz(hi)).persist()
-    filled = {str(row[0]) for row in rows.select("bucket_date").distinct().collect()}  # days of the window
-    before = wh.partitions(level)
-    if filled:
-        wh.replace_partitions(level, rows)
-    rows.unpersist()
-    touched = {str(lo.date() + timedelta(days=i)) for i in range((hi.date() - lo.date()).days + 1)}
-    gone = (touched & set(before)) - filled
-    wh.drop_partitions(level, lambda value: value in gone)
+    edges = wh.read(level, sorted({str(lo.date()), str(hi.date())}))
+    rows = recompute_window(edges, fresh.select(*edges.columns), ntz(lo), ntz(hi))
+    check()
+    wh.replace_partitions(level, rows, days)
 
 
-def refresh(wh: Warehouse, level: str, now: datetime) -> None:
-    policy = wh.cfg.refresh[level]
-    if _SOURCES[level][0] == "fact_delay" and policy.start > wh.cfg.fact_retention:
+def require_window(wh: Warehouse, level: str) -> None:
+    if SOURCES[level][0] == "fact_delay" and wh.cfg.refresh[level].start > wh.cfg.fact_retention:
         raise ValueError(f"{level}: refresh reaches behind the retention of the facts")
+
+
+def refresh(wh: Warehouse, level: str, now: datetime) -> None:
+    require_window(wh, level)
     recompute(wh, level, *refresh_window(wh.cfg, level, now))
 
 
@@ -114,7 +117,7 @@ def compact_closed(wh: Warehouse, now: datetime) -> list[str]:
     A live query appends a file a cycle and date; snapshots that old are no longer awaited.
     """
     closed = (to_utc(now).date() - timedelta(days=1)).isoformat()
-    values = [v for v in wh.partitions("fact_delay") if v < closed and wh.files("fact_delay", v) > 1]
+    values = [v for v in wh.partitions("fact_delay") if v < closed and len(wh.files("fact_delay", v)) > 1]
     for value in values:
         wh.compact("fact_delay", value)
     return values

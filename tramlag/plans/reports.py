@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANCELLED, OBSERVED, RUN_ERROR
 from ..functions.clock import ntz
 from ..functions.measures import ratio
+from ..warehouse import Warehouse
 
 
 def _totals() -> list:
@@ -134,3 +135,32 @@ def recent_facts(facts: DataFrame, key: str, value: str, since: datetime, k: int
     return rows.orderBy(F.desc("ts"), *ties).limit(k).select(
         "ts", key, "trip_id", "stop_id", "stop_sequence", "delay_s", "status"
     )
+
+
+def newest_rows(wh: Warehouse, table: str, keep: Column, order: list[Column | str], k: int) -> DataFrame:
+    """First `k` rows in `order`, which begins with the time that the table is partitioned by, newest first.
+
+    Date partitions are opened from the newest on, one, two, four and so on more at a time, until
+    they hold `k` rows that `keep` lets pass: all older rows come behind these.
+    """
+    waiting, opened, found, step = wh.partitions(table)[::-1], [], 0, 1
+    while waiting and found < k:
+        more, waiting = waiting[:step], waiting[step:]
+        found += wh.read(table, more).where(keep).limit(k - found).count()
+        opened += more
+        step *= 2
+    return wh.read(table, opened).where(keep).orderBy(*order).limit(k)
+
+
+def recent_stored_facts(wh: Warehouse, key: str, value: str, k: int = 100) -> DataFrame:
+    """As `recent_facts` on the stored facts, however long ago the latest ones are."""
+    order = [F.desc("ts"), "trip_id", "stop_id", "stop_sequence"]
+    return newest_rows(wh, "fact_delay", F.col(key) == value, order, k).select(
+        "ts", key, "trip_id", "stop_id", "stop_sequence", "delay_s", "status"
+    )
+
+
+def latest_stored_failures(wh: Warehouse, k: int = 20) -> DataFrame:
+    """As `latest_failures` on the stored audit rows."""
+    order = [F.desc("started_at"), F.desc("snapshot_ts")]
+    return newest_rows(wh, "fact_run", F.col("status") == RUN_ERROR, order, k).select("started_at", "snapshot_ts", "error")

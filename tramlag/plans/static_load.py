@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -76,7 +77,8 @@ def load_static(
     """Run the whole load and return the new version id.
 
     The unpacked records are written once, partitioned by member, so the archives are read
-    a single time and a lost executor does not repeat the decompression.
+    a single time and a lost executor does not repeat the decompression. A second load at the
+    same time fails with ClaimedError.
     """
     horizon_days = horizon_days or wh.cfg.horizon_days
     last = today + timedelta(days=horizon_days - 1)
@@ -86,7 +88,8 @@ def load_static(
 
     staging = shared_folder(wh.spark, "packages")
     try:
-        return _load(wh, landing, selected, staging, today, now, last, keep_known_day_type)
+        with wh.claim("static-load") as check:
+            return _load(wh, landing, selected, staging, today, now, last, keep_known_day_type, check)
     finally:
         selected.unpersist()
         wh.delete(staging)
@@ -94,7 +97,7 @@ def load_static(
 
 def _load(
     wh: Warehouse, landing: str, selected: DataFrame, staging: str, today: date, now: datetime, last: date,
-    keep_known_day_type: bool,
+    keep_known_day_type: bool, check: Callable[[], None],
 ) -> int:
     p.unpack_packages(wh.spark, landing, selected).write.partitionBy("member").parquet(staging)
     records = wh.spark.read.schema(
@@ -115,5 +118,6 @@ def _load(
         build_dimensions(wh, tables, first, last),
         schedule,
         keep_known_day_type,
+        check,
     )
     return version_id

@@ -96,3 +96,6 @@ FACT_REFERENCES = {
     "service_date": ("dim_date", "date"),
     "version_id": ("dim_version", "version_id"),
 }
+
+# the same of a planned stop
+SCHEDULE_REFERENCES = {"version_id": ("dim_version", "version_id")}

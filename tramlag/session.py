@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -40,3 +40,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tramlag-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/tramlag/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` as a table in the shared folder: worked out once, whatever is lost afterwards."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
