@@ -129,12 +129,11 @@ def test_ranges_are_divided_without_loss(spans, lo, hi):
     assert minutes(outside) == [m for m in minutes(ranges) if not lo <= m < hi]
 
 
-def test_ranges_are_merged(spark, rows):
+def test_ranges_are_merged():
     at = lambda m: datetime(2026, 3, 1) + timedelta(minutes=m)
-    spans = [(0, 5), (3, 4), (5, 7), (9, 10), (9, 12), (20, 21)]
-    df = spark.createDataFrame([(k, at(a), at(b)) for k in "xy" for a, b in spans], "k string, lo timestamp_ntz, hi timestamp_ntz")
-    want = [(k, at(a), at(b)) for k in "xy" for a, b in ((0, 7), (9, 12), (20, 21))]
-    assert rows(invalidate.merged(df, "k").select("k", "lo", "hi")) == want
+    spans = [(9, 12), (0, 5), (3, 4), (5, 7), (9, 10), (20, 21)]
+    want = [(at(a), at(b)) for a, b in ((0, 7), (9, 12), (20, 21))]
+    assert invalidate.merged([(at(a), at(b)) for a, b in spans]) == want
 
 
 # ------------------------------------------------------------------ backfill

@@ -95,14 +95,6 @@ def level_bucket(time: Column, level: str, zone: str) -> Column:
     return utc_bucket(time, f"{int(width.total_seconds())} seconds")
 
 
-def bucket_end(bucket: Column, level: str, zone: str) -> Column:
-    """End of the bucket that starts at `bucket`."""
-    width = BUCKET_WIDTHS[level]
-    if width is None:
-        return local_day_bucket(bucket + F.make_dt_interval(hours=F.lit(26)), zone)
-    return bucket + F.make_dt_interval(secs=F.lit(width.total_seconds()))
-
-
 def buckets_of(lo: datetime, hi: datetime, level: str, zone: str) -> list[datetime]:
     """Starts of the whole buckets in [lo, hi), whose ends are edges of buckets."""
     found, width = [], BUCKET_WIDTHS[level]

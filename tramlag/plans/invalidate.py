@@ -1,7 +1,7 @@
 """Refresh by invalidation: appends log what they touch, and a refresh rebuilds no more than that.
 
 The log of a level lists ranges [lo, hi) of its buckets whose source has changed since they were
-built. It is a small table of its own, a file per append. A refresh merges the ranges, rebuilds
+built: a small file per append, with a line per range. A refresh merges the ranges, rebuilds
 those inside its window, logs the buckets that came out different for the next coarser level, and
 leaves the rest of the ranges in the log for a later window or a backfill. Every step may be
 repeated: a range that is logged once too often is built again to the same rows.
@@ -9,18 +9,18 @@ repeated: a range that is logged once too often is built again to the same rows.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import bucket_ceiling, bucket_end, bucket_start, buckets_of, level_bucket, BUCKET_WIDTHS
+from ..functions.clock import BUCKET_WIDTHS, bucket_ceiling, bucket_start, buckets_of, level_bucket
 from ..warehouse import Warehouse
 from .maintain import REFRESH_ORDER, SOURCES, aggregate, refresh_window, require_window
 
-LOG = "lo timestamp_ntz, hi timestamp_ntz"
-
 Range = tuple[datetime, datetime]
 
 
@@ -35,8 +35,8 @@ class Refreshed:
     left: list[Range] = field(default_factory=list)  # ranges outside the window
 
 
-def _folder(wh: Warehouse, level: str | None = None) -> str:
-    return wh.path("_invalid") + (f"/level={level}" if level else "")
+def _folder(wh: Warehouse, level: str) -> str:
+    return wh.path(f"_invalid/{level}")
 
 
 def fed_by(table: str) -> list[str]:
@@ -44,36 +44,35 @@ def fed_by(table: str) -> list[str]:
     return [level for level in REFRESH_ORDER if SOURCES[level][0] == table]
 
 
-def merged(ranges: DataFrame, *by: str) -> DataFrame:
-    """Ranges that overlap or touch as one, for each value of `by`.
-
-    One row a bucket or log entry goes through a task, not one a fact.
-    """
-    place = Window.partitionBy(*by, F.lit(0)).orderBy("lo", "hi")
-    before = F.max("hi").over(place.rowsBetween(Window.unboundedPreceding, -1))
-    begins = ranges.withColumn("_begins", F.when(before >= F.col("lo"), 0).otherwise(1))
-    islands = begins.withColumn("_island", F.sum("_begins").over(place.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(*by, "_island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_island")
-
-
-def touched(rows: DataFrame, time: str, level: str, zone: str) -> DataFrame:
-    """Ranges of the level's buckets that hold the times of some rows, each bucket a range."""
-    buckets = rows.select(level_bucket(F.col(time), level, zone).alias("lo")).where("lo is not null").distinct()
-    return buckets.select("lo", bucket_end(F.col("lo"), level, zone).alias("hi"))
+def merged(ranges: list[Range]) -> list[Range]:
+    """Ranges that overlap or touch as one, in order."""
+    found: list[Range] = []
+    for lo, hi in sorted(ranges):
+        if found and lo <= found[-1][1]:
+            found[-1] = found[-1][0], max(hi, found[-1][1])
+        else:
+            found.append((lo, hi))
+    return found
 
 
 def log_touched(wh: Warehouse, table: str, rows: DataFrame, time: str) -> None:
     """Log the buckets that `rows`, stored in `table` before, touch in the levels built from it.
 
-    Rows that a repeated batch did not insert may be among them: whoever stored them may have
-    died before logging.
+    The driver gets the distinct quarters of an hour of the rows: their number depends on the time
+    that the rows span, not on how many they are. Rows that a repeated batch did not insert may be
+    among them: whoever stored them may have died before logging.
     """
-    found = None
-    for level in fed_by(table):
-        own = touched(rows, time, level, wh.cfg.zone).withColumn("level", F.lit(level))
-        found = own if found is None else found.unionByName(own)
-    if found is not None:
-        merged(found, "level").repartition(1).write.mode("append").partitionBy("level").parquet(_folder(wh))
+    quarter = level_bucket(F.col(time), "agg_line_15m", wh.cfg.zone).alias("quarter")
+    times = [row[0] for row in rows.select(quarter).distinct().collect() if row[0]]
+    log_times(wh, table, times)
+
+
+def log_times(wh: Warehouse, table: str, times: list[datetime]) -> None:
+    """Log the buckets of these times in the levels built from `table`."""
+    for level in fed_by(table) if times else []:
+        width, zone = BUCKET_WIDTHS[level], wh.cfg.zone
+        starts = {bucket_start(t, width, zone) for t in times}
+        _log(wh, level, [(b, bucket_start(b + (width or timedelta(hours=26)), width, zone)) for b in starts])
 
 
 def append_facts(wh: Warehouse, facts: DataFrame) -> None:
@@ -89,20 +88,16 @@ def invalidate(wh: Warehouse, level: str, lo: datetime, hi: datetime) -> None:
 
 
 def _log(wh: Warehouse, level: str, ranges: list[Range]) -> None:
-    wh.spark.createDataFrame(ranges, LOG).coalesce(1).write.mode("append").parquet(_folder(wh, level))
+    lines = [json.dumps([edge.isoformat() for edge in r]) for r in merged(ranges)]
+    wh.put(f"{_folder(wh, level)}/{uuid.uuid4().hex}", "\n".join(lines))
 
 
 def pending(wh: Warehouse, level: str) -> tuple[list[str], list[Range]]:
-    """Files of a level's log, and the ranges in them, merged and in order.
-
-    The driver gets a row a merged range: no more than the level has buckets since the last refresh.
-    """
+    """Files of a level's log, and the ranges in them, merged and in order."""
     folder = _folder(wh, level)
     files = [f"{folder}/{name}" for name in wh.names(folder)]
-    if not files:
-        return [], []
-    ranges = merged(wh.spark.read.schema(LOG).parquet(*files))
-    return files, sorted((row["lo"], row["hi"]) for row in ranges.collect())
+    lines = [json.loads(line) for path in files for line in wh.text(path).splitlines()]
+    return files, merged([tuple(map(datetime.fromisoformat, line)) for line in lines])
 
 
 def divided(ranges: list[Range], lo: datetime, hi: datetime) -> tuple[list[Range], list[Range]]:
@@ -152,18 +147,18 @@ def _rebuild(wh: Warehouse, level: str, done: Refreshed, check) -> None:
     fresh = fresh.withColumn("bucket_date", F.col("bucket").cast("date")).select(*stored.columns).persist()
     inside = stored["bucket"] == buckets["_bucket"]
     old = stored.join(buckets, inside, "left_semi")
-    differ = fresh.exceptAll(old).unionByName(old.exceptAll(fresh)).select("bucket").distinct()
+    both = fresh.withColumn("_n", F.lit(1)).unionByName(old.withColumn("_n", F.lit(-1)))
+    differ = both.groupBy(*stored.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").select("bucket").distinct()
     done.changed = sorted(row["bucket"] for row in differ.collect())
     done.rewritten = sorted({str(b.date()) for b in done.changed})
     if done.changed:
         rows = fresh.unionByName(stored.join(buckets, inside, "left_anti"))
-        changed = wh.spark.createDataFrame([(b,) for b in done.changed], "bucket timestamp_ntz")
         check()
         # logged before, in case this job dies once the rows are visible, and after, in case the
         # coarser level is refreshed before they are
-        log_touched(wh, level, changed, "bucket")
+        log_times(wh, level, done.changed)
         wh.replace_partitions(level, rows.where(F.col("bucket_date").cast("string").isin(done.rewritten)), done.rewritten)
-        log_touched(wh, level, changed, "bucket")
+        log_times(wh, level, done.changed)
     fresh.unpersist()
 
 

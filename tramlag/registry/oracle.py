@@ -180,10 +180,10 @@ primary_service as (
     from active) where rn = 1
 ),
 service_rows as (
-  select cast(c_custkey % 12 + 1 as varchar) as service_id,
+  select case when c_custkey % 12 = 11 then 'X12' else cast(c_custkey % 12 + 1 as varchar) end as service_id,
     case when c_custkey % 12 + 1 <> 11 then c_mktsegment || ' ' || (c_custkey % 12 + 1) end as name,
     c_nationkey as pkg_ord, c_custkey as line_no
-  from customer where c_custkey % 12 <> 11
+  from customer
 ),
 service as (
   select * from (
@@ -293,10 +293,34 @@ bad as (
 )"""
 
 
-def _recent(key: str, value: str) -> str:
+def _levels(**bounds: tuple[str, str]) -> str:
+    """All four levels in one result; `bounds` limit the facts that count for a level."""
+    parts, sources = [], []
+    for level, (width, keys) in _LEVELS.items():
+        lo, hi = bounds.get(level, ("-infinity", "infinity"))
+        sources.append(f"of_{level} as (select * from fact where ts >= timestamp '{lo}' and ts < timestamp '{hi}')")
+        stop = "stop_id" if "stop_id" in keys else "cast(null as varchar) as stop_id"
+        operator = "operator_id" if "operator_id" in keys else "cast(null as varchar) as operator_id"
+        parts.append(
+            f"""select '{level}' as level, bucket, service_date, version_id, line_id, {operator}, {stop}, delay_sum, obs, on_time,
+              cast(delay_min as bigint) as delay_min, cast(delay_max as bigint) as delay_max, cancelled, skipped
+            from ({_aggregate(width, keys, f"of_{level}")})"""
+        )
+    return _with(_FACT, *sources) + " union all ".join(parts)
+
+
+_LEVELS = {
+    "agg_line_15m": ("15 minutes", _LINE_KEYS),
+    "agg_stop_15m": ("15 minutes", _STOP_KEYS),
+    "agg_line_1h": ("1 hour", _LINE_KEYS),
+    "agg_line_1d": ("1 day", _LINE_KEYS),
+}
+
+
+def _recent(key: str, value: str, since: str = "2024-01-25") -> str:
     return _with(_FACT) + f"""
       select ts, {key}, trip_id, stop_id, stop_sequence, delay_s, status from fact
-      where {key} = '{value}' and ts >= timestamp '2024-01-25'
+      where {key} = '{value}' and ts >= timestamp '{since}'
       order by ts desc, trip_id, stop_id, stop_sequence limit 100"""
 
 
@@ -373,6 +397,18 @@ ORACLE: dict[str, str] = {
           partition by ts, trip_id, stop_id, stop_sequence order by update_pos, delay_s nulls first, status) as rn
         from (select *, stop_sequence as update_pos from cancelled_rows union all select * from matched))
       where rn = 1""",
+    "s8_published_views": _with(_SCHEDULE, _LINES)
+    + """select cast(2 as int) as version_id, mode, day_offset, count(*) as planned, count(distinct trip_id) as trips
+      from schedule left join line on line.line_id = schedule.line_id group by mode, day_offset""",
+    "w5_run_audit": _with(_FEED)
+    + """, heads as (
+        select distinct timestamp '2024-01-01' + to_seconds(1009 * date_diff('day', date '1995-01-01', cast(day as date))) as ts
+        from (select l_shipdate as day from lineitem union all select o_orderdate from orders)),
+      found as (select * from cancelled_rows union all select * exclude (update_pos) from matched),
+      counted as (select ts, count(*) as observed, count(distinct (trip_id, stop_id, stop_sequence)) as inserted from found group by ts)
+      select ts as snapshot_ts, cast(coalesce(observed, 0) as int) as observed, cast(coalesce(inserted, 0) as int) as inserted,
+        'OK' as status, cast(null as varchar) as error
+      from heads left join counted using (ts)""",
     "w2_upsert": _with(_LINES)
     + """select line_id, short_name, case when p_size > 20 then long_name else 'before' end as long_name,
         mode, line_type from line join part on line_id = 'L' || p_partkey""",
@@ -386,6 +422,8 @@ ORACLE: dict[str, str] = {
         cast(l_linenumber as varchar) as stop_sequence, count(*) as rows
       from lineitem group by l_orderkey, l_suppkey, l_linenumber having count(*) > 1""",
     "j2_orphans": _with(_FACT, _REFERENCES) + "select fk, key, count(*) as rows from bad group by all",
+    "j2_schedule_versions": _with(_SCHEDULE)
+    + """select 'version_id' as fk, '9' as key, count(*) as rows from schedule where headsign = '5-LOW' having count(*) > 0""",
     "j2_clean_facts": _with(_FACT, _REFERENCES)
     + """select ts, trip_id, stop_id, stop_sequence, service_date from fact f
       where not exists (select 1 from bad where
@@ -420,6 +458,16 @@ ORACLE: dict[str, str] = {
         where not (bucket >= timestamp '2024-01-13 10:15:00' and bucket < timestamp '2024-01-20 09:45:00')
       union all select * from fresh
         where bucket >= timestamp '2024-01-13 10:15:00' and bucket < timestamp '2024-01-20 09:45:00'""",
+    "a11_refresh_all": _levels(
+        agg_line_15m=("2024-01-13 10:15:00", "2024-01-20 09:45:00"),
+        agg_stop_15m=("2024-01-13 10:15:00", "2024-01-20 09:45:00"),
+        agg_line_1h=("2024-01-13 10:15:00", "2024-01-20 09:00:00"),
+        agg_line_1d=("2024-01-13 10:15:00", "2024-01-19 23:00:00"),
+    ),
+    "a11_invalidated": _levels(),
+    "a12_backfill_chunks": _levels(),
+    "a1_streamed_windows": _with(_FACT) + _aggregate("15 minutes", _LINE_KEYS),
+    "a3_streamed_windows": _with(_FACT) + _aggregate("1 day", _LINE_KEYS),
     "k1_punctuality": _with(_FACT, _AGG)
     + f"""select cast(sum(on_time) as bigint) as on_time, {_OBS},
         round(sum(on_time) / sum(obs), 6) as punctuality from agg""",
@@ -465,7 +513,14 @@ ORACLE: dict[str, str] = {
       order by started_at desc, snapshot_ts desc limit 20""",
     "k8_recent_by_line": _recent("line_id", "L3"),
     "k8_recent_by_operator": _recent("operator_id", "O2"),
+    "k8_recent_stored": _recent("line_id", "L3", "-infinity"),
 }
 # the same rows, by the jobs on stored tables
-for _job, _rule in {"t1_retention_stored": "t1_retention", "a11_refresh_stored": "a11_refresh_window"}.items():
+_STORED = {
+    "t1_retention_stored": "t1_retention",
+    "t2_run_retention_stored": "t2_run_retention",
+    "a11_refresh_stored": "a11_refresh_window",
+    "k7_failures_stored": "k7_failures",
+}
+for _job, _rule in _STORED.items():
     ORACLE[_job] = ORACLE[_rule]

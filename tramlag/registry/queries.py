@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from dataclasses import replace
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,20 +12,29 @@ from pyspark.sql import functions as F
 from .. import samples as s
 from ..config import DEFAULTS, OBSERVED
 from ..functions.clock import ntz
+from ..functions.measures import MEASURES
 from ..operators import dims as d
 from ..operators import integrity, match, merge, rollup, skip, upsert
 from ..operators import schedule as sched
 from ..operators.skew import hot_keys
-from ..plans import maintain, reports
-from ..schemas import PRIMARY_KEYS
+from ..plans import backfill, invalidate, maintain, reports
+from ..schemas import PRIMARY_KEYS, SCHEDULE_REFERENCES
 from ..session import shared_folder
 from ..sources import packages as p
-from ..streaming.live import run_live
-from ..warehouse import Warehouse
+from ..streaming.live import process_batch, run_live
+from ..streaming.windows import stream_level
+from ..warehouse import Warehouse, week_start
 
 REFRESH_NOW = datetime(2024, 1, 20, 10, 7)
 RETENTION_NOW = datetime(2024, 2, 10, 12, 0)
 RUN_RETENTION_NOW = datetime(2000, 6, 15, 12, 0)
+AFTER_ALL = datetime(2024, 2, 10)  # past every sample fact
+#: Refresh windows and retention that take in all sample facts at `AFTER_ALL`.
+WIDE = replace(
+    DEFAULTS,
+    fact_retention=timedelta(days=90),
+    refresh={level: replace(policy, start=timedelta(days=60)) for level, policy in DEFAULTS.refresh.items()},
+)
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -80,14 +90,12 @@ def s6_current_version(spark, sf):
     return versions.orderBy(F.desc("loaded_at"), F.desc("version_id")).limit(1)
 
 
-def _versioned_schedule(spark, sf):
-    return s.schedule(spark, sf).withColumn("version_id", s.version_of(F.col("direction")))
-
-
 @query
 def s7_schedule_scan(spark, sf):
+    """The schedule of the version in force, of whose trips alone stop times are merged."""
     current = F.broadcast(s6_current_version(spark, sf).select("version_id"))  # one row
-    return _versioned_schedule(spark, sf).join(current, "version_id", "left_semi").drop("version_id", "headsign")
+    trips = s.trips(spark, sf).withColumn("version_id", s.version_of(F.col("direction_id")))
+    return s.schedule(spark, sf, trips.join(current, "version_id", "left_semi").select("trip_id")).drop("headsign")
 
 
 # ------------------------------------------------------------------ merge
@@ -248,14 +256,7 @@ def r13_cycle_counts(spark, sf):
     return _matched_facts(spark, sf).groupBy("ts", "status").agg(F.count(F.lit(1)).alias("observed"))
 
 
-@query
-def r14_live_stream(spark, sf):
-    """The whole live path: land snapshots as files, stream them, match, check, store.
-
-    Snapshots of one time land in one file, so that the order of files does not decide which
-    of several updates of one key is kept.
-    """
-    wh = Warehouse(spark, shared_folder(spark, "live"))
+def _publish(wh, spark, sf, version_id, schedule):
     dims = {
         "dim_line": d1_line(spark, sf),
         "dim_stop": d2_stop(spark, sf),
@@ -263,13 +264,55 @@ def r14_live_stream(spark, sf):
         "dim_date": d4_date(spark, sf),
     }
     version = spark.range(1).select(
-        F.lit(1).alias("version_id"),
+        F.lit(version_id).alias("version_id"),
         F.lit("sample").alias("package_names"),
         F.lit(s.DATES_FROM).alias("valid_from"),
         F.lit(s.DATES_TO).alias("valid_to"),
-        ntz(datetime(2023, 12, 1)).alias("loaded_at"),
+        ntz(datetime(2023, 12, version_id)).alias("loaded_at"),
+    )
+    wh.publish(version, version_id, dims, schedule)
+
+
+def _sample_warehouse(spark, sf):
+    wh = Warehouse(spark, shared_folder(spark, "live"))
+    _publish(wh, spark, sf, 1, s.schedule(spark, sf))
+    return wh
+
+
+@query
+def s8_published_views(spark, sf):
+    """Two loads one after the other; a report by SQL over the views of the version in force."""
+    wh = Warehouse(spark, shared_folder(spark, "published"))
+    plan = s.schedule(spark, sf)
+    _publish(wh, spark, sf, 1, plan.where("direction = 'F'"))
+    _publish(wh, spark, sf, 2, plan)
+    wh.register_views()
+    return spark.sql(
+        f"""select p.version_id, l.mode, p.day_offset, count(*) as planned, count(distinct p.trip_id) as trips
+            from schedule p left join dim_line l on l.line_id = p.line_id
+            where p.version_id = {wh.current_version()} group by p.version_id, l.mode, p.day_offset"""
     )
-    wh.publish(version, 1, dims, s.schedule(spark, sf))
+
+
+@query
+def w5_run_audit(spark, sf):
+    """Audit rows of all snapshots, handled as one batch of the live path."""
+    wh = _sample_warehouse(spark, sf)
+    arrived = s.snapshots(spark, sf).select(
+        "*", F.lit(0).cast("bigint").alias("arrived"), F.lit("sample").alias("file_path"), F.lit(None).cast("string").alias("corrupt")
+    )
+    process_batch(wh, arrived, 0, clock=lambda: AFTER_ALL)
+    return wh.read("fact_run").select("snapshot_ts", "observed", "inserted", "status", "error")
+
+
+@query
+def r14_live_stream(spark, sf):
+    """The whole live path: land snapshots as files, stream them, match, check, store.
+
+    Snapshots of one time land in one file, so that the order of files does not decide which
+    of several updates of one key is kept.
+    """
+    wh = _sample_warehouse(spark, sf)
     landing = shared_folder(spark, "landing")
     s.snapshots(spark, sf).repartition("header.timestamp").write.json(landing)
     stream = run_live(
@@ -326,6 +369,14 @@ def j2_orphans(spark, sf):
     return integrity.orphans(s.fact_delay(spark, sf), _reference_dims(spark, sf))
 
 
+@query
+def j2_schedule_versions(spark, sf):
+    """Planned stops of versions that nobody has loaded: those of low priority name version 9."""
+    low = F.col("headsign") == "5-LOW"
+    planned = s.schedule(spark, sf).withColumn("version_id", F.when(low, 9).otherwise(s.version_of(F.col("direction"))))
+    return integrity.orphans(planned, {"dim_version": s.dim_version(spark, sf)}, SCHEDULE_REFERENCES)
+
+
 @query
 def j2_clean_facts(spark, sf):
     clean, _ = integrity.drop_orphans(s.fact_delay(spark, sf), j2_orphans(spark, sf))
@@ -362,6 +413,16 @@ def t2_run_retention(spark, sf):
     return runs.select("started_at", "status")
 
 
+@query
+def t2_run_retention_stored(spark, sf):
+    """The retention job on stored audit rows."""
+    wh = Warehouse(spark, shared_folder(spark, "runs"))
+    runs = s.fact_run(spark, sf).withColumn("week_start", week_start(F.col("started_at")))
+    wh.append("fact_run", runs.withColumn("seconds", F.col("seconds").cast("decimal(12,3)")))
+    maintain.apply_retention(wh, RUN_RETENTION_NOW)
+    return wh.read("fact_run").select("started_at", "status")
+
+
 # ------------------------------------------------------------------ aggregates
 
 
@@ -407,6 +468,72 @@ def a11_refresh_stored(spark, sf):
     return wh.read("agg_line_15m").drop("bucket_date")
 
 
+def _all_levels(wh):
+    """The rows of the four levels in one table."""
+    rows = None
+    for level in maintain.REFRESH_ORDER:
+        keys = ["line_id", "operator_id"] if level != "agg_stop_15m" else ["line_id", "stop_id"]
+        measures = [F.col(c).cast("bigint").alias(c) for c in MEASURES]
+        part = wh.read(level).select(F.lit(level).alias("level"), "bucket", "service_date", "version_id", *keys, *measures)
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows
+
+
+@query
+def a11_refresh_all(spark, sf):
+    """One scheduled refresh of all four levels, each inside the window of its policy."""
+    wh = Warehouse(spark, shared_folder(spark, "levels"))
+    wh.append("fact_delay", s.fact_delay(spark, sf).withColumn("ts_date", F.col("ts").cast("date")))
+    maintain.refresh_all(wh, REFRESH_NOW)
+    return _all_levels(wh)
+
+
+@query
+def a11_invalidated(spark, sf):
+    """Facts in two appends that overlap in time; after each only what it touched is refreshed."""
+    wh = Warehouse(spark, shared_folder(spark, "invalidated"), WIDE)
+    facts = s.fact_delay(spark, sf)
+    part = F.pmod(F.coalesce("stop_sequence", F.lit(0)), F.lit(50))
+    for share in (part < 40, part >= 40):
+        invalidate.append_facts(wh, facts.where(share))
+        invalidate.refresh_all_invalid(wh, AFTER_ALL)
+    return _all_levels(wh)
+
+
+@query
+def a12_backfill_chunks(spark, sf):
+    """History filled chunk by chunk, the coarser levels by what the chunks have logged."""
+    wh = Warehouse(spark, shared_folder(spark, "backfill"), WIDE)
+    wh.append("fact_delay", s.fact_delay(spark, sf).withColumn("ts_date", F.col("ts").cast("date")))
+    size = sum(wh.stored_bytes("fact_delay", day) for day in wh.partitions("fact_delay"))
+    for level in ("agg_line_15m", "agg_stop_15m"):
+        backfill.backfill_chunks(wh, level, datetime(2023, 12, 1), AFTER_ALL, size // 3)
+    for level in ("agg_line_1h", "agg_line_1d"):
+        invalidate.refresh_invalid(wh, level, AFTER_ALL)
+    return _all_levels(wh)
+
+
+def _streamed(spark, sf, level):
+    """A level by event-time windows over a stream of the facts, which are appended twice."""
+    wh = Warehouse(spark, shared_folder(spark, "windows"))
+    facts, checkpoint = s.fact_delay(spark, sf), shared_folder(spark, "stream")
+    late = F.col("status") != OBSERVED
+    for share in (~late, late):
+        invalidate.append_facts(wh, facts.where(share))
+        stream_level(wh, level, checkpoint, watermark="60 days", once=True).awaitTermination()
+    return wh.read(level).drop("bucket_date")
+
+
+@query
+def a1_streamed_windows(spark, sf):
+    return _streamed(spark, sf, "agg_line_15m")
+
+
+@query
+def a3_streamed_windows(spark, sf):
+    return _streamed(spark, sf, "agg_line_1d")
+
+
 # ------------------------------------------------------------------ reports
 
 
@@ -482,3 +609,19 @@ def k8_recent_by_line(spark, sf):
 @query
 def k8_recent_by_operator(spark, sf):
     return reports.recent_facts(s.fact_delay(spark, sf), "operator_id", "O2", datetime(2024, 1, 25))
+
+
+@query
+def k8_recent_stored(spark, sf):
+    """The latest facts of a line from stored date partitions, without a bound in time."""
+    wh = Warehouse(spark, shared_folder(spark, "recent"))
+    wh.append("fact_delay", s.fact_delay(spark, sf).withColumn("ts_date", F.col("ts").cast("date")))
+    return reports.recent_stored_facts(wh, "line_id", "L3")
+
+
+@query
+def k7_failures_stored(spark, sf):
+    wh = Warehouse(spark, shared_folder(spark, "failures"))
+    runs = s.fact_run(spark, sf).withColumn("week_start", week_start(F.col("started_at")))
+    wh.append("fact_run", runs.withColumn("seconds", F.col("seconds").cast("decimal(12,3)")))
+    return reports.latest_stored_failures(wh)

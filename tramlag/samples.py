@@ -117,11 +117,16 @@ def trips_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+def schedule(spark: SparkSession, sf_dir: str, of_trips: DataFrame | None = None) -> DataFrame:
+    """The schedule, or that of some trips, whose stop times are then the only ones to be merged."""
     times = stop_times(spark, sf_dir)
+    wanted = trips(spark, sf_dir)
+    if of_trips is not None:
+        wanted = wanted.join(of_trips, "trip_id", "left_semi")
+        times = times.join(of_trips, "trip_id", "left_semi")
     hot = hot_keys(times, ["trip_id"])
     merged = keep_first(near_trip(times, hot), MERGE_KEYS["stop_times"], STOP_TIMES_ORDER)
-    return build_schedule(merged, trips(spark, sf_dir), trips_ext(spark, sf_dir), hot)
+    return build_schedule(merged, wanted, trips_ext(spark, sf_dir), hot)
 
 
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,12 +218,12 @@ def merged_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_ext(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names per service and package: several names per id, the same name in many packages.
 
-    Service 12 has no entry at all, and service 11 one with an empty name.
+    The entries of service 12 go by another id, and service 11 has one with an empty name.
     """
     service = F.col("c_custkey") % 12 + 1
     name = F.when(service != 11, F.concat("c_mktsegment", F.lit(" "), service.cast("string")))
-    return table(spark, sf_dir, "customer").where("c_custkey % 12 <> 11").select(
-        service.cast("string").alias("service_id"),
+    return table(spark, sf_dir, "customer").select(
+        _keyed("", service, service != 12).alias("service_id"),
         name.alias("name"),
         F.col("c_nationkey").alias("pkg_ord"),
         F.col("c_custkey").alias("line_no"),

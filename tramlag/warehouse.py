@@ -57,6 +57,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.cfg = cfg
         self._pointers: dict[str, tuple[list[str], int, dict[str, str]]] = {}
+        self._latest: tuple[list[str], int | None] | None = None
 
     # ------------------------------------------------------------ files
 
@@ -83,7 +84,8 @@ class Warehouse:
         found = [status.getPath().getName() for status in files.listStatus(jvm_path)]
         return sorted(name for name in found if not name.startswith(("_", ".")))
 
-    def _text(self, path: str) -> str:
+    def text(self, path: str) -> str:
+        """Content of a small file."""
         files, jvm_path = self._hadoop(path)
         stream = files.open(jvm_path)
         try:
@@ -91,7 +93,7 @@ class Warehouse:
         finally:
             stream.close()
 
-    def _put(self, path: str, text: str) -> None:
+    def put(self, path: str, text: str) -> None:
         """Write a small file that appears with all its content, by renaming."""
         folder, name = path.rsplit("/", 1)
         files, hidden = self._hadoop(f"{folder}/_{name}")
@@ -123,7 +125,7 @@ class Warehouse:
         files = self.names(folder)
         known = self._pointers.get(table)
         if known is None or known[0] != files:
-            rows = sorted(tuple(json.loads(line)) for f in files for line in self._text(f"{folder}/{f}").splitlines())
+            rows = sorted(tuple(json.loads(line)) for f in files for line in self.text(f"{folder}/{f}").splitlines())
             known = files, rows[-1][0] if rows else 0, {value: gen for _, value, gen in rows}
             self._pointers[table] = known
         return known
@@ -138,7 +140,7 @@ class Warehouse:
         rows = [(last + 1, value, gen) for value in sorted(values)]
         if len(files) >= MOST_POINTER_FILES:
             rows += [(last, value, old) for value, old in known.items() if value not in set(values)]
-        self._put(f"{self._pointer_folder(table)}/{last + 1:012}-{gen}", "\n".join(map(json.dumps, rows)))
+        self.put(f"{self._pointer_folder(table)}/{last + 1:012}-{gen}", "\n".join(map(json.dumps, rows)))
         if len(files) >= MOST_POINTER_FILES:
             for name in files:
                 self.delete(f"{self._pointer_folder(table)}/{name}")
@@ -277,12 +279,15 @@ class Warehouse:
         return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths).drop("gen", "trip_part")
 
     def current_version(self) -> int:
-        """The version loaded last (ties: the greatest id)."""
-        latest = self.read("dim_version").orderBy(F.desc("loaded_at"), F.desc("version_id"))
-        row = latest.select("version_id").first()
-        if row is None:
+        """The version loaded last (ties: the greatest id); looked up again only when loads have been added."""
+        files = self.names(self.path("dim_version"))
+        if self._latest is None or self._latest[0] != files:
+            latest = self.read("dim_version").orderBy(F.desc("loaded_at"), F.desc("version_id"))
+            row = latest.select("version_id").first()
+            self._latest = files, row[0] if row else None
+        if self._latest[1] is None:
             raise NoVersionError("no schedule version; run the static load first")
-        return row[0]
+        return self._latest[1]
 
     def dimension(self, table: str, version_id: int | None = None) -> DataFrame:
         """A dimension as published with a version, the current one by default."""
