@@ -1,5 +1,7 @@
 """Packing round trips to the tokens; mixing meets independently computed shares."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers as public
 from tokenizers import Tokenizer
@@ -46,6 +48,17 @@ def test_packing_round_trip(documents):
     check_packing(registry.packed(documents.repartition(37)), rows, 1024)
 
 
+def test_registered_query_gives_the_checksums_of_the_ids(spark, documents):
+    """Checksums of the pieces against the tokenizer's own ids, cut by start and length."""
+    tokenizer = Tokenizer.from_file(public.path(registry.TOKENIZER))
+    want = {r.doc_id: np.array(tokens(tokenizer, r.text), "<u4") for r in documents.collect()}
+    pieces = registry.op4_pack_online(spark, "/root/testdata/sf0.001").collect()
+    assert sum(p.length for p in pieces) == sum(map(len, want.values()))
+    for p in pieces:
+        assert p.ids_crc32 == zlib.crc32(want[p.doc_id][p.start : p.start + p.length].tobytes())
+        assert p.doc_tokens == len(want[p.doc_id])
+
+
 def test_packing_odd_rows(odd, none):
     check_packing(registry.packed(odd), [(r.doc_id, r.text) for r in odd.collect()], 1024)
     assert registry.packed(none).count() == 0

@@ -11,7 +11,6 @@ so that one sequence of the whole result is padded.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,8 +26,6 @@ OPEN_WINDOWS = 16
 #: Tasks whose leftovers are merged at once.
 GROUP = 16
 TEXT_BYTES = 4 << 20
-#: Distinct pieces of text whose ids a task remembers.
-REMEMBERED = 500_000
 
 FIELDS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -36,55 +33,27 @@ FIELDS = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_i
 def encoder(path: str, ranks: str | None = None, pattern: str | None = None) -> Callable[[list[str]], list[np.ndarray]]:
     """Texts -> ids of the tokenizer in `path`, without special tokens added.
 
-    The vocabularies used here never join what stands before a blank that a character follows
-    with what comes after it, so texts are cut there and each distinct piece is encoded once.
-    `ranks` may name the same vocabulary in the tiktoken form, which encodes pieces faster;
-    texts with a special token's string go to the tokenizer itself.
+    `ranks` may name the same vocabulary in the tiktoken form, whose encoder is faster; texts with
+    a special token's string go to the tokenizer itself.
     """
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
     special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    if ranks:
-        import tiktoken
 
-        with open(ranks, "rb") as lines:
-            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        encode = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
-    else:
-        encode = lambda piece: whole.encode(piece, add_special_tokens=False).ids
-    odd, cut = re.compile(r" \s|\x00"), re.compile(r"(?= \S)")
-    known: dict[str, bytes] = {}
+    def plain(text: str) -> np.ndarray:
+        return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def pieces(text: str) -> list[str]:
-        return cut.split(text) if odd.search(text) else text.replace(" ", "\x00 ").split("\x00")
+    if not ranks:
+        return lambda texts: [plain(t) for t in texts]
+    import tiktoken
+
+    with open(ranks, "rb") as lines:
+        merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
 
     def ids(texts: list[str]) -> list[np.ndarray]:
-        parts = [[] if any(s in t for s in special) else pieces(t) for t in texts]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        coded = pa.array([p for part in parts for p in part], pa.string()).dictionary_encode()
-        if len(known) > REMEMBERED:
-            known.clear()
-        found = []
-        for piece in coded.dictionary.to_pylist():
-            own = known.get(piece)
-            if own is None:
-                own = known[piece] = np.array(encode(piece), "<u4").tobytes()
-            found.append(own)
-        flat = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        begins = np.cumsum(sizes) - sizes
-        place = coded.indices.to_numpy()
-        length = sizes[place]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        tokens = flat[np.repeat(begins[place] - (ends - length), length) + np.arange(total)]
-        upto = np.r_[0, ends][np.cumsum(counts)]
-        out = np.split(tokens, upto[:-1])
-        for i, text in enumerate(texts):
-            if not len(parts[i]):
-                out[i] = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
-        return out
+        return [plain(t) if any(s in t for s in special) else np.array(fast(t), "<u4") for t in texts]
 
     return ids
 
@@ -106,12 +75,12 @@ class Packer:
 
     def place(self, key, start: int, ids: np.ndarray, doc_tokens: int) -> None:
         while len(ids):
-            gaps = [self.room - used for used, _ in self.open]
-            fits = [(gap, i) for i, gap in enumerate(gaps) if gap >= len(ids)]
             if len(ids) >= self.room:
                 self.leave([(key, start, self.room, ids[: self.room].tobytes(), doc_tokens)])
                 start, ids = start + self.room, ids[self.room :]
                 continue
+            gaps = [self.room - used for used, _ in self.open]
+            fits = [(gap, i) for i, gap in enumerate(gaps) if gap >= len(ids)]
             if not fits and len(self.open) < self.windows:
                 self.open.append([0, []])
                 fits = [(self.room, len(self.open) - 1)]
