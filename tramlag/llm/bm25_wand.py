@@ -15,11 +15,11 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from math import log
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tramlag.llm.common import slices, written
 
 K1, B = 1.2, 0.75
-#: Text of a shard, postings of a block, parts of a shard that are read for their terms, queries run at once.
-SHARD_BYTES, BLOCK, PARTS, QUERIES = 2 << 20, 64, 16, 256
+#: Text of a shard, postings of a block, queries run at once.
+SHARD_BYTES, BLOCK, QUERIES = 4 << 20, 64, 256
 #: Terms: runs of anything but blanks, controls and ASCII punctuation, in lower case.
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 NO_ID = -(2**63)
@@ -39,10 +39,12 @@ def terms_of(text: str | None) -> list[str]:
 
 
 def index(docs: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(shard, part, docs, words, terms, sizes, rows, ids, tfs, lengths): postings of a shard's terms by hash part.
+    """(shard, term, size, docs, words, rows, ids, tfs, lengths, most_tf, least_length): a row per term of a shard.
 
-    Part -1 holds a shard's number of documents and of words. `rows` counts the shard's rows in
-    the order of their ids, which is the order of postings.
+    `rows` counts the shard's rows in the order of their ids, which is the order of postings; the
+    last two are a block's bounds. A shard's terms come sorted, so that stored statistics tell
+    which row groups may hold a term. A row without a term has the shard's number of documents and
+    of words.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,69 +54,56 @@ def index(docs: DataFrame, id_column: str, text: str) -> DataFrame:
             order = np.argsort(ids, kind="stable")
             texts = part.column("text").to_pylist()
             rows = [terms_of(texts[i]) for i in order]
-            ids = ids[order]
-            lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+            ids, number = ids[order], len(rows)
+            lengths = np.fromiter(map(len, rows), np.int64, number)
             coded = pa.array([w for r in rows for w in r], pa.string()).dictionary_encode()
-            terms = coded.dictionary.to_pylist()
-            pairs = coded.indices.to_numpy().astype(np.int64) * len(rows) + np.repeat(np.arange(len(rows)), lengths)
-            number = len(rows)
             del rows, texts  # words take most of the memory
+            terms = coded.dictionary
+            sorted_terms = pc.sort_indices(terms)
+            rank = np.empty(len(terms), np.int64)
+            rank[sorted_terms.to_numpy()] = np.arange(len(terms))
+            pairs = rank[coded.indices.to_numpy()] * number + np.repeat(np.arange(number), lengths)
             pairs, tfs = np.unique(pairs, return_counts=True)
-            term, row = np.divmod(pairs, number)
-            of = np.array([crc32(t.encode("utf-8", "surrogatepass")) % PARTS for t in terms], np.int64)
-            order = np.argsort(of[term], kind="stable")  # postings of a term stay together, in order
-            term, row, tfs = term[order], row[order], tfs[order]
-            out = [(shard, -1, number, int(lengths.sum()), [], *[b""] * 5)]
-            begins = np.flatnonzero(np.diff(of[term], prepend=-1))
-            for at, end in zip(begins, np.r_[begins[1:], len(term)]):
-                own = term[at:end]
-                fresh = np.flatnonzero(np.diff(own, prepend=-1))
-                sizes = np.diff(np.r_[fresh, len(own)])
-                blobs = sizes.astype("<u4"), row[at:end].astype("<u4"), ids[row[at:end]], tfs[at:end].astype("<u4"), lengths[row[at:end]].astype("<u4")
-                out.append((shard, int(of[own[0]]), 0, 0, [terms[i] for i in own[fresh]], *(b.tobytes() for b in blobs)))
-            yield pa.RecordBatch.from_pydict(
-                {n: pa.array(c, k) for n, c, k in zip(_INDEX, zip(*out), _KINDS)}
-            )
+            term, row = np.divmod(pairs, max(1, number))
+            starts = np.flatnonzero(np.diff(term, prepend=-1))
+            ends = np.r_[starts[1:], len(term)] if len(starts) else starts
+            blocks = -(-(ends - starts) // BLOCK)
+            upto = np.cumsum(blocks)
+            first = np.repeat(starts, blocks) + BLOCK * (np.arange(blocks.sum()) - np.repeat(upto - blocks, blocks))
+            own_lengths = lengths[row]
+            posted = [(row, "<u4"), (ids[row], "<i8"), (tfs, "<u4"), (own_lengths, "<u4")]
+            bounds = [np.maximum.reduceat(tfs, first), np.minimum.reduceat(own_lengths, first)] if len(first) else [first, first]
+            columns = [pa.array(np.full(len(starts), shard)), terms.take(sorted_terms), pa.array(ends - starts)]
+            columns += [pa.nulls(len(starts), pa.int64())] * 2
+            columns += [_cut(values, kind, ends) for values, kind in posted] + [_cut(values, "<u4", upto) for values in bounds]
+            yield pa.RecordBatch.from_arrays(columns, _INDEX)
+            totals = {n: pa.nulls(1, f.type) for n, f in zip(_INDEX, columns)}
+            totals |= {"shard": pa.array([shard]), "docs": pa.array([number]), "words": pa.array([int(lengths.sum())])}
+            yield pa.RecordBatch.from_pydict(totals)
             shard += 1
 
     picked = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     return picked.mapInArrow(build, _SCHEMA)
 
 
-_INDEX = ["shard", "part", "docs", "words", "terms", "sizes", "rows", "ids", "tfs", "lengths"]
-_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()), *[pa.binary()] * 5]
+def _cut(values: np.ndarray, kind: str, ends: np.ndarray) -> pa.Array:
+    """The values as binary cells, one up to each of `ends`."""
+    blob = values.astype(kind)
+    offsets = (np.r_[0, ends] * blob.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(blob)])
+
+
+_INDEX = ["shard", "term", "size", "docs", "words", "rows", "ids", "tfs", "lengths", "most_tf", "least_length"]
 _SCHEMA = (
-    "shard bigint, part int, docs bigint, words bigint, terms array<string>, "
-    "sizes binary, rows binary, ids binary, tfs binary, lengths binary"
+    "shard bigint, term string, size bigint, docs bigint, words bigint, "
+    "rows binary, ids binary, tfs binary, lengths binary, most_tf binary, least_length binary"
 )
 
 
 def postings_of(indexed: DataFrame, wanted: set[str]) -> DataFrame:
-    """(shard, term, size, rows, ids, tfs, lengths, most_tf, least_length): postings of `wanted` terms, the last
-    two a block's bounds."""
-    parts = sorted({crc32(t.encode("utf-8", "surrogatepass")) % PARTS for t in wanted})
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.string(), pa.int64(), *[pa.binary()] * 6]
-        names = ["shard", "term", "size", "rows", "ids", "tfs", "lengths", "most_tf", "least_length"]
-        for batch in batches:
-            for place in range(batch.num_rows):  # a row is a part of a shard's index; one at a time in memory
-                shard, terms, sizes, *blobs = (column[place].as_py() for column in batch.columns)
-                ends = np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64))
-                arrays = [np.frombuffer(b, k) for b, k in zip(blobs, ("<u4", "<i8", "<u4", "<u4"))]
-                out = []
-                for i, term in enumerate(terms):
-                    if term in wanted:
-                        own = [a[(ends[i - 1] if i else 0) : ends[i]] for a in arrays]
-                        starts = np.arange(0, len(own[0]), BLOCK)
-                        bounds = np.maximum.reduceat(own[2], starts), np.minimum.reduceat(own[3], starts)
-                        out.append((shard, term, len(own[0]), *(x.tobytes() for x in (*own, *bounds))))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-    chosen = indexed.where(F.col("part").isin(parts)).select("shard", "terms", "sizes", "rows", "ids", "tfs", "lengths")
-    blobs = "rows binary, ids binary, tfs binary, lengths binary, most_tf binary, least_length binary"
-    return chosen.mapInArrow(pick, f"shard bigint, term string, size bigint, {blobs}")
+    """Rows of the index with `wanted` terms, which are those of a block of queries; no other row leaves the scan."""
+    terms = indexed.sparkSession.createDataFrame([(t,) for t in sorted(wanted)], "term string")
+    return indexed.drop("docs", "words").join(F.broadcast(terms), "term", "left_semi")
 
 
 class Postings:
@@ -201,8 +190,8 @@ def search(
     blocks of QUERIES; the driver holds one block, its terms and their document counts. Empty
     tables give an empty result; other columns go unread.
     """
-    indexed = written(index(docs, id_column, text), "index")
-    number, words = indexed.where("part = -1").agg(F.sum("docs"), F.sum("words")).first()
+    indexed = written(index(docs, id_column, text), "index", compression="zstd")
+    number, words = indexed.where("term is null").agg(F.sum("docs"), F.sum("words")).first()
     average = max(1e-9, (words or 0) / max(1, number or 0))
     kinds = f"query {queries.schema[query_id].dataType.simpleString()}, id bigint, score double"
     found = None
