@@ -1,10 +1,12 @@
 """Rendering of pages; BM25 search against full scoring."""
 
 import random
+import time
 from collections import Counter
 from math import log
 
 import pytest
+from pyspark.sql import functions as F
 
 from tramlag.llm import bm25_wand, html_layout, registry
 
@@ -24,6 +26,12 @@ PAGES = [
     ("x <a href='never ends", "x"),
     ("<select><option>no</select><noscript>no</noscript>", ""),
     ("", ""),
+    ("<table><tr><td colspan='\u00b2'>a<td rowspan=x>b<td colspan=0>c<td colspan=-3>d</table>", "a  b  c  d"),
+    ("<table><tr><td rowspan=0>A<td>B<tr><td>C<tr><td>D</table>", "A  B\n   C\n   D"),
+    ("<textarea>in &lt;here</textarea> <dialog open>asks</dialog><dialog>not yet</dialog>", "in <here\n\nasks".replace("\n\n", " ")),
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes <b style='visibility:hidden'>no</b>and</p><i hidden><b style='visibility:visible'>no</b></i></div>.", "yes and\n\n."),
+    ("<a title='x>y' b=\"1>2\">in</a><b 'never>shown</b>", "in<b 'never>shown"),
+    ("<!-- a --!>x<!-- b -->y<!doctype html>z<?xml?>!<!-- open", "xyz!"),
 ]
 
 
@@ -41,6 +49,34 @@ def test_deep_and_broken_pages_render():
         html_layout.text_of("".join(random.choices(parts, k=30)))
 
 
+@pytest.mark.parametrize(
+    "unit",
+    ["<a ", "<b \" ", "<a 'x ", "<a<", "<!-- -->", "<b '' ", "<", "</a ", "</", "<td colspan=1000>", "<p a=\"' ", "<i>", "&amp", "<!", "<a =", "<li>"],
+)
+@pytest.mark.parametrize("tail", ["", "'>", "\">end", "-->"])
+def test_hostile_pages_take_linear_time(unit, tail):
+    sizes = []
+    for size in (60_000, 240_000):
+        page = unit * (size // len(unit)) + tail
+        begin = time.process_time()
+        text = html_layout.text_of(page)
+        sizes.append(time.process_time() - begin)
+        assert len(text) <= 3 * len(page) + 1000
+    assert sizes[1] < 0.5 or sizes[1] < 12 * sizes[0]
+
+
+def test_tables_do_not_blow_up():
+    long, wide = "x " * 20_000, "".join(f"<td>{'y' * 100}" for _ in range(400))
+    for page in (
+        f"<table><tr><td>{long}<td>z" + "<tr><td>a<td>b" * 4_000,
+        f"<table><tr>{wide}" + "<tr><td colspan=390><td>b" * 4_000,
+        "<table><tr><td rowspan=65534>" + "y" * 100 + "<td>a" + "<tr><td>b" * 9_000,
+    ):
+        text = html_layout.text_of(page)
+        assert len(text) < 40 * len(page) and "b" in text
+    assert html_layout.text_of(f"<table><tr><td>{'q' * 121}<td>z<tr><td>a<td>b</table>") == "q" * 121 + "  z\na  b"
+
+
 def test_deep_elements_are_laid_out_and_hidden_as_others():
     rest = "<script>var a</script><style>p{}</style><template>t</template><i style='display:none'>no</i><b hidden>no<i>no</i></b>yes<ul><li>x<li>y</ul><pre>a  b</pre>"
     for tag in ("font", "span", "div"):
@@ -55,6 +91,8 @@ def test_pages_keep_their_rows_and_columns(spark):
     assert got.columns == ["page_id", "url", "html", "text", "_text"]
     assert Counter(r._text for r in got.collect()) == Counter([t for _, t in PAGES] + [None])
     assert html_layout.extract(pages.limit(0)).count() == 0
+    clash = pages.withColumn("_text", F.lit(7)).withColumn("_TEXT_", F.lit(8))
+    assert html_layout.extract(clash).columns == [*clash.columns, "_text__"]
 
 
 def slow_search(rows, queries, k):

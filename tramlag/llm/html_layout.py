@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tramlag.llm.common import extended, slices
+from tramlag.llm.common import extended, free, slices
 
 TEXT_BYTES = 4 << 20
 
@@ -25,7 +25,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = set(
     "head script style template noscript title meta link base iframe noembed noframes object embed param source track "
-    "area datalist svg math canvas audio video select textarea dialog rp".split()
+    "area datalist svg math canvas audio video select rp".split()
 )
 BLOCK = set(
     "html body address article aside blockquote center dd details dir div dl dt fieldset figcaption figure footer form "
@@ -52,12 +52,17 @@ WALLS = {"table", "td", "th", "caption", "html", "body", "template", "button", "
 #: Lists and quotations within one another that indent their lines; browsers nest no deeper.
 INDENTS = 512
 
-TAG = re.compile(
-    r"<!--(?:.*?--!?>|.*)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.DOTALL
-)
+#: Cells are padded to the width of their column as far as this place in a line, and lines wider than
+#: that of a column do not widen it. Beyond, two blanks part cells, so that a page cannot blow up.
+PADDED, WIDEST = 400, 120
+
 ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-NO_SHOW = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!important\s*)?(?:;|$)", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\s*(?:!important\s*)?(?=;|$)", re.I)
+#: A tag without `<` in it. No part gives back what it has taken, so a failure costs no more than the way to the next `<`.
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>\"'<]*+)(?=[\s/>])((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
+NAME_END, TAG_MARK = re.compile(r"[\s/>]"), re.compile(r"[>\"']")
 
 
 class Node:
@@ -75,6 +80,69 @@ def attributes_of(raw: str) -> dict[str, str]:
     return found
 
 
+class Scanner:
+    """Finds the tags of a page from left to right, in time linear in its length.
+
+    Where a tag cannot end, since a quotation in it never does, the places that were passed are
+    kept, and a later tag that comes to one of them is given up at once.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.failed: set[int] = set()  # marks outside quotations from which no tag ends
+        self.known: dict[object, tuple[int, int]] = {}  # what was sought -> (from, found), the last time
+
+    def seek(self, what: str | re.Pattern, at: int) -> int:
+        """Next place of a string or pattern, the length of the page if there is none."""
+        begin, found = self.known.get(what, (0, -1))
+        if not begin <= at <= found:
+            if isinstance(what, str):
+                found = self.page.find(what, at)
+            else:
+                found = hit.start() if (hit := what.search(self.page, at)) else -1
+            found = len(self.page) if found < 0 else found
+            self.known[what] = at, found
+        return found
+
+    def end_of_tag(self, at: int) -> int:
+        """Place of the `>` that ends a tag, from a place behind its name; -1 if none does."""
+        passed = []
+        while True:
+            mark = self.seek(TAG_MARK, at)
+            if mark >= len(self.page) or mark in self.failed:
+                break
+            if self.page[mark] == ">":
+                return mark
+            passed.append(mark)
+            closing = self.page.find(self.page[mark], mark + 1)
+            if closing < 0:
+                break
+            at = closing + 1
+        self.failed.update(passed)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(begin, end, whether it closes, name, attributes) of the next tag; comments and declarations have no name."""
+        page, size = self.page, len(self.page)
+        while (at := page.find("<", at)) >= 0:
+            if plain := PLAIN_TAG.match(page, at):
+                return at, plain.end(), plain[1] == "/", plain[2].lower(), plain[3]
+            follows = page[at + 1 : at + 2]
+            if page.startswith("<!--", at):
+                ends = (self.seek("-->", at + 4) + 3, self.seek("--!>", at + 4) + 4)
+                return at, min(*ends, size), False, "", ""
+            name = at + 1 + (follows == "/")
+            if "a" <= page[name : name + 1].lower() <= "z" and page[name].isascii():
+                behind = self.seek(NAME_END, name)
+                end = self.end_of_tag(behind) if behind < size else -1
+                if end >= 0:
+                    return at, end + 1, follows == "/", page[name:behind].lower(), page[behind:end]
+            if follows and follows in "!?/" and (end := self.seek(">", at + 2)) < size:
+                return at, end + 1, False, "", ""
+            at += 1
+        return None
+
+
 def parse(page: str) -> Node:
     """Tree of a page; whatever the input, there is one."""
     root = Node("html", {})
@@ -116,16 +184,16 @@ def parse(page: str) -> Node:
             places.setdefault(tag, []).append(len(stack))
             stack.append(node)
 
-    at, lower = 0, None
-    for match in iter(lambda: TAG.search(page, at), None):
-        if match.start() > at:
-            stack[-1].children.append(html.unescape(page[at : match.start()]))
-        at = match.end()
-        if not match[2]:
+    at, lower, scanner = 0, None, Scanner(page)
+    while found := scanner.next(at):
+        begin, end, closes, tag, raw = found
+        if begin > at:
+            stack[-1].children.append(html.unescape(page[at:begin]))
+        at = end
+        if not tag:
             continue
-        tag = match[2].lower()
-        if not match[1]:
-            open_(tag, match[3])
+        if not closes:
+            open_(tag, raw)
             if tag in RAW:
                 lower = page.lower() if lower is None and len(page) == len(page.lower()) else lower
                 end = (lower if lower is not None else page).find(f"</{tag}", at)
@@ -150,13 +218,40 @@ def parse(page: str) -> Node:
     return root
 
 
-def shown(node: Node) -> bool:
+def displayed(node: Node) -> bool:
+    """Whether a node has a place on the page, visible or not."""
     a = node.attributes
     if node.tag in HIDDEN or "hidden" in a and a["hidden"].lower() != "until-found":
         return False
+    if node.tag == "dialog" and "open" not in a:
+        return False
     if node.tag == "input" or a.get("aria-hidden", "").strip().lower() == "true" and not node.children:
         return False
-    return not ("style" in a and NO_SHOW.search(a["style"]))
+    return not ("style" in a and NO_DISPLAY.search(a["style"]))
+
+
+def visibility(node: Node) -> str:
+    """What a node's style says of its visibility, the last word counting; empty if nothing."""
+    found = VISIBILITY.findall(node.attributes.get("style", ""))
+    return found[-1].lower() if found else ""
+
+
+def shown(node: Node) -> bool:
+    return displayed(node) and visibility(node) not in ("hidden", "collapse")
+
+
+def revealed(node: Node) -> list[Node]:
+    """Parts of an invisible node that are made visible again."""
+    found, left = [], [node]
+    while left:
+        inner = left.pop()
+        for child in reversed(inner.children):
+            if not isinstance(child, str) and displayed(child):
+                left.append(child)
+        if inner is not node and visibility(inner) == "visible":
+            found.append(inner)
+            del left[len(left) - sum(not isinstance(c, str) and displayed(c) for c in inner.children) :]
+    return found
 
 
 def width(text: str) -> int:
@@ -224,6 +319,9 @@ def render(node: Node, canvas: Canvas, nested: int = 0) -> Steps:
             continue
         tag = child.tag
         if not shown(child):
+            if displayed(child):
+                for part in revealed(child):
+                    yield render_inline(part, canvas, nested)
             continue
         if tag == "br":
             if not canvas.words:
@@ -337,7 +435,8 @@ def strays(node: Node) -> Iterator[Node | str]:
 
 
 def table(node: Node, canvas: Canvas) -> Steps:
-    """Rows with cells padded to their columns; a cell that spans columns or rows keeps its place."""
+    """Rows with cells padded to their columns, within PADDED and WIDEST; a cell that spans columns or
+    rows keeps its place."""
     grid: list[dict[int, list[str]]] = []
     held: dict[int, int] = {}  # column -> rows that a cell from above still covers
     for other in strays(node):  # what has no place in a table stands before it
@@ -358,7 +457,7 @@ def table(node: Node, canvas: Canvas) -> Steps:
             inner = Canvas(canvas.level)
             yield render(cell, inner)
             inner.flush()
-            wide, deep = span(cell, "colspan"), span(cell, "rowspan")
+            wide, deep = span(cell, "colspan", 1000), span(cell, "rowspan", 65_534)
             cells[column] = [line for line in inner.lines if line] or [""]
             spans.append((len(grid), column, wide))
             for k in range(column, column + wide):
@@ -374,7 +473,7 @@ def table(node: Node, canvas: Canvas) -> Steps:
     for r, cells in enumerate(grid):
         for c, lines in cells.items():
             if (r, c) in single:
-                widths[c] = max(widths.get(c, 0), *map(width, lines))
+                widths[c] = max(widths.get(c, 0), *(w for w in map(width, lines) if w <= WIDEST), 0)
     order = sorted({c for cells in grid for c in cells} | set(widths))
     offset, at = {}, 0
     for c in order:
@@ -385,11 +484,17 @@ def table(node: Node, canvas: Canvas) -> Steps:
             line = ""
             for c in sorted(cells):
                 if k < len(cells[c]) and cells[c][k]:
-                    gap = offset[c] - width(line)
+                    gap = min(offset[c], PADDED) - width(line)
                     line += " " * max(gap, 2 if line else gap) + cells[c][k]
             canvas.put(line.rstrip())
 
 
+def render_inline(node: Node, canvas: Canvas, nested: int) -> Steps:
+    holder = Node("span", {})
+    holder.children = [node]
+    yield render(holder, canvas, nested)
+
+
 def render_alone(node: Node, canvas: Canvas) -> Steps:
     holder = Node("div", {})
     holder.children = [node]
@@ -397,9 +502,13 @@ def render_alone(node: Node, canvas: Canvas) -> Steps:
     canvas.flush()
 
 
-def span(cell: Node, name: str) -> int:
-    value = cell.attributes.get(name, "1")
-    return min(1000, max(1, int(value))) if value.isdigit() and len(value) < 6 else 1
+def span(cell: Node, name: str, most: int) -> int:
+    """How many columns or rows a cell covers, within the standard's limits; 0 rows are all that follow."""
+    value = cell.attributes.get(name, "1").strip()
+    if not re.fullmatch(r"[0-9]{1,9}", value):
+        return 1
+    number = min(most, int(value))
+    return number or (1 if name == "colspan" else most)
 
 
 def text_of(page: str | None) -> str | None:
@@ -413,18 +522,18 @@ def text_of(page: str | None) -> str | None:
 
 
 def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """All rows and columns of `pages` with _text, the page's visible text.
+    """All rows and columns of `pages` and a last column _text, the page's visible text; the name
+    gets underscores behind it should `pages` have such a column.
 
     Null html gives null, empty html and pages without visible text an empty text. Broken markup
     is repaired as said above and never fails a row; a tag that never ends is dropped. Rows are
-    independent: ids may be null or repeat. An empty table gives an empty result. The column
-    _text is reserved.
+    independent: ids may be null or repeat. An empty table gives an empty result.
     """
-    own = pages.columns
+    own, name = pages.columns, free(pages, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, html_column, TEXT_BYTES):
             texts = [text_of(x) for x in part.column(html_column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*own, "_text"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*own, name])
 
-    return pages.mapInArrow(run, extended(pages, _text="string"))
+    return pages.mapInArrow(run, extended(pages, **{name: "string"}))
