@@ -64,6 +64,44 @@ def test_disguised_words_match_and_harmless_phrases_do_not():
     assert weight("idiotic") == 0.0 and weight("") == 0.0
 
 
+def test_numbers_and_other_scripts_are_left_alone():
+    table = toxicity_ac.Folding()
+    fold = lambda t: toxicity_ac.folded(t, table)
+    assert fold("call 455 or 1337 !!! 0.5%") == " caii or "
+    assert fold("455hole a55") == " asshoie ass "
+    assert fold("привет κόσμε") == fold("ПРИВЕТ  κοσμε") and len(fold("привет").split()) == 1
+    assert fold("日本語 text") == " 日本語 text "
+    assert fold(None) == fold("") == fold(" 12 ") == "  "
+
+
+def test_scores_against_plain_loops(spark, documents):
+    """Every score from a scan of each word, without an automaton."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    lexicon = toxicity_ac.train(documents, labels)
+    lexicon.weights |= {" the ": 0.5, " onth": 1.5, " on": 0.25}
+    lexicon.exceptions |= {"of the", "the was"}
+    table = toxicity_ac.Folding()
+    got = {r.doc_id: r._score for r in toxicity_ac.score(documents, lexicon).collect()}
+    for row in documents.limit(60).collect():
+        words = toxicity_ac.folded(row.text, table).split()
+        total = 0.0
+        for i, word in enumerate(words):
+            hits = [w for e, w in lexicon.weights.items() if f" {word} ".startswith(e)]
+            phrases = {" ".join(words[max(0, i - 1) : i + 1]), " ".join(words[i : i + 2])}
+            total += max(hits, default=0.0) * (not phrases & lexicon.exceptions)
+        want = lexicon.score(np.array([total]), np.array([float(len(words))]))[0]
+        assert abs(got[row.doc_id] - want) < 1e-9
+
+
+def test_held_out_is_never_null(spark, odd, monkeypatch):
+    labels = spark.createDataFrame([(1, 1), (6, 0)], "doc_id bigint, toxic int")
+    monkeypatch.setattr(registry, "_table", lambda spark, sf, name: odd if name == "documents" else labels)
+    rows = registry.op9_toxicity_lexicon(spark, "").collect()
+    assert len(rows) == odd.count() and {r.held_out for r in rows} <= {True, False}
+    clash = odd.selectExpr("*", "1 as _score", "2 as _text", "3 as _toxic")
+    assert toxicity_ac.score(clash, toxicity_ac.train(clash, labels)).columns[-1] == "_score_"
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, 0), (None, 1), (2, None)], "doc_id bigint, toxic int")
     lexicon = toxicity_ac.train(odd, labels)

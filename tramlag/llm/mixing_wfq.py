@@ -4,8 +4,8 @@ Every source is a queue of its shuffled documents, repeated up to `max_epochs` t
 document's virtual finish time is the number of tokens its source has served by then, divided
 by the source's weight. All copies sorted by that time and cut at the total budget are the
 mixture. The cut lies at one virtual time for all sources; a source that has served all its
-copies before stops there, so the others' shares grow by their weights: the cut is found
-from the sums per source alone, and no row has to move for it.
+copies before stops there, so the others' shares grow by their weights: the time of the cut is
+found from the sums per source alone, and copies beyond it are never made.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import WORD
+from tramlag.llm.common import WORD, free
 
 #: Hex digits of the shuffling hash that name the coarse and the fine bucket of a prefix sum.
 DIGITS = 3
@@ -59,57 +59,80 @@ def queues(
     seed: str = "mix",
 ) -> DataFrame:
     """All rows and columns of `docs` with _size, _source_size, _target, _before (words ahead of
-    the row in its source's queue) and _taken (words the mixture takes, repeats counted).
+    the row in its source's queue) and _taken (words the mixture takes, repeats counted); a name
+    gets underscores behind it should `docs` have such a column.
 
     The last copy that a source may serve is cut at the word, so sources meet their targets to
     the word. A null source is a source of its own. Null and empty texts have size 0 and are
     never taken. Rows that repeat an id stand next to one another, by size and hash of the
-    text; equal rows are interchangeable. An empty table gives an empty result. Columns whose
-    names start with an underscore are reserved for the result.
+    text; equal rows are interchangeable. An empty table gives an empty result.
+    """
+    placed = _placed(docs, id_column, text, source, max_epochs, weights, seed)
+    own = [F.col("doc")[c].alias(c) for c in docs.columns]
+    return placed.select(*own, *[F.col(c).alias(free(docs, f"_{c}")) for c in ("size", "source_size", "target", "before", "taken")])
+
+
+def _placed(docs, id_column="doc_id", text="text", source="source", max_epochs=3, weights=(1, 2, 3), seed="mix") -> DataFrame:
+    """(doc: the row, size, source_size, target, weight, before, taken).
 
     A hot source is no hot task: prefix sums come from sums per (source, hash bucket), and a
     window holds the rows of one bucket only.
     """
-    key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
     name = F.concat(F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit("")))
-    rows = docs.select("*", word_count(text).alias("_size"), F.md5(name).alias("_order"), key.alias("_key"))
-    rows = rows.withColumn("_bucket", F.substring("_order", 1, DIGITS))
-    sums = rows.groupBy("_key", "_bucket").agg(F.sum("_size").alias("_words"))
-    in_source = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = sums.withColumn("_ahead", F.coalesce(F.sum("_words").over(in_source), F.lit(0))).drop("_words")
-    per_source = sums.groupBy("_key").agg(F.sum("_words").alias("source_size"))
-    named = per_source.withColumn("source", F.when(F.col("_key") != "", F.expr("substring(_key, 2)")))
-    goals = targets(named, max_epochs, weights).select(
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("_key"),
-        F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
-    )
+    key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("doc"), word_count(text).alias("size"), F.md5(name).alias("order"), key.alias("key")
+    ).withColumn("bucket", F.substring("order", 1, DIGITS))
+    sums = rows.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
+    in_source = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sums.withColumn("ahead", F.coalesce(F.sum("words").over(in_source), F.lit(0))).drop("words")
+    per_source = sums.groupBy("key").agg(F.sum("words").alias("source_size"))
+    named = per_source.withColumn("source", F.when(F.col("key") != "", F.expr("substring(key, 2)")))
+    goals = targets(named, max_epochs, weights).withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     # one row per bucket of a source: the goals join here, not to the rows
-    places = ahead.join(goals, "_key")
-    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_order", "_size", F.xxhash64(F.col(text)))
-    upto = F.sum("_size").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = rows.withColumn("_in_bucket", upto - F.col("_size")).join(places, ["_key", "_bucket"])
-    placed = placed.withColumn("_before", F.col("_in_bucket") + F.col("_ahead"))
-    return placed.withColumn("_taken", F.expr(TAKEN)).select(
-        *[F.col(c) for c in docs.columns], "_size", "_source_size", "_target", "_before", "_taken"
-    )
+    places = ahead.join(goals.drop("source"), "key")
+    in_bucket = Window.partitionBy("key", "bucket").orderBy("order", "size", F.xxhash64(F.col("doc")[text]))
+    upto = F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = rows.withColumn("in_bucket", upto - F.col("size")).join(places, ["key", "bucket"])
+    placed = placed.withColumn("before", F.col("in_bucket") + F.col("ahead"))
+    return placed.withColumn("taken", F.expr(TAKEN)).drop("in_bucket", "ahead", "bucket")
 
 
 #: Whole passes over the source, then what the last pass reaches.
 TAKEN = """
-case when _source_size = 0 then 0
-else cast(floor(_target) as bigint) div _source_size * _size
-   + greatest(0, least(_size, cast(floor(_target) as bigint) % _source_size - _before)) end
+case when source_size = 0 then 0
+else cast(floor(target) as bigint) div source_size * size
+   + greatest(0, least(size, cast(floor(target) as bigint) % source_size - before)) end
 """
 
 
-def mixture(docs: DataFrame, text: str = "text", max_epochs: int = 3, **options) -> DataFrame:
-    """The mixture as rows of `docs`: a row for each copy taken, columns as given.
+def finish_time(copy: Column) -> Column:
+    """Virtual time at which a copy of a document has been served: the words of its source up to
+    its last one, those of earlier passes counted, by the source's weight."""
+    return (copy * F.col("source_size") + F.col("before") + F.col("size")) / F.col("weight")
+
+
+def copies(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """(doc, order, copy, finish, words): a row for each copy that the mixture takes, and how many words of it.
+
+    The budget is spent at one virtual time for all sources. Copies that have finished by then are
+    whole; the one that its source is being served then is cut at the word.
+    """
+    rows = _placed(docs, text=text, **options).where("taken > 0")
+    each = rows.withColumn("copy", F.explode(F.expr("sequence(0, cast((taken - 1) div size as int))")))
+    words = F.expr("least(size, taken - copy * size)")
+    return each.select("doc", "key", "order", "size", "copy", finish_time(F.col("copy")).alias("finish"), words.alias("words"))
+
+
+def mixture(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The mixture as rows of `docs`: a row for each copy taken, columns as given, in the order of
+    their finish times (sources and shuffled places among equal ones), range-sorted over all partitions.
 
     A copy that is cut holds its first words, joined by one space.
     """
-    rows = queues(docs, text=text, max_epochs=max_epochs, **options).where("_taken > 0")
-    copies = rows.withColumn("_copy", F.explode(F.expr("sequence(0, cast((_taken - 1) div _size as int))")))
-    words = F.expr("least(_size, _taken - _copy * _size)")
-    first = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, words.cast("int")), " ")
-    return copies.withColumn(text, F.when(words < F.col("_size"), first).otherwise(F.col(text))).select(*docs.columns)
+    order = "finish", "key", "order", "size"
+    fair = copies(docs, text, **options).repartitionByRange(*order).sortWithinPartitions(*order)
+    whole = F.col("doc")[text]
+    first = F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")
+    held = F.when(F.col("words") < F.col("size"), first).otherwise(whole)
+    return fair.select(*[(held if c == text else F.col("doc")[c]).alias(c) for c in docs.columns])

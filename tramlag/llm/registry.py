@@ -156,7 +156,7 @@ def op9_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity_ac.score(docs, toxicity_ac.train(docs, labels))
     return scored.select(
         "doc_id",
-        F.expr(HELD_OUT).alias("held_out"),
+        F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"),
         F.col("_score").alias("score"),
         F.when(F.col("_score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )

@@ -1,13 +1,14 @@
 """Toxicity by a learned, weighted lexicon matched with Aho-Corasick over folded text.
 
 Folding maps look-alike letters, accents and digits written for letters to plain a-z, so that
-disguised words read like open ones. The lexicon (words and beginnings of words) and its
+disguised words read like open ones; numbers stay out of it. The lexicon (words and beginnings of words) and its
 weights come from counts over labelled documents, as do phrases in which a word is harmless.
 The matched weight, alone and in relation to the length, gives a calibrated score.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -19,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import extended, first_by_hash, slices, written
+from tramlag.llm.common import extended, first_by_hash, free, slices, written
 
 #: Labelled rows that are learned from, at most, of either class (first by a hash of the id).
 FIT_TOXIC, FIT_CLEAN = 6_000, 12_000
-#: Lengths of word beginnings that are tried, entries of the lexicon at most, documents an entry needs.
+#: Lengths of word beginnings that are tried, toxic documents that an entry of the lexicon needs.
 BEGINNINGS = (4, 5, 6, 7)
-ENTRIES, LEAST_DOCS = 4_000, 4
+LEAST_DOCS = 4
 #: Log odds and log-likelihood ratio that an entry needs: neither weak nor a chance find.
 LEAST_ODDS, LEAST_RATIO = 1.2, 24.0
 TEXT_BYTES = 4 << 20
@@ -43,15 +44,23 @@ class Folding(dict):
     def __missing__(self, code: int) -> str:
         plain = unicodedata.normalize("NFKD", chr(code)).casefold().translate(LOOKALIKES)
         plain = unicodedata.normalize("NFKD", plain)
-        letters = "".join(c for c in plain if "a" <= c <= "z")
+        letters = "".join(c for c in plain if c.isalpha())
         invisible = unicodedata.category(chr(code)) in ("Mn", "Cf")
         self[code] = letters or ("" if invisible else " ")
         return self[code]
 
 
+#: Words without a letter: numbers and signs, which stand for themselves.
+NO_LETTER = re.compile(r"(?<!\S)(?:(?!\s)[\W\d_])+(?!\S)")
+
+
 def folded(text: str | None, table: Folding) -> str:
-    """Words of a-z, one blank between and around them. 1, l and i read alike: all become i."""
-    return f" {' '.join((text or '').translate(table).replace('l', 'i').split())} "
+    """Folded words, one blank between and around them. 1, l and i read alike: all become i.
+
+    Digits and signs count as letters only in words that hold a letter. Letters that look like no
+    Latin one stay as they are.
+    """
+    return f" {' '.join(NO_LETTER.sub(' ', text or '').translate(table).replace('l', 'i').split())} "
 
 
 def entries_of(text: str) -> set[str]:
@@ -163,7 +172,7 @@ def train(
     ratio = 2 * (part("toxic", toxic_docs) + part("clean", clean_docs))
     telling = counts.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds).withColumn("ratio", ratio)
     rows = telling.where((F.col("odds") > LEAST_ODDS) & (F.col("ratio") > LEAST_RATIO))
-    rows = rows.orderBy(F.desc("odds"), "entry").limit(ENTRIES).collect()
+    rows = rows.collect()
     weights: dict[str, float] = {}
     for row in sorted(rows, key=lambda r: (len(r.entry), r.entry)):
         shorter = [weights[row.entry[:k]] for k in range(3, len(row.entry)) if row.entry[:k] in weights]
@@ -171,32 +180,32 @@ def train(
             weights[row.entry] = float(row.odds)
     lexicon = Lexicon(weights)
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, automaton = Folding(), lexicon.automaton()
         for part in slices(batches, "_text", TEXT_BYTES):
-            out = {"toxic": part.column("_toxic"), "length": [], "weights": [], "left": [], "right": []}
-            for t in part.column("_text").to_pylist():
-                plain = folded(t, table)
-                found = list(matches(plain, automaton))
-                out["length"].append(plain.count(" ") - 1)
-                for name, values in zip(("weights", "left", "right"), zip(*found) if found else ([], [], [])):
-                    out[name].append(list(values))
-            kinds = {"length": pa.int64(), "weights": pa.list_(pa.float64()), "left": pa.list_(pa.string()), "right": pa.list_(pa.string())}
-            yield pa.RecordBatch.from_pydict(out | {n: pa.array(out[n], k) for n, k in kinds.items()})
-
-    schema = "toxic int, length bigint, weights array<double>, left array<string>, right array<string>"
-    found = sorted((r.toxic, r.length, r.weights, r.left, r.right) for r in sample.mapInArrow(find, schema).collect())
-    phrases = (Counter(), Counter())
-    for toxic, _, _, left, right in found:
-        phrases[toxic].update(set(left) | set(right))
-    harmless = {p for p, n in phrases[0].items() if n >= 3 and " " in p and phrases[1][p] / toxic_docs < 0.2 * n / clean_docs}
-    lexicon.exceptions = harmless | set(exceptions)
-    weight = np.array(
-        [
-            sum(w for w, a, b in zip(ws, left, right) if a not in lexicon.exceptions and b not in lexicon.exceptions)
-            for _, _, ws, left, right in found
-        ]
-    )
+            seen = (Counter(), Counter())
+            for t, toxic in zip(part.column("_text").to_pylist(), part.column("_toxic").to_pylist()):
+                seen[toxic].update({p for _, *both in matches(folded(t, table), automaton) for p in both if " " in p})
+            held = sorted(seen[0] | seen[1])
+            counts = [pa.array([seen[k][p] for p in held], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.string()), *counts], ["phrase", "clean", "toxic"])
+
+    pairs = sample.mapInArrow(phrases, "phrase string, clean bigint, toxic bigint").groupBy("phrase")
+    pairs = pairs.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    harmless = pairs.where((F.col("clean") >= 3) & (F.col("toxic") / toxic_docs < 0.2 * F.col("clean") / clean_docs))
+    lexicon.exceptions = {r.phrase for r in harmless.select("phrase").collect()} | set(exceptions)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, automaton = Folding(), lexicon.automaton()
+        for part in slices(batches, "_text", TEXT_BYTES):
+            plain = [folded(t, table) for t in part.column("_text").to_pylist()]
+            length = pa.array([t.count(" ") - 1 for t in plain], pa.int64())
+            weight = pa.array([weight_of(t, automaton, lexicon.exceptions) for t in plain], pa.float64())
+            yield pa.RecordBatch.from_arrays([part.column("_toxic"), length, weight], ["toxic", "length", "weight"])
+
+    # three numbers for each row of the bounded sample
+    found = sorted(map(tuple, sample.mapInArrow(weigh, "toxic int, length bigint, weight double").collect()))
+    weight = np.array([r[2] for r in found])
     toxic = np.array([r[0] for r in found], float)
     importance = np.where(toxic == 1, numbers[1] / toxic_docs, numbers[0] / clean_docs)
     importance *= len(found) / importance.sum()
@@ -205,12 +214,13 @@ def train(
 
 
 def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """All rows and columns of `docs` with _score between 0 and 1.
+    """All rows and columns of `docs` and a last column _score between 0 and 1; the name gets
+    underscores behind it should `docs` have such a column.
 
     Null texts and texts without letters get the score of a text without matches. An empty
-    table gives an empty result. The column _score is reserved; ids may be null or repeat.
+    table gives an empty result; ids may be null or repeat.
     """
-    own = docs.columns
+    own, name = docs.columns, free(docs, "_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, automaton = Folding(), lexicon.automaton()
@@ -219,6 +229,6 @@ def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
             weight = np.array([weight_of(t, automaton, lexicon.exceptions) for t in plain], float)
             length = np.array([t.count(" ") - 1 for t in plain], float)
             columns = [part.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lexicon.score(weight, length))], names=[*own, "_score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lexicon.score(weight, length))], names=[*own, name])
 
-    return docs.mapInArrow(run, extended(docs, _score="double"))
+    return docs.mapInArrow(run, extended(docs, **{name: "double"}))
