@@ -39,6 +39,10 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert got.columns == [*odd.columns, "_expected", "_tail"] and got.count() == odd.count()
     assert all(0 <= r._tail <= 1 and 0 <= r._expected <= 1 for r in got.collect())
     assert quality_ordinal.grade(none, model).count() == 0
+    clash = odd.selectExpr("*", "1 as _expected", "2 as _tail", "3 as _text", "4 as _grade", "5 as quality")
+    again = quality_ordinal.grade(clash, quality_ordinal.train(clash, ratings))
+    assert again.columns == [*clash.columns, "_expected_", "_tail_"]
+    assert sorted(r._tail_ for r in again.collect()) == sorted(r._tail for r in got.collect())
     plain = quality_ordinal.train(odd, ratings.limit(0))
     assert {(r._expected, r._tail) for r in quality_ordinal.grade(odd, plain).collect()} == {(0.0, 1.0)}
 

@@ -71,6 +71,39 @@ def test_shards_lose_no_pair():
         assert union_find(len(points), edges) == union_find(len(points), near)
 
 
+def test_a_cluster_that_no_sphere_splits():
+    """All values within three bits of a centre are one shard at any fit, and one component."""
+    rng = np.random.default_rng(5)
+    bits = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    two = (bits[:, None] ^ bits[None, :]).ravel()
+    three = (two[:, None] ^ bits[None, :]).ravel()
+    centre = np.uint64(0x0123456789ABCDEF)
+    ball = np.unique(np.concatenate([two, bits, three])) ^ centre
+    assert len(ball) == 43_745 and simhash_vp.build(ball, 50, 3) == []
+    a, _ = simhash_vp.linked(ball, 3)
+    assert len(np.unique(a)) == len(ball) - 1
+    some = np.unique(np.concatenate([rng.choice(ball, 1500, replace=False), rng.integers(0, 2**64, 500, dtype=np.uint64)]))
+    near = [(i, j) for i in range(len(some)) for j in np.flatnonzero(np.bitwise_count(some[i] ^ some[:i]) <= 3)]
+    i, j = simhash_vp.flooded(some, 3)
+    assert (np.bitwise_count(some[i] ^ some[j]) <= 3).all()
+    assert union_find(len(some), zip(i, j)) == union_find(len(some), near)
+
+
+def test_columns_of_clashing_names(odd):
+    clash = odd.selectExpr(
+        "*", "1 as _same", "2 as _stays", "3 as _copy", "4 as fp", "5 as component_id", "6 as _doc", "7 as _sig",
+        "8 as begins", "9 as _begins", "10 as _ends", "11 as _kept", "12 as count",
+    )
+    plain = sorted(repr(tuple(r)[:4]) for r in simhash_vp.one_of_each(odd).collect())
+    kept = simhash_vp.one_of_each(clash)
+    assert kept.columns == clash.columns and sorted(repr(tuple(r)[:4]) for r in kept.collect()) == plain
+    cut = substring_cm.remove_repeats(clash, window=5)
+    assert cut.columns == [*clash.columns, "_n_words", "_n_removed", "_kept_"]
+    got = sorted(repr((r.doc_id, r._n_removed, r._kept_)) for r in cut.collect())
+    want = substring_cm.remove_repeats(odd, window=5).collect()
+    assert got == sorted(repr((r.doc_id, r._n_removed, r._kept)) for r in want)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(1000, 1000 + i) for i in range(1, 50)]

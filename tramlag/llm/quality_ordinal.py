@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import extended, first_by_hash, slices
+from tramlag.llm.common import extended, first_by_hash, free, slices
 
 #: Rated rows that the fit uses at most (those first by a hash of their id), and the hashed space.
 FIT_ROWS = 6_000
@@ -153,12 +153,13 @@ def grade(docs: DataFrame, model: Ordinal, wanted: float | None = None, text: st
     """All rows and columns of `docs` with _expected (grade) and _tail, P(grade >= `wanted`).
 
     `wanted` is the highest grade if none is given. Null texts and texts without words are
-    scored by the thresholds alone. An empty table gives an empty result. The columns _expected
-    and _tail are reserved; ids may be null or repeat.
+    scored by the thresholds alone. An empty table gives an empty result. A new name gets
+    underscores behind it should `docs` have such a column; ids may be null or repeat.
     """
     levels = np.array(model.grades)
     wanted = levels[-1] if wanted is None else wanted
-    own, schema = docs.columns, extended(docs, _expected="double", _tail="double")
+    own, added = docs.columns, [free(docs, "_expected"), free(docs, "_tail")]
+    schema = extended(docs, **dict.fromkeys(added, "double"))
     above = int((levels < wanted).sum())  # thresholds to pass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +170,6 @@ def grade(docs: DataFrame, model: Ordinal, wanted: float | None = None, text: st
             expected = levels[0] + tails @ np.diff(levels)
             tail = tails[:, above - 1] if 0 < above <= len(model.cuts) else np.full(len(score), float(above == 0))
             columns = [part.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(expected), pa.array(tail)], names=[*own, "_expected", "_tail"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(expected), pa.array(tail)], names=[*own, *added])
 
     return docs.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import components, first_by_hash, words_of, written
+from tramlag.llm.common import components, first_by_hash, free, words_of, written
 
 SEED = 42
 #: Fingerprints that the upper tree is fitted on, at most.
@@ -126,6 +126,28 @@ def route(points: np.ndarray, nodes: list[tuple[int, int, int, int]], radius: in
             left += [(inner, own[near]), (outer, own[far])]
 
 
+def flooded(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): forest of the links of at most `radius` among points that no sphere splits.
+
+    Each point meets only those that nothing has reached yet. Where spheres do not split, most
+    points lie near one another, and soon none is left to reach.
+    """
+    unseen, border, ends = np.arange(len(points)), np.zeros(0, np.int64), []
+    while len(unseen):
+        if not len(border):
+            border, unseen = unseen[:1], unseen[1:]
+            continue
+        some = max(1, (1 << 17) // len(unseen))
+        own, border = border[:some], border[some:]
+        close = np.bitwise_count(points[own, None] ^ points[None, unseen]) <= radius
+        met = close.any(axis=0)
+        if met.any():
+            ends.append((own[close[:, met].argmax(axis=0)], unseen[met]))
+            border, unseen = np.concatenate([border, unseen[met]]), unseen[~met]
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([none, *(e[k] for e in ends)]) for k in (0, 1))
+
+
 def linked(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest over distinct `points` that connects just what links of at most `radius` connect."""
     order = np.sort(points)
@@ -157,6 +179,10 @@ def linked(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
             if near.sum() < len(own) and far.sum() < len(own):
                 left += [own[near], own[far]]
                 continue
+        if len(own) > LEAF:
+            a, b = flooded(order[own], radius)
+            join(own[a], own[b])
+            continue
         mine, rows = order[own], max(1, (1 << 17) // len(own))
         for k in range(0, len(own), rows):
             i, j = np.nonzero(np.bitwise_count(mine[k : k + rows, None] ^ mine[None, k:]) <= radius)
@@ -226,11 +252,12 @@ def one_of_each(
     """Rows of `docs` whose id names their component: one document of each group, columns as given.
 
     Of equal texts under one id a single row stays; other rows that share an id are judged each
-    by its text. Rows with a null id are judged by nothing and stay.
+    by its text. Rows with a null id are judged by nothing and stay. Columns of any name may be there.
     """
-    groups = simhash_groups(docs, id_column, text, shingle, radius)
-    stay = groups.where(F.col(id_column) == F.col("component_id")).select(id_column, F.col("same").alias("_same")).distinct()
-    marked = docs.withColumn("_same", F.xxhash64(F.col(text).cast("string")))
-    joined = marked.join(stay.withColumn("_stays", F.lit(True)), [id_column, "_same"], "left")
-    ranked = joined.withColumn("_copy", F.row_number().over(Window.partitionBy(id_column, "_same").orderBy(F.lit(0))))
-    return ranked.where(F.col(id_column).isNull() | F.col("_stays") & (F.col("_copy") == 1)).select(*docs.columns)
+    same, stays, copy = (free(docs, f"_{c}") for c in ("same", "stays", "copy"))
+    groups = simhash_groups(docs, id_column, text, shingle, radius).toDF("id", "fp", "component_id", "same")
+    stay = groups.where("id = component_id").select(F.col("id").alias(id_column), F.col("same").alias(same)).distinct()
+    marked = docs.withColumn(same, F.xxhash64(F.col(text).cast("string")))
+    joined = marked.join(stay.withColumn(stays, F.lit(True)), [id_column, same], "left")
+    ranked = joined.withColumn(copy, F.row_number().over(Window.partitionBy(id_column, same).orderBy(F.lit(0))))
+    return ranked.where(F.col(id_column).isNull() | F.col(stays) & (F.col(copy) == 1)).select(*docs.columns)

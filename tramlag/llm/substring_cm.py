@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import extended, slices, words_of
+from tramlag.llm.common import extended, free, slices, words_of
 
 DEPTH = 2
 #: log2 of the cells of a sketch row: about three cells a window, between these bounds. Beyond
@@ -285,22 +285,23 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     a row with a smaller id. Windows are judged on the input. Null texts and texts below
     `window` words lose nothing; null gives an empty _kept. Rows that share an id do not take
     words from one another. Rows with a null id neither lose nor take words. An empty table
-    gives an empty result. Columns that start with an underscore are reserved.
+    gives an empty result. A new name gets underscores behind it should `docs` have such a column.
     """
-    wide = docs.withColumn("_doc", F.col(id_column).cast("bigint"))
-    shared = wide.where("_doc is not null").groupBy("_doc").count().where("count > 1")
+    doc, sig, begins_at, ends_at = (free(docs, f"_{c}") for c in ("doc", "sig", "begins", "ends"))
+    added = [free(docs, f"_{c}") for c in ("n_words", "n_removed", "kept")]
+    wide = docs.withColumn(doc, F.col(id_column).cast("bigint"))
+    shared = wide.where(F.col(doc).isNotNull()).groupBy(doc).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     # rows that share an id are told apart by their text; else the column is constant
-    sig = F.xxhash64(F.col(text)) if not shared.isEmpty() else F.lit(0).cast("bigint")
-    wide = wide.withColumn("_sig", sig)
-    spans = removed_spans(wide.select(F.col("_doc").alias("doc"), F.col("_sig").alias("sig"), F.col(text).alias("text")), window)
-    joined = wide.join(spans.select(F.col("doc").alias("_doc"), F.col("sig").alias("_sig"), "begins", "ends"), ["_doc", "_sig"], "left")
-    joined = joined.select(*docs.columns, F.col("begins").alias("_begins"), F.col("ends").alias("_ends"))
+    wide = wide.withColumn(sig, F.xxhash64(F.col(text)) if not shared.isEmpty() else F.lit(0).cast("bigint"))
+    spans = removed_spans(wide.select(F.col(doc).alias("doc"), F.col(sig).alias("sig"), F.col(text).alias("text")), window)
+    joined = wide.join(spans.toDF(doc, sig, begins_at, ends_at), [doc, sig], "left")
+    joined = joined.select(*docs.columns, begins_at, ends_at)
     own = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text, TEXT_BYTES):
             numbers, removed, kept = [], [], []
-            for t, begins, ends in zip(*(part.column(c).to_pylist() for c in (text, "_begins", "_ends"))):
+            for t, begins, ends in zip(*(part.column(c).to_pylist() for c in (text, begins_at, ends_at))):
                 words = words_of(t)
                 numbers.append(len(words))
                 if begins:
@@ -313,6 +314,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
             columns = [part.column(c) for c in own]
             columns += [pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*own, "_n_words", "_n_removed", "_kept"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*own, *added])
 
-    return joined.mapInArrow(cut, extended(docs, _n_words="bigint", _n_removed="bigint", _kept="string"))
+    return joined.mapInArrow(cut, extended(docs, **dict(zip(added, ("bigint", "bigint", "string")))))
