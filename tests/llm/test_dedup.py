@@ -133,6 +133,18 @@ def slow_removal(rows, window):
     return sorted(out)
 
 
+def slow_removal_texts(rows, window):
+    """The texts of rows in order of rising ids, the words removed that a smaller id's window covers."""
+    seen, out = set(), []
+    for _, text in rows:
+        words = (text or "").encode().split()
+        keys = [tuple(words[k : k + window]) for k in range(len(words) - window + 1)]
+        gone = {k + i for k, key in enumerate(keys) if key in seen for i in range(window)}
+        seen.update(keys)
+        out.append(b" ".join(w for i, w in enumerate(words) if i not in gone).decode() if gone else text)
+    return out
+
+
 def removal(docs, window):
     rows = substring_cm.remove_repeats(docs, window=window).collect()
     return sorted((repr(r.doc_id), r._n_words, r._n_removed, hashlib.sha256(r._kept.encode()).hexdigest()) for r in rows)

@@ -117,3 +117,13 @@ def test_dense_groups_that_touch_by_one_link_are_one(spark):
     want = expected(rows, 0.95)
     assert {x[2] for x in want} == {"0"} and want[-1][1] >= 20
     assert found(nn_descent.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))) == want
+
+
+def test_lengths_near_the_bounds_of_doubles():
+    rng = np.random.default_rng(9)
+    rows = rng.normal(size=(4, 8))
+    for scale in (1.0, 1e-200, 1e200, 2.0**-1040):
+        blobs = [(x * scale).astype("<f8").tobytes() for x in rows]
+        got = nn_descent.unit(blobs, "<f8")
+        assert np.allclose(got @ got.T, nn_descent.unit([x.astype("<f8").tobytes() for x in rows], "<f8") @ got.T, atol=1e-6)
+        assert np.allclose(np.linalg.norm(got, axis=1), 1)

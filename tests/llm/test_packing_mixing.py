@@ -1,10 +1,10 @@
 """Packing round trips to the tokens; mixing meets independently computed shares."""
 
-import hashlib
 import zlib
 
 import numpy as np
 import public_tokenizers as public
+from conftest_llm import fair_queue
 from tokenizers import Tokenizer
 
 from tramlag.llm import mixing_wfq, packing_online, registry
@@ -137,27 +137,7 @@ def test_the_mixture_is_a_fair_queue_cut_at_the_budget(spark):
     rows = [(i, " ".join(f"w{i}_{k}" for k in range(i % 7 + 1)), "abcd"[min(i % 11, 3)]) for i in range(400)]
     weight = dict(zip("abcd", (1, 2, 3, 1)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
-    queue, served = [], dict.fromkeys(weight, 0)
-    for turn in range(3):
-        for name, text, source in sorted(rows, key=lambda r: hashlib.md5(f"mix{r[0]}".encode()).hexdigest()):
-            begin = served[source]
-            served[source] += len(text.split())
-            place = hashlib.md5(f"mix{name}".encode()).hexdigest()
-            queue.append((served[source] / weight[source], "=" + source, place, name, begin / weight[source], text.split()))
-    queue.sort()
-    budget = sum(len(text.split()) for _, text, _ in rows)
-    total = {s: served[s] // 3 for s in weight}
-    low, high = 0.0, 1e6  # the virtual time at which the budget is spent
-    for _ in range(200):
-        time = (low + high) / 2
-        spent = sum(min(3 * total[s], time * weight[s]) for s in weight)
-        low, high = (time, high) if spent < budget else (low, time)
-    want = []
-    for finish, key, _, name, begin, words in queue:
-        goal = min(3 * total[key[1]], int(high * weight[key[1]] + 1e-6))
-        left = goal - round(begin * weight[key[1]])
-        if left > 0:
-            want.append((name, " ".join(words[:left])))
+    want = fair_queue(rows, weight)
     got = [(r.doc_id, r.text) for r in mixing_wfq.mixture(docs).collect()]
     assert got == want
 

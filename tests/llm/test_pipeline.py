@@ -1,11 +1,21 @@
-"""The stages in order, their columns, and the registered queries that SQL can express."""
+"""The stages in order, their columns, the whole run in plain loops, and the queries that SQL can express."""
 
+from collections import Counter
+from itertools import groupby
+from zlib import crc32
+
+import numpy as np
 import oracle_check
+import public_tokenizers as public
 import pytest
+from conftest_llm import fair_queue
+from test_dedup import slow_groups, slow_removal_texts
+from test_packing_mixing import check_packing, tokens
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tramlag.llm import registry
+from tramlag.llm import quality_ordinal, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +52,51 @@ def test_empty_table(spark, documents):
     assert docs.count() == 0
 
 
+def slow_tail(model, text):
+    """Probability of the highest grade, feature by feature."""
+    kind = lambda b: "A" if 65 <= b <= 90 else "0" if 48 <= b <= 57 else "a" if b >= 128 or 97 <= b <= 122 else chr(b)
+    raw = (text or "").encode()
+    words = raw.split()
+    score, room = 0.0, quality_ordinal.BUCKETS - 8
+    if words:
+        shapes = "".join(k for k, _ in groupby(map(kind, raw))).encode().split()
+        places = [crc32(w, 1) % room for w in words] + [crc32(s, 2) % room for s in shapes]
+        places += [crc32(a + b" " + b, 3) % room for a, b in zip(shapes, shapes[1:])]
+        score = sum(model.weights[p] * (n / len(words)) ** 0.5 for p, n in Counter(places).items())
+        lines = [x for x in raw.split(b"\n") if x.strip()]
+        long = sum(len(w) > 24 for w in words) / len(words)
+        shares = [1 - len(set(lines)) / len(lines), 1 - len(set(words)) / len(words), long, min(1.0, len(words) / 40)]
+        score += sum(model.weights[room + i] * x for i, x in enumerate(shares))
+    return 1 / (1 + np.exp(model.cuts[-1] - score))
+
+
+def test_run_equals_plain_stages(spark, documents):
+    """`run` against its stages in plain loops over all rows; the quality model is given, its use is not."""
+    model = quality_ordinal.train(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = sorted((r.doc_id, r.text, r.source) for r in documents.collect())
+    tails = [slow_tail(model, text) for _, text, _ in rows]
+    good = [r for r, tail in zip(rows, tails) if tail >= registry.SELECTED]
+    assert 0.8 * len(rows) < len(good) < len(rows) and min(abs(t - registry.SELECTED) for t in tails) > 1e-9
+    stay = {name for name, _, component in slow_groups([r[:2] for r in good], 3, 3) if name == component}
+    apart = [r for r in good if repr(r[0]) in stay]
+    assert len(apart) < len(good)
+    cut = [(name, text, source) for (name, _, source), text in zip(apart, slow_removal_texts([r[:2] for r in apart], 13))]
+    assert any(a != b for a, b in zip(cut, apart))
+    sources = sorted({source for _, _, source in cut})
+    mixed = fair_queue(cut, {s: (1, 2, 3)[i % 3] for i, s in enumerate(sources)})
+    whole = {(name, " ".join(w.decode() for w in text.encode().split())): text for name, text, _ in cut}
+    mixed = [(name, whole.get((name, text), text)) for name, text in mixed]
+    pieces = corpus_pipeline.run(spark, SF)
+    check_packing(pieces, mixed, 1024)
+    tokenizer = Tokenizer.from_file(public.path(registry.TOKENIZER))
+    want, got = {}, {}
+    for name, text in mixed:
+        want.setdefault(name, Counter()).update(tokens(tokenizer, text))
+    for p in pieces.collect():
+        got.setdefault(p.doc_id, Counter()).update(np.frombuffer(p.ids, "<u4").tolist())
+    assert got == want
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_equals_sql(spark, name):
     con = oracle_check.connect(SF)
