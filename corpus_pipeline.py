@@ -79,6 +79,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Learned grades, fingerprints and tokens are beyond SQL. Tests hold each stage's operator against brute force
-#: or held-out labels, and the stages in a row against their columns and counts.
+#: Learned grades, fingerprints and tokens are beyond SQL. A test holds the whole run against its stages in plain
+#: loops, given the fitted model; others hold each stage's operator against brute force or held-out labels.
 ORACLE_SQL = None
