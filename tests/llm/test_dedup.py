@@ -167,15 +167,18 @@ def test_removal_over_small_chunks(spark, monkeypatch):
     random.seed(1)
     vocabulary = [f"v{i}" for i in range(40)]
     rows = [(i, " ".join(random.choices(vocabulary, k=random.randint(0, 60)))) for i in range(120)]
-    monkeypatch.setattr(substring_cm, "SKETCHED", 300)
     monkeypatch.setattr(substring_cm, "CHUNK", 200)
     monkeypatch.setattr(substring_cm, "TEXT_BYTES", 500)
+    # sketches of many segments, as full as large ones
+    monkeypatch.setattr(substring_cm, "LEAST_CELLS", 4)
+    monkeypatch.setattr(substring_cm, "SEGMENT", 5)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
     assert removal(docs, 3) == slow_removal(rows, 3)
 
 
 def test_sketch_codes_round_trip():
     cells = np.sort(np.random.default_rng(0).integers(0, 1 << 22, 5000)).astype(np.int64)
-    assert (substring_cm.unpack(substring_cm.pack(cells)) == cells).all()
+    for some in (cells, cells[:1], cells[:0], np.repeat(cells[-3:], 2), np.array([0]), np.array([0, 0, 1, (1 << 26) - 1])):
+        assert substring_cm.unpack(substring_cm.pack(some)).tolist() == some.tolist()
     numbers = np.arange(7, dtype=np.int64) * 10**12
     assert (substring_cm._concat([substring_cm.planes(numbers)], np.int64) == numbers).all()

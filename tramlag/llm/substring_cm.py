@@ -1,9 +1,11 @@
 """Substring dedup with a count-min prefilter.
 
-A first pass over all texts makes sketches of window counts, part by part; merged, they
-overestimate every window's count. A second pass keeps the windows estimated as repeated,
-and only these are grouped exactly. A window counted once is no repetition, and none that
-repeats can be estimated below its count, so nothing is lost.
+Rows are dealt to chunks by a hash. A first pass over the chunks makes sketches of window counts;
+merged by the owner of each segment of cells, they overestimate every window's count. The owner
+answers each chunk, a bit a cell that the chunk sent. A second pass keeps the windows estimated as
+repeated, and only these are grouped exactly. A window counted once is no repetition, and none that
+repeats can be estimated below its count, so nothing is lost. Sketches grow with the input and
+nothing of them passes through the driver; texts move once, to their chunks.
 
 Windows are told apart by 96 bits of two independent multilinear hashes over 128-bit word
 hashes. Both passes send columns of numbers packed by hash range, not a row per window; a
@@ -13,26 +15,25 @@ that a passage in a third of all documents is no hot key.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramlag.llm.common import extended, free, slices, words_of
 
 DEPTH = 2
-#: log2 of the cells of a sketch row: about three cells a window, between these bounds. Beyond
-#: the upper one (2 x 128 MB of bits in a task) the estimates get looser, the result does not change.
-LEAST_CELLS, MOST_CELLS = 22, 30
-SEGMENT = 22
-#: Windows a task gathers before it sends a partial sketch, and a chunk of survivors.
-SKETCHED, CHUNK = 1 << 22, 1 << 21
+#: log2 of the cells of a sketch row at least; it has about three cells a window.
+LEAST_CELLS = 22
+#: log2 of the cells that one group counts, a byte each: grows with the sketch between these bounds, so
+#: that a chunk does not send a row a window.
+SEGMENT, MOST_SEGMENT, SEGMENTS = 22, 26, 12
+#: Windows that a chunk is aimed at.
+CHUNK = 1 << 21
 TEXT_BYTES = 3 << 20
 
 _BLOBS = ("h1", "h2", "doc", "sig", "pos")
@@ -66,85 +67,34 @@ def hash_windows(rows: list[list[bytes]], window: int) -> tuple[np.ndarray, np.n
 
 
 def pack(cells: np.ndarray) -> bytes:
-    """Sorted cells as gaps of a byte; 255 adds up with what follows."""
-    gaps = np.diff(cells.astype(np.int64), prepend=0)
-    more, rest = np.divmod(gaps, 255)
-    out = np.full(int((more + 1).sum()), 255, np.uint8)
-    out[np.cumsum(more + 1) - 1] = rest
-    return out.tobytes()
+    """Sorted cells: their low bits side by side, then in unary how many share each number of high bits."""
+    number = len(cells)
+    size = int(cells[-1]).bit_length() if number else 0
+    low = max(0, size - number.bit_length())
+    high = (cells >> low).astype(np.int64)
+    unary = np.zeros(number + (int(high[-1]) + 1 if number else 0), np.uint8)
+    unary[high + np.arange(number)] = 1
+    rest = np.unpackbits(cells.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :low]
+    head = np.array([number, low], "<u4").tobytes()
+    return head + np.packbits(rest, bitorder="little").tobytes() + np.packbits(unary, bitorder="little").tobytes()
 
 
 def unpack(blob: bytes) -> np.ndarray:
-    codes = np.frombuffer(blob, np.uint8)
-    return np.cumsum(codes, dtype=np.int64)[codes != 255]
+    number, low = (int(x) for x in np.frombuffer(blob, "<u4", 2))
+    codes, ends = np.frombuffer(blob, np.uint8, offset=8), -(-number * low // 8)
+    wide = np.zeros((number, 32), np.uint8)
+    wide[:, :low] = np.unpackbits(codes[:ends], count=number * low, bitorder="little").reshape(number, low)
+    rest = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel().astype(np.int64)
+    high = np.flatnonzero(np.unpackbits(codes[ends:], bitorder="little")) - np.arange(number)
+    return (high << low) | rest
 
 
-def _texts(batches: Iterator[pa.RecordBatch], window: int):
-    for part in slices(batches, "text", TEXT_BYTES):
-        part = part.filter(part.column("doc").is_valid())
-        rows = [words_of(t.as_py()) for t in part.column("text")]
-        yield part, hash_windows(rows, window)
-
-
-def sketches(docs: DataFrame, window: int, bits: int) -> DataFrame:
-    """(depth, segment, bitmap): cells that the merged sketches count twice or more, zlib."""
-
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        for depth in range(DEPTH):
-            cells = np.concatenate([x[depth] for x in held])
-            cells.sort()
-            few = np.ones(len(cells), bool)
-            few[2:] = cells[2:] != cells[:-2]  # a third makes no difference
-            cells = cells[few]
-            of = cells >> SEGMENT
-            begins = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-            parts = np.split(cells, begins[1:])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "depth": pa.array([depth] * len(parts), pa.int32()),
-                    "segment": pa.array(of[begins], pa.int32()),
-                    "cells": pa.array([pack(x & ((1 << SEGMENT) - 1)) for x in parts], pa.binary()),
-                }
-            )
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, number = [], 0
-        for _, (h1, h2, _, _) in _texts(batches, window):
-            if len(h1):
-                held.append(tuple((h >> np.uint64(64 - bits)).astype(np.uint32) for h in (h1, h2)))
-                number += len(h1)
-            if number >= SKETCHED:
-                yield from flush(held)
-                held, number = [], 0
-        if held:
-            yield from flush(held)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, counts = None, np.zeros(1 << SEGMENT, np.uint8)
-
-        def done() -> pa.RecordBatch:
-            bitmap = zlib.compress(np.packbits(counts > 1).tobytes(), 1)
-            return pa.RecordBatch.from_pydict(
-                {"depth": pa.array([key[0]], pa.int32()), "segment": pa.array([key[1]], pa.int32()), "bitmap": [bitmap]}
-            )
-
-        for batch in batches:
-            for depth, segment, blob in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != (depth, segment):
-                    if key:
-                        yield done()
-                    key = (depth, segment)
-                    counts[:] = 0
-                cells = unpack(blob)
-                first = np.diff(cells, prepend=-1) > 0
-                for once in (cells[first], cells[~first]):
-                    counts[once] = np.minimum(counts[once] + 1, 2)
-        if key:
-            yield done()
-
-    partials = docs.select("doc", "text").mapInArrow(partial, "depth int, segment int, cells binary")
-    dealt = partials.repartition("depth", "segment").sortWithinPartitions("depth", "segment")
-    return dealt.mapInArrow(merge, "depth int, segment int, bitmap binary")
+def by_segment(cells: np.ndarray, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(segment, cells within it) of sorted cells, 2^size cells a segment."""
+    of = (cells >> np.uint64(size)).astype(np.int64)
+    begins = np.flatnonzero(np.diff(of, prepend=-1))
+    for begin, part in zip(begins, np.split(cells, begins[1:]) if len(begins) else []):
+        yield int(of[begin]), (part & np.uint64((1 << size) - 1)).astype(np.int64)
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -158,71 +108,129 @@ def _concat(blobs, kind) -> np.ndarray:
     return np.concatenate([np.zeros(0, kind), *parts])
 
 
-def survivors(docs: DataFrame, window: int, bits: int, seen, buckets: int) -> DataFrame:
+_SENT = pa.schema([("chunk", pa.int64()), ("depth", pa.int32()), ("segment", pa.int64()), ("cells", pa.binary())])
+_TOLD = pa.schema([("chunk", pa.int64()), ("depth", pa.int32()), ("segment", pa.int64()), ("bits", pa.binary())])
+_KEPT = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("local", pa.bool_()), *((n, pa.binary()) for n in _BLOBS)])
+SENT = "chunk bigint, depth int, segment bigint, cells binary"
+TOLD = "chunk bigint, depth int, segment bigint, bits binary"
+KEPT = "chunk bigint, bucket bigint, local boolean, " + ", ".join(f"{n} binary" for n in _BLOBS)
+
+
+class Names:
+    """Columns of the placed rows, and the window."""
+
+    def __init__(self, doc: str, sig: str, text: str, window: int):
+        self.doc, self.sig, self.text, self.window = doc, sig, text, window
+
+    def windows(self, rows: pa.Table):
+        """Parts of the rows that have an id, with the hashes of their windows."""
+        for part in slices(rows.to_batches(), self.text, TEXT_BYTES):
+            part = part.filter(part.column(self.doc).is_valid())
+            yield part, hash_windows([words_of(t.as_py()) for t in part.column(self.text)], self.window)
+
+
+def sketches(placed: DataFrame, chunk: str, names: Names, bits: int, size: int) -> DataFrame:
+    """(chunk, depth, segment, bits): of the cells that a chunk has windows in, in rising order, those that the
+    merged sketches count twice or more."""
+    shift = np.uint64(64 - bits)
+
+    def partial(key: tuple, rows: pa.Table) -> pa.Table:
+        held = [tuple(h >> shift for h in hashes[:2]) for _, hashes in names.windows(rows)]
+        out: list[tuple] = []
+        for depth in range(DEPTH if held else 0):
+            cells = np.sort(np.concatenate([x[depth] for x in held]))
+            few = np.ones(len(cells), bool)
+            few[2:] = cells[2:] != cells[:-2]  # a third makes no difference
+            out += [(key[0].as_py(), depth, segment, pack(own)) for segment, own in by_segment(cells[few], size)]
+        return _table(out, _SENT)
+
+    def owner(key: tuple, rows: pa.Table) -> pa.Table:
+        counts = np.zeros(1 << size, np.uint8)
+        blobs = rows.column("cells").to_pylist()
+        for blob in blobs:
+            cells = unpack(blob)
+            first = np.diff(cells, prepend=-1) > 0
+            for once in (cells[first], cells[~first]):
+                counts[once] = np.minimum(counts[once] + 1, 2)
+        depth, segment = (k.as_py() for k in key)
+        out = []
+        for chunk_of, blob in zip(rows.column("chunk").to_pylist(), blobs):
+            cells = unpack(blob)
+            own = counts[cells[np.diff(cells, prepend=-1) > 0]] > 1
+            out.append((chunk_of, depth, segment, np.packbits(own).tobytes()))
+        return _table(out, _TOLD)
+
+    sent = placed.groupBy(chunk).applyInArrow(partial, SENT)
+    return sent.groupBy("depth", "segment").applyInArrow(owner, TOLD)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def survivors(placed: DataFrame, chunk: str, names: Names, told: DataFrame, bits: int, size: int, buckets: int) -> DataFrame:
     """Windows estimated as repeated, packed by chunk and hash range.
 
-    `seen` broadcasts the bitmaps. Of a window that a chunk holds in several documents, only
-    those of the smallest go on; the others are decided here (`local`).
+    Of a window that a chunk holds in several documents, only those of the smallest go on; the
+    others are decided here (`local`).
     """
-
-    def bitmaps() -> list[np.ndarray]:
-        value = seen.value  # one object for all tasks of a worker
-        if "bits" not in value:
-            value["bits"] = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(DEPTH)]
-            for depth, segment, blob in value.pop("blobs"):
-                at = segment << (SEGMENT - 3)
-                value["bits"][depth][at : at + (1 << (SEGMENT - 3))] = np.frombuffer(zlib.decompress(blob), np.uint8)
-        return value["bits"]
-
-    def repeated(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-        cell = h >> np.uint64(64 - bits)
-        return (bitmap[(cell >> np.uint64(3)).astype(np.int64)] >> (7 - (cell & np.uint64(7)).astype(np.uint8))) & 1 > 0
-
-    def rows(chunk: int, bucket: list[int], local: bool, parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        out = {
-            "chunk": pa.array([chunk] * len(bucket), pa.int64()),
-            "bucket": pa.array(bucket, pa.int32()),
-            "local": pa.array([local] * len(bucket), pa.bool_()),
-        }
-        return pa.RecordBatch.from_pydict(
-            out | {n: pa.array([planes(x) for x in p], pa.binary()) for n, p in zip(_BLOBS, parts)}
-        )
-
-    def flush(held: list[tuple[np.ndarray, ...]], chunk: int) -> Iterator[pa.RecordBatch]:
-        h1, h2, doc, sig, pos = (np.concatenate(x) for x in zip(*held))
+    shift = np.uint64(64 - bits)
+
+    def repeated(cells: np.ndarray, depth: int, told: dict[tuple[int, int], bytes]) -> np.ndarray:
+        """Those of a chunk's cells that the sketches count twice or more."""
+        cells, found = np.unique(cells), []
+        for segment, own in by_segment(cells, size):
+            answer = np.frombuffer(told[depth, segment], np.uint8)
+            if len(answer) != -(-len(own) // 8):
+                raise RuntimeError("a chunk has other texts than in the first pass")
+            some = own[np.unpackbits(answer, count=len(own)) > 0]
+            found.append(some.astype(np.uint64) | np.uint64(segment << size))
+        return np.concatenate([np.zeros(0, np.uint64), *found])
+
+    def among(cells: np.ndarray, some: np.ndarray) -> np.ndarray:
+        if not len(some):
+            return np.zeros(len(cells), bool)
+        return some[np.minimum(np.searchsorted(some, cells), len(some) - 1)] == cells
+
+    def flush(chunk_of: int, h1, h2, doc, sig, pos) -> list[tuple]:
         order = np.lexsort((doc, h2, h1))
         h1, h2, doc, sig, pos = (x[order] for x in (h1, h2, doc, sig, pos))
-        if not len(h1):
-            return
         first = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         later = doc > doc[first][np.cumsum(first) - 1]
+        out = []
         if later.any():
-            none = [np.zeros(0, np.uint8)]
             rest = (x[later][np.lexsort((pos[later], doc[later]))] for x in (doc, sig, pos))
-            yield rows(chunk, [chunk % buckets], True, [none, none, *([x] for x in rest)])
+            out.append((chunk_of, chunk_of % buckets, True, b"", b"", *map(planes, rest)))
         h1, h2, doc, sig, pos = (x[~later] for x in (h1, h2, doc, sig, pos))
         of = (h1 >> np.uint64(32)).astype(np.int64) * buckets >> 32
         begins = np.flatnonzero(np.diff(of, prepend=-1))
-        parts = [np.split(x, begins[1:]) for x in (h1, h2, doc, sig, pos)]
-        yield rows(chunk, of[begins].tolist(), False, parts)
-
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, other = bitmaps()
-        held, number, chunk = [], 0, TaskContext.get().partitionId() << 24
-        for part, (h1, h2, row, pos) in _texts(batches, window):
-            keep = np.flatnonzero(repeated(first, h1))
-            keep = keep[repeated(other, h2[keep])]
-            doc, sig = (part.column(c).to_numpy(zero_copy_only=False)[row[keep]] for c in ("doc", "sig"))
-            held.append((h1[keep], (h2[keep] >> np.uint64(32)).astype(np.uint32), doc, sig, pos[keep].astype(np.uint32)))
-            number += len(h1)
-            if number >= CHUNK:
-                yield from flush(held, chunk)
-                held, number, chunk = [], 0, chunk + 1
-        if held:
-            yield from flush(held, chunk)
-
-    blobs = ", ".join(f"{n} binary" for n in _BLOBS)
-    return docs.select("doc", "sig", "text").mapInArrow(second, f"chunk bigint, bucket int, local boolean, {blobs}")
+        parts = zip(*(np.split(x, begins[1:]) for x in (h1, h2, doc, sig, pos)))
+        return out + [(chunk_of, int(b), False, *map(planes, part)) for b, part in zip(of[begins], parts)]
+
+    def second(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        held, docs, sigs, number = [], [], [], 0
+        for part, (h1, h2, row, pos) in names.windows(rows):
+            held.append((h1, h2, (row + number).astype(np.int32), pos.astype(np.uint32)))
+            docs.append(part.column(names.doc).to_numpy(zero_copy_only=False).astype(np.int64))
+            sigs.append(part.column(names.sig).to_numpy(zero_copy_only=False).astype(np.int64))
+            number += part.num_rows
+        if not sum(len(x[0]) for x in held):
+            return _table([], _KEPT)
+        h1, h2, row, pos = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        told = dict(zip(zip(*(answers.column(c).to_pylist() for c in ("depth", "segment"))), answers.column("bits").to_pylist()))
+        keep = np.arange(len(h1))
+        for depth, h in enumerate((h1, h2)):
+            cells = h >> shift
+            keep = keep[among(cells[keep], repeated(cells, depth, told))]
+        if not len(keep):
+            return _table([], _KEPT)
+        row = row[keep]
+        doc, sig = np.concatenate(docs)[row], np.concatenate(sigs)[row]
+        return _table(flush(key[0].as_py(), h1[keep], (h2[keep] >> np.uint64(32)).astype(np.uint32), doc, sig, pos[keep]), _KEPT)
+
+    return placed.groupBy(chunk).cogroup(told.groupBy("chunk")).applyInArrow(second, KEPT)
 
 
 def _grouped(frame: pd.DataFrame) -> pd.DataFrame:
@@ -251,33 +259,6 @@ def spans_of(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[fresh], np.r_[starts[:-1][fresh[1:]], starts[-1]] + window
 
 
-def removed_spans(docs: DataFrame, window: int = 13) -> DataFrame:
-    """`docs` has doc, sig, text. (doc, sig, begins, ends): covered words, little-endian int64 blobs."""
-    spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    windows = max(1, size // 6)
-    bits = int(np.clip(np.ceil(np.log2(3 * windows)), LEAST_CELLS, MOST_CELLS))
-    # at most DEPTH * 2^MOST_CELLS / 8 bytes, compressed
-    blobs = [tuple(r) for r in sketches(docs, window, bits).collect()]
-    seen = spark.sparkContext.broadcast({"blobs": blobs})
-    buckets = max(64, 1 << int(windows >> 20).bit_length())
-
-    def spans(frame: pd.DataFrame) -> pd.DataFrame:
-        doc, sig, pos = (_concat(frame[n], _TYPES[n]) for n in ("doc", "sig", "pos"))
-        order = np.lexsort((pos, sig, doc))
-        doc, sig, pos = doc[order], sig[order], pos[order].astype(np.int64)
-        begins = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(sig) != 0)])
-        both = [spans_of(x, window) for x in np.split(pos, begins[1:])]
-        blobs = zip(*((a.tobytes(), b.tobytes()) for a, b in both))
-        return pd.DataFrame(dict(zip(["doc", "sig", "begins", "ends"], [doc[begins], sig[begins], *map(list, blobs)])))
-
-    found = survivors(docs, window, bits, seen, buckets)
-    found = found.groupBy("bucket").applyInPandas(_grouped, "chunk bigint, doc binary, sig binary, pos binary")
-    found = found.groupBy("chunk").applyInPandas(spans, "doc bigint, sig bigint, begins binary, ends binary")
-    # equal rows of one document lie in several chunks, with equal spans
-    return found.groupBy("doc", "sig").agg(F.first("begins").alias("begins"), F.first("ends").alias("ends"))
-
-
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
     """All rows and columns of `docs` with _n_words, _n_removed and _kept (kept words joined by one space).
 
@@ -287,26 +268,49 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     words from one another. Rows with a null id neither lose nor take words. An empty table
     gives an empty result. A new name gets underscores behind it should `docs` have such a column.
     """
-    doc, sig, begins_at, ends_at = (free(docs, f"_{c}") for c in ("doc", "sig", "begins", "ends"))
+    doc, sig, chunk = (free(docs, f"_{c}") for c in ("doc", "sig", "chunk"))
     added = [free(docs, f"_{c}") for c in ("n_words", "n_removed", "kept")]
+    own = docs.columns
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    windows = max(1, size // 6)
+    bits = max(LEAST_CELLS, int(np.ceil(np.log2(3 * windows))))
+    segment = int(np.clip(bits - SEGMENTS, SEGMENT, MOST_SEGMENT))
+    buckets = max(64, 1 << int(windows >> 20).bit_length())
     wide = docs.withColumn(doc, F.col(id_column).cast("bigint"))
-    shared = wide.where(F.col(doc).isNotNull()).groupBy(doc).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    repeated = wide.where(F.col(doc).isNotNull()).groupBy(doc).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    shared = not repeated.isEmpty()
     # rows that share an id are told apart by their text; else the column is constant
-    wide = wide.withColumn(sig, F.xxhash64(F.col(text)) if not shared.isEmpty() else F.lit(0).cast("bigint"))
-    spans = removed_spans(wide.select(F.col(doc).alias("doc"), F.col(sig).alias("sig"), F.col(text).alias("text")), window)
-    joined = wide.join(spans.toDF(doc, sig, begins_at, ends_at), [doc, sig], "left")
-    joined = joined.select(*docs.columns, begins_at, ends_at)
-    own = docs.columns
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text, TEXT_BYTES):
+    wide = wide.withColumn(sig, F.xxhash64(F.col(text)) if shared else F.lit(0).cast("bigint"))
+    # rows without an id, and equal rows of one id, may be any number: they are spread by their place
+    place = F.monotonically_increasing_id()
+    spread = place if shared else F.when(F.col(doc).isNull(), place).otherwise(F.lit(0).cast("bigint"))
+    number = -(-windows // CHUNK)
+    placed = wide.withColumn(chunk, F.pmod(F.xxhash64(doc, text, spread), F.lit(number))).repartition(chunk)
+    names = Names(doc, sig, text, window)
+    told = sketches(placed, chunk, names, bits, segment)
+    found = survivors(placed, chunk, names, told, bits, segment, buckets)
+    found = found.groupBy("bucket").applyInPandas(_grouped, "chunk bigint, doc binary, sig binary, pos binary")
+    schema = extended(docs, **dict(zip(added, ("bigint", "bigint", "string"))))
+
+    def cut(rows: pa.Table, found: pa.Table) -> pa.Table:
+        spans = {}
+        if found.num_rows:
+            of, by, pos = (_concat(found.column(n).to_pylist(), _TYPES[n]) for n in ("doc", "sig", "pos"))
+            order = np.lexsort((pos, by, of))
+            of, by, pos = of[order], by[order], pos[order].astype(np.int64)
+            begins = np.flatnonzero(np.r_[True, (np.diff(of) != 0) | (np.diff(by) != 0)])
+            keys = zip(of[begins].tolist(), by[begins].tolist())
+            spans = {key: spans_of(x, window) for key, x in zip(keys, np.split(pos, begins[1:]))}
+        lost, out = set(spans), []
+        for part in slices(rows.to_batches(), text, TEXT_BYTES):
             numbers, removed, kept = [], [], []
-            for t, begins, ends in zip(*(part.column(c).to_pylist() for c in (text, begins_at, ends_at))):
+            for t, *key in zip(*(part.column(c).to_pylist() for c in (text, doc, sig))):
                 words = words_of(t)
                 numbers.append(len(words))
-                if begins:
+                if tuple(key) in spans:
+                    lost.discard(tuple(key))
                     stay, at = [], 0
-                    for begin, end in zip(np.frombuffer(begins, np.int64).tolist(), np.frombuffer(ends, np.int64).tolist()):
+                    for begin, end in zip(*(x.tolist() for x in spans[tuple(key)])):
                         stay += words[at:begin]
                         at = end
                     words = stay + words[at:]
@@ -314,6 +318,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
             columns = [part.column(c) for c in own]
             columns += [pa.array(numbers, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*own, *added])
+            out.append(pa.RecordBatch.from_arrays(columns, names=[*own, *added]))
+        if lost:
+            raise RuntimeError("a chunk has other texts than in the passes before")
+        return pa.Table.from_batches(out)
 
-    return joined.mapInArrow(cut, extended(docs, **dict(zip(added, ("bigint", "bigint", "string")))))
+    return placed.groupBy(chunk).cogroup(found.groupBy("chunk")).applyInArrow(cut, schema)
