@@ -35,6 +35,8 @@ SEGMENT, MOST_SEGMENT, SEGMENTS = 22, 26, 12
 #: Windows that a chunk is aimed at.
 CHUNK = 1 << 21
 TEXT_BYTES = 3 << 20
+#: Bits of a cell that are looked up before the cell is.
+LOW = 22
 
 _BLOBS = ("h1", "h2", "doc", "sig", "pos")
 _TYPES = {"h1": np.uint64, "h2": np.uint32, "doc": np.int64, "sig": np.int64, "pos": np.uint32}
@@ -74,7 +76,9 @@ def pack(cells: np.ndarray) -> bytes:
     high = (cells >> low).astype(np.int64)
     unary = np.zeros(number + (int(high[-1]) + 1 if number else 0), np.uint8)
     unary[high + np.arange(number)] = 1
-    rest = np.unpackbits(cells.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :low]
+    width = 2 if low <= 16 else 4
+    rest = (cells & ((1 << low) - 1)).astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    rest = np.unpackbits(rest, axis=1, bitorder="little")[:, :low]
     head = np.array([number, low], "<u4").tobytes()
     return head + np.packbits(rest, bitorder="little").tobytes() + np.packbits(unary, bitorder="little").tobytes()
 
@@ -179,7 +183,8 @@ def survivors(placed: DataFrame, chunk: str, names: Names, told: DataFrame, bits
 
     def repeated(cells: np.ndarray, depth: int, told: dict[tuple[int, int], bytes]) -> np.ndarray:
         """Those of a chunk's cells that the sketches count twice or more."""
-        cells, found = np.unique(cells), []
+        cells, found = np.sort(cells), []
+        cells = cells[np.r_[True, cells[1:] != cells[:-1]]]
         for segment, own in by_segment(cells, size):
             answer = np.frombuffer(told[depth, segment], np.uint8)
             if len(answer) != -(-len(own) // 8):
@@ -189,9 +194,16 @@ def survivors(placed: DataFrame, chunk: str, names: Names, told: DataFrame, bits
         return np.concatenate([np.zeros(0, np.uint64), *found])
 
     def among(cells: np.ndarray, some: np.ndarray) -> np.ndarray:
-        if not len(some):
-            return np.zeros(len(cells), bool)
-        return some[np.minimum(np.searchsorted(some, cells), len(some) - 1)] == cells
+        hit = np.zeros(len(cells), bool)
+        if len(some):
+            # most are ruled out by their low bits
+            low = np.uint64((1 << LOW) - 1)
+            seen = np.zeros(1 << LOW, bool)
+            seen[some & low] = True
+            maybe = np.flatnonzero(seen[cells & low])
+            own = cells[maybe]
+            hit[maybe] = some[np.minimum(np.searchsorted(some, own), len(some) - 1)] == own
+        return hit
 
     def flush(chunk_of: int, h1, h2, doc, sig, pos) -> list[tuple]:
         order = np.lexsort((doc, h2, h1))
