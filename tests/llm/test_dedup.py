@@ -71,6 +71,26 @@ def test_shards_lose_no_pair():
         assert union_find(len(points), edges) == union_find(len(points), near)
 
 
+def test_large_shards_are_dealt_again(spark, monkeypatch):
+    monkeypatch.setattr(simhash_vp, "SHARD", 16)
+    monkeypatch.setattr(simhash_vp, "MAX_SHARDS", 3)  # of a tree, so that shards stay large at first
+    monkeypatch.setattr(simhash_vp, "LARGE", 150)
+    rng = np.random.default_rng(8)
+    centres = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), replace=False)) for _ in range(600)]
+    ball = centres[0] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))[:, None] ^ (np.uint64(1) << np.arange(4, dtype=np.uint64))
+    points = np.unique(np.concatenate([centres[rng.integers(0, 60, 600)] ^ np.array(flips, np.uint64), ball.ravel()]))
+    place = {int(p): i for i, p in enumerate(points.view(np.int64))}
+    near = [(i, j) for i in range(len(points)) for j in np.flatnonzero(np.bitwise_count(points[i] ^ points[:i]) <= 3)]
+    seen = []
+    whole = simhash_vp.parted
+    monkeypatch.setattr(simhash_vp, "parted", lambda *a: seen.append(1) or whole(*a))
+    distinct = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp bigint")
+    edges = [(place[r.a], place[r.b]) for r in simhash_vp.links(distinct, 3).collect()]
+    assert union_find(len(points), edges) == union_find(len(points), near)
+    assert seen
+
+
 def test_a_cluster_that_no_sphere_splits():
     """All values within three bits of a centre are one shard at any fit, and one component."""
     rng = np.random.default_rng(5)

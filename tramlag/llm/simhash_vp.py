@@ -2,15 +2,18 @@
 
 Fingerprints are partitioned by their Hamming distance to vantage points. The upper tree is
 fitted on a bounded sample and sent to the tasks; it deals every distinct fingerprint to its
-shard, and to each shard that a ball around it reaches across a boundary. A shard goes on
-with trees of its own, down to leaves that are compared in full. The triangle bound makes
+shard, and to each shard that a ball around it reaches across a boundary. Shards that are too
+large for a task are dealt again, each by a tree fitted on a sample of its own, until none is.
+A shard goes on with trees of its own, down to leaves that are compared in full. The triangle bound makes
 this exact: of a pair within `radius`, either both lie inside a sphere, or both lie outside
 a sphere that is smaller by `radius`, so each pair meets in some leaf.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,8 +27,12 @@ from tramlag.llm.common import components, first_by_hash, free, words_of, writte
 SEED = 42
 #: Fingerprints that the upper tree is fitted on, at most.
 SAMPLE = 65_536
-#: Distinct fingerprints a shard is aimed at; and the most shards, which bounds the tree sent to tasks.
+#: Distinct fingerprints a shard is aimed at; and the most shards of one tree, which bounds the tree sent to tasks.
 SHARD, MAX_SHARDS = 4_096, 4_096
+#: Points of a shard beyond which it is dealt again.
+LARGE = 1 << 18
+#: Tasks that the shards are spread over, at most.
+MOST_TASKS = 1 << 16
 #: Points of a shard that are compared in full.
 LEAF = 1_024
 
@@ -193,14 +200,50 @@ def linked(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return order[moved], order[top[moved]]
 
 
+def parted(large: DataFrame, radius: int) -> DataFrame:
+    """(shard, fp, whole) of `large` (shard, points, fp): each shard dealt by a tree fitted on some of its points.
+
+    The points of a shard come in pieces, each with the shard's tree, so that no task holds a
+    large shard. A shard that no sphere splits stays `whole`.
+    """
+
+    def fit(frame: pd.DataFrame) -> pd.DataFrame:
+        points, aimed = frame["fp"].to_numpy(np.int64).view(np.uint64), -(-int(frame["points"].iloc[0]) // SHARD)
+        tree = json.dumps(build(points, min(MAX_SHARDS, aimed), radius))
+        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "points": frame["points"].iloc[:1], "tree": [tree]})
+
+    def deal(frame: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if not len(frame):
+            return pd.DataFrame({"shard": [], "fp": [], "whole": []}).astype({"shard": np.int64, "fp": np.int64, "whole": bool})
+        points, shard = frame["fp"].to_numpy(np.int64).view(np.uint64), int(frame["shard"].iloc[0])
+        nodes = json.loads(trees["tree"].iloc[0])
+        if not nodes:
+            return pd.DataFrame({"shard": shard, "fp": points.view(np.int64), "whole": True})
+        # two shards that got one name would be compared together, which loses nothing
+        name = lambda part: np.uint64(xxhash.xxh64_intdigest(f"{shard}/{part}")).view(np.int64)
+        parts = [(name(part), own) for part, own in route(points, nodes, radius) if len(own)]
+        names = np.repeat([n for n, _ in parts], [len(own) for _, own in parts])
+        return pd.DataFrame({"shard": names, "fp": np.concatenate([own for _, own in parts]).view(np.int64), "whole": False})
+
+    # about twice SAMPLE points of each shard, picked by a hash
+    share = F.lit(2.0 * SAMPLE) / F.col("points")
+    some = large.where(F.xxhash64("fp").cast("double") <= share * F.lit(2.0**64) - F.lit(2.0**63))
+    trees = some.groupBy("shard").applyInPandas(fit, "shard bigint, points bigint, tree string")
+    pieces = F.ceil(F.col("points") / LARGE)
+    trees = trees.select("shard", "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)).alias("piece"))
+    dealt = large.select("shard", "fp", F.pmod(F.xxhash64(F.lit(1), "fp"), pieces).alias("piece"))
+    both = dealt.groupBy("shard", "piece").cogroup(trees.groupBy("shard", "piece"))
+    return both.applyInPandas(deal, "shard bigint, fp bigint, whole boolean")
+
+
 def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): edges between values of column fp, a forest per shard, whose components are those
     of all links at `radius` or fewer differing bits."""
     number = distinct.count()
-    shards = min(MAX_SHARDS, max(1, -(-number // SHARD)))
+    shards = max(1, -(-number // SHARD))
     by_hash = first_by_hash(distinct.select("fp"), "fp", SAMPLE, number)
     sample = np.array([r.fp for r in by_hash.collect()] or [0], np.int64).view(np.uint64)
-    nodes = build(sample, shards, radius)
+    nodes = build(sample, min(MAX_SHARDS, shards), radius)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -212,7 +255,19 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
         a, b = linked(frame["fp"].to_numpy(np.int64).view(np.uint64), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    dealt = distinct.select("fp").mapInPandas(deal, "shard int, fp bigint").repartition(shards, "shard")
+    left = written(distinct.select("fp").mapInPandas(deal, "shard bigint, fp bigint"), "shards")
+    done = []
+    while True:
+        sizes = left.groupBy("shard").agg(F.count(F.lit(1)).alias("points"))
+        large = written(sizes.where(F.col("points") > LARGE), "large")
+        if large.isEmpty():
+            done.append(left)
+            break
+        done.append(left.join(large, "shard", "left_anti"))
+        again = written(parted(left.join(large, "shard"), radius), "parted")
+        done.append(again.where("whole").select("shard", "fp"))
+        left = again.where("not whole").select("shard", "fp")
+    dealt = reduce(DataFrame.unionByName, done).repartition(min(shards, MOST_TASKS), "shard")
     return dealt.groupBy("shard").applyInPandas(within, "a bigint, b bigint")
 
 
