@@ -1,8 +1,13 @@
 """Held-out accuracy of the learned operators, and their defined results for odd rows."""
 
+import math
+import re
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from tramlag.llm import licence_lr, quality_ordinal, registry, toxicity_ac
+from tramlag.llm.common import first_by_hash
 
 SF = "/root/testdata/sf0.01"
 
@@ -189,3 +194,49 @@ def test_licence_scan_of_odd_rows(spark, odd, none):
     got = {(r.doc_id, r.paragraph, r.family) for r in licence_lr.scan(odd.unionByName(more), model).collect()}
     assert got == {(8, 2, "mit"), (8, 0, "apache"), (None, 0, "gpl")}
     assert licence_lr.scan(none, model).count() == 0
+
+
+def test_licence_fit_and_threshold_cover_every_row(spark):
+    """Lines near a notice that stand only in rows behind the first 600 by a hash of the id: none may pass for known."""
+    early = {r.id for r in first_by_hash(spark.range(1400), "id", 600, 1400).collect()}
+    near = "We met under the MIT license plate {} of a museum."
+    rows = [(i, ("The river was low this summer near gate {}." if i in early else near).format(i)) for i in range(1400)]
+    rows.append((1400, "Released under the MIT License."))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = licence_lr.train(docs)
+    weights = dict(model.weights)
+
+    def known(text):
+        words = ["^", *re.findall(r"[\w-]+", text.lower()), "$"]
+        held = [weights[p] for p in {f"{a} {b}" for a, b in zip(words, words[1:])} if p in weights]
+        powers = [math.exp(b + sum(w[c] for w in held)) for c, b in enumerate(model.intercepts)]
+        return max(powers[1:]) / sum(powers)
+
+    assert not any(known(text) >= model.threshold for i, text in rows[:1400] if i not in early)
+    assert [(r.doc_id, r.family) for r in licence_lr.scan(docs, model).collect()] == [(1400, "mit")]
+
+
+def test_licence_threshold_is_the_least_that_keeps_the_share(spark):
+    rng = np.random.default_rng(4)
+    for most in (1.0, 0.9, 0.2):
+        scores = np.concatenate([rng.random(400) * most, np.repeat(rng.random(5) * most, 7), np.full(3, most)])
+        times = rng.integers(1, 4, len(scores))
+        rows = spark.createDataFrame([(float(x), int(n)) for x, n in zip(scores, times)], "_known double, _n bigint")
+        for share in (0.0, 0.001, 0.05, 0.3):
+            got = licence_lr._threshold(rows, share, 0.5)
+            assert times[scores >= got].sum() <= share * times.sum()
+            under = scores[(scores < got) & (scores >= 0.5)]
+            assert got == 0.5 or times[scores >= under.max()].sum() > share * times.sum()
+    assert licence_lr._threshold(rows.limit(0), 0.001, 0.5) == 0.5
+
+
+def test_licence_classify_is_train_and_scan(spark, odd, none):
+    more = [(8, "\n\nReleased under the mit license\n", "a", 1), (None, "SPDX-License-Identifier: GPL-3.0-or-later", "a", 1)]
+    docs = odd.unionByName(spark.createDataFrame(more, odd.schema))
+    columns = ["doc_id", "paragraph", "family", F.round("probability", 6), "share"]
+    found = licence_lr.classify(docs)
+    want = licence_lr.scan(docs, licence_lr.train(docs))
+    assert found.columns == want.columns
+    rows = lambda df: sorted(map(tuple, df.select(*columns).collect()), key=str)
+    assert rows(found) == rows(want) and {r[2] for r in rows(found)} == {"mit", "gpl"}
+    assert licence_lr.classify(none).count() == 0

@@ -1,13 +1,16 @@
 """Licence families by a trained paragraph classifier, in DataFrame functions on the whole path.
 
 A sparse multinomial logistic regression over word pairs, fitted on licence notices (below) and
-a bounded sample of the table's other paragraphs, gives every paragraph a probability for each
-family and for `unknown`. The threshold that parts known from unknown is set on paragraphs held
-out of the fit. What is predicted is confirmed by comparing its word pairs with the notices.
+the table's other paragraphs, gives every paragraph a probability for each family and for
+`unknown`. The threshold that parts known from unknown is set on the paragraphs held out of the
+fit. What is predicted is confirmed by comparing its word pairs with the notices. Only pairs that
+notices hold have weights, so paragraphs with the same ones are fitted as one row that weighs as
+much as all of them.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -15,13 +18,15 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramlag.llm.common import first_by_hash
+from tramlag.llm.common import first_by_hash, written
 
-#: Rows whose paragraphs stand for `unknown` in the fit and its calibration (first by a hash of the id).
-SAMPLE_ROWS = 600
-#: Share of held-out other paragraphs that may come out as known, and how much of the smaller of
-#: paragraph and notice the pairs in common must make up.
+#: Weight in the fit of each other paragraph (a notice: 1), and of all of them together at most, in notices.
+OTHER, OTHERS = 0.3, 14.0
+#: Share of the held-out other paragraphs with a notice's pair that may come out as known, and how
+#: much of the smaller of paragraph and notice the pairs in common must make up.
 FALSE_KNOWN, CONFIRMED = 0.001, 0.6
+#: Rows of the fit that a task takes.
+FIT_ROWS = 1 << 16
 
 # Wordings of public licences and of usual notices, by family.
 NOTICES: dict[str, list[str]] = {
@@ -154,55 +159,105 @@ def notices(spark: SparkSession, families: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "family string, notice string, _paragraph string")
 
 
+def _known(spark: SparkSession, families: dict[str, list[str]] | None) -> DataFrame:
+    """The notices with their distinct pairs."""
+    return with_pairs(notices(spark, families or NOTICES)).withColumn("pairs", F.array_distinct("pairs"))
+
+
+def _vocabulary(known: DataFrame) -> list[str]:
+    return sorted(r[0] for r in known.select(F.explode("pairs")).distinct().collect())
+
+
+def marked(docs: DataFrame, vocabulary: list[str], id_column: str, text: str) -> DataFrame:
+    """(id column, _row, _at, _second, _own, pairs), a row a paragraph with words: whether it serves the threshold
+    instead of the fit, its number of pairs, and those in `vocabulary`, each once and sorted."""
+    lines = paragraphs(docs.select(id_column, text), text).select(id_column, "_row", "_at", "_paragraph")
+    second = F.pmod(F.xxhash64("_paragraph"), F.lit(2)) == 1
+    held = F.array_intersect("pairs", F.array(*[F.lit(p) for p in vocabulary]).cast("array<string>"))
+    own = F.size("pairs").alias("_own")
+    return with_pairs(lines).select(id_column, "_row", "_at", second.alias("_second"), own, F.sort_array(held).alias("pairs"))
+
+
 def train(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", families: dict[str, list[str]] | None = None,
-    sample_rows: int = SAMPLE_ROWS,
+    sample_rows: int | None = None,
 ) -> Classifier:
-    """Fit on the notices and on the paragraphs of at most `sample_rows` rows of `docs`.
+    """Fit on the notices and on all paragraphs of `docs`, or of `sample_rows` rows of it if a caller names a number.
+
+    The threshold comes from every second paragraph, which the fit leaves out.
+    """
+    if sample_rows is not None:
+        docs = first_by_hash(docs.select(id_column, text), id_column, sample_rows, docs.count())
+    marks = marked(docs, _vocabulary(_known(docs.sparkSession, families)), id_column, text)
+    return _fitted(written(marks, "licence-paragraphs"), families)
+
+
+def _fitted(marks: DataFrame, families: dict[str, list[str]] | None) -> Classifier:
+    """Fit on the notices and on the written rows of `marked`.
 
-    Sampled paragraphs that read like a notice (as in confirmation) are left out; of the others
-    every second serves the fit, the rest the threshold. The driver gets the weights of pairs
-    that occur in notices, never a paragraph of the table.
+    Paragraphs that read like a notice (as in confirmation) are left out; of the others every
+    second serves the fit, the rest the threshold. The driver gets the weights of pairs that
+    occur in notices, never a paragraph of the table.
     """
-    spark = docs.sparkSession
-    known = with_pairs(notices(spark, families or NOTICES)).withColumn("pairs", F.array_distinct("pairs")).cache()
-    vocabulary = sorted(r[0] for r in known.select(F.explode("pairs")).distinct().collect())
+    known = _known(marks.sparkSession, families).cache()
+    vocabulary = _vocabulary(known)
     classes = [UNKNOWN, *sorted({r[0] for r in known.select("family").distinct().collect()})]
-    picked = first_by_hash(docs.select(id_column, text), id_column, sample_rows, docs.count())
-    other = with_pairs(paragraphs(picked, text).select(id_column, "_at", "_paragraph"))
-    other = other.withColumn("_second", F.pmod(F.xxhash64("_paragraph"), F.lit(2)) == 1)
-    like = _confirmed(other.select(id_column, "_at", F.size("pairs").alias("_own"), "pairs"), [id_column, "_at"], known).select(id_column, "_at")
-    other = other.join(like.where(F.col(id_column).isNotNull()).distinct(), [id_column, "_at"], "left_anti").cache()
+    alike = marks.groupBy("_second", "_own", "pairs").agg(F.count("*").alias("_n"))
+    alike = written(alike.withColumn("_set", F.monotonically_increasing_id()), "licence-sets")
+    other = alike.join(_confirmed(alike, ["_set"], known), "_set", "left_anti")
+    first = other.where("not _second").groupBy("pairs").agg(F.sum("_n").alias("_n"))
+    number = other.where("not _second").agg(F.sum("_n")).first()[0] or 1
+    each = min(OTHER, OTHERS * known.count() / number)
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")) - 1
-    rows = known.select("family", "pairs").unionByName(other.where("not _second").select(F.lit(UNKNOWN).alias("family"), "pairs"))
+    rows = known.select("family", "pairs", F.lit(1.0).alias("weight")).unionByName(
+        first.select(F.lit(UNKNOWN).alias("family"), "pairs", (F.col("_n") * each).alias("weight"))
+    )
     counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="pairs", outputCol="features", minTF=1.0)
     counter = counter.setBinary(True)
-    balance = F.when(F.col("family") == UNKNOWN, F.lit(0.3)).otherwise(F.lit(1.0))
-    data = counter.transform(rows.withColumn("label", label.cast("double")).withColumn("weight", balance)).coalesce(1).cache()
+    data = written(counter.transform(rows.select(label.cast("double").alias("label"), "weight", "pairs")).drop("pairs"), "licence-fit")
     model = LogisticRegression(
         family="multinomial", weightCol="weight", regParam=0.0002, elasticNetParam=0.5, maxIter=120, standardization=False
-    ).fit(data)
+    ).fit(data.coalesce(1 + data.count() // FIT_ROWS))
     matrix = model.coefficientMatrix.toArray()
     present = list(range(matrix.shape[0]))
     weights = [(pair, [float(matrix[c, i]) for c in present]) for i, pair in enumerate(vocabulary)]
     found = Classifier(weights, [float(x) for x in model.interceptVector], [classes[c] for c in present], 0.5)
-    scored = _scored(other.where("_second"), [id_column, "_at"], found)
-    least = scored.agg(F.expr(f"percentile(_known, {1 - FALSE_KNOWN})")).first()[0]
-    found.threshold = float(max(0.5, least or 0.5))
-    for frame in (known, other, data):
-        frame.unpersist()
+    scored = written(_scored(other.where("_second"), ["_set", "_n"], found).select("_known", "_n"), "licence-scores")
+    found.threshold = _threshold(scored, FALSE_KNOWN, 0.5)
+    known.unpersist()
     return found
 
 
+def _threshold(scored: DataFrame, share: float, least: float) -> float:
+    """From `least` on, the first place between scores that at most `share` of the rows (_known, _n of each) reach.
+
+    Counts by intervals of the scores, an interval at a time into smaller ones: the driver gets a
+    thousand counts a turn.
+    """
+    most = share * (scored.agg(F.sum("_n")).first()[0] or 0)
+    low, high, above, higher = least, 1.0, 0, 1.0
+    while True:
+        part = F.floor((F.col("_known") - low) / (high - low) * 1000)
+        within = scored.where(F.col("_known").between(low, high)).groupBy(part.alias("part"))
+        for r in sorted(within.agg(F.sum("_n").alias("n"), F.min("_known").alias("low"), F.max("_known").alias("high")).collect(), reverse=True):
+            if above + r.n > most:
+                break
+            above, higher = above + r.n, r.low
+        else:
+            return least
+        if r.low == r.high:
+            return (r.low + higher) / 2 if higher > r.low else math.nextafter(r.low, 2)
+        low, high = r.low, r.high
+
+
 def _scored(rows: DataFrame, keys: list[str], model: Classifier) -> DataFrame:
-    """`keys` (which may be null), _own (number of pairs), _family, _known (probability of it) and pairs
-    (those that notices hold) of rows that share a pair with a notice."""
+    """`keys` (which may be null), _own, _family, _known (probability of it) and pairs of those rows of `marked`
+    that share a pair with a notice."""
     spark = rows.sparkSession
     # bounded by the notices' wording, whatever the table
     weights = F.broadcast(spark.createDataFrame(model.weights or [("", [0.0] * len(model.classes))], "pair string, w array<double>"))
-    exploded = rows.select(*keys, F.size("pairs").alias("_own"), F.explode("pairs").alias("pair"))
-    # of all pairs just those of notices move, and each counts once in a paragraph
-    exploded = exploded.join(weights.select("pair"), "pair").repartition(*keys).dropDuplicates().join(weights, "pair")
+    # the pairs move, not the sums of all classes
+    exploded = rows.select(*keys, "_own", F.explode("pairs").alias("pair")).repartition(*keys).join(weights, "pair")
     sums = [F.sum(F.element_at("w", i + 1)).alias(f"_w{i}") for i in range(len(model.classes))]
     keys = [*keys, "_own"]
     summed = exploded.groupBy(*keys).agg(*sums, F.collect_list("pair").alias("pairs"))
@@ -222,7 +277,7 @@ def _confirmed(rows: DataFrame, keys: list[str], known: DataFrame, family: str |
     of = known.select("notice", F.col("family").alias("_of"), F.size("pairs").alias("_size"), F.explode("pairs").alias("pair"))
     columns = [*keys, *([family] if family else [])]
     own = rows.select(*columns, "_own", F.explode("pairs").alias("pair"))
-    same = own.dropDuplicates().join(F.broadcast(of), "pair")
+    same = own.join(F.broadcast(of), "pair")
     if family:
         same = same.where(F.col(family) == F.col("_of"))
     shared = same.groupBy(*columns, "_own", "notice", "_size").count()
@@ -242,11 +297,22 @@ def scan(
     and empty texts and an empty table have no licence paragraphs. Rows that repeat an id, or
     have none, are scanned each for itself; other columns go unread.
     """
+    return _found(marked(docs, [pair for pair, _ in model.weights], id_column, text), model, id_column, families)
+
+
+def classify(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", families: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """`scan` of `docs` by a model fitted on `docs` itself (`train`); the texts are cut into pairs once for both."""
+    marks = marked(docs, _vocabulary(_known(docs.sparkSession, families)), id_column, text)
+    marks = written(marks, "licence-paragraphs")
+    return _found(marks, _fitted(marks, families), id_column, families)
+
+
+def _found(marks: DataFrame, model: Classifier, id_column: str, families: dict[str, list[str]] | None) -> DataFrame:
     keys = [id_column, "_row", "_at"]
-    lines = with_pairs(paragraphs(docs.select(id_column, text), text).select(*keys, "_paragraph"))
-    found = _scored(lines, keys, model).where(F.col("_known") >= model.threshold)
-    known = with_pairs(notices(docs.sparkSession, families or NOTICES)).withColumn("pairs", F.array_distinct("pairs"))
-    sure = _confirmed(found, [*keys, "_known"], known, "_family")
+    found = _scored(marks, keys, model).where(F.col("_known") >= model.threshold)
+    sure = _confirmed(found, [*keys, "_known"], _known(marks.sparkSession, families), "_family")
     return sure.select(
         id_column, F.col("_at").alias("paragraph"), F.col("_family").alias("family"),
         F.col("_known").alias("probability"), F.col("_share").alias("share"),

@@ -60,8 +60,7 @@ def op4_pack_online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return licence_lr.scan(docs, licence_lr.train(docs))
+    return licence_lr.classify(_table(spark, sf_dir, "documents"))
 
 
 def op7_substring_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
