@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -327,3 +328,39 @@ def test_later_cycles_try_again(spark, tmp_path, feed, rows):
     assert live.waiting_batches(wh) == [] and live.attempts(wh).count() == 2
     assert rows(wh.read("fact_delay"), "delay_s", "version_id") == [(1, 1), (2, 1), (3, 2), (4, 2), (7, 2)]
     assert wh.read("fact_run").where("status = 'ERROR'").count() == 2
+
+
+def tables_below(monkeypatch, folder):
+    """The live path's intermediate tables go there; returns a function that lists what they are for."""
+    folder.mkdir()
+    monkeypatch.setattr(live, "shared_folder", lambda spark, purpose: f"{folder}/{purpose}-{time.monotonic_ns()}")
+    return lambda: {name.split("-")[0] for name in os.listdir(folder)}
+
+
+def test_no_rows_of_a_batch_are_cached_and_no_table_of_it_stays(spark, wh, feed, tmp_path, monkeypatch):
+    """Executors' memory does not grow with a batch: only its heads and unknown references are cached."""
+    log_touched, held, cached, tables = live.log_touched, tables_below(monkeypatch, tmp_path / "shared"), [], []
+
+    def seen(*args):
+        cached.append(sum(r.memSize() + r.diskSize() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+        tables.append(held())
+        log_touched(*args)
+
+    monkeypatch.setattr(live, "log_touched", seen)
+    for i, updates in enumerate([1, 4000]):
+        feed.land(i, *[entity("T1", update(0, n), update(1, n)) for n in range(updates)])
+        run(wh, feed, tmp_path, max_files=1)
+    few, many = cached
+    assert many < 1.2 * few + 1000  # 8,000 facts instead of two
+    assert all({"batch", "planned", "matched", "new"} <= found for found in tables)
+    assert held() == set()
+
+
+def test_tables_of_a_failed_batch_are_deleted(spark, tmp_path, feed, monkeypatch):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    publish(spark, wh, 1, stops=("S1",))
+    held = tables_below(monkeypatch, tmp_path / "shared")
+    feed.land(1, entity("T1", update(1, 1)))  # S2 is unknown
+    run(wh, feed, tmp_path)
+    assert live.waiting_batches(wh)
+    assert held() == set()

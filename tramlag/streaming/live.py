@@ -45,6 +45,21 @@ def _persisted(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+@contextmanager
+def _stored(wh: Warehouse, df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """`df` as a table in the shared folder, for rows that grow with a batch; deleted at the end.
+
+    A cache holds whole partitions in executors' memory, and again where they are fetched from or
+    moved to disk. A table is read and written a page at a time, however large a partition is.
+    """
+    folder = shared_folder(wh.spark, purpose)
+    try:
+        df.write.parquet(folder)
+        yield wh.spark.read.schema(df.schema).parquet(folder)
+    finally:
+        wh.delete(folder)
+
+
 def _heads(batch: DataFrame) -> DataFrame:
     """One row per snapshot: when it arrived, from which file, and its time."""
     return batch.select(*ARRIVAL, epoch().alias("epoch")).distinct()
@@ -126,10 +141,13 @@ def store_batch(
     table: they must not be worked out again once the facts are stored.
     """
     version_id = wh.current_version()
-    with ExitStack() as cached:
+    with ExitStack() as kept_until_end:
 
         def keep(df: DataFrame) -> DataFrame:
-            return cached.enter_context(_persisted(df))
+            return kept_until_end.enter_context(_persisted(df))
+
+        def store(df: DataFrame, purpose: str) -> DataFrame:
+            return kept_until_end.enter_context(_stored(wh, df, purpose))
 
         heads = keep(_heads(batch))
         if marker:
@@ -144,8 +162,8 @@ def store_batch(
         fresh = batch.withColumn("epoch", epoch()).join(
             heads.where("fresh").select("file_path", "epoch"), ["file_path", "epoch"]
         )
-        schedule = keep(wh.schedule(version_id, mentioned_trips(fresh, wh.cfg)))
-        facts = keep(match_snapshots(fresh, schedule, version_id, wh.cfg))
+        schedule = store(wh.schedule(version_id, mentioned_trips(fresh, wh.cfg)), "planned")
+        facts = store(match_snapshots(fresh, schedule, version_id, wh.cfg), "matched")
         kept, bad = facts, keep(integrity.orphans(facts, wh.dimensions(version_id)))
         if on_orphans == "quarantine":
             kept, rejected = integrity.drop_orphans(facts, bad)
@@ -160,7 +178,7 @@ def store_batch(
             first, last = (datetime.fromtimestamp(s, timezone.utc) for s in (first, last))
             stored = wh.read("fact_delay", sorted(dates)).where(F.col("ts").between(ntz(first), ntz(last)))
             new = insertable(stored, kept, PRIMARY_KEYS["fact_delay"], order)
-        new = keep(new.select(*FACT_COLUMNS))
+        new = store(new.select(*FACT_COLUMNS), "new")
         cycles = _kept_counts(wh, _cycles(heads, facts, new))
         wh.append("fact_delay", new.withColumn("ts_date", F.col("ts").cast("date")))
         log_touched(wh, "fact_delay", kept, "ts")
@@ -226,7 +244,7 @@ def process_batch(
     even the set-aside fail, the error stops the query and Spark repeats the batch after a restart.
     """
     started, t0 = clock(), time.monotonic()
-    with _persisted(batch) as batch:
+    with _stored(wh, batch, "batch") as batch:
         lost = batch.where(unreadable())
         if not lost.isEmpty():
             log.error("batch %s holds unreadable records", batch_id)
