@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from conftest_llm import union_find
 
@@ -71,6 +72,52 @@ def test_shards_lose_no_pair():
         assert union_find(len(points), edges) == union_find(len(points), near)
 
 
+def clustered(rng, centres, number, most):
+    """Points within `most` bits of some of the centres, each once."""
+    centres = rng.integers(0, 2**64, centres, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, rng.integers(0, most + 1), replace=False)) for _ in range(number)]
+    return np.unique(centres[rng.integers(0, len(centres), number)] ^ np.array(flips, np.uint64))
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 5, 7, 8, 20])
+def test_trees_of_blocks_lose_no_pair(radius):
+    rng = np.random.default_rng(radius)
+    points = clustered(rng, 80, 1500, radius + 2)
+    place = {int(p): i for i, p in enumerate(points)}
+    near = [(i, j) for i in range(len(points)) for j in np.flatnonzero(np.bitwise_count(points[i] ^ points[:i]) <= radius)]
+    for shards in (1, 9, 60):
+        trees = simhash_vp.forest(rng.choice(points, 700, replace=False), shards, radius)
+        numbers, own = simhash_vp.deal(points, trees)
+        if radius < 8:
+            assert len(own) == len(trees) * len(points)
+            assert shards == 1 or len(np.unique(numbers)) > shards
+        edges = []
+        for shard in np.unique(numbers):
+            a, b = simhash_vp.linked(own[numbers == shard], radius)
+            edges += [(place[int(x)], place[int(y)]) for x, y in zip(a, b)]
+        assert union_find(len(points), edges) == union_find(len(points), near)
+
+
+def test_copies_across_boundaries_do_not_grow(spark, monkeypatch):
+    """Each fingerprint is dealt once for each block of bits, however many shards there are."""
+    monkeypatch.setattr(simhash_vp, "SHARD", 32)
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.integers(0, 2**64, 3000, dtype=np.uint64), clustered(rng, 100, 1000, 4)])
+    distinct = spark.createDataFrame([(int(p),) for p in np.unique(points).view(np.int64)], "fp bigint")
+    dealt, whole = [], simhash_vp.written
+
+    def written(df, purpose, **options):
+        found = whole(df, purpose, **options)
+        if purpose == "shards":
+            dealt.append((found.count(), found.select("shard").distinct().count()))
+        return found
+
+    monkeypatch.setattr(simhash_vp, "written", written)
+    simhash_vp.links(distinct, 3).count()
+    assert dealt[0][0] == 4 * distinct.count()
+    assert dealt[0][1] > 100
+
+
 def test_large_shards_are_dealt_again(spark, monkeypatch):
     monkeypatch.setattr(simhash_vp, "SHARD", 16)
     monkeypatch.setattr(simhash_vp, "MAX_SHARDS", 3)  # of a tree, so that shards stay large at first

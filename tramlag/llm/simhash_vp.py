@@ -1,12 +1,15 @@
 """SimHash near-duplicates through vantage-point trees.
 
-Fingerprints are partitioned by their Hamming distance to vantage points. The upper tree is
-fitted on a bounded sample and sent to the tasks; it deals every distinct fingerprint to its
-shard, and to each shard that a ball around it reaches across a boundary. Shards that are too
-large for a task are dealt again, each by a tree fitted on a sample of its own, until none is.
-A shard goes on with trees of its own, down to leaves that are compared in full. The triangle bound makes
-this exact: of a pair within `radius`, either both lie inside a sphere, or both lie outside
-a sphere that is smaller by `radius`, so each pair meets in some leaf.
+Fingerprints are partitioned by their Hamming distance to vantage points. The upper trees are
+fitted on a bounded sample and sent to the tasks. There is one for each of `radius` + 1 blocks of
+bits, which looks at the bits of its block alone: a pair within `radius` agrees in all bits of some
+block, so no sphere of that block's tree parts it, and each tree deals every distinct fingerprint
+to just one shard. Wide radii, whose blocks would be too short, have one tree of all bits, which
+also deals a fingerprint to each shard that a ball around it reaches across a boundary. Shards
+that are too large for a task are dealt again, each by such a tree fitted on a sample of its own,
+until none is. A shard goes on with trees of all bits, down to leaves that are compared in full.
+The triangle bound makes this exact: of a pair within `radius`, either both lie inside a sphere, or
+both lie outside a sphere that is smaller by `radius`, so each pair meets in some leaf.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,7 +39,12 @@ LARGE = 1 << 18
 MOST_TASKS = 1 << 16
 #: Points of a shard that are compared in full.
 LEAF = 1_024
+#: Bits of a block that has an upper tree, at least.
+SHORTEST = 8
+#: Fingerprints that a task deals at once; arrow's batches are shorter than there may be shards.
+AT_ONCE = 1 << 16
 
+ALL = (1 << 64) - 1
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -117,8 +126,10 @@ def build(sample: np.ndarray, shards: int, radius: int) -> list[tuple[int, int,
     return nodes if root >= 0 else []
 
 
-def route(points: np.ndarray, nodes: list[tuple[int, int, int, int]], radius: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, its points), a point near a boundary in several."""
+def route(
+    points: np.ndarray, nodes: list[tuple[int, int, int, int]], radius: int, mask: int = ALL
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its points), a point near a boundary in several; the tree looks at the bits of `mask`."""
     if not nodes:
         yield 1, points
         return
@@ -129,10 +140,40 @@ def route(points: np.ndarray, nodes: list[tuple[int, int, int, int]], radius: in
             yield -at, own
         elif len(own):
             vantage, sphere, inner, outer = nodes[at]
-            near, far = _parts(own, vantage, sphere, radius)
+            near, far = _parts(own & np.uint64(mask), vantage, sphere, radius)
             left += [(inner, own[near]), (outer, own[far])]
 
 
+def blocks(radius: int) -> list[int]:
+    """Masks that part the 64 bits: two values that differ in at most `radius` bits agree in all of some block.
+
+    All bits at once where the blocks would be too short.
+    """
+    if 64 // (radius + 1) < SHORTEST:
+        return [ALL]
+    return [sum(1 << int(b) for b in own) for own in np.array_split(np.arange(64), radius + 1)]
+
+
+def forest(sample: np.ndarray, shards: int, radius: int) -> list[tuple[int, int, list[tuple[int, int, int, int]]]]:
+    """Upper trees as (mask, radius, nodes). Within a block the radius is zero: spheres part no pair that agrees there."""
+    if shards < 2:
+        return [(ALL, radius, [])]
+    masks = blocks(radius)
+    own = radius if masks == [ALL] else 0
+    return [(mask, own, build(sample & np.uint64(mask), shards, own)) for mask in masks]
+
+
+def deal(points: np.ndarray, trees: list[tuple[int, int, list[tuple[int, int, int, int]]]]) -> tuple[np.ndarray, np.ndarray]:
+    """(shard, point) of every tree, whose shards have numbers of their own."""
+    found = [
+        (part * len(trees) + k, own)
+        for k, (mask, radius, nodes) in enumerate(trees)
+        for part, own in route(points, nodes, radius, mask)
+    ]
+    numbers = np.repeat(np.array([n for n, _ in found], np.int64), [len(own) for _, own in found])
+    return numbers, np.concatenate([np.zeros(0, np.uint64), *(own for _, own in found)])
+
+
 def flooded(points: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(i, j): forest of the links of at most `radius` among points that no sphere splits.
 
@@ -243,19 +284,24 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     shards = max(1, -(-number // SHARD))
     by_hash = first_by_hash(distinct.select("fp"), "fp", SAMPLE, number)
     sample = np.array([r.fp for r in by_hash.collect()] or [0], np.int64).view(np.uint64)
-    nodes = build(sample, min(MAX_SHARDS, shards), radius)
-
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard, own in route(frame["fp"].to_numpy(np.int64).view(np.uint64), nodes, radius):
-                if len(own):
-                    yield pd.DataFrame({"shard": shard, "fp": own.view(np.int64)})
+    trees = forest(sample, min(MAX_SHARDS, shards), radius)
+
+    def dealt_out(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting, number = [], 0
+        for frame in chain(frames, [None]):
+            if frame is not None:
+                waiting.append(frame["fp"].to_numpy(np.int64))
+                number += len(frame)
+            if waiting and (frame is None or number >= AT_ONCE):
+                shard, own = deal(np.concatenate(waiting).view(np.uint64), trees)
+                yield pd.DataFrame({"shard": shard, "fp": own.view(np.int64)})
+                waiting, number = [], 0
 
     def within(frame: pd.DataFrame) -> pd.DataFrame:
         a, b = linked(frame["fp"].to_numpy(np.int64).view(np.uint64), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    left = written(distinct.select("fp").mapInPandas(deal, "shard bigint, fp bigint"), "shards")
+    left = written(distinct.select("fp").mapInPandas(dealt_out, "shard bigint, fp bigint"), "shards")
     done = []
     while True:
         sizes = left.groupBy("shard").agg(F.count(F.lit(1)).alias("points"))
